@@ -14,8 +14,8 @@ JSON_OPTIONS = {
 
 
 def encode_row(columns: list[str] | None = None, options: dict[str, str] | None = None) -> Column:
-    """One JSON object per row. NULL fields are left out; NaN is written as a
-    bare ``NaN``, which the decoder reads back as NaN for a double field."""
+    """One JSON object per row. NULL fields are left out; NaN is written as
+    the text ``"NaN"``, which the decoder reads back as NaN for a double field."""
     cols = [F.col(c) for c in columns] if columns else [F.col("*")]
     return F.to_json(F.struct(*cols), {**JSON_OPTIONS, **(options or {})})
 

@@ -111,7 +111,7 @@ def _schema_rows() -> str:
     ]
     parts = []
     for name, expected, actual, nullable in rows:
-        nulls = f"count_if({name} IS NULL)"
+        nulls = f"CAST(count_if({name} IS NULL) AS BIGINT)"
         passed = "true" if nullable else f"{nulls} = 0"
         parts.append(
             f"SELECT '{name}' AS column_name, '{expected}' AS expected_type, '{actual}' AS actual_type, "
@@ -165,7 +165,7 @@ m AS (SELECT o.o_orderdate AS dropped_at, w.written_at
       FROM orders o LEFT JOIN w ON o.o_orderkey = w.l_orderkey)
 SELECT 'ExpectDeliveryWithinDays' AS rule, 'written_at-dropped_at<=5d' AS target,
        count(*) AS runs,
-       count_if(coalesce({_DELAY} > 5, true)) AS violations,
+       CAST(count_if(coalesce({_DELAY} > 5, true)) AS BIGINT) AS violations,
        CAST(max({_DELAY}) AS INTEGER) AS max_delay_days,
        count_if(coalesce({_DELAY} > 5, true)) = 0 AS passed
 FROM m""",

@@ -1,0 +1,67 @@
+"""Every registered query against its SQL in DuckDB, on the driver's sf0.01 tables."""
+
+from __future__ import annotations
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from tests.conftest import SF_ORACLE, SF_SMALL
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+
+def _canon(rows, cols):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    out = []
+    for r in rows:
+        vals = []
+        for i in order:
+            v = r[i]
+            if hasattr(v, "isoformat"):
+                v = v.isoformat()
+            elif hasattr(v, "as_tuple"):
+                v = str(v)
+            vals.append(v)
+        out.append(tuple(vals))
+    return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+@pytest.fixture(scope="module")
+def con():
+    c = duckdb.connect()
+    for t in TABLES:
+        p = f"{SF_ORACLE}/{t}.parquet"
+        if os.path.exists(p):
+            c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return c
+
+
+def test_entry_smoke(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["State_Code", "State_Name", "record_count", "bmi_mean"]
+    assert df.count() > 0
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("key", sorted(entry.queries()))
+def test_query_matches_sql(spark, con, key):
+    df = entry.queries()[key](spark, SF_ORACLE)
+    got = [tuple(r) for r in df.collect()]
+    res = con.execute(entry.oracle_sql()[key])
+    want = res.fetchall()
+    ocols = [d[0] for d in res.description]
+    assert sorted(df.columns) == sorted(ocols)
+    assert len(got) == len(want)
+    assert _canon(got, df.columns) == _canon(want, ocols)
+
+
+def test_queries_run_on_smallest_scale(spark):
+    for key, fn in entry.queries().items():
+        assert fn(spark, SF_SMALL).count() >= 0, key
