@@ -32,6 +32,11 @@ from strata.streaming.ingest import ingest_incremental
 RUN_ID = "scheduled__2026-01-01T00:00:00+00:00"
 
 
+def _topic_partitions(spark: SparkSession) -> int:
+    """Partitions of a published topic: one per core of the cluster."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _silver(spark: SparkSession, sf_dir: str, measure: str = "l_quantity") -> DataFrame:
     return refine(survey_frame(spark, sf_dir, measure), SURVEY)
 
@@ -147,7 +152,7 @@ def topic_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish rows to a topic, then replay the whole topic (bounded)."""
     events = read_table(spark, sf_dir, "events")
     topic = FileTopic(shared_dir(spark, "topic"))
-    publish(events, topic)
+    publish(events, topic, partitions=_topic_partitions(spark))
     return replay_topic(spark, topic, events.schema)
 
 
@@ -156,7 +161,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, sf_dir, "events")
     base = shared_dir(spark, "stream")
     topic = FileTopic(f"{base}/topic")
-    publish(events, topic)
+    publish(events, topic, partitions=_topic_partitions(spark))
     out, ckpt = f"{base}/bronze", f"{base}/_checkpoint"
     ingest_incremental(spark, topic, events.schema, out, ckpt)
     ingest_incremental(spark, topic, events.schema, out, ckpt)  # nothing new: no-op
@@ -168,7 +173,7 @@ def message_path_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     survey = survey_frame(spark, sf_dir)
     base = shared_dir(spark, "message-path")
     topic = FileTopic(f"{base}/topic")
-    publish(survey, topic)
+    publish(survey, topic, partitions=_topic_partitions(spark))
     layers = run_message_path(spark, topic, f"{base}/layers", reference_frame(spark, sf_dir),
                               schema=survey.schema, run_id=RUN_ID)
     return read_layer(spark, layers["gold"].path)
@@ -178,7 +183,9 @@ def csv_path_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C4: survey rows as CSV -> Bronze (inferred) -> Silver -> Gold."""
     base = shared_dir(spark, "csv-path")
     src, ref = f"{base}/source", f"{base}/ref"
-    survey_frame(spark, sf_dir).write.option("header", True).csv(src)
+    # the source drop arrives as several files, as a large export does
+    survey_frame(spark, sf_dir).repartition(_topic_partitions(spark)) \
+        .write.option("header", True).csv(src)
     reference_frame(spark, sf_dir).coalesce(1).write.option("header", True).csv(ref)
     layers = run_pipeline(spark, src, f"{base}/layers", ref, run_id=RUN_ID)
     return read_layer(spark, layers["gold"].path)

@@ -50,14 +50,12 @@ class FileTopic:
 MESSAGE_COLUMNS = ("partition", "offset", "value")
 
 
-def encode_messages(df: DataFrame, partitions: int | None = None) -> DataFrame:
+def encode_messages(df: DataFrame) -> DataFrame:
     """Rows -> ``(partition, offset, value)`` with one JSON object per row.
 
     ``partition`` is the Spark partition that produced the row and ``offset``
     its position there, so the numbering is the same when a task is rerun.
     """
-    if partitions:
-        df = df.repartition(partitions)
     value = df.select(encode_row().alias("value"))
     mono = F.monotonically_increasing_id()
     part = F.spark_partition_id()
@@ -69,17 +67,22 @@ def encode_messages(df: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def publish(df: DataFrame, target: KafkaTopic | FileTopic, max_records: int | None = None,
-            order_by: list[str] | None = None) -> dict:
+            order_by: list[str] | None = None, partitions: int | None = None) -> dict:
     """Publish rows as JSON messages; returns ``{records_sent, topic, chunks}``.
 
     ``max_records`` caps the rows sent (the first rows in ``order_by`` order).
-    The row count is observed in the write itself.
+    ``partitions`` spreads the rows evenly over that many topic partitions
+    (a round-robin exchange, deterministic on task retry); replay and
+    incremental ingest then read the topic with that parallelism. The row
+    count is observed in the write itself.
     """
     from strata.operators.layers import ingest_summary
     from strata.operators.marts import head_rows
 
     if max_records is not None:
         df = head_rows(df, max_records, order_by)
+    if partitions:
+        df = df.repartition(partitions)
     if isinstance(target, KafkaTopic):
         from pyspark.sql import Observation
 
