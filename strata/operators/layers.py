@@ -38,7 +38,7 @@ class LayerResult:
 
 
 def write_layer(df: DataFrame, path: str, name: str = "layer", partition_by: list[str] | None = None,
-                mode: str = "overwrite") -> LayerResult:
+                mode: str = "overwrite", max_records_per_file: int | None = None) -> LayerResult:
     """Write ``df`` as Parquet and count its rows in the same pass.
 
     The count comes from an ``Observation`` evaluated by the write job itself,
@@ -48,6 +48,8 @@ def write_layer(df: DataFrame, path: str, name: str = "layer", partition_by: lis
     """
     obs = Observation(name)
     writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

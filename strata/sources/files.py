@@ -2,28 +2,52 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.functions.casts import cast_by_name
 from strata.functions.json import JSON_OPTIONS
 
 
+def check_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
+    """Header names as written, trimmed; blank or duplicate names raise.
+
+    Spark silently names a blank header ``_c<i>`` and renames duplicates by
+    position, which changes what downstream code selects. Only the first
+    line of the input is read.
+    """
+    first = spark.read.text(path).first()
+    raw = next(csv.reader([first.value if first else ""], delimiter=sep))
+    names = [n.strip() for n in raw]
+    blank = [i for i, n in enumerate(names) if not n]
+    lowered = [n.lower() for n in names]
+    dups = sorted({n for n in lowered if lowered.count(n) > 1})
+    if blank or dups:
+        raise ValueError(f"bad CSV header: blank positions={blank} duplicates={dups}")
+    return names
+
+
 def read_csv(spark: SparkSession, path: str, infer: bool = True,
              types: dict[str, str] | None = None, null_value: str | None = None,
-             options: dict[str, str] | None = None) -> DataFrame:
+             options: dict[str, str] | None = None, validate_header: bool = False) -> DataFrame:
     """Header CSV, every column kept.
 
     ``infer=True`` reproduces the source job (a schema-inference pass, then
     the read). At scale, pass ``infer=False`` with ``types``: the file is read
     once as text and the named columns are cast by name, never by position.
-    ``null_value`` marks an extra missing-value token (e.g. ``NA``).
+    ``null_value`` marks an extra missing-value token (e.g. ``NA``);
+    ``validate_header`` trims names and rejects blank or duplicate ones.
     """
     reader = spark.read.option("header", True).option("inferSchema", infer)
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
+    names = check_header(spark, path, (options or {}).get("sep", ",")) if validate_header else None
     df = reader.csv(path)
+    if names is not None and names != df.columns:
+        df = df.toDF(*names)
     if types:
         df = cast_by_name(df, types)
     return df

@@ -50,6 +50,23 @@ class FileTopic:
 MESSAGE_COLUMNS = ("partition", "offset", "value")
 
 
+def kafka_available(spark: SparkSession) -> bool:
+    """True when Spark's Kafka connector is on the classpath."""
+    try:
+        spark.read.format("kafka").option("kafka.bootstrap.servers", "unused:0") \
+            .option("subscribe", "unused").load()
+    except Exception as exc:  # noqa: BLE001 - any failure means: not usable
+        return "DATA_SOURCE_NOT_FOUND" not in str(exc) and "Failed to find data source" not in str(exc)
+    return True
+
+
+def _require_kafka(spark: SparkSession) -> None:
+    if not kafka_available(spark):
+        raise RuntimeError(
+            "Spark's Kafka connector is not on the classpath; add the "
+            "spark-sql-kafka package matching this Spark version, or use a FileTopic")
+
+
 def encode_messages(df: DataFrame) -> DataFrame:
     """Rows -> ``(partition, offset, value)`` with one JSON object per row.
 
@@ -86,6 +103,7 @@ def publish(df: DataFrame, target: KafkaTopic | FileTopic, max_records: int | No
     if isinstance(target, KafkaTopic):
         from pyspark.sql import Observation
 
+        _require_kafka(df.sparkSession)
         obs = Observation("publish")
         (df.select(encode_row().alias("value"))
            .observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -106,6 +124,7 @@ def read_topic(spark: SparkSession, source: KafkaTopic | FileTopic) -> DataFrame
     idle wait and repeats exactly for a given topic state.
     """
     if isinstance(source, KafkaTopic):
+        _require_kafka(spark)
         return (spark.read.format("kafka")
                 .option("kafka.bootstrap.servers", source.bootstrap_servers)
                 .option("subscribe", source.topic)

@@ -73,3 +73,44 @@ def test_head_rows(spark):
     assert head_rows(df, None).count() == 100
     with pytest.raises(ValueError):
         head_rows(df, -1)
+
+
+def test_hot_key_join_without_broadcast_is_split(spark):
+    """A third of the facts on one key, the lookup too big to broadcast:
+    the join shuffles and AQE splits the hot partition; results stay whole."""
+    from pyspark.sql import functions as F
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 30_000
+        facts = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 997 + 1)
+             .cast("double").alias("k"), F.col("id"))
+        ref = spark.range(1000).select(F.col("id").cast("int").alias("code"),
+                                       F.concat(F.lit("n"), F.col("id")).alias("name"))
+        out = lookup_left_join(facts, ref, "k", "code", "name", "name", max_broadcast_rows=10)
+        rows = out.groupBy((F.col("k") == 0).alias("hot")).agg(
+            F.count("*").alias("n"), F.count("name").alias("named")).collect()
+        got = {r.hot: (r.n, r.named) for r in rows}
+        assert got == {True: (10_000, 10_000), False: (20_000, 20_000)}
+        assert len(out.collect()) == n
+        final = out._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in final and "Broadcast" not in final
+        assert "SortMergeJoin(skew=true)" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -124,3 +124,11 @@ def test_incremental_ingest_rerun_and_new_rows(spark, tmp_path, edge_frame):
 def test_decode_messages_with_staging_uses_shared_dir(spark, tmp_path):
     msgs = spark.createDataFrame([('{"a": 1}',), ('{"a": 2}',)], "value string")
     assert sorted(r.a for r in decode_messages(spark, msgs).collect()) == [1, 2]
+
+
+def test_kafka_missing_connector_is_a_clear_error(spark):
+    from strata.sources.messages import KafkaTopic, kafka_available
+    if kafka_available(spark):
+        pytest.skip("Kafka connector present")
+    with pytest.raises(RuntimeError, match="Kafka connector"):
+        read_topic(spark, KafkaTopic("localhost:1", "t"))

@@ -85,3 +85,27 @@ def test_filter_pushes_into_parquet_scan(spark, tmp_path, edge_frame):
     plan = refine(spark.read.parquet(path), SURVEY)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "IsNotNull(_BMI5)" in plan and "GreaterThan(_BMI5,0.0)" in plan
     assert "EXTRA" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_typed_csv_read_equals_inferred(spark, tmp_path, edge_frame):
+    from strata.sources.files import read_csv
+    path = str(tmp_path / "src")
+    edge_frame.write.option("header", True).csv(path)
+    types = {c: "double" for c in ["_STATE", "GENHLTH", "_BMI5", "_TOTINDA", "_AGEG5YR", "_RACE"]}
+    typed = read_csv(spark, path, infer=False, types=types)
+    inferred = read_csv(spark, path, infer=True)
+    assert typed.columns == inferred.columns
+    a, b = refine(typed, SURVEY), refine(inferred, SURVEY)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_header_validation(spark, tmp_path):
+    from strata.sources.files import read_csv
+    good = tmp_path / "good.csv"
+    good.write_text(" a ,b\n1,2\n")
+    assert read_csv(spark, str(good), validate_header=True).columns == ["a", "b"]
+    for bad in ("a,,b\n1,2,3\n", "a,A\n1,2\n"):
+        p = tmp_path / "bad.csv"
+        p.write_text(bad)
+        with pytest.raises(ValueError):
+            read_csv(spark, str(p), validate_header=True)
