@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.spec import MartSpec
 
 # A lookup side is broadcast only when it is proven to hold at most this many
-# rows (checked with a bounded count); beyond it the join shuffles, with AQE
+# rows (checked with a parallel count); beyond it the join shuffles, with AQE
 # skew handling splitting hot keys.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
@@ -16,10 +16,13 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    ``limit(max_rows + 1).count()`` stops reading once the bound is passed,
-    so the check costs at most ``max_rows + 1`` rows of scan.
+    A plain ``count()`` is a parallel aggregation: one partial count per task
+    and a shuffle of one number per task. (``limit(n + 1).count()`` would
+    look cheaper but is planned as a global limit behind a single-partition
+    exchange, funnelling up to tasks x n rows through one task.) The scan
+    reads no columns, only row counts.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -78,9 +81,10 @@ def build_gold(silver: DataFrame, reference: DataFrame, spec: MartSpec,
 def head_rows(df: DataFrame, n: int | None, order_by: list[str] | None = None) -> DataFrame:
     """At most ``n`` rows; ``None`` = all, ``0`` = none.
 
-    With ``order_by`` the rows are the first ``n`` in that order (planned as a
-    per-partition top-n and one small merge); a bare limit has no order
-    guarantee on a distributed scan.
+    With ``order_by`` the rows are the first ``n`` in that order, planned by
+    Spark as a per-task top-n followed by one merge task that receives at
+    most ``tasks x n`` rows; a bare limit has no order guarantee on a
+    distributed scan.
     """
     if n is None:
         return df
