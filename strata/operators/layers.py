@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 from dataclasses import dataclass
 
@@ -70,3 +71,22 @@ def ingest_summary(rows: int, target: str, chunk_size: int = 10_000) -> dict:
     """Summary of a publish: rows sent, target and the chunk count it equals."""
     return {"records_sent": rows, "topic": target,
             "chunks": math.ceil(rows / chunk_size) if chunk_size else 0}
+
+
+# One row per written layer of a run; the freshness rule reads it.
+MANIFEST_SCHEMA = ("run_id string, layer string, path string, row_count bigint, "
+                   "dropped_at timestamp_ntz, written_at timestamp_ntz")
+
+
+def append_manifest(spark: SparkSession, manifest_path: str, run_id: str,
+                    layers: dict[str, LayerResult], dropped_at: dt.datetime,
+                    written_at: dt.datetime | None = None) -> None:
+    """Append one row per layer of a run (a handful of rows) to the manifest.
+
+    ``dropped_at`` is when the source was delivered; ``written_at`` defaults
+    to now (UTC). Appends are whole-file commits, so a failed run adds nothing.
+    """
+    if written_at is None:
+        written_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    rows = [(run_id, name, r.path, r.rows, dropped_at, written_at) for name, r in layers.items()]
+    spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(manifest_path)

@@ -11,7 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DoubleType, LongType, StringType
+from pyspark.sql.types import (BooleanType, DataType, DateType, DoubleType, FloatType, IntegerType,
+                               LongType, StringType, TimestampNTZType, TimestampType)
 
 from strata.spec import BMI_MEAN_RANGE, GOLD_CONTRACT, MAX_DELAY_DAYS
 
@@ -70,8 +71,16 @@ def quality_report(df: DataFrame, rules: list[Rule]) -> DataFrame:
 # Contract type names -> Spark types.
 _TYPE_NAMES: dict[str, DataType] = {
     "double": DoubleType(),
+    "float": FloatType(),
     "string": StringType(),
     "long": LongType(),
+    "bigint": LongType(),
+    "int": IntegerType(),
+    "integer": IntegerType(),
+    "boolean": BooleanType(),
+    "date": DateType(),
+    "timestamp": TimestampType(),
+    "timestamp_ntz": TimestampNTZType(),
 }
 
 
@@ -92,6 +101,8 @@ def schema_report(df: DataFrame, contract=GOLD_CONTRACT) -> DataFrame:
     for name, type_name, nullable in contract:
         field = fields.get(name)
         actual = field.dataType.simpleString() if field else None
+        if type_name not in _TYPE_NAMES:
+            raise ValueError(f"unknown contract type {type_name!r} for {name}")
         type_ok = field is not None and field.dataType == _TYPE_NAMES[type_name]
         nulls = F.col(name).cast("long") if field is not None else F.lit(None).cast("long")
         null_ok = F.lit(True) if nullable else (F.coalesce(nulls, F.lit(0)) == 0)
@@ -129,3 +140,10 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     if df.isEmpty():
         raise RuntimeError(f"no rows found in {what}")
     return df
+
+
+def run_freshness(manifest: DataFrame, layer: str = "gold",
+                  max_delay_days: int = MAX_DELAY_DAYS) -> DataFrame:
+    """Freshness of every run in a manifest, judged on one layer's write."""
+    runs = manifest.filter(F.col("layer") == layer)
+    return freshness_report(runs, "dropped_at", "written_at", max_delay_days)

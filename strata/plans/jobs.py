@@ -7,10 +7,13 @@ not from the source) and lets each step run as its own scheduled task.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from strata.operators.layers import LayerResult, layer_path, read_layer, write_layer
+from strata.operators.layers import (LayerResult, append_manifest, layer_path, read_layer,
+                                     write_layer)
 from strata.operators.marts import DEFAULT_BROADCAST_ROWS, build_gold
 from strata.operators.refine import refine
 from strata.sources.files import read_csv, read_reference
@@ -52,25 +55,35 @@ def run_gold(spark: SparkSession, silver_path: str, output_dir: str,
 
 def run_layers(spark: SparkSession, bronze: LayerResult, output_dir: str,
                reference: str | DataFrame, spec: RefineSpec = SURVEY, mart: MartSpec = SURVEY_MART,
-               run_id: str | None = None) -> dict[str, LayerResult]:
+               run_id: str | None = None, manifest: str | None = None,
+               dropped_at: dt.datetime | None = None) -> dict[str, LayerResult]:
+    """Silver and Gold from a written Bronze; optionally record the run in a
+    manifest (``manifest`` path, ``dropped_at`` = source delivery time)."""
     silver = run_silver(spark, bronze.path, output_dir, spec, run_id)
     gold = run_gold(spark, silver.path, output_dir, reference, mart, run_id)
-    return {"bronze": bronze, "silver": silver, "gold": gold}
+    layers = {"bronze": bronze, "silver": silver, "gold": gold}
+    if manifest is not None:
+        if dropped_at is None:
+            raise ValueError("a manifest entry needs the source drop time")
+        append_manifest(spark, manifest, run_id or "", layers, dropped_at)
+    return layers
 
 
 def run_pipeline(spark: SparkSession, input_csv: str, output_dir: str, reference: str | DataFrame,
                  run_id: str | None = None, spec: RefineSpec = SURVEY,
-                 mart: MartSpec = SURVEY_MART) -> dict[str, LayerResult]:
+                 mart: MartSpec = SURVEY_MART, manifest: str | None = None,
+                 dropped_at: dt.datetime | None = None) -> dict[str, LayerResult]:
     """C4: the whole CSV run in the given session (which it never stops)."""
     bronze = run_bronze(spark, input_csv, output_dir, run_id)
-    return run_layers(spark, bronze, output_dir, reference, spec, mart, run_id)
+    return run_layers(spark, bronze, output_dir, reference, spec, mart, run_id, manifest, dropped_at)
 
 
 def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output_dir: str,
                      reference: str | DataFrame, schema: StructType | None = None,
                      incremental: bool = False, checkpoint: str | None = None,
                      run_id: str | None = None, normalize: bool = True,
-                     spec: RefineSpec = SURVEY, mart: MartSpec = SURVEY_MART
+                     spec: RefineSpec = SURVEY, mart: MartSpec = SURVEY_MART,
+                     manifest: str | None = None, dropped_at: dt.datetime | None = None
                      ) -> dict[str, LayerResult]:
     """Topic -> Bronze -> Silver -> Gold.
 
@@ -88,4 +101,4 @@ def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output
     else:
         rows = replay_topic(spark, source, schema, normalize)
         bronze = run_bronze_frame(rows, output_dir, run_id)
-    return run_layers(spark, bronze, output_dir, reference, spec, mart, run_id)
+    return run_layers(spark, bronze, output_dir, reference, spec, mart, run_id, manifest, dropped_at)
