@@ -23,7 +23,7 @@ from strata.plans.jobs import run_bronze_frame, run_layers, run_message_path, ru
 from strata.plans.survey_view import reference_frame, survey_frame
 from strata.session import shared_dir
 from strata.sources.files import read_csv, read_json_lines, read_reference, read_table
-from strata.sources.messages import FileTopic, publish, replay_topic
+from strata.sources.messages import FileTopic, publish, replay_topic, spread
 from strata.spec import (GENERAL_HEALTH_LABELS, MESSAGE_ROW_CAP, PHYSICAL_ACTIVITY_DEFAULT,
                          PHYSICAL_ACTIVITY_LABELS, SURVEY, SURVEY_MART, ValidRule)
 from strata.streaming.ingest import ingest_incremental
@@ -33,7 +33,7 @@ RUN_ID = "scheduled__2026-01-01T00:00:00+00:00"
 
 
 def _topic_partitions(spark: SparkSession) -> int:
-    """Partitions of a published topic: one per core of the cluster."""
+    """Minimum partitions of a published topic: one per core of the cluster."""
     return spark.sparkContext.defaultParallelism
 
 
@@ -184,7 +184,7 @@ def csv_path_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "csv-path")
     src, ref = f"{base}/source", f"{base}/ref"
     # the source drop arrives as several files, as a large export does
-    survey_frame(spark, sf_dir).repartition(_topic_partitions(spark)) \
+    spread(survey_frame(spark, sf_dir), _topic_partitions(spark)) \
         .write.option("header", True).csv(src)
     reference_frame(spark, sf_dir).coalesce(1).write.option("header", True).csv(ref)
     layers = run_pipeline(spark, src, f"{base}/layers", ref, run_id=RUN_ID)

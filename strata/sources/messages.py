@@ -67,6 +67,13 @@ def _require_kafka(spark: SparkSession) -> None:
             "spark-sql-kafka package matching this Spark version, or use a FileTopic")
 
 
+def spread(df: DataFrame, min_partitions: int | None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` tasks only when it has fewer."""
+    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+        return df.repartition(min_partitions)
+    return df
+
+
 def encode_messages(df: DataFrame) -> DataFrame:
     """Rows -> ``(partition, offset, value)`` with one JSON object per row.
 
@@ -88,18 +95,19 @@ def publish(df: DataFrame, target: KafkaTopic | FileTopic, max_records: int | No
     """Publish rows as JSON messages; returns ``{records_sent, topic, chunks}``.
 
     ``max_records`` caps the rows sent (the first rows in ``order_by`` order).
-    ``partitions`` spreads the rows evenly over that many topic partitions
-    (a round-robin exchange, deterministic on task retry); replay and
-    incremental ingest then read the topic with that parallelism. The row
-    count is observed in the write itself.
+    ``partitions`` is the minimum number of writing tasks: a frame with
+    fewer partitions (a small or unsplittable source) is spread round-robin
+    over that many (deterministic on task retry), so replay and incremental
+    ingest read the topic in parallel; a frame already split that finely is
+    written as it is, with no shuffle. The row count is observed in the
+    write itself.
     """
     from strata.operators.layers import ingest_summary
     from strata.operators.marts import head_rows
 
     if max_records is not None:
         df = head_rows(df, max_records, order_by)
-    if partitions:
-        df = df.repartition(partitions)
+    df = spread(df, partitions)
     if isinstance(target, KafkaTopic):
         from pyspark.sql import Observation
 

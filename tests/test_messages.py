@@ -132,3 +132,12 @@ def test_kafka_missing_connector_is_a_clear_error(spark):
         pytest.skip("Kafka connector present")
     with pytest.raises(RuntimeError, match="Kafka connector"):
         read_topic(spark, KafkaTopic("localhost:1", "t"))
+
+
+def test_spread_only_when_too_few_partitions(spark):
+    from strata.sources.messages import spread
+    df = spark.range(0, 100, 1, 2)
+    assert spread(df, 4).rdd.getNumPartitions() == 4
+    many = spark.range(0, 100, 1, 8)
+    assert spread(many, 4) is many
+    assert spread(df, None) is df
