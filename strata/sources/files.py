@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.functions.casts import cast_by_name
 from strata.functions.json import JSON_OPTIONS
@@ -72,3 +73,24 @@ def read_json_lines(spark: SparkSession, path: str, schema=None, mode: str = "FA
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table: ``<sf_dir>/<name>.parquet``."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def head_in_file_order(df: DataFrame, n: int | None) -> DataFrame:
+    """The first ``n`` rows of a file scan in file order (``None`` = all).
+
+    File order is (file path, byte offset of the split, row position inside
+    the task), taken from the scan's hidden ``_metadata`` columns, so ``df``
+    must be a direct file read. The top-n is a per-task top-n and one merge.
+    """
+    if n is None:
+        return df
+    if n < 0:
+        raise ValueError("n must be >= 0 or None")
+    cols = df.columns
+    keyed = df.select(
+        *cols,
+        F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__pos"),
+    )
+    return keyed.orderBy("__file", "__block", "__pos").limit(n).select(*cols)

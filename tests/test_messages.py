@@ -141,3 +141,22 @@ def test_spread_only_when_too_few_partitions(spark):
     many = spark.range(0, 100, 1, 8)
     assert spread(many, 4) is many
     assert spread(df, None) is df
+
+
+def test_head_in_file_order_and_publish_csv(spark, tmp_path):
+    from strata.sources.files import head_in_file_order, read_csv
+    from strata.sources.messages import publish_csv
+    src = tmp_path / "src"
+    src.mkdir()
+    # three files; file order = name order, then line order
+    for i, name in enumerate(["a.csv", "b.csv", "c.csv"]):
+        lines = ["k,v"] + [f"{i * 100 + j},{j}" for j in range(50)]
+        (src / name).write_text("\n".join(lines) + "\n")
+    df = read_csv(spark, str(src))
+    got = [r.k for r in head_in_file_order(df, 60).collect()]
+    assert sorted(got) == list(range(50)) + list(range(100, 110))
+    assert head_in_file_order(df, None).count() == 150
+    topic = FileTopic(str(tmp_path / "topic"))
+    summary = publish_csv(spark, str(src), topic, chunk_size=25, max_records=60)
+    assert summary == {"records_sent": 60, "topic": topic.path, "chunks": 3}
+    assert sorted(r.k for r in replay_topic(spark, topic, None).collect()) == sorted(got)
