@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+CORRUPT_COLUMN = "_corrupt_record"
 
 # Keep microseconds on both sides so timestamps survive a round trip.
 JSON_OPTIONS = {
@@ -36,3 +38,23 @@ def decode_frame(messages: DataFrame, schema: StructType, value_col: str = "valu
                  mode: str = "FAILFAST") -> DataFrame:
     """Decode a message frame into one column per schema field."""
     return messages.select(decode_value(value_col, schema, mode).alias("__row")).select("__row.*")
+
+
+def decode_with_quarantine(messages: DataFrame, schema: StructType,
+                           value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Decode leniently: ``(rows, quarantined)``.
+
+    Well-formed messages become rows of ``schema``; malformed ones keep their
+    raw text in ``_corrupt_record`` and go to the quarantine frame instead of
+    stopping the job. Both frames come from the same parse expression.
+    """
+    with_corrupt = StructType(schema.fields + [StructField(CORRUPT_COLUMN, StringType())])
+    parsed = messages.select(
+        F.from_json(F.col(value_col).cast("string"), with_corrupt,
+                    {**JSON_OPTIONS, "mode": "PERMISSIVE",
+                     "columnNameOfCorruptRecord": CORRUPT_COLUMN}).alias("__row"),
+        F.col(value_col).cast("string").alias("__raw"))
+    bad = F.col(f"__row.{CORRUPT_COLUMN}").isNotNull() | F.col("__row").isNull()
+    rows = parsed.filter(~bad).select("__row.*").drop(CORRUPT_COLUMN)
+    quarantined = parsed.filter(bad).select(F.col("__raw").alias(value_col))
+    return rows, quarantined

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.functions.casts import normalize_nan
-from strata.functions.json import decode_frame, encode_row
+from strata.functions.json import decode_frame, decode_with_quarantine, encode_row
 from strata.operators.layers import LayerResult, write_layer
 from strata.operators.quality import require_rows
 from strata.session import shared_dir
@@ -178,7 +178,18 @@ def decode_messages(spark: SparkSession, messages: DataFrame, schema: StructType
 
 
 def replay_topic(spark: SparkSession, source: KafkaTopic | FileTopic, schema: StructType | None = None,
-                 normalize: bool = True) -> DataFrame:
-    """Bounded replay of a whole topic to rows; an empty topic raises."""
+                 normalize: bool = True, quarantine_path: str | None = None) -> DataFrame:
+    """Bounded replay of a whole topic to rows; an empty topic raises.
+
+    By default a malformed message stops the job. With ``quarantine_path``
+    (needs ``schema``) malformed messages are written there instead and the
+    well-formed ones are returned (one extra parse pass over the topic).
+    """
     messages = require_rows(read_topic(spark, source), f"topic {source}")
-    return decode_messages(spark, messages, schema, normalize)
+    if quarantine_path is None:
+        return decode_messages(spark, messages, schema, normalize)
+    if schema is None:
+        raise ValueError("a quarantine needs a schema")
+    rows, bad = decode_with_quarantine(messages, schema)
+    write_layer(bad, quarantine_path, "quarantine")
+    return normalize_nan(rows) if normalize else rows

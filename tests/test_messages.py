@@ -160,3 +160,13 @@ def test_head_in_file_order_and_publish_csv(spark, tmp_path):
     summary = publish_csv(spark, str(src), topic, chunk_size=25, max_records=60)
     assert summary == {"records_sent": 60, "topic": topic.path, "chunks": 3}
     assert sorted(r.k for r in replay_topic(spark, topic, None).collect()) == sorted(got)
+
+
+def test_quarantine_keeps_good_rows(spark, tmp_path):
+    good = '{"_STATE": 1.0, "GENHLTH": 1.0, "_BMI5": 2512.0, "_TOTINDA": 1.0, "_AGEG5YR": 3.0, "_RACE": 1.0}'
+    topic = _topic_from_values(spark, str(tmp_path / "t"), [good, '{"_STATE": 1.0', "not json"])
+    qpath = str(tmp_path / "q")
+    rows = replay_topic(spark, topic, SURVEY_SCHEMA, quarantine_path=qpath)
+    assert rows.columns == SURVEY_SCHEMA.fieldNames()
+    assert rows.count() == 1
+    assert sorted(r.value for r in spark.read.parquet(qpath).collect()) == ['not json', '{"_STATE": 1.0']
