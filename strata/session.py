@@ -40,6 +40,28 @@ def get_session(
     return builder.getOrCreate()
 
 
+def scale_conf(shuffle_bytes: int, total_cores: int,
+               partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for a cluster and the job's widest shuffle.
+
+    ``shuffle_bytes`` is the size of the largest exchange, not of the input:
+    here the aggregations shuffle one row per key per task, and only the
+    non-broadcast join fallback moves the projected fact rows. Scan splits
+    and shuffle partitions aim at ``partition_bytes`` so a task's working set
+    fits executor memory; there are never fewer shuffle partitions than twice
+    the cores, and AQE merges small ones back to the advisory size.
+    """
+    mb = max(1, partition_bytes // (1024 * 1024))
+    shuffle = max(2 * total_cores, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{mb}m",
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{max(1, mb // 2)}m",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the cluster's shared checkpoint folder.
 
