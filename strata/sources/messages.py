@@ -60,7 +60,7 @@ def kafka_available(spark: SparkSession) -> bool:
     return True
 
 
-def _require_kafka(spark: SparkSession) -> None:
+def require_kafka(spark: SparkSession) -> None:
     if not kafka_available(spark):
         raise RuntimeError(
             "Spark's Kafka connector is not on the classpath; add the "
@@ -111,7 +111,7 @@ def publish(df: DataFrame, target: KafkaTopic | FileTopic, max_records: int | No
     if isinstance(target, KafkaTopic):
         from pyspark.sql import Observation
 
-        _require_kafka(df.sparkSession)
+        require_kafka(df.sparkSession)
         obs = Observation("publish")
         (df.select(encode_row().alias("value"))
            .observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -146,7 +146,7 @@ def read_topic(spark: SparkSession, source: KafkaTopic | FileTopic) -> DataFrame
     idle wait and repeats exactly for a given topic state.
     """
     if isinstance(source, KafkaTopic):
-        _require_kafka(spark)
+        require_kafka(spark)
         return (spark.read.format("kafka")
                 .option("kafka.bootstrap.servers", source.bootstrap_servers)
                 .option("subscribe", source.topic)

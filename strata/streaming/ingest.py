@@ -17,7 +17,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Int
 
 from strata.functions.casts import normalize_nan
 from strata.functions.json import decode_frame
-from strata.sources.messages import FileTopic, KafkaTopic
+from strata.sources.messages import FileTopic, KafkaTopic, require_kafka
 
 MESSAGE_SCHEMA = StructType([
     StructField("partition", IntegerType()),
@@ -33,6 +33,19 @@ class StreamIngestResult:
     batches: int
 
 
+def _finish(query, output_path: str) -> StreamIngestResult:
+    """Wait for an availableNow query and sum what its batches read."""
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"incremental ingest failed: {query.exception()}")
+    progress = query.recentProgress
+    return StreamIngestResult(
+        path=output_path,
+        rows=int(sum(p.get("numInputRows", 0) for p in progress)),
+        batches=sum(1 for p in progress if p.get("numInputRows", 0) > 0),
+    )
+
+
 def message_stream(spark: SparkSession, source: KafkaTopic | FileTopic,
                    max_per_batch: int | None = None) -> DataFrame:
     """A streaming frame of message values.
@@ -41,6 +54,7 @@ def message_stream(spark: SparkSession, source: KafkaTopic | FileTopic,
     file topic); ``availableNow`` still drains everything, batch by batch.
     """
     if isinstance(source, KafkaTopic):
+        require_kafka(spark)
         reader = (spark.readStream.format("kafka")
                   .option("kafka.bootstrap.servers", source.bootstrap_servers)
                   .option("subscribe", source.topic)
@@ -67,15 +81,7 @@ def ingest_incremental(spark: SparkSession, source: KafkaTopic | FileTopic, sche
              .outputMode("append")
              .trigger(availableNow=True)
              .start(output_path))
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(f"incremental ingest failed: {query.exception()}")
-    progress = query.recentProgress
-    return StreamIngestResult(
-        path=output_path,
-        rows=int(sum(p.get("numInputRows", 0) for p in progress)),
-        batches=sum(1 for p in progress if p.get("numInputRows", 0) > 0),
-    )
+    return _finish(query, output_path)
 
 
 def ingest_files_incremental(spark: SparkSession, source_dir: str, schema: StructType,
@@ -92,10 +98,4 @@ def ingest_files_incremental(spark: SparkSession, source_dir: str, schema: Struc
              .option("checkpointLocation", checkpoint_path)
              .trigger(availableNow=True)
              .start(output_path))
-    query.awaitTermination()
-    progress = query.recentProgress
-    return StreamIngestResult(
-        path=output_path,
-        rows=int(sum(p.get("numInputRows", 0) for p in progress)),
-        batches=sum(1 for p in progress if p.get("numInputRows", 0) > 0),
-    )
+    return _finish(query, output_path)

@@ -170,3 +170,16 @@ def test_quarantine_keeps_good_rows(spark, tmp_path):
     assert rows.columns == SURVEY_SCHEMA.fieldNames()
     assert rows.count() == 1
     assert sorted(r.value for r in spark.read.parquet(qpath).collect()) == ['not json', '{"_STATE": 1.0']
+
+
+def test_file_drop_ingest_takes_only_new_files(spark, tmp_path):
+    from strata.streaming.ingest import ingest_files_incremental
+    drop, out, ckpt = str(tmp_path / "drop"), str(tmp_path / "out"), str(tmp_path / "ck")
+    spark.range(0, 10).write.parquet(drop + "/a")
+    schema = spark.range(1).schema
+    first = ingest_files_incremental(spark, drop + "/a", schema, out, ckpt, max_files=1)
+    assert first.rows == 10
+    spark.range(10, 15).coalesce(1).write.mode("append").parquet(drop + "/a")
+    second = ingest_files_incremental(spark, drop + "/a", schema, out, ckpt, max_files=1)
+    assert second.rows == 5
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(15))
