@@ -10,17 +10,21 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-# File names of each layer, as the source job names them.
+# File names of each layer, as the source job names them, and
+# the character replacements that make a scheduler run id path-safe.
 LAYER_FILES = {
     "bronze": "raw_data.parquet",
     "silver": "filtered_data.parquet",
     "gold": "aggregated_by_state.parquet",
 }
+RUN_ID_REPLACEMENTS = ((":", "-"), ("+", ""), ("/", "__"))
 
 
 def safe_run_id(run_id: str) -> str:
-    """Make a scheduler run id safe for a path: ':' -> '-', '+' removed, '/' -> '__'."""
-    return run_id.replace(":", "-").replace("+", "").replace("/", "__")
+    """Make a scheduler run id safe for a path (and for a consumer group)."""
+    for old, new in RUN_ID_REPLACEMENTS:
+        run_id = run_id.replace(old, new)
+    return run_id
 
 
 def layer_path(base: str, layer: str, run_id: str | None = None, name: str | None = None) -> str:
