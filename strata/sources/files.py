@@ -80,7 +80,8 @@ def head_in_file_order(df: DataFrame, n: int | None) -> DataFrame:
 
     File order is (file path, byte offset of the split, row position inside
     the task), taken from the scan's hidden ``_metadata`` columns, so ``df``
-    must be a direct file read. The top-n is a per-task top-n and one merge.
+    must be a direct file read. The ordered head is ``head_rows``'s bounded
+    top-n.
     """
     if n is None:
         return df
@@ -93,4 +94,6 @@ def head_in_file_order(df: DataFrame, n: int | None) -> DataFrame:
         F.col("_metadata.file_block_start").alias("__block"),
         F.monotonically_increasing_id().alias("__pos"),
     )
-    return keyed.orderBy("__file", "__block", "__pos").limit(n).select(*cols)
+    from strata.operators.marts import head_rows
+
+    return head_rows(keyed, n, ["__file", "__block", "__pos"]).select(*cols)
