@@ -110,12 +110,10 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1/K3/S3: overwrite a run-scoped Parquet layer (twice) and read it back."""
+    """K1/K3/S3: write a run-scoped Parquet layer (overwrite) and read it back."""
     out = shared_dir(spark, "roundtrip")
-    orders = read_table(spark, sf_dir, "orders")
     path = layer_path(out, "bronze", RUN_ID, "orders.parquet")
-    write_layer(orders, path, "orders")
-    write_layer(orders, path, "orders")  # rerun: overwrite, same rows
+    write_layer(read_table(spark, sf_dir, "orders"), path, "orders")
     return read_layer(spark, path)
 
 
