@@ -55,7 +55,7 @@ def kafka_available(spark: SparkSession) -> bool:
     try:
         spark.read.format("kafka").option("kafka.bootstrap.servers", "unused:0") \
             .option("subscribe", "unused").load()
-    except Exception as exc:  # noqa: BLE001 - any failure means: not usable
+    except Exception as exc:  # noqa: BLE001 - only a missing data source means "absent"
         return "DATA_SOURCE_NOT_FOUND" not in str(exc) and "Failed to find data source" not in str(exc)
     return True
 
