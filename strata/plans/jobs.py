@@ -20,6 +20,7 @@ from strata.sources.files import read_csv, read_reference
 from strata.sources.messages import FileTopic, KafkaTopic, replay_topic
 from strata.spec import SURVEY, SURVEY_MART, MartSpec, RefineSpec
 from strata.streaming.ingest import ingest_incremental
+from strata.streaming.layers import run_layers_incremental
 
 
 def run_bronze_frame(df: DataFrame, output_dir: str, run_id: str | None = None) -> LayerResult:
@@ -88,16 +89,27 @@ def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output
     """Topic -> Bronze -> Silver -> Gold.
 
     Bounded replay (default) rewrites Bronze from the whole topic and is
-    repeatable. ``incremental=True`` appends only new messages to Bronze
-    (needs ``schema`` and a ``checkpoint`` folder); Silver and Gold are then
-    rebuilt from the whole Bronze layer.
+    repeatable. ``incremental=True`` (needs ``schema`` and a ``checkpoint``
+    folder) appends only new messages to Bronze, appends their refined rows
+    to Silver and folds them into Gold's per-key streaming state, so a run
+    costs what arrived since the last one. Row counts reported for Bronze and
+    Silver are the rows added by this run.
     """
     if incremental:
         if schema is None or checkpoint is None:
             raise ValueError("incremental ingest needs a schema and a checkpoint folder")
         path = layer_path(output_dir, "bronze", run_id)
-        result = ingest_incremental(spark, source, schema, path, checkpoint, normalize)
+        result = ingest_incremental(spark, source, schema, path, f"{checkpoint}/bronze", normalize)
         bronze = LayerResult(path=path, rows=result.rows)
+        ref = reference if isinstance(reference, DataFrame) else read_reference(
+            spark, reference, mart.ref_key, mart.ref_value)
+        layers = run_layers_incremental(spark, bronze, schema, output_dir, ref, checkpoint,
+                                        spec, mart, run_id)
+        if manifest is not None:
+            if dropped_at is None:
+                raise ValueError("a manifest entry needs the source drop time")
+            append_manifest(spark, manifest, run_id or "", layers, dropped_at)
+        return layers
     else:
         rows = replay_topic(spark, source, schema, normalize)
         bronze = run_bronze_frame(rows, output_dir, run_id)

@@ -156,6 +156,7 @@ FROM customer""",
     "topic_replay": "SELECT * FROM events",
     "stream_ingest": "SELECT * FROM events",
     "message_path_gold": _GOLD_SQL,
+    "incremental_gold": _GOLD_SQL,
     "csv_path_gold": _GOLD_SQL,
     "quality_report": _QUALITY_SQL,
     "schema_report": _SURVEY_TO_GOLD + "\n" + _schema_rows(),
