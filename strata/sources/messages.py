@@ -74,22 +74,38 @@ def spread(df: DataFrame, min_partitions: int | None) -> DataFrame:
     return df
 
 
-def encode_messages(df: DataFrame) -> DataFrame:
+def encode_messages(df: DataFrame, first_offset: int = 0) -> DataFrame:
     """Rows -> ``(partition, offset, value)`` with one JSON object per row.
 
     ``partition`` is the Spark partition that produced the row and ``offset``
-    its position there, so the numbering is the same when a task is rerun.
+    ``first_offset`` plus its position there, so the numbering is the same
+    when a task is rerun.
     """
     value = df.select(encode_row().alias("value"))
     mono = F.monotonically_increasing_id()
     part = F.spark_partition_id()
     return value.select(
         part.alias("partition"),
-        (mono - F.shiftleft(part.cast("long"), 33)).alias("offset"),
+        (mono - F.shiftleft(part.cast("long"), 33) + F.lit(first_offset)).alias("offset"),
         "value",
     )
 
 
+def _end_offset(spark: SparkSession, topic: FileTopic) -> int:
+    """Next free offset of a file topic (0 when it does not exist yet).
+
+    One aggregation over the topic's offset column; a file topic has a single
+    writer at a time, as a stand-in for a broker-assigned offset.
+    """
+    try:
+        top = spark.read.parquet(topic.path).agg(F.max("offset").alias("m")).first()
+    except Exception as exc:  # noqa: BLE001
+        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+            return 0
+        raise
+    return 0 if top is None or top.m is None else int(top.m) + 1
+
+
 def publish(df: DataFrame, target: KafkaTopic | FileTopic, max_records: int | None = None,
             order_by: list[str] | None = None, partitions: int | None = None) -> dict:
     """Publish rows as JSON messages; returns ``{records_sent, topic, chunks}``.
@@ -121,7 +137,9 @@ def publish(df: DataFrame, target: KafkaTopic | FileTopic, max_records: int | No
            .options(**{**PUBLISH_OPTIONS, **target.options})
            .save())
         return ingest_summary(int(obs.get["rows"]), target.topic)
-    result: LayerResult = write_layer(encode_messages(df), target.path, "publish", mode="append")
+    first = _end_offset(df.sparkSession, target)
+    result: LayerResult = write_layer(encode_messages(df, first), target.path, "publish",
+                                      mode="append")
     return ingest_summary(result.rows, target.path)
 
 

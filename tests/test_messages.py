@@ -183,3 +183,15 @@ def test_file_drop_ingest_takes_only_new_files(spark, tmp_path):
     second = ingest_files_incremental(spark, drop + "/a", schema, out, ckpt, max_files=1)
     assert second.rows == 5
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(15))
+
+
+def test_file_topic_offsets_continue_across_publishes(spark, tmp_path):
+    topic = FileTopic(str(tmp_path / "topic"))
+    publish(spark.range(0, 10, 1, 2), topic)
+    publish(spark.range(10, 15, 1, 1), topic)
+    msgs = read_topic(spark, topic).select(
+        "partition", "offset", F.get_json_object("value", "$.id").cast("long").alias("id")).collect()
+    assert len({(m.partition, m.offset) for m in msgs}) == 15
+    first = [m.offset for m in msgs if m.id < 10]
+    second = [m.offset for m in msgs if m.id >= 10]
+    assert min(second) > max(first)
