@@ -2,7 +2,7 @@
 
 from strata.functions.casts import cast_by_name, normalize_nan
 from strata.functions.decimals import scale_decimal
-from strata.functions.json import decode_value, encode_row, JSON_OPTIONS
+from strata.functions.json import ENCODE_OPTIONS, decode_value, encode_row
 from strata.functions.labels import code_to_label
 
 __all__ = [
@@ -11,6 +11,6 @@ __all__ = [
     "scale_decimal",
     "decode_value",
     "encode_row",
-    "JSON_OPTIONS",
+    "ENCODE_OPTIONS",
     "code_to_label",
 ]

@@ -4,22 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, StructType
 
 CORRUPT_COLUMN = "_corrupt_record"
 
-# Keep microseconds on both sides so timestamps survive a round trip.
-JSON_OPTIONS = {
+# Written timestamps keep microseconds (Spark's default writes milliseconds).
+# Reading uses Spark's default parsing, which accepts these and the other
+# ISO-8601 forms (with or without fraction, 'T' or space, zone for zoned
+# timestamps).
+ENCODE_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 }
 
 
-def encode_row(columns: list[str] | None = None, options: dict[str, str] | None = None) -> Column:
-    """One JSON object per row. NULL fields are left out; NaN is written as
-    the text ``"NaN"``, which the decoder reads back as NaN for a double field."""
-    cols = [F.col(c) for c in columns] if columns else [F.col("*")]
-    return F.to_json(F.struct(*cols), {**JSON_OPTIONS, **(options or {})})
+def _bare_non_finite(json: Column, fields: list[str]) -> Column:
+    """Unquote NaN / Infinity written for float fields.
+
+    ``to_json`` writes a non-finite double as the text ``"NaN"``; schema
+    inference would then type the field as a string. Written bare, as the
+    source job's producer writes it, inference keeps the field numeric and a
+    typed decode still reads it. Only top-level float fields are touched: the
+    match is anchored on ``{`` or ``,`` plus the exact field name.
+    """
+    names = [f for f in fields if '"' not in f and "\\" not in f]
+    if not names:
+        return json
+    alternatives = "|".join(f"\\Q{n}\\E" for n in names)
+    return F.regexp_replace(json, f'(?<=[{{,])"({alternatives})":"(NaN|Infinity|-Infinity)"',
+                            '"$1":$2')
+
+
+def encode_row(df: DataFrame, columns: list[str] | None = None,
+               options: dict[str, str] | None = None) -> Column:
+    """One JSON object per row of ``df``. NULL fields are left out; NaN and
+    infinities in float fields are written bare (``NaN``), as a Python JSON
+    producer writes them."""
+    names = columns or df.columns
+    floats = [f.name for f in df.schema.fields
+              if f.name in names and isinstance(f.dataType, (DoubleType, FloatType))]
+    json = F.to_json(F.struct(*[F.col(c) for c in names]), {**ENCODE_OPTIONS, **(options or {})})
+    return _bare_non_finite(json, floats)
 
 
 def decode_value(value: Column | str, schema: StructType, mode: str = "FAILFAST",
@@ -31,7 +56,7 @@ def decode_value(value: Column | str, schema: StructType, mode: str = "FAILFAST"
     keep the raw value).
     """
     col = F.col(value) if isinstance(value, str) else value
-    return F.from_json(col.cast("string"), schema, {**JSON_OPTIONS, "mode": mode, **(options or {})})
+    return F.from_json(col.cast("string"), schema, {"mode": mode, **(options or {})})
 
 
 def decode_frame(messages: DataFrame, schema: StructType, value_col: str = "value",
@@ -51,10 +76,18 @@ def decode_with_quarantine(messages: DataFrame, schema: StructType,
     with_corrupt = StructType(schema.fields + [StructField(CORRUPT_COLUMN, StringType())])
     parsed = messages.select(
         F.from_json(F.col(value_col).cast("string"), with_corrupt,
-                    {**JSON_OPTIONS, "mode": "PERMISSIVE",
-                     "columnNameOfCorruptRecord": CORRUPT_COLUMN}).alias("__row"),
+                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+                    ).alias("__row"),
         F.col(value_col).cast("string").alias("__raw"))
     bad = F.col(f"__row.{CORRUPT_COLUMN}").isNotNull() | F.col("__row").isNull()
     rows = parsed.filter(~bad).select("__row.*").drop(CORRUPT_COLUMN)
     quarantined = parsed.filter(bad).select(F.col("__raw").alias(value_col))
     return rows, quarantined
+
+
+def one_line(value: Column | str) -> Column:
+    """Raw line breaks -> spaces. Valid JSON only has them between tokens
+    (inside strings they must be escaped), so this keeps the meaning while
+    making each message one line for line-based JSON reading."""
+    col = F.col(value) if isinstance(value, str) else value
+    return F.regexp_replace(col, "[\\r\\n]", " ")

@@ -92,13 +92,16 @@ def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output
     repeatable. ``incremental=True`` (needs ``schema`` and a ``checkpoint``
     folder) appends only new messages to Bronze, appends their refined rows
     to Silver and folds them into Gold's per-key streaming state, so a run
-    costs what arrived since the last one. Row counts reported for Bronze and
-    Silver are the rows added by this run.
+    costs what arrived since the last one. These layers are one maintained
+    set under ``output_dir`` (no run id in their paths; the run id goes to
+    the manifest). Row counts reported for Bronze and Silver are the rows
+    added by this run.
     """
     if incremental:
         if schema is None or checkpoint is None:
             raise ValueError("incremental ingest needs a schema and a checkpoint folder")
-        path = layer_path(output_dir, "bronze", run_id)
+        # one continuously maintained layer set: no run id in the paths
+        path = layer_path(output_dir, "bronze")
         result = ingest_incremental(spark, source, schema, path, f"{checkpoint}/bronze", normalize)
         bronze = LayerResult(path=path, rows=result.rows)
         ref = reference if isinstance(reference, DataFrame) else read_reference(

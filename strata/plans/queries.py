@@ -129,7 +129,7 @@ def layer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2/F2: rows -> JSON values -> rows again (timestamps keep microseconds)."""
     events = read_table(spark, sf_dir, "events")
-    encoded = events.select(encode_row().alias("value"))
+    encoded = events.select(encode_row(events).alias("value"))
     return decode_frame(encoded, events.schema)
 
 

@@ -62,8 +62,9 @@ def scale_conf(shuffle_bytes: int, total_cores: int,
     }
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the cluster's shared checkpoint folder.
+def shared_dir(spark: SparkSession, name: str, unique: bool = True) -> str:
+    """A folder under the cluster's shared checkpoint folder: a fresh one, or
+    with ``unique=False`` the same one for the same name (callers overwrite it).
 
     The cluster names its shared folder in ``spark.checkpoint.dir``. Only when
     that is unset (local tests) is a local folder chosen and registered, so
@@ -78,7 +79,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         sc.setCheckpointDir(configured)
         base = sc.getCheckpointDir()
     base = base.rstrip("/")
-    return f"{base}/strata/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base}/strata/{name}-{uuid.uuid4().hex[:12]}" if unique else f"{base}/strata/{name}"
 
 
 def local_path(path: str) -> str:

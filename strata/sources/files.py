@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.casts import cast_by_name
-from strata.functions.json import JSON_OPTIONS
 
 
 def check_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
@@ -64,7 +63,7 @@ def read_json_lines(spark: SparkSession, path: str, schema=None, mode: str = "FA
     """JSON lines. Without a schema, Spark infers one in a distributed pass:
     an int in one file and a float in another become double, text and number
     become string, and columns come back sorted by name."""
-    reader = spark.read.options(**JSON_OPTIONS).option("mode", mode)
+    reader = spark.read.option("mode", mode)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)

@@ -14,6 +14,7 @@ Decoding runs on the executors (``from_json``), never in a driver loop.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.functions.casts import normalize_nan
-from strata.functions.json import decode_frame, decode_with_quarantine, encode_row
+from strata.functions.json import decode_frame, decode_with_quarantine, encode_row, one_line
 from strata.operators.layers import LayerResult, write_layer
 from strata.operators.quality import require_rows
 from strata.session import shared_dir
@@ -81,7 +82,7 @@ def encode_messages(df: DataFrame, first_offset: int = 0) -> DataFrame:
     ``first_offset`` plus its position there, so the numbering is the same
     when a task is rerun.
     """
-    value = df.select(encode_row().alias("value"))
+    value = df.select(encode_row(df).alias("value"))
     mono = F.monotonically_increasing_id()
     part = F.spark_partition_id()
     return value.select(
@@ -91,19 +92,26 @@ def encode_messages(df: DataFrame, first_offset: int = 0) -> DataFrame:
     )
 
 
+def _offsets_path(topic: FileTopic) -> str:
+    # Hidden from data reads: Spark skips paths starting with "_".
+    return topic.path.rstrip("/") + "/_offsets"
+
+
 def _end_offset(spark: SparkSession, topic: FileTopic) -> int:
-    """Next free offset of a file topic (0 when it does not exist yet).
+    """Next free offset of a file topic (0 for a new topic).
 
-    One aggregation over the topic's offset column; a file topic has a single
-    writer at a time, as a stand-in for a broker-assigned offset.
+    Each publish appends one ``(first, end)`` row to the topic's small
+    ``_offsets`` table, so finding the end reads that table, never the
+    messages. A file topic has one writer at a time, as a stand-in for
+    broker-assigned offsets.
     """
     try:
-        top = spark.read.parquet(topic.path).agg(F.max("offset").alias("m")).first()
+        top = spark.read.parquet(_offsets_path(topic)).agg(F.max("end").alias("m")).first()
     except Exception as exc:  # noqa: BLE001
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             return 0
         raise
-    return 0 if top is None or top.m is None else int(top.m) + 1
+    return 0 if top is None or top.m is None else int(top.m)
 
 
 def publish(df: DataFrame, target: KafkaTopic | FileTopic, max_records: int | None = None,
@@ -129,7 +137,7 @@ def publish(df: DataFrame, target: KafkaTopic | FileTopic, max_records: int | No
 
         require_kafka(df.sparkSession)
         obs = Observation("publish")
-        (df.select(encode_row().alias("value"))
+        (df.select(encode_row(df).alias("value"))
            .observe(obs, F.count(F.lit(1)).alias("rows"))
            .write.format("kafka")
            .option("kafka.bootstrap.servers", target.bootstrap_servers)
@@ -137,9 +145,13 @@ def publish(df: DataFrame, target: KafkaTopic | FileTopic, max_records: int | No
            .options(**{**PUBLISH_OPTIONS, **target.options})
            .save())
         return ingest_summary(int(obs.get["rows"]), target.topic)
-    first = _end_offset(df.sparkSession, target)
+    spark = df.sparkSession
+    first = _end_offset(spark, target)
     result: LayerResult = write_layer(encode_messages(df, first), target.path, "publish",
                                       mode="append")
+    # offsets inside one partition are below first + rows, so this is free
+    spark.createDataFrame([(first, first + result.rows)], "first long, end long") \
+        .coalesce(1).write.mode("append").parquet(_offsets_path(target))
     return ingest_summary(result.rows, target.path)
 
 
@@ -177,24 +189,33 @@ def read_topic(spark: SparkSession, source: KafkaTopic | FileTopic) -> DataFrame
 
 
 def decode_messages(spark: SparkSession, messages: DataFrame, schema: StructType | None = None,
-                    normalize: bool = True, mode: str = "FAILFAST") -> DataFrame:
+                    normalize: bool = True, mode: str = "FAILFAST",
+                    staging: str | None = None) -> DataFrame:
     """Message values -> rows.
 
     With a schema the values are parsed in place by ``from_json`` (one pass).
-    Without one, values are staged as text in the shared folder and read back
-    with JSON schema inference, which unions per-message types (int and float
-    -> double) the way the source job's JSON-lines read does.
+    Without one, values are staged as JSON lines (line breaks inside a
+    message turned into spaces) and read back with JSON schema inference,
+    which unions per-message types (int and float -> double) the way the
+    source job's JSON-lines read does. ``staging`` is overwritten on each
+    call (default: a fresh folder under the shared checkpoint folder).
     ``normalize`` turns NaN into NULL so the message path equals the CSV path.
     """
     if schema is not None:
         rows = decode_frame(messages, schema, mode=mode)
     else:
-        staging = shared_dir(spark, "json-staging")
-        messages.select("value").write.mode("overwrite").text(staging)
+        staging = staging or shared_dir(spark, "json-staging")
+        messages.select(one_line("value")).write.mode("overwrite").text(staging)
         rows = read_json_lines(spark, staging, mode=mode)
     return normalize_nan(rows) if normalize else rows
 
 
+def _staging_for(spark: SparkSession, source: KafkaTopic | FileTopic) -> str:
+    """One staging folder per topic, overwritten by each replay of it."""
+    tag = hashlib.sha1(repr(source).encode()).hexdigest()[:16]
+    return shared_dir(spark, f"json-staging-{tag}", unique=False)
+
+
 def replay_topic(spark: SparkSession, source: KafkaTopic | FileTopic, schema: StructType | None = None,
                  normalize: bool = True, quarantine_path: str | None = None) -> DataFrame:
     """Bounded replay of a whole topic to rows; an empty topic raises.
@@ -205,7 +226,8 @@ def replay_topic(spark: SparkSession, source: KafkaTopic | FileTopic, schema: St
     """
     messages = require_rows(read_topic(spark, source), f"topic {source}")
     if quarantine_path is None:
-        return decode_messages(spark, messages, schema, normalize)
+        staging = None if schema is not None else _staging_for(spark, source)
+        return decode_messages(spark, messages, schema, normalize, staging=staging)
     if schema is None:
         raise ValueError("a quarantine needs a schema")
     rows, bad = decode_with_quarantine(messages, schema)

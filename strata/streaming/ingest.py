@@ -9,10 +9,13 @@ loses nor duplicates rows, and a rerun with nothing new is a no-op.
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import LongType, StringType, StructField, StructType, IntegerType
 
 from strata.functions.casts import normalize_nan
@@ -29,21 +32,70 @@ MESSAGE_SCHEMA = StructType([
 @dataclass(frozen=True)
 class StreamIngestResult:
     path: str
-    rows: int
-    batches: int
+    rows: int          # input rows read by this run
+    batches: int       # micro-batches that read something
+    observed: int = 0  # sum of the observed metric, when one was named
 
 
-def _finish(query, output_path: str) -> StreamIngestResult:
-    """Wait for an availableNow query and sum what its batches read."""
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(f"incremental ingest failed: {query.exception()}")
-    progress = query.recentProgress
-    return StreamIngestResult(
-        path=output_path,
-        rows=int(sum(p.get("numInputRows", 0) for p in progress)),
-        batches=sum(1 for p in progress if p.get("numInputRows", 0) > 0),
-    )
+class _Progress(StreamingQueryListener):
+    """Sums the progress of streaming runs by run id.
+
+    ``recentProgress`` keeps only the last 100 updates, so a long
+    ``availableNow`` drain would be under-counted; the listener sees every
+    batch, and its termination event comes after the run's last progress.
+    """
+
+    def __init__(self, metric: str | None = None) -> None:
+        super().__init__()
+        self.metric = metric
+        self.totals: dict[str, list[int]] = {}
+        self.finished: dict[str, threading.Event] = {}
+        self._lock = threading.Lock()
+
+    def _event(self, run_id: str) -> threading.Event:
+        with self._lock:
+            return self.finished.setdefault(run_id, threading.Event())
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802 - listener API
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        observed = 0
+        if self.metric and self.metric in (p.observedMetrics or {}):
+            observed = int(p.observedMetrics[self.metric][0] or 0)
+        with self._lock:
+            t = self.totals.setdefault(str(p.runId), [0, 0, 0])
+            t[0] += p.numInputRows
+            t[1] += 1 if p.numInputRows > 0 else 0
+            t[2] += observed
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self._event(str(event.runId)).set()
+
+
+def run_available_now(spark: SparkSession, start: Callable[[], StreamingQuery], output_path: str,
+                      metric: str | None = None) -> StreamIngestResult:
+    """Start an ``availableNow`` query, wait for it, and total its batches.
+
+    ``metric`` names an observed count (``df.observe(metric, ...)``) whose
+    per-batch values are summed into ``StreamIngestResult.observed``.
+    """
+    listener = _Progress(metric)
+    spark.streams.addListener(listener)
+    try:
+        query = start()
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(f"streaming run failed: {query.exception()}")
+        listener._event(str(query.runId)).wait(timeout=120)
+        rows, batches, observed = listener.totals.get(str(query.runId), [0, 0, 0])
+    finally:
+        spark.streams.removeListener(listener)
+    return StreamIngestResult(path=output_path, rows=rows, batches=batches, observed=observed)
 
 
 def message_stream(spark: SparkSession, source: KafkaTopic | FileTopic,
@@ -76,12 +128,11 @@ def ingest_incremental(spark: SparkSession, source: KafkaTopic | FileTopic, sche
     rows = decode_frame(message_stream(spark, source, max_per_batch), schema)
     if normalize:
         rows = normalize_nan(rows)
-    query = (rows.writeStream.format("parquet")
-             .option("checkpointLocation", checkpoint_path)
-             .outputMode("append")
-             .trigger(availableNow=True)
-             .start(output_path))
-    return _finish(query, output_path)
+    writer = (rows.writeStream.format("parquet")
+              .option("checkpointLocation", checkpoint_path)
+              .outputMode("append")
+              .trigger(availableNow=True))
+    return run_available_now(spark, lambda: writer.start(output_path), output_path)
 
 
 def ingest_files_incremental(spark: SparkSession, source_dir: str, schema: StructType,
@@ -94,8 +145,7 @@ def ingest_files_incremental(spark: SparkSession, source_dir: str, schema: Struc
         reader = reader.option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    query = (reader.load(source_dir).writeStream.format("parquet")
-             .option("checkpointLocation", checkpoint_path)
-             .trigger(availableNow=True)
-             .start(output_path))
-    return _finish(query, output_path)
+    writer = (reader.load(source_dir).writeStream.format("parquet")
+              .option("checkpointLocation", checkpoint_path)
+              .trigger(availableNow=True))
+    return run_available_now(spark, lambda: writer.start(output_path), output_path)

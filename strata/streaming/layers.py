@@ -26,7 +26,7 @@ from strata.operators.layers import LayerResult, layer_path, read_layer, write_l
 from strata.operators.marts import DEFAULT_BROADCAST_ROWS, lookup_left_join
 from strata.operators.refine import refine
 from strata.spec import SURVEY, SURVEY_MART, MartSpec, RefineSpec
-from strata.streaming.ingest import StreamIngestResult, _finish
+from strata.streaming.ingest import StreamIngestResult, run_available_now
 
 
 def refine_incremental(spark: SparkSession, bronze_path: str, bronze_schema: StructType,
@@ -36,13 +36,14 @@ def refine_incremental(spark: SparkSession, bronze_path: str, bronze_schema: Str
     reader = spark.readStream.schema(bronze_schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    silver = refine(reader.parquet(bronze_path), spec)
-    query = (silver.writeStream.format("parquet")
-             .option("checkpointLocation", checkpoint)
-             .outputMode("append")
-             .trigger(availableNow=True)
-             .start(silver_path))
-    return _finish(query, silver_path)
+    silver = refine(reader.parquet(bronze_path), spec) \
+        .observe("silver_rows", F.count(F.lit(1)).alias("n"))
+    writer = (silver.writeStream.format("parquet")
+              .option("checkpointLocation", checkpoint)
+              .outputMode("append")
+              .trigger(availableNow=True))
+    return run_available_now(spark, lambda: writer.start(silver_path), silver_path,
+                             metric="silver_rows")
 
 
 def gold_incremental(spark: SparkSession, silver_path: str, silver_schema: StructType,
@@ -62,14 +63,16 @@ def gold_incremental(spark: SparkSession, silver_path: str, silver_schema: Struc
         F.count(mart.measure).alias(mart.count_name),
         F.mean(mart.measure).cast("double").alias(mart.mean_name),
     )
-    query = (state.writeStream.outputMode("complete")
-             .option("checkpointLocation", checkpoint)
-             .foreachBatch(write_batch)
-             .trigger(availableNow=True)
-             .start())
-    _finish(query, gold_path)
+    writer = (state.writeStream.outputMode("complete")
+              .option("checkpointLocation", checkpoint)
+              .foreachBatch(write_batch)
+              .trigger(availableNow=True))
+    run_available_now(spark, writer.start, gold_path)
     if "rows" not in written:  # nothing new: Gold stays as the last run wrote it
-        written["rows"] = read_layer(spark, gold_path).count()
+        try:
+            written["rows"] = read_layer(spark, gold_path).count()
+        except FileNotFoundError:  # and no run has written it yet
+            written["rows"] = 0
     return LayerResult(path=gold_path, rows=written["rows"])
 
 
@@ -86,15 +89,20 @@ def run_layers_incremental(spark: SparkSession, bronze: LayerResult, bronze_sche
                            output_dir: str, reference: DataFrame, checkpoint_base: str,
                            spec: RefineSpec = SURVEY, mart: MartSpec = SURVEY_MART,
                            run_id: str | None = None) -> dict[str, LayerResult]:
-    """Silver and Gold brought up to date with only the new Bronze files."""
-    silver_path = layer_path(output_dir, "silver", run_id)
-    gold_path = layer_path(output_dir, "gold", run_id)
+    """Silver and Gold brought up to date with only the new Bronze files.
+
+    The layers are one continuously maintained set, so their paths do not
+    carry a run id (each run's own record is the manifest row); ``run_id``
+    is accepted for symmetry with the batch jobs and ignored here.
+    """
+    silver_path = layer_path(output_dir, "silver")
+    gold_path = layer_path(output_dir, "gold")
     silver = refine_incremental(spark, bronze.path, bronze_schema, silver_path,
                                 f"{checkpoint_base}/silver", spec)
     silver_schema = refine(spark.createDataFrame([], bronze_schema), spec).schema
     gold = gold_incremental(spark, silver_path, silver_schema, gold_path,
                             f"{checkpoint_base}/gold", reference, mart)
-    return {"bronze": bronze, "silver": LayerResult(silver_path, silver.rows), "gold": gold}
+    return {"bronze": bronze, "silver": LayerResult(silver_path, silver.observed), "gold": gold}
 
 
 __all__ = ["refine_incremental", "gold_incremental", "build_gold_from_aggregate",

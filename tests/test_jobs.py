@@ -79,3 +79,28 @@ def test_incremental_layers_equal_batch_after_new_messages(spark, tmp_path, edge
     got = read_layer(spark, second["gold"].path).collect()
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
     assert read_layer(spark, second["silver"].path).count() == 7
+
+
+def test_incremental_runs_with_new_run_ids_and_silver_counts(spark, tmp_path, edge_frame):
+    """Scheduled runs each get a new run id; the incremental layers stay one
+    set, and Silver's count is the rows that passed the filter."""
+    _, ref = _write_inputs(spark, tmp_path, edge_frame)
+    topic = FileTopic(str(tmp_path / "topic"))
+    out, ckpt = str(tmp_path / "i"), str(tmp_path / "ckpt")
+    publish(edge_frame, topic)
+    first = run_message_path(spark, topic, out, ref, schema=edge_frame.schema, incremental=True,
+                             checkpoint=ckpt, run_id="r1")
+    assert (first["bronze"].rows, first["silver"].rows, first["gold"].rows) == (9, 5, 4)
+    second = run_message_path(spark, topic, out, ref, schema=edge_frame.schema,
+                              incremental=True, checkpoint=ckpt, run_id="r2")
+    assert (second["bronze"].rows, second["silver"].rows, second["gold"].rows) == (0, 0, 4)
+    assert first["gold"].path == second["gold"].path
+
+
+def test_incremental_first_run_on_empty_topic_reports_zero(spark, tmp_path, edge_frame):
+    _, ref = _write_inputs(spark, tmp_path, edge_frame)
+    topic = FileTopic(str(tmp_path / "topic"))
+    publish(edge_frame.limit(0), topic)
+    layers = run_message_path(spark, topic, str(tmp_path / "i"), ref, schema=edge_frame.schema,
+                              incremental=True, checkpoint=str(tmp_path / "ck"))
+    assert (layers["bronze"].rows, layers["silver"].rows, layers["gold"].rows) == (0, 0, 0)

@@ -30,8 +30,8 @@ def _topic_from_values(spark, path, values):
 
 def test_encode_decode_roundtrip_keeps_nan_and_drops_nulls(spark):
     df = spark.createDataFrame([(1.0, float("nan"), None)], "a double, b double, c string")
-    enc = df.select(encode_row().alias("value"))
-    assert enc.first().value == '{"a":1.0,"b":"NaN"}'
+    enc = df.select(encode_row(df).alias("value"))
+    assert enc.first().value == '{"a":1.0,"b":NaN}'
     back = decode_frame(enc, df.schema).first()
     assert back.a == 1.0 and back.b != back.b and back.c is None
 
@@ -195,3 +195,29 @@ def test_file_topic_offsets_continue_across_publishes(spark, tmp_path):
     first = [m.offset for m in msgs if m.id < 10]
     second = [m.offset for m in msgs if m.id >= 10]
     assert min(second) > max(first)
+
+
+def test_schemaless_replay_keeps_nan_measure_numeric(spark, tmp_path, edge_frame):
+    from tests.conftest import NAN_ROW
+    frame = edge_frame.unionByName(spark.createDataFrame([NAN_ROW], SURVEY_SCHEMA))
+    topic = FileTopic(str(tmp_path / "topic"))
+    publish(frame, topic)
+    raw = replay_topic(spark, topic, None, normalize=False)
+    assert dict(raw.dtypes)["_BMI5"] == "double"
+    assert raw.filter(F.isnan("_BMI5")).count() == 1
+    assert refine(replay_topic(spark, topic, None), SURVEY).count() == 5
+
+
+def test_decode_accepts_iso_timestamp_variants(spark):
+    vals = ['{"t":"2024-01-01T00:09:58.778549"}', '{"t":"2026-01-01T00:00:00"}',
+            '{"t":"2026-01-01 00:00:00"}']
+    msgs = spark.createDataFrame([(v,) for v in vals], "value string")
+    got = [str(r.t) for r in decode_frame(msgs, "t timestamp_ntz").collect()]
+    assert got == ["2024-01-01 00:09:58.778549", "2026-01-01 00:00:00", "2026-01-01 00:00:00"]
+
+
+def test_multiline_message_is_decoded_without_schema(spark):
+    msgs = spark.createDataFrame([('{\n  "a": 1,\n  "b": "x y"\n}',), ('{"a": 2, "b": "z"}',)],
+                                 "value string")
+    rows = sorted((r.a, r.b) for r in decode_messages(spark, msgs).collect())
+    assert rows == [(1, "x y"), (2, "z")]
