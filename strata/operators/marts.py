@@ -6,32 +6,54 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from strata.spec import MartSpec
 
-# A lookup side is broadcast only when it is proven to hold at most this many
-# rows (checked with a parallel count); beyond it the join shuffles, with AQE
-# skew handling splitting hot keys.
+# A lookup side is broadcast only when it is measured (one parallel
+# aggregation) to hold at most this many rows and bytes; beyond that the join
+# shuffles, with AQE skew handling splitting hot keys.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
 # Most rows one task merges for an ordered head before the merge is split.
 TOP_N_MERGE_ROWS = 1_000_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def broadcast_size(df: DataFrame) -> tuple[int, int]:
+    """``(rows, estimated bytes)`` of ``df`` from one parallel aggregation.
 
-    A plain ``count()`` is a parallel aggregation: one partial count per task
-    and a shuffle of one number per task. (``limit(n + 1).count()`` would
-    look cheaper but is planned as a global limit behind a single-partition
-    exchange, funnelling up to tasks x n rows through one task.) The scan
-    reads no columns, only row counts.
+    Fixed-width columns count 8 bytes each plus 16 per row; strings and
+    binaries count their real byte length; nested values the length of their
+    JSON text. (``limit(n + 1).count()`` would look cheaper but is planned as
+    a global limit behind a single-partition exchange, funnelling up to
+    tasks x n rows through one task.)
     """
-    return df.count() <= max_rows
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only when its row count is within the bound."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    fixed, var = 0, []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            var.append(F.octet_length(F.col(f.name)))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            var.append(F.octet_length(F.to_json(F.col(f.name))))
+        else:
+            fixed += 1
+    width = sum(var[1:], var[0]) if var else F.lit(0)
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 F.coalesce(F.sum(width), F.lit(0)).cast("long").alias("v")).first()
+    rows = int(row.n)
+    return rows, rows * (16 + 8 * fixed) + int(row.v)
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes."""
+    rows, size = broadcast_size(df)
+    return rows <= max_rows and size <= max_bytes
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only when its measured size is within bounds."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
 def aggregate_by(df: DataFrame, key: str, measure: str,
@@ -96,7 +118,10 @@ def head_rows(df: DataFrame, n: int | None, order_by: list | None = None,
     two levels: tasks are put in about sqrt(tasks) groups, a ``row_number``
     limit per group is applied inside each task before the shuffle (Spark's
     window group limit) and again after it, and the final top-n merges only
-    ``groups x n`` rows.
+    ``groups x n`` rows. That path raises the session's
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` to ``n`` when it is
+    lower: a planner threshold that enables the per-task limit and changes no
+    result of this or any other query.
     """
     if n is None:
         return df

@@ -122,16 +122,18 @@ def freshness_report(manifest: DataFrame, drop_col: str, written_col: str,
     """Freshness rule over a run manifest (one row per run).
 
     A run violates the rule when its layer was written more than
-    ``max_delay_days`` days after its source drop (or has no write time).
+    ``max_delay_days`` x 24 h after its source drop (elapsed time, not
+    calendar days), or has no write time. ``max_delay_days`` in the output is
+    the largest delay in (fractional) days.
     """
-    delay = F.datediff(F.col(written_col), F.col(drop_col))
-    late = F.count_if(F.coalesce(delay > max_delay_days, F.lit(True)))
+    seconds = F.timestamp_diff("SECOND", F.col(drop_col), F.col(written_col))
+    late = F.count_if(F.coalesce(seconds > max_delay_days * 86400, F.lit(True)))
     return manifest.agg(
         F.lit("ExpectDeliveryWithinDays").alias("rule"),
         F.lit(f"{written_col}-{drop_col}<={max_delay_days}d").alias("target"),
         F.count(F.lit(1)).alias("runs"),
         late.cast("long").alias("violations"),
-        F.max(delay).alias("max_delay_days"),
+        (F.max(seconds) / F.lit(86400.0)).alias("max_delay_days"),
     ).withColumn("passed", F.col("violations") == 0)
 
 

@@ -119,7 +119,7 @@ def _schema_rows() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-_DELAY = "date_diff('day', CAST(dropped_at AS DATE), CAST(written_at AS DATE))"
+_DELAY = "date_diff('second', dropped_at, written_at)"
 
 ORACLE_SQL: dict[str, str] = {
     "state_gold": _GOLD_SQL,
@@ -166,8 +166,8 @@ m AS (SELECT o.o_orderdate AS dropped_at, w.written_at
       FROM orders o LEFT JOIN w ON o.o_orderkey = w.l_orderkey)
 SELECT 'ExpectDeliveryWithinDays' AS rule, 'written_at-dropped_at<=5d' AS target,
        count(*) AS runs,
-       CAST(count_if(coalesce({_DELAY} > 5, true)) AS BIGINT) AS violations,
-       CAST(max({_DELAY}) AS INTEGER) AS max_delay_days,
-       count_if(coalesce({_DELAY} > 5, true)) = 0 AS passed
+       CAST(count_if(coalesce({_DELAY} > 5 * 86400, true)) AS BIGINT) AS violations,
+       max({_DELAY}) / 86400.0 AS max_delay_days,
+       count_if(coalesce({_DELAY} > 5 * 86400, true)) = 0 AS passed
 FROM m""",
 }

@@ -97,9 +97,10 @@ def test_schema_report(spark, edge_frame, reference, tmp_path):
 def test_freshness(spark):
     d = dt.datetime
     manifest = spark.createDataFrame([
-        (d(2024, 1, 1), d(2024, 1, 6)),   # 5 days: ok
-        (d(2024, 1, 1), d(2024, 1, 7)),   # 6 days: late
-        (d(2024, 1, 1), None),            # never written: late
-    ], "dropped timestamp, written timestamp")
+        (d(2024, 1, 1), d(2024, 1, 6)),       # exactly 5 days: ok
+        (d(2024, 1, 1), d(2024, 1, 6, 23)),   # 5 days 23 h: late (elapsed, not calendar)
+        (d(2024, 1, 1), d(2024, 1, 7)),       # 6 days: late
+        (d(2024, 1, 1), None),                # never written: late
+    ], "dropped timestamp_ntz, written timestamp_ntz")
     row = freshness_report(manifest, "dropped", "written").first()
-    assert (row.runs, row.violations, row.max_delay_days, row.passed) == (3, 2, 6, False)
+    assert (row.runs, row.violations, row.max_delay_days, row.passed) == (4, 3, 6.0, False)

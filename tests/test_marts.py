@@ -56,8 +56,14 @@ def test_count_is_of_non_null_measure(spark):
 
 
 def test_sized_broadcast_checks_rows(spark):
+    from strata.operators.marts import broadcast_size
     small = spark.range(10)
     assert fits_broadcast(small, 10) and not fits_broadcast(small, 9)
+    assert broadcast_size(small) == (10, 10 * 24)
+    wide = spark.range(10).selectExpr("id", "repeat('x', 100000) AS s")
+    rows, size = broadcast_size(wide)
+    assert rows == 10 and size == 10 * 24 + 10 * 100_000
+    assert not fits_broadcast(wide, 100, max_bytes=500_000)
     big = spark.range(100)
     joined = spark.range(5).join(sized_broadcast(big, 50), "id")
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
