@@ -31,8 +31,10 @@ def _bare_non_finite(json: Column, fields: list[str]) -> Column:
     if not names:
         return json
     alternatives = "|".join(f"\\Q{n}\\E" for n in names)
-    return F.regexp_replace(json, f'(?<=[{{,])"({alternatives})":"(NaN|Infinity|-Infinity)"',
-                            '"$1":$2')
+    fixed = F.regexp_replace(json, f'(?<=[{{,])"({alternatives})":"(NaN|Infinity|-Infinity)"',
+                             '"$1":$2')
+    # The regex only runs on the rare messages holding such a value.
+    return F.when(json.contains(':"NaN"') | json.contains('Infinity"'), fixed).otherwise(json)
 
 
 def encode_row(df: DataFrame, columns: list[str] | None = None,
