@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, StructType
@@ -18,35 +20,42 @@ ENCODE_OPTIONS = {
 }
 
 
-def _bare_non_finite(json: Column, fields: list[str]) -> Column:
-    """Unquote NaN / Infinity written for float fields.
+def _float_member(name: str) -> Column:
+    """``"name":value`` for a float field, NULL when the value is NULL.
 
-    ``to_json`` writes a non-finite double as the text ``"NaN"``; schema
-    inference would then type the field as a string. Written bare, as the
-    source job's producer writes it, inference keeps the field numeric and a
-    typed decode still reads it. Only top-level float fields are touched: the
-    match is anchored on ``{`` or ``,`` plus the exact field name.
+    NaN and infinities are written bare (``NaN``, ``Infinity``) the way a
+    Python JSON producer writes them, so schema inference keeps the field
+    numeric; a typed decode reads them either way.
     """
-    names = [f for f in fields if '"' not in f and "\\" not in f]
-    if not names:
-        return json
-    alternatives = "|".join(f"\\Q{n}\\E" for n in names)
-    fixed = F.regexp_replace(json, f'(?<=[{{,])"({alternatives})":"(NaN|Infinity|-Infinity)"',
-                             '"$1":$2')
-    # The regex only runs on the rare messages holding such a value.
-    return F.when(json.contains(':"NaN"') | json.contains('Infinity"'), fixed).otherwise(json)
+    col = F.col(name)
+    text = (F.when(F.isnan(col), F.lit("NaN"))
+             .when(col == float("inf"), F.lit("Infinity"))
+             .when(col == float("-inf"), F.lit("-Infinity"))
+             .otherwise(col.cast("string")))
+    return F.when(col.isNull(), F.lit(None)).otherwise(F.concat(F.lit(json.dumps(name) + ":"), text))
 
 
 def encode_row(df: DataFrame, columns: list[str] | None = None,
                options: dict[str, str] | None = None) -> Column:
-    """One JSON object per row of ``df``. NULL fields are left out; NaN and
-    infinities in float fields are written bare (``NaN``), as a Python JSON
-    producer writes them."""
+    """One JSON object per row of ``df``; NULL fields are left out.
+
+    Non-float fields go through ``to_json``; top-level float fields are
+    written by ``_float_member`` so NaN stays a bare number, as the source
+    job's producer writes it.
+    """
     names = columns or df.columns
-    floats = [f.name for f in df.schema.fields
-              if f.name in names and isinstance(f.dataType, (DoubleType, FloatType))]
-    json = F.to_json(F.struct(*[F.col(c) for c in names]), {**ENCODE_OPTIONS, **(options or {})})
-    return _bare_non_finite(json, floats)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    floats = [n for n in names if isinstance(types[n], (DoubleType, FloatType))]
+    others = [n for n in names if n not in floats]
+    opts = {**ENCODE_OPTIONS, **(options or {})}
+    if not floats:
+        return F.to_json(F.struct(*[F.col(c) for c in others]), opts)
+    parts = [_float_member(n) for n in floats]
+    if others:
+        body = F.to_json(F.struct(*[F.col(c) for c in others]), opts)
+        inner = F.substring(body, F.lit(2), F.length(body) - 2)   # drop the braces
+        parts.insert(0, F.when(inner == "", F.lit(None)).otherwise(inner))
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
 def decode_value(value: Column | str, schema: StructType, mode: str = "FAILFAST",

@@ -31,9 +31,9 @@ def broadcast_size(df: DataFrame) -> tuple[int, int]:
     fixed, var = 0, []
     for f in df.schema.fields:
         if isinstance(f.dataType, (StringType, BinaryType)):
-            var.append(F.octet_length(F.col(f.name)))
+            var.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
         elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
-            var.append(F.octet_length(F.to_json(F.col(f.name))))
+            var.append(F.coalesce(F.octet_length(F.to_json(F.col(f.name))), F.lit(0)))
         else:
             fixed += 1
     width = sum(var[1:], var[0]) if var else F.lit(0)

@@ -14,7 +14,6 @@ Decoding runs on the executors (``from_json``), never in a driver loop.
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,21 +96,40 @@ def _offsets_path(topic: FileTopic) -> str:
     return topic.path.rstrip("/") + "/_offsets"
 
 
-def _end_offset(spark: SparkSession, topic: FileTopic) -> int:
-    """Next free offset of a file topic (0 for a new topic).
+# Offsets reserved by one publish: positions inside one Spark partition stay
+# below this, so blocks of different publishes never overlap.
+OFFSET_BLOCK = 1 << 40
 
-    Each publish appends one ``(first, end)`` row to the topic's small
-    ``_offsets`` table, so finding the end reads that table, never the
-    messages. A file topic has one writer at a time, as a stand-in for
-    broker-assigned offsets.
+
+def _reserve_offsets(spark: SparkSession, topic: FileTopic) -> int:
+    """Reserve a block of offsets for one publish and return its first offset.
+
+    The block is recorded in the topic's small ``_offsets`` table *before*
+    the messages are written, so a publish that fails afterwards only leaves
+    an unused gap, never reused offsets. Finding the end reads that table,
+    not the messages; a topic written before the table existed is read once
+    for its largest offset. A file topic has one writer at a time, as a
+    stand-in for broker-assigned offsets.
     """
+    def missing(exc: Exception) -> bool:
+        return "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc)
+
     try:
-        top = spark.read.parquet(_offsets_path(topic)).agg(F.max("end").alias("m")).first()
+        end = spark.read.parquet(_offsets_path(topic)).agg(F.max("end")).first()[0]
     except Exception as exc:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return 0
-        raise
-    return 0 if top is None or top.m is None else int(top.m)
+        if not missing(exc):
+            raise
+        try:
+            top = spark.read.parquet(topic.path).agg(F.max("offset")).first()[0]
+            end = None if top is None else int(top) + 1
+        except Exception as inner:  # noqa: BLE001
+            if not missing(inner):
+                raise
+            end = None
+    first = int(end or 0)
+    spark.createDataFrame([(first, first + OFFSET_BLOCK)], "first long, end long") \
+        .coalesce(1).write.mode("append").parquet(_offsets_path(topic))
+    return first
 
 
 def publish(df: DataFrame, target: KafkaTopic | FileTopic, max_records: int | None = None,
@@ -145,13 +163,9 @@ def publish(df: DataFrame, target: KafkaTopic | FileTopic, max_records: int | No
            .options(**{**PUBLISH_OPTIONS, **target.options})
            .save())
         return ingest_summary(int(obs.get["rows"]), target.topic)
-    spark = df.sparkSession
-    first = _end_offset(spark, target)
+    first = _reserve_offsets(df.sparkSession, target)
     result: LayerResult = write_layer(encode_messages(df, first), target.path, "publish",
                                       mode="append")
-    # offsets inside one partition are below first + rows, so this is free
-    spark.createDataFrame([(first, first + result.rows)], "first long, end long") \
-        .coalesce(1).write.mode("append").parquet(_offsets_path(target))
     return ingest_summary(result.rows, target.path)
 
 
@@ -197,8 +211,10 @@ def decode_messages(spark: SparkSession, messages: DataFrame, schema: StructType
     Without one, values are staged as JSON lines (line breaks inside a
     message turned into spaces) and read back with JSON schema inference,
     which unions per-message types (int and float -> double) the way the
-    source job's JSON-lines read does. ``staging`` is overwritten on each
-    call (default: a fresh folder under the shared checkpoint folder).
+    source job's JSON-lines read does. Each call stages into its own fresh
+    folder under the shared checkpoint folder (so concurrent replays and
+    earlier lazy results stay intact; the cluster's retention policy for
+    that folder clears old staging), or into ``staging`` when given.
     ``normalize`` turns NaN into NULL so the message path equals the CSV path.
     """
     if schema is not None:
@@ -210,10 +226,7 @@ def decode_messages(spark: SparkSession, messages: DataFrame, schema: StructType
     return normalize_nan(rows) if normalize else rows
 
 
-def _staging_for(spark: SparkSession, source: KafkaTopic | FileTopic) -> str:
-    """One staging folder per topic, overwritten by each replay of it."""
-    tag = hashlib.sha1(repr(source).encode()).hexdigest()[:16]
-    return shared_dir(spark, f"json-staging-{tag}", unique=False)
+
 
 
 def replay_topic(spark: SparkSession, source: KafkaTopic | FileTopic, schema: StructType | None = None,
@@ -226,8 +239,7 @@ def replay_topic(spark: SparkSession, source: KafkaTopic | FileTopic, schema: St
     """
     messages = require_rows(read_topic(spark, source), f"topic {source}")
     if quarantine_path is None:
-        staging = None if schema is not None else _staging_for(spark, source)
-        return decode_messages(spark, messages, schema, normalize, staging=staging)
+        return decode_messages(spark, messages, schema, normalize)
     if schema is None:
         raise ValueError("a quarantine needs a schema")
     rows, bad = decode_with_quarantine(messages, schema)

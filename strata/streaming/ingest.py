@@ -10,6 +10,7 @@ loses nor duplicates rows, and a rerun with nothing new is a no-op.
 from __future__ import annotations
 
 import threading
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -91,8 +92,16 @@ def run_available_now(spark: SparkSession, start: Callable[[], StreamingQuery],
         query.awaitTermination()
         if query.exception() is not None:
             raise RuntimeError(f"streaming run failed: {query.exception()}")
-        listener._event(str(query.runId)).wait(timeout=120)
-        rows, batches, observed = listener.totals.get(str(query.runId), [0, 0, 0])
+        if listener._event(str(query.runId)).wait(timeout=120):
+            rows, batches, observed = listener.totals.get(str(query.runId), [0, 0, 0])
+        else:  # listener bus behind: fall back to the (last 100) progress updates
+            warnings.warn("streaming progress events late; totals from recentProgress",
+                          RuntimeWarning, stacklevel=2)
+            progress = query.recentProgress
+            rows = int(sum(p["numInputRows"] for p in progress))
+            batches = sum(1 for p in progress if p["numInputRows"] > 0)
+            observed = int(sum((p.get("observedMetrics") or {}).get(metric, {}).get("n", 0)
+                               for p in progress)) if metric else 0
     finally:
         spark.streams.removeListener(listener)
     return StreamIngestResult(path=output_path, rows=rows, batches=batches, observed=observed)

@@ -93,7 +93,9 @@ def run_layers_incremental(spark: SparkSession, bronze: LayerResult, bronze_sche
 
     The layers are one continuously maintained set, so their paths do not
     carry a run id (each run's own record is the manifest row); ``run_id``
-    is accepted for symmetry with the batch jobs and ignored here.
+    is accepted for symmetry with the batch jobs and ignored here. The
+    checkpoints and these layers belong together: starting either afresh
+    means starting both afresh.
     """
     silver_path = layer_path(output_dir, "silver")
     gold_path = layer_path(output_dir, "gold")

@@ -221,3 +221,19 @@ def test_multiline_message_is_decoded_without_schema(spark):
                                  "value string")
     rows = sorted((r.a, r.b) for r in decode_messages(spark, msgs).collect())
     assert rows == [(1, "x y"), (2, "z")]
+
+
+def test_offsets_reserved_before_write_and_legacy_topics(spark, tmp_path):
+    # a topic written without an offsets table continues after its largest offset
+    legacy = str(tmp_path / "legacy")
+    spark.createDataFrame([(0, 0, '{"id":0}'), (0, 7, '{"id":1}')],
+                          "partition int, offset long, value string").write.parquet(legacy)
+    publish(spark.range(2, 4, 1, 1), FileTopic(legacy))
+    offsets = sorted(r.offset for r in read_topic(spark, FileTopic(legacy)).collect())
+    assert offsets[:2] == [0, 7] and min(offsets[2:]) >= 8
+
+
+def test_byte_estimate_counts_rows_with_null_strings(spark):
+    from strata.operators.marts import broadcast_size
+    df = spark.createDataFrame([("x" * 1000, None), ("y" * 1000, "z")], "a string, b string")
+    assert broadcast_size(df) == (2, 2 * 16 + 2000 + 1)
