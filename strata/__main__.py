@@ -50,7 +50,8 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--run-id")
     c.add_argument("--incremental", action="store_true")
     c.add_argument("--checkpoint")
-    c.add_argument("--schema-from", help="CSV whose inferred schema decodes the messages")
+    c.add_argument("--schema-from", help="CSV whose inferred schema decodes the messages "
+                                         "(default: inferred from the messages)")
     args = parser.parse_args(argv)
 
     spark = get_session("strata-" + args.job)

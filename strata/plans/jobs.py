@@ -17,7 +17,7 @@ from strata.operators.layers import (LayerResult, append_manifest, layer_path, r
 from strata.operators.marts import DEFAULT_BROADCAST_ROWS, build_gold
 from strata.operators.refine import refine
 from strata.sources.files import read_csv, read_reference
-from strata.sources.messages import FileTopic, KafkaTopic, replay_topic
+from strata.sources.messages import FileTopic, KafkaTopic, replay_topic, stored_message_schema
 from strata.spec import SURVEY, SURVEY_MART, MartSpec, RefineSpec
 from strata.streaming.ingest import ingest_incremental
 from strata.streaming.layers import run_layers_incremental
@@ -89,8 +89,9 @@ def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output
     """Topic -> Bronze -> Silver -> Gold.
 
     Bounded replay (default) rewrites Bronze from the whole topic and is
-    repeatable. ``incremental=True`` (needs ``schema`` and a ``checkpoint``
-    folder) appends only new messages to Bronze, appends their refined rows
+    repeatable. ``incremental=True`` (needs a ``checkpoint`` folder; without
+    ``schema`` the payload schema is inferred on the first run and kept in
+    the checkpoint folder) appends only new messages to Bronze, appends their refined rows
     to Silver and folds them into Gold's per-key streaming state, so a run
     costs what arrived since the last one. These layers are one maintained
     set under ``output_dir`` (no run id in their paths; the run id goes to
@@ -98,8 +99,10 @@ def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output
     added by this run.
     """
     if incremental:
-        if schema is None or checkpoint is None:
-            raise ValueError("incremental ingest needs a schema and a checkpoint folder")
+        if checkpoint is None:
+            raise ValueError("incremental ingest needs a checkpoint folder")
+        if schema is None:  # inferred once, then fixed for this checkpoint
+            schema = stored_message_schema(spark, source, f"{checkpoint}/payload_schema")
         # one continuously maintained layer set: no run id in the paths
         path = layer_path(output_dir, "bronze")
         result = ingest_incremental(spark, source, schema, path, f"{checkpoint}/bronze", normalize)

@@ -14,6 +14,7 @@ Decoding runs on the executors (``from_json``), never in a driver loop.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -229,6 +230,31 @@ def decode_messages(spark: SparkSession, messages: DataFrame, schema: StructType
 
 
 
+def infer_message_schema(spark: SparkSession, source: KafkaTopic | FileTopic) -> StructType:
+    """Payload schema inferred from the messages now in the topic (one
+    distributed JSON inference pass over the staged values)."""
+    messages = require_rows(read_topic(spark, source), f"topic {source}")
+    return decode_messages(spark, messages, None, normalize=False).schema
+
+
+def stored_message_schema(spark: SparkSession, source: KafkaTopic | FileTopic,
+                          path: str) -> StructType:
+    """The payload schema kept at ``path``; inferred from the topic and stored
+    there on first use, so every later incremental run decodes the same way
+    (a streaming checkpoint must not see its schema change)."""
+    try:
+        text = spark.read.text(path).first()
+    except Exception as exc:  # noqa: BLE001
+        if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
+            raise
+        text = None
+    if text is not None:
+        return StructType.fromJson(json.loads(text.value))
+    schema = infer_message_schema(spark, source)
+    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(path)
+    return schema
+
+
 def replay_topic(spark: SparkSession, source: KafkaTopic | FileTopic, schema: StructType | None = None,
                  normalize: bool = True, quarantine_path: str | None = None) -> DataFrame:
     """Bounded replay of a whole topic to rows; an empty topic raises.

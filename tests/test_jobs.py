@@ -104,3 +104,20 @@ def test_incremental_first_run_on_empty_topic_reports_zero(spark, tmp_path, edge
     layers = run_message_path(spark, topic, str(tmp_path / "i"), ref, schema=edge_frame.schema,
                               incremental=True, checkpoint=str(tmp_path / "ck"))
     assert (layers["bronze"].rows, layers["silver"].rows, layers["gold"].rows) == (0, 0, 0)
+
+
+def test_incremental_without_schema_infers_once(spark, tmp_path, edge_frame):
+    from tests.conftest import NAN_ROW, SURVEY_SCHEMA
+    _, ref = _write_inputs(spark, tmp_path, edge_frame)
+    topic = FileTopic(str(tmp_path / "topic"))
+    publish(edge_frame.unionByName(spark.createDataFrame([NAN_ROW], SURVEY_SCHEMA)), topic)
+    out, ckpt = str(tmp_path / "i"), str(tmp_path / "ck")
+    first = run_message_path(spark, topic, out, ref, incremental=True, checkpoint=ckpt)
+    # NaN measure normalised to NULL: same Gold as the edge rows alone
+    gold = read_layer(spark, first["gold"].path)
+    assert sorted((tuple(r) for r in gold.collect()), key=str) == sorted(GOLD_EDGE, key=str)
+    stored = spark.read.text(ckpt + "/payload_schema").first().value
+    assert '"_BMI5"' in stored and '"double"' in stored
+    publish(edge_frame.limit(1), topic)
+    second = run_message_path(spark, topic, out, ref, incremental=True, checkpoint=ckpt)
+    assert second["bronze"].rows == 1
