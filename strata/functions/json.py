@@ -6,7 +6,8 @@ import json
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, StructType
+from pyspark.sql.types import (ArrayType, DoubleType, FloatType, MapType, StringType, StructField,
+                               StructType)
 
 CORRUPT_COLUMN = "_corrupt_record"
 
@@ -35,27 +36,63 @@ def _float_member(name: str) -> Column:
     return F.when(col.isNull(), F.lit(None)).otherwise(F.concat(F.lit(json.dumps(name) + ":"), text))
 
 
+def _exact_row(names: list[str], types: dict, opts: dict) -> Column:
+    """The row rebuilt field by field, float fields by ``_float_member``."""
+    floats = [n for n in names if isinstance(types[n], (DoubleType, FloatType))]
+    others = [n for n in names if n not in floats]
+    parts = [_float_member(n) for n in floats]
+    if others:
+        body = F.to_json(F.struct(*[F.col(c) for c in others]), opts)
+        inner = F.substring(body, F.lit(2), F.length(body) - 2)   # drop the braces
+        parts.insert(0, F.when(inner == "", F.lit(None)).otherwise(inner))
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+
+
+def _has_non_finite(json_text: Column) -> Column:
+    return json_text.contains(':"NaN"') | json_text.contains('Infinity"')
+
+
+def _unquote_members(json_text: Column, floats: list[str]) -> Column:
+    """Bare ``NaN``/``Infinity`` for the given top-level float members.
+
+    Exact for a flat row: quotes inside string values are escaped, so an
+    unescaped ``"name":"NaN"`` after ``{`` or ``,`` can only be a member.
+    """
+    names = [f for f in floats if '"' not in f and "\\" not in f]
+    if not names:
+        return json_text
+    alternatives = "|".join(f"\\Q{n}\\E" for n in names)
+    return F.regexp_replace(json_text,
+                            f'(?<=[{{,])"({alternatives})":"(NaN|Infinity|-Infinity)"', '"$1":$2')
+
+
 def encode_row(df: DataFrame, columns: list[str] | None = None,
                options: dict[str, str] | None = None) -> Column:
     """One JSON object per row of ``df``; NULL fields are left out.
 
-    Non-float fields go through ``to_json``; top-level float fields are
-    written by ``_float_member`` so NaN stays a bare number, as the source
-    job's producer writes it.
+    Rows are written by ``to_json``. A row whose text holds a quoted
+    non-finite value (``"NaN"``, ``"Infinity"``; rare) gets its top-level
+    float members written bare, as the source job's producer writes them,
+    so schema inference keeps those fields numeric: by unquoting them when
+    the row is flat, by rebuilding it field by field when it has nested
+    values (where the same text could sit inside a nested object).
     """
     names = columns or df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
-    floats = [n for n in names if isinstance(types[n], (DoubleType, FloatType))]
-    others = [n for n in names if n not in floats]
     opts = {**ENCODE_OPTIONS, **(options or {})}
+    plain = F.to_json(F.struct(*[F.col(c) for c in names]), opts)
+    floats = [n for n in names if isinstance(types[n], (DoubleType, FloatType))]
     if not floats:
-        return F.to_json(F.struct(*[F.col(c) for c in others]), opts)
-    parts = [_float_member(n) for n in floats]
-    if others:
-        body = F.to_json(F.struct(*[F.col(c) for c in others]), opts)
-        inner = F.substring(body, F.lit(2), F.length(body) - 2)   # drop the braces
-        parts.insert(0, F.when(inner == "", F.lit(None)).otherwise(inner))
-    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+        return plain
+    nested = any(isinstance(types[n], (ArrayType, MapType, StructType)) for n in names)
+    fixed = _exact_row(names, types, opts) if nested else _unquote_members(plain, floats)
+    return F.when(_has_non_finite(plain), fixed).otherwise(plain)
+
+
+def encode_frame(df: DataFrame, value_col: str = "value",
+                 options: dict[str, str] | None = None) -> DataFrame:
+    """``df`` -> a one-column frame of JSON messages (see ``encode_row``)."""
+    return df.select(encode_row(df, options=options).alias(value_col))
 
 
 def decode_value(value: Column | str, schema: StructType, mode: str = "FAILFAST",
