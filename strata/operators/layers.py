@@ -7,6 +7,7 @@ import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
@@ -42,6 +43,25 @@ class LayerResult:
     rows: int
 
 
+def literal_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A small frame of known rows, built from literals in the JVM.
+
+    ``createDataFrame`` on a Python list goes through a Python RDD, so even a
+    one-row write starts Python workers; literals do not. Date and time
+    values are passed as ISO text and cast, so no time zone applies.
+    """
+    def lit(value, field):
+        if isinstance(value, (dt.datetime, dt.date)):
+            value = value.isoformat(sep=" ") if isinstance(value, dt.datetime) else value.isoformat()
+        return F.lit(value).cast(field.dataType).alias(field.name)
+
+    structs = [F.struct(*[lit(v, f) for v, f in zip(row, schema.fields)]) for row in rows]
+    if not structs:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name)
+                                       for f in schema.fields])
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def write_layer(df: DataFrame, path: str, name: str = "layer", partition_by: list[str] | None = None,
                 mode: str = "overwrite", max_records_per_file: int | None = None) -> LayerResult:
     """Write ``df`` as Parquet and count its rows in the same pass.
@@ -78,8 +98,11 @@ def ingest_summary(rows: int, target: str, chunk_size: int = 10_000) -> dict:
 
 
 # One row per written layer of a run; the freshness rule reads it.
-MANIFEST_SCHEMA = ("run_id string, layer string, path string, row_count bigint, "
-                   "dropped_at timestamp_ntz, written_at timestamp_ntz")
+MANIFEST_SCHEMA = StructType([
+    StructField("run_id", StringType()), StructField("layer", StringType()),
+    StructField("path", StringType()), StructField("row_count", LongType()),
+    StructField("dropped_at", TimestampNTZType()), StructField("written_at", TimestampNTZType()),
+])
 
 
 def append_manifest(spark: SparkSession, manifest_path: str, run_id: str,
@@ -93,4 +116,5 @@ def append_manifest(spark: SparkSession, manifest_path: str, run_id: str,
     if written_at is None:
         written_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     rows = [(run_id, name, r.path, r.rows, dropped_at, written_at) for name, r in layers.items()]
-    spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(manifest_path)
+    literal_frame(spark, rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append") \
+        .parquet(manifest_path)

@@ -11,11 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from strata.functions.decimals import scale_decimal
 from strata.functions.json import decode_frame, encode_row
 from strata.functions.labels import code_to_label
-from strata.operators.layers import layer_path, read_layer, write_layer
+from strata.operators.layers import layer_path, literal_frame, read_layer, write_layer
 from strata.operators.marts import aggregate_by, build_gold, head_rows, lookup_left_join
 from strata.operators.quality import freshness_report, gold_rules, quality_report, schema_report
 from strata.operators.refine import filter_valid, refine
@@ -123,7 +124,8 @@ def layer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = run_bronze_frame(survey_frame(spark, sf_dir), out, RUN_ID)
     layers = run_layers(spark, bronze, out, reference_frame(spark, sf_dir), run_id=RUN_ID)
     rows = [(name, layers[name].rows) for name in ("bronze", "silver", "gold")]
-    return spark.createDataFrame(rows, "layer string, row_count bigint")
+    return literal_frame(spark, rows, StructType([StructField("layer", StringType()),
+                                                  StructField("row_count", LongType())]))
 
 
 def json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:

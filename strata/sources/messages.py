@@ -19,11 +19,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from strata.functions.casts import normalize_nan
 from strata.functions.json import decode_frame, decode_with_quarantine, encode_row, one_line
-from strata.operators.layers import LayerResult, write_layer
+from strata.operators.layers import LayerResult, literal_frame, write_layer
 from strata.operators.quality import require_rows
 from strata.session import shared_dir
 from strata.sources.files import read_json_lines
@@ -100,6 +100,7 @@ def _offsets_path(topic: FileTopic) -> str:
 # Offsets reserved by one publish: positions inside one Spark partition stay
 # below this, so blocks of different publishes never overlap.
 OFFSET_BLOCK = 1 << 40
+OFFSETS_SCHEMA = StructType([StructField("first", LongType()), StructField("end", LongType())])
 
 
 def _reserve_offsets(spark: SparkSession, topic: FileTopic) -> int:
@@ -128,8 +129,8 @@ def _reserve_offsets(spark: SparkSession, topic: FileTopic) -> int:
                 raise
             end = None
     first = int(end or 0)
-    spark.createDataFrame([(first, first + OFFSET_BLOCK)], "first long, end long") \
-        .coalesce(1).write.mode("append").parquet(_offsets_path(topic))
+    literal_frame(spark, [(first, first + OFFSET_BLOCK)], OFFSETS_SCHEMA) \
+        .write.mode("append").parquet(_offsets_path(topic))
     return first
 
 
@@ -251,7 +252,8 @@ def stored_message_schema(spark: SparkSession, source: KafkaTopic | FileTopic,
     if text is not None:
         return StructType.fromJson(json.loads(text.value))
     schema = infer_message_schema(spark, source)
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(path)
+    literal_frame(spark, [(schema.json(),)], StructType([StructField("value", StringType())])) \
+        .write.text(path)
     return schema
 
 

@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.operators.layers import LayerResult, layer_path, read_layer, write_layer
+from strata.operators.layers import (LayerResult, layer_path, literal_frame, read_layer,
+                                     write_layer)
 from strata.operators.marts import DEFAULT_BROADCAST_ROWS, lookup_left_join
 from strata.operators.refine import refine
 from strata.spec import SURVEY, SURVEY_MART, MartSpec, RefineSpec
@@ -101,7 +102,7 @@ def run_layers_incremental(spark: SparkSession, bronze: LayerResult, bronze_sche
     gold_path = layer_path(output_dir, "gold")
     silver = refine_incremental(spark, bronze.path, bronze_schema, silver_path,
                                 f"{checkpoint_base}/silver", spec)
-    silver_schema = refine(spark.createDataFrame([], bronze_schema), spec).schema
+    silver_schema = refine(literal_frame(spark, [], bronze_schema), spec).schema
     gold = gold_incremental(spark, silver_path, silver_schema, gold_path,
                             f"{checkpoint_base}/gold", reference, mart)
     return {"bronze": bronze, "silver": LayerResult(silver_path, silver.observed), "gold": gold}
