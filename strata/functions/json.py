@@ -36,15 +36,18 @@ def _float_member(name: str) -> Column:
     return F.when(col.isNull(), F.lit(None)).otherwise(F.concat(F.lit(json.dumps(name) + ":"), text))
 
 
+def _member(name: str, opts: dict) -> Column:
+    """``"name":value`` of one non-float field via ``to_json``; NULL when NULL."""
+    one = F.to_json(F.struct(F.col(name)), opts)
+    inner = F.substring(one, F.lit(2), F.length(one) - 2)   # drop the braces
+    return F.when(inner == "", F.lit(None)).otherwise(inner)
+
+
 def _exact_row(names: list[str], types: dict, opts: dict) -> Column:
-    """The row rebuilt field by field, float fields by ``_float_member``."""
-    floats = [n for n in names if isinstance(types[n], (DoubleType, FloatType))]
-    others = [n for n in names if n not in floats]
-    parts = [_float_member(n) for n in floats]
-    if others:
-        body = F.to_json(F.struct(*[F.col(c) for c in others]), opts)
-        inner = F.substring(body, F.lit(2), F.length(body) - 2)   # drop the braces
-        parts.insert(0, F.when(inner == "", F.lit(None)).otherwise(inner))
+    """The row rebuilt member by member, in column order; float members by
+    ``_float_member`` (used only for the rare rows holding a non-finite)."""
+    parts = [_float_member(n) if isinstance(types[n], (DoubleType, FloatType)) else _member(n, opts)
+             for n in names]
     return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 

@@ -103,6 +103,10 @@ def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output
             raise ValueError("incremental ingest needs a checkpoint folder")
         if schema is None:  # inferred once, then fixed for this checkpoint
             schema = stored_message_schema(spark, source, f"{checkpoint}/payload_schema")
+            if schema is None:  # no message yet: nothing to ingest, nothing changes
+                empty = {layer: LayerResult(layer_path(output_dir, layer), 0)
+                         for layer in ("bronze", "silver", "gold")}
+                return empty
         # one continuously maintained layer set: no run id in the paths
         path = layer_path(output_dir, "bronze")
         result = ingest_incremental(spark, source, schema, path, f"{checkpoint}/bronze", normalize)

@@ -231,29 +231,34 @@ def decode_messages(spark: SparkSession, messages: DataFrame, schema: StructType
 
 
 
-def infer_message_schema(spark: SparkSession, source: KafkaTopic | FileTopic) -> StructType:
+def infer_message_schema(spark: SparkSession, source: KafkaTopic | FileTopic) -> StructType | None:
     """Payload schema inferred from the messages now in the topic (one
-    distributed JSON inference pass over the staged values)."""
-    messages = require_rows(read_topic(spark, source), f"topic {source}")
+    distributed JSON inference pass over the staged values); None when the
+    topic holds no message yet."""
+    messages = read_topic(spark, source)
+    if messages.isEmpty():
+        return None
     return decode_messages(spark, messages, None, normalize=False).schema
 
 
 def stored_message_schema(spark: SparkSession, source: KafkaTopic | FileTopic,
-                          path: str) -> StructType:
+                          path: str) -> StructType | None:
     """The payload schema kept at ``path``; inferred from the topic and stored
     there on first use, so every later incremental run decodes the same way
-    (a streaming checkpoint must not see its schema change)."""
+    (a streaming checkpoint must not see its schema change). None while the
+    topic is still empty (nothing is stored then)."""
     try:
         text = spark.read.text(path).first()
     except Exception as exc:  # noqa: BLE001
         if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
             raise
         text = None
-    if text is not None:
+    if text is not None and text.value:
         return StructType.fromJson(json.loads(text.value))
     schema = infer_message_schema(spark, source)
-    literal_frame(spark, [(schema.json(),)], StructType([StructField("value", StringType())])) \
-        .write.text(path)
+    if schema is not None:
+        literal_frame(spark, [(schema.json(),)], StructType([StructField("value", StringType())])) \
+            .write.mode("overwrite").text(path)
     return schema
 
 

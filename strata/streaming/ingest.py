@@ -38,6 +38,12 @@ class StreamIngestResult:
     observed: int = 0  # sum of the observed metric, when one was named
 
 
+def _observed(progress, metric: str | None) -> int:
+    """The first value of an observed metric in one progress update (a Row)."""
+    row = (progress.observedMetrics or {}).get(metric) if metric else None
+    return int(row[0] or 0) if row is not None else 0
+
+
 class _Progress(StreamingQueryListener):
     """Sums the progress of streaming runs by run id.
 
@@ -62,9 +68,7 @@ class _Progress(StreamingQueryListener):
 
     def onQueryProgress(self, event) -> None:  # noqa: N802
         p = event.progress
-        observed = 0
-        if self.metric and self.metric in (p.observedMetrics or {}):
-            observed = int(p.observedMetrics[self.metric][0] or 0)
+        observed = _observed(p, self.metric)
         with self._lock:
             t = self.totals.setdefault(str(p.runId), [0, 0, 0])
             t[0] += p.numInputRows
@@ -98,10 +102,9 @@ def run_available_now(spark: SparkSession, start: Callable[[], StreamingQuery],
             warnings.warn("streaming progress events late; totals from recentProgress",
                           RuntimeWarning, stacklevel=2)
             progress = query.recentProgress
-            rows = int(sum(p["numInputRows"] for p in progress))
-            batches = sum(1 for p in progress if p["numInputRows"] > 0)
-            observed = int(sum((p.get("observedMetrics") or {}).get(metric, {}).get("n", 0)
-                               for p in progress)) if metric else 0
+            rows = int(sum(p.numInputRows for p in progress))
+            batches = sum(1 for p in progress if p.numInputRows > 0)
+            observed = sum(_observed(p, metric) for p in progress)
     finally:
         spark.streams.removeListener(listener)
     return StreamIngestResult(path=output_path, rows=rows, batches=batches, observed=observed)

@@ -121,3 +121,15 @@ def test_incremental_without_schema_infers_once(spark, tmp_path, edge_frame):
     publish(edge_frame.limit(1), topic)
     second = run_message_path(spark, topic, out, ref, incremental=True, checkpoint=ckpt)
     assert second["bronze"].rows == 1
+
+
+def test_schemaless_incremental_waits_for_first_messages(spark, tmp_path, edge_frame):
+    _, ref = _write_inputs(spark, tmp_path, edge_frame)
+    topic = FileTopic(str(tmp_path / "topic"))
+    publish(edge_frame.limit(0), topic)
+    out, ckpt = str(tmp_path / "i"), str(tmp_path / "ck")
+    empty = run_message_path(spark, topic, out, ref, incremental=True, checkpoint=ckpt)
+    assert {k: v.rows for k, v in empty.items()} == {"bronze": 0, "silver": 0, "gold": 0}
+    publish(edge_frame, topic)
+    first = run_message_path(spark, topic, out, ref, incremental=True, checkpoint=ckpt)
+    assert (first["bronze"].rows, first["silver"].rows, first["gold"].rows) == (9, 5, 4)

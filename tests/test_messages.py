@@ -237,3 +237,22 @@ def test_byte_estimate_counts_rows_with_null_strings(spark):
     from strata.operators.marts import broadcast_size
     df = spark.createDataFrame([("x" * 1000, None), ("y" * 1000, "z")], "a string, b string")
     assert broadcast_size(df) == (2, 2 * 16 + 2000 + 1)
+
+
+def test_nan_rows_keep_column_order_with_nested_columns(spark):
+    df = spark.createDataFrame([(1e20, float("nan"), [1]), (1.0, 2.0, [2])],
+                               "a double, b float, c array<int>")
+    vals = [r.value for r in df.select(encode_row(df).alias("value")).collect()]
+    assert vals == ['{"a":1.0E20,"b":NaN,"c":[1]}', '{"a":1.0,"b":2.0,"c":[2]}']
+
+
+def test_observed_metric_reader():
+    from pyspark.sql import Row
+    from strata.streaming.ingest import _observed
+
+    class Progress:
+        observedMetrics = {"silver_rows": Row(n=5), "other": Row(k=None)}
+
+    assert _observed(Progress, "silver_rows") == 5
+    assert _observed(Progress, "other") == 0
+    assert _observed(Progress, "missing") == 0 and _observed(Progress, None) == 0
