@@ -1,6 +1,7 @@
 """Command line: ``python -m strata <job> ...`` (also works under spark-submit).
 
     pipeline  --input CSV --output-dir DIR --ref-state-codes CSV [--run-id ID]
+              [--null-value NA] [--safe-cast]
     publish   --input CSV --topic-dir DIR | --bootstrap-servers S --topic T [--max-records N]
     consume   --topic-dir DIR | --bootstrap-servers S --topic T --output-dir DIR
               --ref-state-codes CSV [--incremental --checkpoint DIR --schema-from CSV]
@@ -37,6 +38,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--output-dir", required=True)
     p.add_argument("--ref-state-codes", required=True)
     p.add_argument("--run-id")
+    p.add_argument("--null-value", help="missing-value token in the CSV, e.g. NA")
+    p.add_argument("--safe-cast", action="store_true",
+                   help="out-of-range measures become NULL instead of failing the run")
     for name in ("publish", "consume"):
         q = sub.add_parser(name)
         q.add_argument("--topic-dir")
@@ -56,7 +60,8 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = get_session("strata-" + args.job)
     if args.job == "pipeline":
-        layers = run_pipeline(spark, args.input, args.output_dir, args.ref_state_codes, args.run_id)
+        layers = run_pipeline(spark, args.input, args.output_dir, args.ref_state_codes, args.run_id,
+                              null_value=args.null_value, safe_cast=args.safe_cast)
         out = {k: {"path": v.path, "rows": v.rows} for k, v in layers.items()}
     elif args.job == "publish":
         out = publish_csv(spark, args.input, _topic(args), max_records=args.max_records)

@@ -11,13 +11,14 @@ from pyspark.sql.types import (ArrayType, DoubleType, FloatType, MapType, String
 
 CORRUPT_COLUMN = "_corrupt_record"
 
-# Written timestamps keep microseconds (Spark's default writes milliseconds).
+# Written timestamps keep microseconds (Spark's default writes milliseconds)
+# and, for zoned ones, offset seconds (historical zones have them).
 # Reading uses Spark's default parsing, which accepts these and the other
 # ISO-8601 forms (with or without fraction, 'T' or space, zone for zoned
 # timestamps).
 ENCODE_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXXXX",
 }
 
 

@@ -48,11 +48,16 @@ def literal_frame(spark: SparkSession, rows: list[tuple], schema: StructType) ->
 
     ``createDataFrame`` on a Python list goes through a Python RDD, so even a
     one-row write starts Python workers; literals do not. Date and time
-    values are passed as ISO text and cast, so no time zone applies.
+    values are passed as ISO text and cast, so no time zone applies; an
+    aware datetime is first converted to UTC (naive ones are taken as UTC).
     """
     def lit(value, field):
-        if isinstance(value, (dt.datetime, dt.date)):
-            value = value.isoformat(sep=" ") if isinstance(value, dt.datetime) else value.isoformat()
+        if isinstance(value, dt.datetime):
+            if value.tzinfo is not None:  # an instant: store it as UTC wall time
+                value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
+            value = value.isoformat(sep=" ")
+        elif isinstance(value, dt.date):
+            value = value.isoformat()
         return F.lit(value).cast(field.dataType).alias(field.name)
 
     structs = [F.struct(*[lit(v, f) for v, f in zip(row, schema.fields)]) for row in rows]
@@ -110,8 +115,8 @@ def append_manifest(spark: SparkSession, manifest_path: str, run_id: str,
                     written_at: dt.datetime | None = None) -> None:
     """Append one row per layer of a run (a handful of rows) to the manifest.
 
-    ``dropped_at`` is when the source was delivered; ``written_at`` defaults
-    to now (UTC). Appends are whole-file commits, so a failed run adds nothing.
+    ``dropped_at`` is when the source was delivered (aware, or naive UTC);
+    ``written_at`` defaults to now (UTC). Appends are whole-file commits, so a failed run adds nothing.
     """
     if written_at is None:
         written_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)

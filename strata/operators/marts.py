@@ -70,24 +70,40 @@ def aggregate_by(df: DataFrame, key: str, measure: str,
     )
 
 
+def lookup_side(reference: DataFrame, key_type, ref_key: str, ref_value: str,
+                out_value: str) -> DataFrame:
+    """The (key, value) lookup side, key cast to ``key_type`` and renamed so
+    names that differ only by case cannot be ambiguous."""
+    return reference.select(
+        F.col(ref_key).cast(key_type).alias("__ref_key"),
+        F.col(ref_value).alias(out_value),
+    )
+
+
+def prepare_lookup(reference: DataFrame, key_type, ref_key: str, ref_value: str,
+                   out_value: str, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``lookup_side``, marked for broadcast when its measured size allows."""
+    return sized_broadcast(lookup_side(reference, key_type, ref_key, ref_value, out_value),
+                           max_broadcast_rows)
+
+
+def join_prepared(facts: DataFrame, prepared: DataFrame, fact_key: str) -> DataFrame:
+    """Left outer join of ``facts`` to a ``prepare_lookup`` result."""
+    return facts.join(prepared, facts[fact_key] == prepared["__ref_key"], "left").drop("__ref_key")
+
+
 def lookup_left_join(facts: DataFrame, reference: DataFrame, fact_key: str, ref_key: str,
                      ref_value: str, out_value: str,
                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Left outer equi-join of ``facts`` to a (key, value) reference.
 
     The reference key is cast to the fact key's type (an int reference against
-    a double key) and renamed first, so names that differ only by case cannot
-    be ambiguous. Unmatched or NULL keys get a NULL value; duplicate reference
+    a double key). Unmatched or NULL keys get a NULL value; duplicate reference
     keys fan out, as any left join does.
     """
-    key_type = facts.schema[fact_key].dataType
-    ref = reference.select(
-        F.col(ref_key).cast(key_type).alias("__ref_key"),
-        F.col(ref_value).alias(out_value),
-    )
-    ref = sized_broadcast(ref, max_broadcast_rows)
-    joined = facts.join(ref, facts[fact_key] == ref["__ref_key"], "left")
-    return joined.drop("__ref_key")
+    prepared = prepare_lookup(reference, facts.schema[fact_key].dataType, ref_key, ref_value,
+                              out_value, max_broadcast_rows)
+    return join_prepared(facts, prepared, fact_key)
 
 
 def build_gold(silver: DataFrame, reference: DataFrame, spec: MartSpec,

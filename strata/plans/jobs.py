@@ -17,7 +17,8 @@ from strata.operators.layers import (LayerResult, append_manifest, layer_path, r
 from strata.operators.marts import DEFAULT_BROADCAST_ROWS, build_gold
 from strata.operators.refine import refine
 from strata.sources.files import read_csv, read_reference
-from strata.sources.messages import FileTopic, KafkaTopic, replay_topic, stored_message_schema
+from strata.sources.messages import (FileTopic, KafkaTopic, add_missing_columns, replay_topic,
+                                     stored_message_schema)
 from strata.spec import SURVEY, SURVEY_MART, MartSpec, RefineSpec
 from strata.streaming.ingest import ingest_incremental
 from strata.streaming.layers import run_layers_incremental
@@ -29,15 +30,19 @@ def run_bronze_frame(df: DataFrame, output_dir: str, run_id: str | None = None)
 
 
 def run_bronze(spark: SparkSession, input_csv: str, output_dir: str, run_id: str | None = None,
-               infer: bool = True, types: dict[str, str] | None = None) -> LayerResult:
-    """CSV -> Bronze Parquet, all columns kept."""
-    return run_bronze_frame(read_csv(spark, input_csv, infer=infer, types=types), output_dir, run_id)
+               infer: bool = True, types: dict[str, str] | None = None,
+               null_value: str | None = None) -> LayerResult:
+    """CSV -> Bronze Parquet, all columns kept. ``null_value`` names a
+    missing-value token (e.g. ``NA``) so such columns stay numeric."""
+    df = read_csv(spark, input_csv, infer=infer, types=types, null_value=null_value)
+    return run_bronze_frame(df, output_dir, run_id)
 
 
 def run_silver(spark: SparkSession, bronze_path: str, output_dir: str, spec: RefineSpec = SURVEY,
-               run_id: str | None = None) -> LayerResult:
-    """Bronze -> Silver (labels, decimal measure, valid rows)."""
-    silver = refine(read_layer(spark, bronze_path), spec)
+               run_id: str | None = None, safe_cast: bool = False) -> LayerResult:
+    """Bronze -> Silver (labels, decimal measure, valid rows).
+    ``safe_cast`` turns an out-of-range measure into NULL instead of failing."""
+    silver = refine(read_layer(spark, bronze_path), spec, safe_cast=safe_cast)
     return write_layer(silver, layer_path(output_dir, "silver", run_id), "silver")
 
 
@@ -57,10 +62,11 @@ def run_gold(spark: SparkSession, silver_path: str, output_dir: str,
 def run_layers(spark: SparkSession, bronze: LayerResult, output_dir: str,
                reference: str | DataFrame, spec: RefineSpec = SURVEY, mart: MartSpec = SURVEY_MART,
                run_id: str | None = None, manifest: str | None = None,
-               dropped_at: dt.datetime | None = None) -> dict[str, LayerResult]:
+               dropped_at: dt.datetime | None = None, safe_cast: bool = False
+               ) -> dict[str, LayerResult]:
     """Silver and Gold from a written Bronze; optionally record the run in a
     manifest (``manifest`` path, ``dropped_at`` = source delivery time)."""
-    silver = run_silver(spark, bronze.path, output_dir, spec, run_id)
+    silver = run_silver(spark, bronze.path, output_dir, spec, run_id, safe_cast)
     gold = run_gold(spark, silver.path, output_dir, reference, mart, run_id)
     layers = {"bronze": bronze, "silver": silver, "gold": gold}
     if manifest is not None:
@@ -73,10 +79,12 @@ def run_layers(spark: SparkSession, bronze: LayerResult, output_dir: str,
 def run_pipeline(spark: SparkSession, input_csv: str, output_dir: str, reference: str | DataFrame,
                  run_id: str | None = None, spec: RefineSpec = SURVEY,
                  mart: MartSpec = SURVEY_MART, manifest: str | None = None,
-                 dropped_at: dt.datetime | None = None) -> dict[str, LayerResult]:
+                 dropped_at: dt.datetime | None = None, null_value: str | None = None,
+                 safe_cast: bool = False) -> dict[str, LayerResult]:
     """C4: the whole CSV run in the given session (which it never stops)."""
-    bronze = run_bronze(spark, input_csv, output_dir, run_id)
-    return run_layers(spark, bronze, output_dir, reference, spec, mart, run_id, manifest, dropped_at)
+    bronze = run_bronze(spark, input_csv, output_dir, run_id, null_value=null_value)
+    return run_layers(spark, bronze, output_dir, reference, spec, mart, run_id, manifest,
+                      dropped_at, safe_cast)
 
 
 def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output_dir: str,
@@ -102,7 +110,8 @@ def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output
         if checkpoint is None:
             raise ValueError("incremental ingest needs a checkpoint folder")
         if schema is None:  # inferred once, then fixed for this checkpoint
-            schema = stored_message_schema(spark, source, f"{checkpoint}/payload_schema")
+            schema = stored_message_schema(spark, source, f"{checkpoint}/payload_schema",
+                                           spec.source_columns())
             if schema is None:  # no message yet: nothing to ingest, nothing changes
                 empty = {layer: LayerResult(layer_path(output_dir, layer), 0)
                          for layer in ("bronze", "silver", "gold")}
@@ -122,5 +131,7 @@ def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output
         return layers
     else:
         rows = replay_topic(spark, source, schema, normalize)
+        if schema is None:  # inferred: fields no message carried are absent
+            rows = add_missing_columns(rows, spec.source_columns())
         bronze = run_bronze_frame(rows, output_dir, run_id)
     return run_layers(spark, bronze, output_dir, reference, spec, mart, run_id, manifest, dropped_at)

@@ -19,7 +19,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import (ByteType, DoubleType, IntegerType, LongType, ShortType, StringType,
+                               StructField, StructType)
 
 from strata.functions.casts import normalize_nan
 from strata.functions.json import decode_frame, decode_with_quarantine, encode_row, one_line
@@ -49,6 +50,11 @@ class FileTopic:
 
 
 MESSAGE_COLUMNS = ("partition", "offset", "value")
+TOPIC_SCHEMA = StructType([
+    StructField("partition", IntegerType()),
+    StructField("offset", LongType()),
+    StructField("value", StringType()),
+])
 
 
 def kafka_available(spark: SparkSession) -> bool:
@@ -117,12 +123,14 @@ def _reserve_offsets(spark: SparkSession, topic: FileTopic) -> int:
         return "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc)
 
     try:
-        end = spark.read.parquet(_offsets_path(topic)).agg(F.max("end")).first()[0]
+        end = spark.read.schema(OFFSETS_SCHEMA).parquet(_offsets_path(topic)) \
+            .agg(F.max("end")).first()[0]
     except Exception as exc:  # noqa: BLE001
         if not missing(exc):
             raise
         try:
-            top = spark.read.parquet(topic.path).agg(F.max("offset")).first()[0]
+            top = spark.read.schema(TOPIC_SCHEMA).parquet(topic.path) \
+                .agg(F.max("offset")).first()[0]
             end = None if top is None else int(top) + 1
         except Exception as inner:  # noqa: BLE001
             if not missing(inner):
@@ -231,6 +239,29 @@ def decode_messages(spark: SparkSession, messages: DataFrame, schema: StructType
 
 
 
+def complete_schema(schema: StructType, required: tuple[str, ...] = ()) -> StructType:
+    """An inferred payload schema made fit to be kept for later messages.
+
+    Integer fields become double, so a later message with a fraction still
+    decodes (codes are compared and cast as numbers downstream; give an
+    explicit schema for integer ids beyond 2**53). ``required`` fields that
+    no message carried yet (NULL everywhere, so left out of every message)
+    are added as double.
+    """
+    integral = (ByteType, ShortType, IntegerType, LongType)
+    fields = [StructField(f.name, DoubleType(), True) if isinstance(f.dataType, integral) else f
+              for f in schema.fields]
+    present = {f.name for f in fields}
+    fields += [StructField(c, DoubleType(), True) for c in required if c not in present]
+    return StructType(fields)
+
+
+def add_missing_columns(df: DataFrame, required: tuple[str, ...]) -> DataFrame:
+    """``required`` columns absent from ``df`` (no message carried them) as NULL doubles."""
+    missing = [c for c in required if c not in df.columns]
+    return df.select("*", *[F.lit(None).cast("double").alias(c) for c in missing]) if missing else df
+
+
 def infer_message_schema(spark: SparkSession, source: KafkaTopic | FileTopic) -> StructType | None:
     """Payload schema inferred from the messages now in the topic (one
     distributed JSON inference pass over the staged values); None when the
@@ -242,7 +273,7 @@ def infer_message_schema(spark: SparkSession, source: KafkaTopic | FileTopic) ->
 
 
 def stored_message_schema(spark: SparkSession, source: KafkaTopic | FileTopic,
-                          path: str) -> StructType | None:
+                          path: str, required: tuple[str, ...] = ()) -> StructType | None:
     """The payload schema kept at ``path``; inferred from the topic and stored
     there on first use, so every later incremental run decodes the same way
     (a streaming checkpoint must not see its schema change). None while the
@@ -257,6 +288,7 @@ def stored_message_schema(spark: SparkSession, source: KafkaTopic | FileTopic,
         return StructType.fromJson(json.loads(text.value))
     schema = infer_message_schema(spark, source)
     if schema is not None:
+        schema = complete_schema(schema, required)
         literal_frame(spark, [(schema.json(),)], StructType([StructField("value", StringType())])) \
             .write.mode("overwrite").text(path)
     return schema

@@ -84,6 +84,14 @@ class RefineSpec:
     # Output column order: as the source job wrote it.
     order: tuple[str, ...] = field(default=())
 
+    def source_columns(self) -> tuple[str, ...]:
+        """Input columns the spec reads, in first-use order."""
+        cols = [self.key[0]] + [r.source for r in self.labels] + [m.source for m in self.measures]
+        cols += [src for src, _ in self.passthrough]
+        if self.valid is not None:
+            cols += [self.valid.measure] + ([self.valid.code] if self.valid.code else [])
+        return tuple(dict.fromkeys(cols))
+
     def output_columns(self) -> tuple[str, ...]:
         if self.order:
             return self.order

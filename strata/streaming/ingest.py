@@ -21,13 +21,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Int
 
 from strata.functions.casts import normalize_nan
 from strata.functions.json import decode_frame
-from strata.sources.messages import FileTopic, KafkaTopic, require_kafka
+from strata.sources.messages import TOPIC_SCHEMA, FileTopic, KafkaTopic, require_kafka
 
-MESSAGE_SCHEMA = StructType([
-    StructField("partition", IntegerType()),
-    StructField("offset", LongType()),
-    StructField("value", StringType()),
-])
+MESSAGE_SCHEMA = TOPIC_SCHEMA
 
 
 @dataclass(frozen=True)

@@ -24,7 +24,8 @@ from pyspark.sql.types import StructType
 
 from strata.operators.layers import (LayerResult, layer_path, literal_frame, read_layer,
                                      write_layer)
-from strata.operators.marts import DEFAULT_BROADCAST_ROWS, lookup_left_join
+from strata.operators.marts import (DEFAULT_BROADCAST_ROWS, fits_broadcast, join_prepared,
+                                    lookup_left_join, lookup_side)
 from strata.operators.refine import refine
 from strata.spec import SURVEY, SURVEY_MART, MartSpec, RefineSpec
 from strata.streaming.ingest import StreamIngestResult, run_available_now
@@ -53,10 +54,18 @@ def gold_incremental(spark: SparkSession, silver_path: str, silver_schema: Struc
                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> LayerResult:
     """Fold new Silver rows into per-key state and rewrite Gold from it."""
     written: dict[str, int] = {}
+    # The reference is measured once per run, not once per batch; when it is
+    # proven small it is also kept in memory for the run and broadcast.
+    side = lookup_side(reference, silver_schema[mart.key].dataType, mart.ref_key,
+                       mart.ref_value, mart.name_column)
+    cached = side.cache() if fits_broadcast(side, max_broadcast_rows) else None
+    prepared = F.broadcast(cached) if cached is not None else side
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # ``batch`` is the complete per-key aggregate (one row per key).
-        gold = build_gold_from_aggregate(batch, reference, mart, max_broadcast_rows)
+        named = join_prepared(batch, prepared, mart.key)
+        gold = named.select(mart.key, mart.name_column, mart.count_name, mart.mean_name) \
+            .orderBy(F.col(mart.key).asc_nulls_first())
         written["rows"] = write_layer(gold, gold_path, "gold").rows
 
     silver = spark.readStream.schema(silver_schema).parquet(silver_path)
@@ -68,7 +77,11 @@ def gold_incremental(spark: SparkSession, silver_path: str, silver_schema: Struc
               .option("checkpointLocation", checkpoint)
               .foreachBatch(write_batch)
               .trigger(availableNow=True))
-    run_available_now(spark, writer.start, gold_path)
+    try:
+        run_available_now(spark, writer.start, gold_path)
+    finally:
+        if cached is not None:
+            cached.unpersist()
     if "rows" not in written:  # nothing new: Gold stays as the last run wrote it
         try:
             written["rows"] = read_layer(spark, gold_path).count()

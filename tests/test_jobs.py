@@ -133,3 +133,35 @@ def test_schemaless_incremental_waits_for_first_messages(spark, tmp_path, edge_f
     publish(edge_frame, topic)
     first = run_message_path(spark, topic, out, ref, incremental=True, checkpoint=ckpt)
     assert (first["bronze"].rows, first["silver"].rows, first["gold"].rows) == (9, 5, 4)
+
+
+def test_schemaless_paths_survive_all_null_fields_and_later_fractions(spark, tmp_path, edge_frame):
+    """A field NULL in every first message is added; a later fractional value
+    in a field first seen as integer still decodes."""
+    from pyspark.sql import functions as F
+    _, ref = _write_inputs(spark, tmp_path, edge_frame)
+    first = edge_frame.withColumn("_RACE", F.lit(None).cast("double")) \
+        .withColumn("_BMI5", F.round("_BMI5").cast("long"))
+    topic = FileTopic(str(tmp_path / "topic"))
+    publish(first, topic)
+    replay = run_message_path(spark, topic, str(tmp_path / "r"), ref)
+    assert replay["silver"].rows == 5
+    out, ckpt = str(tmp_path / "i"), str(tmp_path / "ck")
+    run_message_path(spark, topic, out, ref, incremental=True, checkpoint=ckpt)
+    later = spark.createDataFrame([(1.0, 2.0, 2550.5, 1.0, 3.0, 1.0, "late")], edge_frame.schema)
+    publish(later, topic)
+    second = run_message_path(spark, topic, out, ref, incremental=True, checkpoint=ckpt)
+    assert (second["bronze"].rows, second["silver"].rows) == (1, 1)
+
+
+def test_csv_null_token_and_safe_cast(spark, tmp_path):
+    src, ref = tmp_path / "src.csv", tmp_path / "ref.csv"
+    src.write_text("_STATE,GENHLTH,_BMI5,_TOTINDA,_AGEG5YR,_RACE\n"
+                   "1,1,2512,1,3,1\n1,NA,2000,1,3,1\n2,2,1e9,2,3,1\n")
+    ref.write_text("state_code,state_name\n1,A\n2,B\n")
+    layers = run_pipeline(spark, str(src), str(tmp_path / "o"), str(ref), null_value="NA",
+                          safe_cast=True)
+    assert layers["bronze"].rows == 3 and layers["silver"].rows == 2
+    gold = {r.State_Code: (r.record_count, r.bmi_mean)
+            for r in read_layer(spark, layers["gold"].path).collect()}
+    assert gold == {1.0: (1, 25.12), 2.0: (0, None)}

@@ -256,3 +256,17 @@ def test_observed_metric_reader():
     assert _observed(Progress, "silver_rows") == 5
     assert _observed(Progress, "other") == 0
     assert _observed(Progress, "missing") == 0 and _observed(Progress, None) == 0
+
+
+def test_empty_offsets_folder_and_aware_datetimes(spark, tmp_path):
+    import datetime as dt
+    from strata.operators.layers import literal_frame
+    from strata.sources.messages import OFFSETS_SCHEMA, _offsets_path
+    topic = FileTopic(str(tmp_path / "topic"))
+    # an aborted first publish can leave an empty offsets folder
+    literal_frame(spark, [], OFFSETS_SCHEMA).write.parquet(_offsets_path(topic))
+    assert publish(spark.range(3), topic)["records_sent"] == 3
+    aware = dt.datetime(2026, 1, 1, 10, tzinfo=dt.timezone(dt.timedelta(hours=2)))
+    schema = spark.createDataFrame([], "t timestamp_ntz").schema
+    got = literal_frame(spark, [(aware,), (dt.datetime(2026, 1, 1, 8),)], schema).collect()
+    assert [r.t for r in got] == [dt.datetime(2026, 1, 1, 8)] * 2
