@@ -48,14 +48,17 @@ def literal_frame(spark: SparkSession, rows: list[tuple], schema: StructType) ->
 
     ``createDataFrame`` on a Python list goes through a Python RDD, so even a
     one-row write starts Python workers; literals do not. Date and time
-    values are passed as ISO text and cast, so no time zone applies; an
-    aware datetime is first converted to UTC (naive ones are taken as UTC).
+    values are passed as ISO text and cast: into a ``timestamp_ntz`` field an
+    aware datetime is stored as its UTC wall time (naive ones as they are);
+    into a zoned ``timestamp`` field an aware datetime keeps its offset, and a
+    naive one is read in the session time zone, as Spark reads such text.
     """
     def lit(value, field):
         if isinstance(value, dt.datetime):
-            if value.tzinfo is not None:  # an instant: store it as UTC wall time
+            if value.tzinfo is not None and isinstance(field.dataType, TimestampNTZType):
+                # an instant into a zone-free field: store it as UTC wall time
                 value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
-            value = value.isoformat(sep=" ")
+            value = value.isoformat(sep=" ")   # an aware value keeps its offset
         elif isinstance(value, dt.date):
             value = value.isoformat()
         return F.lit(value).cast(field.dataType).alias(field.name)

@@ -270,3 +270,17 @@ def test_empty_offsets_folder_and_aware_datetimes(spark, tmp_path):
     schema = spark.createDataFrame([], "t timestamp_ntz").schema
     got = literal_frame(spark, [(aware,), (dt.datetime(2026, 1, 1, 8),)], schema).collect()
     assert [r.t for r in got] == [dt.datetime(2026, 1, 1, 8)] * 2
+
+
+def test_literal_frame_zoned_timestamp_keeps_instant(spark):
+    import datetime as dt
+    from pyspark.sql.types import StructField, StructType, TimestampType
+    from strata.operators.layers import literal_frame
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        aware = dt.datetime(2026, 1, 1, 12, tzinfo=dt.timezone.utc)
+        df = literal_frame(spark, [(aware,)], StructType([StructField("t", TimestampType())]))
+        assert df.selectExpr("unix_timestamp(t) AS s").first().s == int(aware.timestamp())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
