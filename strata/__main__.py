@@ -3,8 +3,10 @@
     pipeline  --input CSV --output-dir DIR --ref-state-codes CSV [--run-id ID]
               [--null-value NA] [--safe-cast]
     publish   --input CSV --topic-dir DIR | --bootstrap-servers S --topic T [--max-records N]
+              [--null-value NA]
     consume   --topic-dir DIR | --bootstrap-servers S --topic T --output-dir DIR
-              --ref-state-codes CSV [--incremental --checkpoint DIR --schema-from CSV]
+              --ref-state-codes CSV [--incremental --checkpoint DIR] [--schema-from CSV]
+              [--null-value NA] [--safe-cast]
 
 Each job prints its result (layer paths and row counts) as one JSON line.
 The session is whatever ``spark-submit`` or the environment provides.
@@ -48,6 +50,7 @@ def main(argv: list[str] | None = None) -> int:
         q.add_argument("--topic")
     sub.choices["publish"].add_argument("--input", required=True)
     sub.choices["publish"].add_argument("--max-records", type=int)
+    sub.choices["publish"].add_argument("--null-value", help="missing-value token in the CSV")
     c = sub.choices["consume"]
     c.add_argument("--output-dir", required=True)
     c.add_argument("--ref-state-codes", required=True)
@@ -56,7 +59,12 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--checkpoint")
     c.add_argument("--schema-from", help="CSV whose inferred schema decodes the messages "
                                          "(default: inferred from the messages)")
+    c.add_argument("--null-value", help="missing-value token in the --schema-from CSV")
+    c.add_argument("--safe-cast", action="store_true",
+                   help="out-of-range measures become NULL instead of failing the run")
     args = parser.parse_args(argv)
+    if args.job == "consume" and args.incremental != bool(args.checkpoint):
+        parser.error("--incremental and --checkpoint go together")
 
     spark = get_session("strata-" + args.job)
     if args.job == "pipeline":
@@ -64,12 +72,15 @@ def main(argv: list[str] | None = None) -> int:
                               null_value=args.null_value, safe_cast=args.safe_cast)
         out = {k: {"path": v.path, "rows": v.rows} for k, v in layers.items()}
     elif args.job == "publish":
-        out = publish_csv(spark, args.input, _topic(args), max_records=args.max_records)
+        out = publish_csv(spark, args.input, _topic(args), max_records=args.max_records,
+                          null_value=args.null_value)
     else:
-        schema = read_csv(spark, args.schema_from).schema if args.schema_from else None
+        schema = read_csv(spark, args.schema_from, null_value=args.null_value).schema \
+            if args.schema_from else None
         layers = run_message_path(spark, _topic(args), args.output_dir, args.ref_state_codes,
                                   schema=schema, incremental=args.incremental,
-                                  checkpoint=args.checkpoint, run_id=args.run_id)
+                                  checkpoint=args.checkpoint, run_id=args.run_id,
+                                  safe_cast=args.safe_cast)
         out = {k: {"path": v.path, "rows": v.rows} for k, v in layers.items()}
     print(json.dumps(out))
     return 0

@@ -20,7 +20,7 @@ from strata.operators.quality import Rule, between, greater_than, not_null, uniq
 class Contract:
     schema: tuple[tuple[str, str, bool], ...]
     rules: tuple[Rule, ...]
-    max_delay_days: int | None
+    max_delay_days: float | None
 
 
 def _rule(entry: dict) -> Rule:
@@ -40,17 +40,41 @@ def _rule(entry: dict) -> Rule:
     raise ValueError(f"unknown rule: {name}")
 
 
+_TRUE, _FALSE = {"true", "yes", "1"}, {"false", "no", "0"}
+_DELAY_UNITS = {"day": 1.0, "hour": 1 / 24, "week": 7.0}
+
+
+def _flag(value, what: str) -> bool:
+    if isinstance(value, bool):
+        return value
+    text = str(value).strip().lower()
+    if text in _TRUE or text in _FALSE:
+        return text in _TRUE
+    raise ValueError(f"{what}: not a yes/no value: {value!r}")
+
+
+def _max_delay_days(text) -> float | None:
+    """'5 days after upstream source drop' -> 5.0; hours and weeks too."""
+    if text is None or str(text).strip() == "":
+        return None
+    m = re.match(r"\s*(\d+(?:\.\d+)?)\s*(day|hour|week)s?\b", str(text), re.IGNORECASE)
+    if not m:
+        raise ValueError(f"SLA.max_delay not understood: {text!r}")
+    return float(m.group(1)) * _DELAY_UNITS[m.group(2).lower()]
+
+
 def parse_contract(doc: dict) -> Contract:
     """Build a Contract from an already-parsed document."""
-    schema = tuple((c["name"], c["type"], bool(c.get("nullable", True)))
-                   for c in doc.get("schema", []))
+    from strata.operators.quality import contract_type
+
+    schema = []
+    for c in doc.get("schema", []):
+        type_name = str(c["type"]).strip().lower()
+        contract_type(type_name)   # unknown types fail here, not later
+        schema.append((c["name"], type_name, _flag(c.get("nullable", True), c["name"])))
     rules = tuple(_rule(r) for r in doc.get("quality_rules", []))
-    delay = None
-    sla = doc.get("SLA") or {}
-    m = re.match(r"\s*(\d+)\s+day", str(sla.get("max_delay", "")))
-    if m:
-        delay = int(m.group(1))
-    return Contract(schema=schema, rules=rules, max_delay_days=delay)
+    delay = _max_delay_days((doc.get("SLA") or {}).get("max_delay"))
+    return Contract(schema=tuple(schema), rules=rules, max_delay_days=delay)
 
 
 def load_contract(path: str) -> Contract:

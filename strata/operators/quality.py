@@ -7,12 +7,13 @@ a report are computed by a single ``agg`` over the data and come back as rows
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DataType, DateType, DoubleType, FloatType, IntegerType,
-                               LongType, StringType, TimestampNTZType, TimestampType)
+from pyspark.sql.types import (BooleanType, DataType, DateType, DecimalType, DoubleType, FloatType,
+                               IntegerType, LongType, StringType, TimestampNTZType, TimestampType)
 
 from strata.spec import BMI_MEAN_RANGE, GOLD_CONTRACT, MAX_DELAY_DAYS
 
@@ -84,6 +85,17 @@ _TYPE_NAMES: dict[str, DataType] = {
 }
 
 
+def contract_type(type_name: str) -> DataType:
+    """Spark type of a contract type name (case-insensitive; decimal(p,s) too)."""
+    name = type_name.strip().lower()
+    m = re.fullmatch(r"decimal\((\d+)\s*,\s*(\d+)\)", name)
+    if m:
+        return DecimalType(int(m.group(1)), int(m.group(2)))
+    if name not in _TYPE_NAMES:
+        raise ValueError(f"unknown contract type {type_name!r}")
+    return _TYPE_NAMES[name]
+
+
 def schema_report(df: DataFrame, contract=GOLD_CONTRACT) -> DataFrame:
     """Schema conformance: name present, type equal, nullability honoured.
 
@@ -92,19 +104,16 @@ def schema_report(df: DataFrame, contract=GOLD_CONTRACT) -> DataFrame:
     columns come from one aggregation.
     """
     fields = {f.name: f for f in df.schema.fields}
-    present = [name for name, _, _ in contract if name in fields]
-    if present:
-        counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in present])
-    else:
-        counts = df.agg(F.count(F.lit(1)).alias("__rows"))
+    # null counts by position, so repeated or dotted names cannot clash
+    aggs = [F.count_if(df[f"`{name}`"].isNull()).alias(f"__n{i}")
+            for i, (name, _, _) in enumerate(contract) if name in fields]
+    counts = df.agg(*aggs) if aggs else df.agg(F.count(F.lit(1)).alias("__rows"))
     rows = []
-    for name, type_name, nullable in contract:
+    for i, (name, type_name, nullable) in enumerate(contract):
         field = fields.get(name)
         actual = field.dataType.simpleString() if field else None
-        if type_name not in _TYPE_NAMES:
-            raise ValueError(f"unknown contract type {type_name!r} for {name}")
-        type_ok = field is not None and field.dataType == _TYPE_NAMES[type_name]
-        nulls = F.col(name).cast("long") if field is not None else F.lit(None).cast("long")
+        type_ok = field is not None and field.dataType == contract_type(type_name)
+        nulls = F.col(f"__n{i}").cast("long") if field is not None else F.lit(None).cast("long")
         null_ok = F.lit(True) if nullable else (F.coalesce(nulls, F.lit(0)) == 0)
         rows.append(F.struct(
             F.lit(name).alias("column_name"),
@@ -118,7 +127,7 @@ def schema_report(df: DataFrame, contract=GOLD_CONTRACT) -> DataFrame:
 
 
 def freshness_report(manifest: DataFrame, drop_col: str, written_col: str,
-                     max_delay_days: int = MAX_DELAY_DAYS) -> DataFrame:
+                     max_delay_days: float = MAX_DELAY_DAYS) -> DataFrame:
     """Freshness rule over a run manifest (one row per run).
 
     A run violates the rule when its layer was written more than
@@ -130,7 +139,7 @@ def freshness_report(manifest: DataFrame, drop_col: str, written_col: str,
     late = F.count_if(F.coalesce(seconds > max_delay_days * 86400, F.lit(True)))
     return manifest.agg(
         F.lit("ExpectDeliveryWithinDays").alias("rule"),
-        F.lit(f"{written_col}-{drop_col}<={max_delay_days}d").alias("target"),
+        F.lit(f"{written_col}-{drop_col}<={max_delay_days:g}d").alias("target"),
         F.count(F.lit(1)).alias("runs"),
         late.cast("long").alias("violations"),
         (F.max(seconds) / F.lit(86400.0)).alias("max_delay_days"),
@@ -145,7 +154,7 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 
 
 def run_freshness(manifest: DataFrame, layer: str = "gold",
-                  max_delay_days: int = MAX_DELAY_DAYS) -> DataFrame:
+                  max_delay_days: float = MAX_DELAY_DAYS) -> DataFrame:
     """Freshness of every run in a manifest, judged on one layer's write."""
     runs = manifest.filter(F.col("layer") == layer)
     return freshness_report(runs, "dropped_at", "written_at", max_delay_days)

@@ -92,8 +92,8 @@ def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output
                      incremental: bool = False, checkpoint: str | None = None,
                      run_id: str | None = None, normalize: bool = True,
                      spec: RefineSpec = SURVEY, mart: MartSpec = SURVEY_MART,
-                     manifest: str | None = None, dropped_at: dt.datetime | None = None
-                     ) -> dict[str, LayerResult]:
+                     manifest: str | None = None, dropped_at: dt.datetime | None = None,
+                     safe_cast: bool = False) -> dict[str, LayerResult]:
     """Topic -> Bronze -> Silver -> Gold.
 
     Bounded replay (default) rewrites Bronze from the whole topic and is
@@ -123,7 +123,7 @@ def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output
         ref = reference if isinstance(reference, DataFrame) else read_reference(
             spark, reference, mart.ref_key, mart.ref_value)
         layers = run_layers_incremental(spark, bronze, schema, output_dir, ref, checkpoint,
-                                        spec, mart, run_id)
+                                        spec, mart, run_id, safe_cast)
         if manifest is not None:
             if dropped_at is None:
                 raise ValueError("a manifest entry needs the source drop time")
@@ -134,4 +134,5 @@ def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output
         if schema is None:  # inferred: fields no message carried are absent
             rows = add_missing_columns(rows, spec.source_columns())
         bronze = run_bronze_frame(rows, output_dir, run_id)
-    return run_layers(spark, bronze, output_dir, reference, spec, mart, run_id, manifest, dropped_at)
+    return run_layers(spark, bronze, output_dir, reference, spec, mart, run_id, manifest, dropped_at,
+                      safe_cast)

@@ -18,7 +18,7 @@ def _survey_cte(measure: str = "l_quantity") -> str:
          WHEN l.l_orderkey % 23 = 0 THEN CAST(0 AS DOUBLE)
          ELSE l.{measure} * 100 END AS "_BMI5",
     CAST(round(l.l_tax * 100) AS INTEGER) AS "_TOTINDA",
-    CAST(l.l_quantity AS INTEGER) AS "_AGEG5YR",
+    CAST(trunc(l.l_quantity) AS INTEGER) AS "_AGEG5YR",
     CAST(round(l.l_discount * 100) AS INTEGER) AS "_RACE",
     l.l_returnflag AS "RETFLAG"
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey"""
@@ -119,7 +119,8 @@ def _schema_rows() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-_DELAY = "date_diff('second', dropped_at, written_at)"
+# elapsed whole seconds, truncated like Spark's timestamp_diff
+_DELAY = "(epoch_us(written_at) - epoch_us(dropped_at)) // 1000000"
 
 ORACLE_SQL: dict[str, str] = {
     "state_gold": _GOLD_SQL,

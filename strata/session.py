@@ -67,14 +67,19 @@ def shared_dir(spark: SparkSession, name: str, unique: bool = True) -> str:
     with ``unique=False`` the same one for the same name (callers overwrite it).
 
     The cluster names its shared folder in ``spark.checkpoint.dir``. Only when
-    that is unset (local tests) is a local folder chosen and registered, so
-    later ``checkpoint()`` calls land in the same place.
+    that is unset on a local master (tests) is a local folder chosen and
+    registered, so later ``checkpoint()`` calls land in the same place; on a
+    cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
     if base is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
+            if not sc.master.startswith("local"):
+                raise RuntimeError(
+                    "set spark.checkpoint.dir to a folder shared by all executors; "
+                    "a driver-local folder cannot hold data that executors write")
             configured = tempfile.mkdtemp(prefix="strata-ckpt-")
         sc.setCheckpointDir(configured)
         base = sc.getCheckpointDir()

@@ -181,14 +181,14 @@ def publish(df: DataFrame, target: KafkaTopic | FileTopic, max_records: int | No
 
 def publish_csv(spark: SparkSession, csv_path: str, target: KafkaTopic | FileTopic,
                 chunk_size: int = 10_000, max_records: int | None = None,
-                partitions: int | None = None) -> dict:
+                partitions: int | None = None, null_value: str | None = None) -> dict:
     """Publish a CSV file's rows as JSON messages, at most ``max_records`` of
     them, taken in file order. ``chunk_size`` only sizes the returned summary
     (the Spark writer batches by itself)."""
     from strata.operators.layers import ingest_summary
     from strata.sources.files import head_in_file_order, read_csv
 
-    rows = head_in_file_order(read_csv(spark, csv_path), max_records)
+    rows = head_in_file_order(read_csv(spark, csv_path, null_value=null_value), max_records)
     sent = publish(rows, target, partitions=partitions)
     return ingest_summary(sent["records_sent"], sent["topic"], chunk_size)
 

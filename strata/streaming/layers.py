@@ -33,12 +33,12 @@ from strata.streaming.ingest import StreamIngestResult, run_available_now
 
 def refine_incremental(spark: SparkSession, bronze_path: str, bronze_schema: StructType,
                        silver_path: str, checkpoint: str, spec: RefineSpec = SURVEY,
-                       max_files: int | None = None) -> StreamIngestResult:
+                       max_files: int | None = None, safe_cast: bool = False) -> StreamIngestResult:
     """Append the refined rows of Bronze files not seen before to Silver."""
     reader = spark.readStream.schema(bronze_schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    silver = refine(reader.parquet(bronze_path), spec) \
+    silver = refine(reader.parquet(bronze_path), spec, safe_cast=safe_cast) \
         .observe("silver_rows", F.count(F.lit(1)).alias("n"))
     writer = (silver.writeStream.format("parquet")
               .option("checkpointLocation", checkpoint)
@@ -102,7 +102,8 @@ def build_gold_from_aggregate(agg: DataFrame, reference: DataFrame, mart: MartSp
 def run_layers_incremental(spark: SparkSession, bronze: LayerResult, bronze_schema: StructType,
                            output_dir: str, reference: DataFrame, checkpoint_base: str,
                            spec: RefineSpec = SURVEY, mart: MartSpec = SURVEY_MART,
-                           run_id: str | None = None) -> dict[str, LayerResult]:
+                           run_id: str | None = None, safe_cast: bool = False
+                           ) -> dict[str, LayerResult]:
     """Silver and Gold brought up to date with only the new Bronze files.
 
     The layers are one continuously maintained set, so their paths do not
@@ -114,7 +115,7 @@ def run_layers_incremental(spark: SparkSession, bronze: LayerResult, bronze_sche
     silver_path = layer_path(output_dir, "silver")
     gold_path = layer_path(output_dir, "gold")
     silver = refine_incremental(spark, bronze.path, bronze_schema, silver_path,
-                                f"{checkpoint_base}/silver", spec)
+                                f"{checkpoint_base}/silver", spec, safe_cast=safe_cast)
     silver_schema = refine(literal_frame(spark, [], bronze_schema), spec).schema
     gold = gold_incremental(spark, silver_path, silver_schema, gold_path,
                             f"{checkpoint_base}/gold", reference, mart)

@@ -34,3 +34,11 @@ def test_cli_pipeline_publish_consume(spark, tmp_path, edge_frame, capsys):
           "--schema-from", src])
     b = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert b["bronze"]["rows"] == 9 and b["gold"]["rows"] == 4
+
+
+def test_cli_incremental_needs_checkpoint(capsys):
+    import pytest
+    with pytest.raises(SystemExit):
+        main(["consume", "--topic-dir", "/nonexistent", "--output-dir", "/x",
+              "--ref-state-codes", "/y", "--incremental"])
+    assert "go together" in capsys.readouterr().err

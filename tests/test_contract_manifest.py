@@ -76,3 +76,26 @@ def test_manifest_freshness(spark, tmp_path, edge_frame):
     rep = run_freshness(rows).first()
     assert (rep.runs, rep.violations, rep.passed) == (2, 1, False)
     assert 9.0 <= rep.max_delay_days < 9.1
+
+
+def test_contract_parsing_edges():
+    doc = {"schema": [{"name": "x", "type": "BIGINT", "nullable": "false"},
+                      {"name": "y", "type": "decimal(14, 6)", "nullable": "yes"}],
+           "SLA": {"max_delay": "36 hours"}}
+    c = parse_contract(doc)
+    assert c.schema == (("x", "bigint", False), ("y", "decimal(14, 6)", True))
+    assert c.max_delay_days == 1.5
+    for bad in ({"schema": [{"name": "x", "type": "long", "nullable": "maybe"}]},
+                {"schema": [{"name": "x", "type": "varchar2"}]},
+                {"SLA": {"max_delay": "soon"}}):
+        with pytest.raises(ValueError):
+            parse_contract(bad)
+
+
+def test_schema_report_repeated_and_dotted_names(spark):
+    from strata.operators.quality import schema_report
+    df = spark.createDataFrame([(1, None)], "`a.b` int, c string")
+    rows = schema_report(df, (("a.b", "int", False), ("c", "string", False),
+                              ("c", "string", True))).collect()
+    assert [(r.column_name, r.null_count, r.passed) for r in rows] == \
+        [("a.b", 0, True), ("c", 1, False), ("c", 1, True)]
