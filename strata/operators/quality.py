@@ -105,7 +105,7 @@ def schema_report(df: DataFrame, contract=GOLD_CONTRACT) -> DataFrame:
     """
     fields = {f.name: f for f in df.schema.fields}
     # null counts by position, so repeated or dotted names cannot clash
-    aggs = [F.count_if(df[f"`{name}`"].isNull()).alias(f"__n{i}")
+    aggs = [F.count_if(df["`" + name.replace("`", "``") + "`"].isNull()).alias(f"__n{i}")
             for i, (name, _, _) in enumerate(contract) if name in fields]
     counts = df.agg(*aggs) if aggs else df.agg(F.count(F.lit(1)).alias("__rows"))
     rows = []
@@ -136,10 +136,12 @@ def freshness_report(manifest: DataFrame, drop_col: str, written_col: str,
     the largest delay in (fractional) days.
     """
     seconds = F.timestamp_diff("SECOND", F.col(drop_col), F.col(written_col))
-    late = F.count_if(F.coalesce(seconds > max_delay_days * 86400, F.lit(True)))
+    limit = int(round(max_delay_days * 86400))   # whole seconds: 7 h is 25200, exactly
+    bound = f"{limit // 86400}d" if limit % 86400 == 0 else f"{limit / 3600:g}h"
+    late = F.count_if(F.coalesce(seconds > limit, F.lit(True)))
     return manifest.agg(
         F.lit("ExpectDeliveryWithinDays").alias("rule"),
-        F.lit(f"{written_col}-{drop_col}<={max_delay_days:g}d").alias("target"),
+        F.lit(f"{written_col}-{drop_col}<={bound}").alias("target"),
         F.count(F.lit(1)).alias("runs"),
         late.cast("long").alias("violations"),
         (F.max(seconds) / F.lit(86400.0)).alias("max_delay_days"),

@@ -99,3 +99,16 @@ def test_schema_report_repeated_and_dotted_names(spark):
                               ("c", "string", True))).collect()
     assert [(r.column_name, r.null_count, r.passed) for r in rows] == \
         [("a.b", 0, True), ("c", 1, False), ("c", 1, True)]
+
+
+def test_hour_delay_is_exact_and_backtick_names(spark):
+    import datetime as dt
+    from strata.operators.quality import freshness_report, schema_report
+    c = parse_contract({"SLA": {"max_delay": "7 hours"}})
+    d = dt.datetime
+    manifest = spark.createDataFrame([(d(2026, 1, 1), d(2026, 1, 1, 7))],
+                                     "dropped timestamp_ntz, written timestamp_ntz")
+    row = freshness_report(manifest, "dropped", "written", c.max_delay_days).first()
+    assert row.violations == 0 and row.target == "written-dropped<=7h"
+    df = spark.createDataFrame([(1,)], "`we``ird` int")
+    assert schema_report(df, (("we`ird", "int", False),)).first().passed
