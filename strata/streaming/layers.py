@@ -48,10 +48,15 @@ def refine_incremental(spark: SparkSession, bronze_path: str, bronze_schema: Str
                              metric="silver_rows")
 
 
+# Partitions of Gold's streaming state (one row per key, see gold_incremental).
+GOLD_STATE_PARTITIONS = 8
+
+
 def gold_incremental(spark: SparkSession, silver_path: str, silver_schema: StructType,
                      gold_path: str, checkpoint: str, reference: DataFrame,
                      mart: MartSpec = SURVEY_MART,
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> LayerResult:
+                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                     state_partitions: int = GOLD_STATE_PARTITIONS) -> LayerResult:
     """Fold new Silver rows into per-key state and rewrite Gold from it."""
     written: dict[str, int] = {}
     # The reference is measured once per run, not once per batch; when it is
@@ -77,8 +82,22 @@ def gold_incremental(spark: SparkSession, silver_path: str, silver_schema: Struc
               .option("checkpointLocation", checkpoint)
               .foreachBatch(write_batch)
               .trigger(availableNow=True))
+
+    def start():
+        # Gold state is one row per key and arrives partially aggregated, so a
+        # few state partitions fit any data size. The count is fixed in the
+        # checkpoint at first start (AQE cannot coalesce stateful stages);
+        # the session's own setting is restored once the query has started.
+        key = "spark.sql.shuffle.partitions"
+        before = spark.conf.get(key)
+        spark.conf.set(key, str(state_partitions))
+        try:
+            return writer.start()
+        finally:
+            spark.conf.set(key, before)
+
     try:
-        run_available_now(spark, writer.start, gold_path)
+        run_available_now(spark, start, gold_path)
     finally:
         if cached is not None:
             cached.unpersist()

@@ -165,3 +165,19 @@ def test_csv_null_token_and_safe_cast(spark, tmp_path):
     gold = {r.State_Code: (r.record_count, r.bmi_mean)
             for r in read_layer(spark, layers["gold"].path).collect()}
     assert gold == {1.0: (1, 25.12), 2.0: (0, None)}
+
+
+def test_gold_state_partitions_fixed_small(spark, tmp_path, edge_frame):
+    """Gold's streaming state uses a few partitions whatever the session's
+    shuffle setting, which is left as it was."""
+    import glob
+    _, ref = _write_inputs(spark, tmp_path, edge_frame)
+    topic = FileTopic(str(tmp_path / "topic"))
+    publish(edge_frame, topic)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    ckpt = str(tmp_path / "ck")
+    run_message_path(spark, topic, str(tmp_path / "i"), ref, schema=edge_frame.schema,
+                     incremental=True, checkpoint=ckpt)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    parts = [p for p in glob.glob(ckpt + "/gold/state/0/*") if p.rsplit("/", 1)[1].isdigit()]
+    assert len(parts) == 8
