@@ -62,6 +62,8 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--null-value", help="missing-value token in the --schema-from CSV")
     c.add_argument("--safe-cast", action="store_true",
                    help="out-of-range measures become NULL instead of failing the run")
+    c.add_argument("--max-per-batch", type=int,
+                   help="bound each incremental micro-batch (offsets or files)")
     args = parser.parse_args(argv)
     if args.job == "consume" and args.incremental != bool(args.checkpoint):
         parser.error("--incremental and --checkpoint go together")
@@ -80,7 +82,7 @@ def main(argv: list[str] | None = None) -> int:
         layers = run_message_path(spark, _topic(args), args.output_dir, args.ref_state_codes,
                                   schema=schema, incremental=args.incremental,
                                   checkpoint=args.checkpoint, run_id=args.run_id,
-                                  safe_cast=args.safe_cast)
+                                  safe_cast=args.safe_cast, max_per_batch=args.max_per_batch)
         out = {k: {"path": v.path, "rows": v.rows} for k, v in layers.items()}
     print(json.dumps(out))
     return 0

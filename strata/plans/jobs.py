@@ -93,7 +93,8 @@ def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output
                      run_id: str | None = None, normalize: bool = True,
                      spec: RefineSpec = SURVEY, mart: MartSpec = SURVEY_MART,
                      manifest: str | None = None, dropped_at: dt.datetime | None = None,
-                     safe_cast: bool = False) -> dict[str, LayerResult]:
+                     safe_cast: bool = False, max_per_batch: int | None = None
+                     ) -> dict[str, LayerResult]:
     """Topic -> Bronze -> Silver -> Gold.
 
     Bounded replay (default) rewrites Bronze from the whole topic and is
@@ -104,7 +105,9 @@ def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output
     costs what arrived since the last one. These layers are one maintained
     set under ``output_dir`` (no run id in their paths; the run id goes to
     the manifest). Row counts reported for Bronze and Silver are the rows
-    added by this run.
+    added by this run. ``max_per_batch`` bounds each micro-batch (offsets for
+    Kafka, files for a file topic and for Bronze), so a large backlog is
+    drained in committed steps rather than one batch.
     """
     if incremental:
         if checkpoint is None:
@@ -118,12 +121,13 @@ def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output
                 return empty
         # one continuously maintained layer set: no run id in the paths
         path = layer_path(output_dir, "bronze")
-        result = ingest_incremental(spark, source, schema, path, f"{checkpoint}/bronze", normalize)
+        result = ingest_incremental(spark, source, schema, path, f"{checkpoint}/bronze", normalize,
+                                    max_per_batch)
         bronze = LayerResult(path=path, rows=result.rows)
         ref = reference if isinstance(reference, DataFrame) else read_reference(
             spark, reference, mart.ref_key, mart.ref_value)
         layers = run_layers_incremental(spark, bronze, schema, output_dir, ref, checkpoint,
-                                        spec, mart, run_id, safe_cast)
+                                        spec, mart, run_id, safe_cast, max_per_batch)
         if manifest is not None:
             if dropped_at is None:
                 raise ValueError("a manifest entry needs the source drop time")

@@ -121,8 +121,8 @@ def build_gold_from_aggregate(agg: DataFrame, reference: DataFrame, mart: MartSp
 def run_layers_incremental(spark: SparkSession, bronze: LayerResult, bronze_schema: StructType,
                            output_dir: str, reference: DataFrame, checkpoint_base: str,
                            spec: RefineSpec = SURVEY, mart: MartSpec = SURVEY_MART,
-                           run_id: str | None = None, safe_cast: bool = False
-                           ) -> dict[str, LayerResult]:
+                           run_id: str | None = None, safe_cast: bool = False,
+                           max_files: int | None = None) -> dict[str, LayerResult]:
     """Silver and Gold brought up to date with only the new Bronze files.
 
     The layers are one continuously maintained set, so their paths do not
@@ -134,7 +134,8 @@ def run_layers_incremental(spark: SparkSession, bronze: LayerResult, bronze_sche
     silver_path = layer_path(output_dir, "silver")
     gold_path = layer_path(output_dir, "gold")
     silver = refine_incremental(spark, bronze.path, bronze_schema, silver_path,
-                                f"{checkpoint_base}/silver", spec, safe_cast=safe_cast)
+                                f"{checkpoint_base}/silver", spec, max_files=max_files,
+                                safe_cast=safe_cast)
     silver_schema = refine(literal_frame(spark, [], bronze_schema), spec).schema
     gold = gold_incremental(spark, silver_path, silver_schema, gold_path,
                             f"{checkpoint_base}/gold", reference, mart)

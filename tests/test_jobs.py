@@ -181,3 +181,16 @@ def test_gold_state_partitions_fixed_small(spark, tmp_path, edge_frame):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     parts = [p for p in glob.glob(ckpt + "/gold/state/0/*") if p.rsplit("/", 1)[1].isdigit()]
     assert len(parts) == 8
+
+
+def test_incremental_drains_in_bounded_batches(spark, tmp_path, edge_frame):
+    from tests.test_marts import GOLD_EDGE as want
+    _, ref = _write_inputs(spark, tmp_path, edge_frame)
+    topic = FileTopic(str(tmp_path / "topic"))
+    for i in range(3):   # three publishes -> several topic files
+        publish(edge_frame.limit(3) if i < 2 else edge_frame, topic)
+    layers = run_message_path(spark, topic, str(tmp_path / "i"), ref, schema=edge_frame.schema,
+                              incremental=True, checkpoint=str(tmp_path / "ck"), max_per_batch=1)
+    assert layers["bronze"].rows == 3 + 3 + 9
+    assert read_layer(spark, layers["silver"].path).count() == layers["silver"].rows
+    assert layers["gold"].rows == len(want)
