@@ -65,3 +65,12 @@ def test_query_matches_sql(spark, con, key):
 def test_queries_run_on_smallest_scale(spark):
     for key, fn in entry.queries().items():
         assert fn(spark, SF_SMALL).count() >= 0, key
+
+
+def test_query_schemas_do_not_depend_on_scale(spark):
+    """The driver checks for a stable schema: inferred types must not change
+    with the data size."""
+    for key, fn in entry.queries().items():
+        small = [(f.name, f.dataType.simpleString()) for f in fn(spark, SF_SMALL).schema.fields]
+        large = [(f.name, f.dataType.simpleString()) for f in fn(spark, SF_ORACLE).schema.fields]
+        assert small == large, key
