@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+import strata
 from strata.session import shared_dir
 
 #: Words of the contracts: runs of anything but ASCII white space.
@@ -13,6 +18,32 @@ WORD = r"[^\x20\x09-\x0D]+"
 PARTS = 1024
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once an application (Spark's file server copies it)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.abspath(strata.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="strata-"), "strata.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole documents table."""
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

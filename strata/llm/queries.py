@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm.mixing import op10_mix
+from strata.llm.packing import op2_pack
+from strata.llm.quality import op8_quality
+from strata.llm.secrets import op1_secrets
 from strata.llm.sharding import op4_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
+    "op2_pack": op2_pack,
     "op4_shards": op4_shards,
+    "op8_quality": op8_quality,
     "op10_mix": op10_mix,
 }
 

@@ -103,10 +103,15 @@ def words(chunk: Chunk, lower: bool = False, codes: bool = True) -> Words:
     bounds = np.searchsorted(starts, chunk.offsets)
     if not codes:
         return Words(starts, ends, bounds, np.empty(0, np.uint64))
+    return Words(starts, ends, bounds, span_codes(LOWER[data] if lower else data, starts, ends))
+
+
+def span_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit codes of the bytes of each span."""
+    n = len(data)
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTES[LOWER[data] if lower else data] * _power(_BASE, n), out=sums[1:])
-    got = (sums[ends] - sums[starts]) * _power(_INVERSE, n + 1)[starts] if n else np.empty(0, np.uint64)
-    return Words(starts, ends, bounds, mix(got))
+    np.cumsum(_BYTES[data] * _power(_BASE, n), out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * _power(_INVERSE, n + 1)[starts])
 
 
 def grams(codes: np.ndarray, n: int) -> np.ndarray:
