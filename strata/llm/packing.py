@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import documents, map_arrow, prefix_sum, stored
 from strata.llm.sharding import best_fit_decreasing
-from strata.llm.words import Chunk, chunks, words
+from strata.llm.words import LOWER, Chunk, chunks, mix, span_codes, words
 
 #: Tokens of a sequence; tokens that a length class spans; the id that ends a document.
 LENGTH = 2048
@@ -32,7 +32,7 @@ END_ID = 1
 #: Share of sequences within which the linear program's optimum must be known.
 SLACK = 0.0002
 #: Words whose ids a worker keeps.
-KNOWN = 400_000
+KNOWN = 1_500_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -54,44 +54,75 @@ class WordIds:
 
     def forget(self) -> None:
         self.codes = np.empty(0, np.uint64)
-        self.starts = np.empty(0, np.int64)
-        self.sizes = np.empty(0, np.int64)
-        self.flat = np.empty(0, np.uint32)
+        self.places = np.empty(0, np.int64)  # first id << 24 | number of ids
+        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
 
     def learn(self, codes: np.ndarray, texts: list[str]) -> None:
-        ids = [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        sizes = np.array([len(x) for x in ids], np.int64)
-        starts = len(self.flat) + np.cumsum(sizes) - sizes
-        self.flat = np.concatenate([self.flat, np.array([i for x in ids for i in x], np.uint32)])
-        codes = np.concatenate([self.codes, codes])
-        order = np.argsort(codes, kind="stable")
-        self.codes = codes[order]
-        self.starts = np.concatenate([self.starts, starts])[order]
-        self.sizes = np.concatenate([self.sizes, sizes])[order]
+        """``codes`` must rise."""
+        ids = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        new = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
+        while self.used + len(new) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty(len(self.flat), np.uint32)])
+        self.flat[self.used:self.used + len(new)] = new
+        places = (self.used + np.cumsum(sizes) - sizes << 24) + sizes
+        self.used += len(new)
+        at = np.searchsorted(self.codes, codes)
+        self.codes = np.insert(self.codes, at, codes)
+        self.places = np.insert(self.places, at, places)
 
     def ids(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a chunk, and the number of ids before each document (one more entry than documents)."""
-        w = words(chunk)
-        if not len(w.codes):
-            return np.empty(0, np.uint32), np.zeros(len(w.bounds), np.int64)
-        codes, first, each = np.unique(w.codes, return_index=True, return_inverse=True)
-        if len(self.codes) + len(codes) > KNOWN:
-            self.forget()
+        w = words(chunk, codes=False)
+        starts, ends = split_marks(chunk.data, w.starts, w.ends)
+        bounds = np.searchsorted(starts, chunk.offsets)
+        if not len(starts):
+            return np.empty(0, np.uint32), np.zeros(len(bounds), np.int64)
+        each_code = lower_codes(chunk.data, starts, ends)
+        codes, first, each = np.unique(each_code, return_index=True, return_inverse=True)
         at = np.searchsorted(self.codes, codes)
         new = np.ones(len(codes), bool)
         old = at < len(self.codes)
         new[old] = self.codes[at[old]] != codes[old]
         if new.any():
+            if len(self.codes) + new.sum() > KNOWN:
+                self.forget()
+                new[:] = True
             raw = chunk.data.tobytes()
             where = first[new]
-            self.learn(codes[new], [raw[s:e].decode() for s, e in
-                                    zip(w.starts[where].tolist(), w.ends[where].tolist())])
+            self.learn(codes[new], [raw[s:e].decode() for s, e in zip(starts[where].tolist(), ends[where].tolist())])
             at = np.searchsorted(self.codes, codes)
-        at = at[each]
-        sizes = self.sizes[at]
+        place = self.places[at][each]
+        sizes = place & 0xFFFFFF
         before = np.concatenate([[0], np.cumsum(sizes)])
-        flat = self.flat[np.repeat(self.starts[at] - before[:-1], sizes) + np.arange(before[-1])]
-        return flat, before[w.bounds]
+        flat = self.flat[np.repeat((place >> 24) - before[:-1], sizes) + np.arange(before[-1])]
+        return flat, before[bounds]
+
+
+def split_marks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cuts a last ``.`` or ``,`` off words in which a letter comes before it: the tokenizer cuts there
+    too, and fewer different words are left. Letters here: ASCII ones and U+00C0 to U+017F, but for
+    U+0130, which the tokenizer turns into a letter and a mark."""
+    last, before = data[ends - 1], data[np.maximum(ends - 2, 0)]
+    lead = data[np.maximum(ends - 3, 0)]
+    long_enough = ends - starts
+    letter = ((before | 32) >= 97) & ((before | 32) <= 122) & (before < 128) & (long_enough > 1)
+    letter |= (lead >= 0xC3) & (lead <= 0xC5) & (long_enough > 2) & (before >= 128) & (before < 192) \
+        & ~((lead == 0xC3) & ((before == 0x97) | (before == 0xB7))) & ~((lead == 0xC4) & (before == 0xB0))
+    cut = ends[letter & ((last == 44) | (last == 46))] - 1
+    all_starts, all_ends = np.concatenate([starts, cut]), np.concatenate([ends, cut])
+    return np.sort(all_starts), np.sort(all_ends)
+
+
+def lower_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Codes of words whatever the case of ASCII letters, for which the tokenizer does not care; words
+    with a bar may hold a special token and keep their case."""
+    codes = span_codes(LOWER[data], starts, ends)
+    bars = np.concatenate([[0], np.cumsum(data == 124)])
+    barred = bars[ends] > bars[starts]
+    if barred.any():
+        codes[barred] = mix(span_codes(data, starts[barred], ends[barred]) + np.uint64(1))
+    return codes
 
 
 _workers: dict[str, WordIds] = {}
