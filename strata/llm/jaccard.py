@@ -296,8 +296,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     order = F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row"))
     first = rows.groupBy("_component").agg(F.min(order).alias("_first"))
     gone = rows.join(first, "_component").where(F.col("_first._row") != F.col("_row")).select("_row")
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    return numbered.join(gone, "_row", "left_anti").select(*docs.columns)
+    numbered = docs.select(F.struct("*").alias("_doc"), F.monotonically_increasing_id().alias("_row"))
+    return numbered.join(gone, "_row", "left_anti").select("_doc.*")
 
 
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -117,7 +117,7 @@ def _delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=kept + ["_kept", "_n_lines", "_n_removed", "_longest_run"])
 
 
-def delete_repeats(docs: DataFrame, keep: list[str], lone_words: int = LONE_WORDS) -> DataFrame:
+def delete_repeats(docs: DataFrame, keep: list[str | Column], lone_words: int = LONE_WORDS) -> DataFrame:
     """The ``keep`` columns of each row of ``docs`` with _kept (its text without later copies of line
     runs), _n_lines, _n_removed and _longest_run.
 
@@ -138,11 +138,13 @@ def delete_repeats(docs: DataFrame, keep: list[str], lone_words: int = LONE_WORD
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with shortened texts (and n_chars, if there), less the rows that lost all their lines."""
     others = [c for c in docs.columns if c != "text"]
-    out = delete_repeats(docs, others).where((F.col("_n_removed") == 0) | (F.col("_n_removed") < F.col("_n_lines")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("_kept").cast(docs.schema["n_chars"].dataType))
-                             .otherwise(F.col("n_chars")))
-    return out.withColumn("text", F.col("_kept")).select(*docs.columns)
+    out = delete_repeats(docs, [F.struct(*others).alias("_doc")]) \
+        .where((F.col("_n_removed") == 0) | (F.col("_n_removed") < F.col("_n_lines")))
+    new = {"text": F.col("_kept")}
+    if "n_chars" in others:
+        new["n_chars"] = F.when(F.col("_n_removed") > 0, F.length("_kept").cast(docs.schema["n_chars"].dataType)) \
+            .otherwise(F.col("_doc.n_chars"))
+    return out.select(*(new.get(c, F.col("_doc")[c]).alias(c) for c in docs.columns))
 
 
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
