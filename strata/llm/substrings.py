@@ -3,11 +3,13 @@
 Word windows that occur in an earlier document are found by streaming documents through suffix
 automata of earlier text. One automaton of the whole corpus fits no task, and sending every shard to
 every document is quadratic, so the reference is sharded by content: each window of ``SPAN`` words
-elects the least of its short word grams as its anchor (equal windows elect equal anchors), anchors of
-one document only are dropped, and the text around each other anchor goes to the shard of that anchor.
-In a shard the texts come by doc_id; each is streamed through the automaton of the texts of smaller
-doc_ids for its matching statistics, maximal spans of at least ``SPAN`` words are noted, and the text
-is added. A shard of very many texts is split further by the whole window.
+elects the least of its short word grams as its anchor (equal windows elect equal anchors), and the
+text of the windows around an anchor goes to that anchor's shard. Anchors of one row only are left
+out by a bitmap of fixed size. A text that an earlier document of the same task or shard holds as a
+whole is removed as a whole; the first copies of a shard's texts, by doc_id, are streamed through the
+automaton of the texts of smaller doc_ids for their matching statistics, maximal spans of at least
+``SPAN`` words are noted, and the text is added. A shard of very many different texts is split by
+whole windows.
 """
 
 from __future__ import annotations
@@ -21,14 +23,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import documents, map_arrow, stored
-from strata.llm.words import Chunk, Words, chunks, grams, whole, words
+from strata.llm.words import Chunk, Words, chunks, grams, mix, run_codes, whole, words
 
 #: Words of a window, and of the grams among which it elects its anchor.
 SPAN, GRAM = 13, 3
 #: Grams with fewer bytes are elected only where there is no longer one.
 LONG = 14
-#: Texts of one anchor from which its shard is split by window.
+#: Different texts of one anchor above which its shard is split by window.
 MANY = 2000
+#: Bits of the map of shared anchors that goes to the tasks.
+MAP_BITS = 27
+#: Texts that a task remembers.
+KNOWN = 1_000_000
 _CHOICES = SPAN - GRAM + 1
 
 
@@ -110,145 +116,194 @@ def _elect(chunk: Chunk, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys, least, np.flatnonzero(whole(w.bounds, SPAN))
 
 
+def _elected(keys: np.ndarray, least: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Elected grams, and the first and last window that elected each (they form one run)."""
+    low, high = np.full(len(keys), len(keys)), np.full(len(keys), -1)
+    for j in range(_CHOICES if len(windows) else 0):
+        hit = windows[keys[windows + j] == least[windows]]
+        low[hit + j] = np.minimum(low[hit + j], hit)
+        high[hit + j] = np.maximum(high[hit + j], hit)
+    at = np.flatnonzero(high >= 0)
+    return at, low[at], high[at]
+
+
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(anchor, _row, at): anchors of all windows."""
+    """(anchor, _row): the anchors of each row."""
     for batch in batches:
         row = batch.column("_row").to_numpy()
         for chunk in chunks(batch.column("_text")):
             w = words(chunk)
             keys, least, windows = _elect(chunk, w)
-            chosen = np.zeros(len(keys), bool)
-            for j in range(_CHOICES if len(windows) else 0):
-                hit = windows[keys[windows + j] == least[windows]]
-                chosen[hit + j] = True
-            at = np.flatnonzero(chosen)
+            at, _, _ = _elected(keys, least, windows)
             doc = np.searchsorted(w.bounds, at, "right") - 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[at].view(np.int64)), pa.array(row[chunk.first + doc]),
-                 pa.array((at - w.bounds[doc]).astype(np.int32))], names=["anchor", "_row", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[at].view(np.int64)), pa.array(row[chunk.first + doc])],
+                                             names=["anchor", "_row"])
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (anchor, _row): those of anchors in two rows or more, marked if there are many."""
-    held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)]
-    many = None  # an anchor known to have many rows
-
-    def out(cols, mark):
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols] + [pa.array(mark)],
-                                          names=["anchor", "_row", "at", "many"])
-
-    def close(cols, many):
-        anchor, row, _ = cols
-        if not len(anchor):
-            return
-        first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-        size = np.diff(np.concatenate([first, [len(anchor)]]))
-        last = first + size - 1
-        keep = np.repeat((row[first] != row[last]) | (anchor[first] == many if many is not None else False), size)
-        if keep.any():
-            mark = np.repeat((size > MANY) | (anchor[first] == many if many is not None else False), size)
-            yield out([c[keep] for c in cols], mark[keep])
-
+    """Rows come sorted by (anchor, _row): the anchors of two rows or more (now and then one twice)."""
+    last = None
     for batch in batches:
-        held = [np.concatenate([h, batch.column(n).to_numpy()]) for h, n in zip(held, ("anchor", "_row", "at"))]
-        if not len(held[0]):
+        anchor, row = batch.column("anchor").to_numpy(), batch.column("_row").to_numpy()
+        if not len(anchor):
             continue
-        cut = int(np.searchsorted(held[0], held[0][-1]))
-        yield from close([h[:cut] for h in held], many)
-        held = [h[cut:] for h in held]
-        if many is not None and held[0][0] != many:
-            many = None
-        if len(held[0]) > 20 * MANY and (many is not None or held[1][0] != held[1][-1]):
-            many = int(held[0][0])
-            yield out(held, np.ones(len(held[0]), bool))
-            held = [h[:0] for h in held]
-    yield from close(held, many)
-
-
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(shard, _id, _row, first, words): the text of the windows that elected a shared anchor; for an
-    anchor of many rows each window by itself."""
-    for batch in batches:
-        row, ident, found = batch.column("_row").to_numpy(), batch.column("_id").to_numpy(), batch.column("_anchors")
-        lists = found.flatten()
-        ends = np.concatenate([[0], np.cumsum(found.value_lengths().to_numpy())])
-        all_at, all_many = lists.field("at").to_numpy(), lists.field("many").to_numpy(zero_copy_only=False)
-        for chunk in chunks(batch.column("_text")):
-            w = words(chunk)
-            keys, least, windows = _elect(chunk, w)
-            shard, owner, first, text = [], [], [], []
-            if len(windows):
-                of = np.repeat(np.arange(chunk.first, chunk.last), np.diff(ends[chunk.first:chunk.last + 1]))
-                base = w.bounds[of - chunk.first]
-                span = slice(ends[chunk.first], ends[chunk.last])
-                at = base + all_at[span]
-                ok = np.zeros(len(w.codes), bool)
-                ok[windows] = True
-                # windows that elected gram p form one run among those that hold it
-                lo, hi = np.full(len(at), -1), np.full(len(at), -1)
-                for j in range(_CHOICES):
-                    i = at - j
-                    good = (i >= 0) & ok[np.maximum(i, 0)]
-                    good[good] = least[i[good]] == keys[at[good]]
-                    hi = np.where(good & (hi < 0), i, hi)
-                    lo = np.where(good, i, lo)
-                raw = chunk.data.tobytes()
-                full = grams(w.codes, SPAN)
-                for p, a, b, d, m, o in zip(at.tolist(), lo.tolist(), hi.tolist(), of.tolist(), all_many[span].tolist(),
-                                            base.tolist()):
-                    if a < 0:
-                        continue
-                    if m:
-                        for i in range(a, b + 1):
-                            shard.append(int(full[i]))
-                            owner.append(d)
-                            first.append(i - o)
-                            text.append(raw[w.starts[i]:w.ends[i + SPAN - 1]])
+        if last is not None:
+            anchor, row = np.concatenate([[last[0]], anchor]), np.concatenate([[last[1]], row])
+        last = anchor[-1], row[-1]
+        found = anchor[1:][(anchor[1:] == anchor[:-1]) & (row[1:] != row[:-1])]
+        found = found[np.concatenate([[True], found[1:] != found[:-1]])] if len(found) else found
+        yield pa.RecordBatch.from_arrays([pa.array(found)], names=["anchor"])
+
+
+def _anchor_map(anchors: DataFrame) -> np.ndarray:
+    """A bit map of the anchors modulo 2**MAP_BITS: 16 MB, however many anchors there are."""
+    slot = F.col("anchor").bitwiseAND(F.lit((1 << MAP_BITS) - 1).cast("long"))
+    bits = anchors.select(F.shiftrightunsigned(slot, 6).alias("_word"), F.call_function(
+        "shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63).cast("long")).cast("int")).alias("_bit")) \
+        .groupBy("_word").agg(F.bit_or("_bit").alias("_bits")).toArrow()
+    out = np.zeros(1 << (MAP_BITS - 6), np.uint64)
+    out[bits.column("_word").to_numpy()] = bits.column("_bits").to_numpy().view(np.uint64)
+    return out
+
+
+TEXTS = "shard long, code long, _id long, _row long, first int, last int, words binary"
+
+
+def _texts(shared: np.ndarray):
+    """Rows of TEXTS: the text of the windows that elected a shared anchor. A text that this task has
+    met in a smaller _id is no longer needed: its span is passed on as found (NULL code), joined with
+    its neighbours. Of other texts the first of a task carries the words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, int] = {}
+        for batch in batches:
+            row, ident = batch.column("_row").to_numpy(), batch.column("_id").to_numpy()
+            for chunk in chunks(batch.column("_text")):
+                w = words(chunk)
+                keys, least, windows = _elect(chunk, w)
+                at, low, high = _elected(keys, least, windows)
+                slot = (keys[at] & np.uint64((1 << MAP_BITS) - 1)).astype(np.int64)
+                keep = (shared[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
+                at, low, high = at[keep], low[keep], high[keep]
+                if not len(at):
+                    continue
+                stop = high + SPAN
+                code = run_codes(w.codes, low, stop) ^ (stop - low).astype(np.uint64)
+                doc = np.searchsorted(w.bounds, at, "right") - 1
+                ids = ident[chunk.first + doc]
+                new, bare, done = [], [], []
+                for k, (x, d) in enumerate(zip((mix(code) ^ keys[at]).tolist(), ids.tolist())):
+                    m = known.get(x)
+                    if m is None:
+                        known[x] = d
+                        new.append(k)
+                    elif d > m:
+                        done.append(k)
                     else:
-                        shard.append(int(keys[p]))
-                        owner.append(d)
-                        first.append(a - o)
-                        text.append(raw[w.starts[a]:w.ends[b + SPAN - 1]])
-            owner = np.array(owner, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(shard, np.uint64).view(np.int64)), pa.array(ident[owner]), pa.array(row[owner]),
-                 pa.array(first, pa.int32()), pa.array(text, pa.binary())],
-                names=["shard", "_id", "_row", "first", "words"])
-
-
-def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (shard, _id): (_row, first, last) spans found in texts of smaller _ids."""
-    shard = ident = None
-    automaton, known, waiting, fresh = SuffixAutomaton(), set(), [], []
-    for batch in batches:
-        rows, starts, stops = [], [], []
-        for s, d, r, f, raw in zip(batch.column("shard").to_pylist(), batch.column("_id").to_pylist(),
-                                   batch.column("_row").to_pylist(), batch.column("first").to_pylist(),
-                                   batch.column("words").to_pylist()):
-            sequence = raw.split()
-            if s != shard:
-                shard, ident = s, d
-                automaton, known, waiting, fresh = SuffixAutomaton(), set(), [], []
-            elif d != ident:
-                ident = d
-                known.update(map(tuple, fresh))
-                waiting += fresh
-                fresh = []
-            key = tuple(sequence)
-            if key in known:
-                spans = [(0, len(sequence))]
-            else:
-                for text in waiting:  # the automaton grows when a text differs from those known
-                    automaton.add(text)
-                waiting = []
-                spans = automaton.spans(sequence, SPAN) if automaton.texts else []
-                fresh.append(sequence)
-            for a, b in spans:
-                rows.append(r)
-                starts.append(f + a)
-                stops.append(f + b)
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(starts, pa.int32()),
-                                          pa.array(stops, pa.int32())], names=["_row", "first", "last"])
+                        known[x] = d
+                        bare.append(k)
+                if len(known) > KNOWN:
+                    known.clear()
+                raw = chunk.data.tobytes()
+                first = low - w.bounds[doc]
+                texts = [raw[a:b] for a, b in zip(w.starts[low[new]].tolist(), w.ends[stop[new] - 1].tolist())]
+                some = np.array(new + bare, np.int64)
+                out = [keys[at[some]].view(np.int64), code[some].view(np.int64), ids[some], row[chunk.first + doc[some]],
+                       first[some], (first + stop - low)[some]]
+                done = np.array(done, np.int64)
+                if len(done):
+                    # spans of one document that touch become one
+                    cut = np.flatnonzero(np.concatenate([[True], (doc[done[1:]] != doc[done[:-1]])
+                                                         | (low[done[1:]] > stop[done[:-1]])]))
+                    end = np.concatenate([cut[1:], [len(done)]]) - 1
+                    rows = row[chunk.first + doc[done[cut]]]
+                    found = [mix(rows.astype(np.uint64)).view(np.int64), None, ids[done[cut]], rows, first[done[cut]],
+                             (first + stop - low)[done[end]]]
+                    yield _text_batch(found, [None] * len(cut))
+                yield _text_batch(out, texts + [None] * len(bare))
+    return run
+
+
+def _text_batch(columns: list, texts: list) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    arrays = [pa.nulls(len(texts), t) if c is None else pa.array(c, t) for c, t in zip(columns, kinds)]
+    return pa.RecordBatch.from_arrays([*arrays, pa.array(texts, pa.binary())],
+                                      names=["shard", "code", "_id", "_row", "first", "last", "words"])
+
+
+FOUND = "_row long, first int, last int, shard long, window long, _id long"
+
+
+def _match(many: int):
+    """Rows of TEXTS come sorted by (shard, code, _id): rows of FOUND. Spans have no shard; a row with one
+    is a window of a shard with too many texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = code = None
+        texts: list[tuple[int, list[bytes], list]] = []  # smallest _id, words, its (row, first)
+        least, sequence, owners, crowded = 0, None, [], False
+        out: list[tuple] = []
+
+        def split(least, sequence, owners):
+            for i in range(len(sequence) - SPAN + 1):
+                window = int.from_bytes(hashlib.blake2b(b" ".join(sequence[i:i + SPAN]), digest_size=8).digest(),
+                                        "little", signed=True)
+                out.extend((r, f + i, f + i + SPAN, shard, window, least) for r, f in owners)
+
+        def end_text():
+            nonlocal crowded
+            if sequence is None:
+                return
+            texts.append((least, sequence, owners))
+            if crowded or len(texts) > many:
+                crowded = True
+                for t in texts:
+                    split(*t)
+                texts.clear()
+
+        def end_shard():
+            if len(texts) > 1:
+                texts.sort(key=lambda t: t[0])
+                automaton, waiting = SuffixAutomaton(), []
+                for k, (d, words_, rows) in enumerate(texts):
+                    if k and d != texts[k - 1][0]:
+                        for t in waiting:
+                            automaton.add(t)
+                        waiting = []
+                    if automaton.texts:
+                        spans = automaton.spans(words_, SPAN)
+                        out.extend((r, f + a, f + b, None, None, None) for r, f in rows for a, b in spans)
+                    waiting.append(words_)
+            texts.clear()
+
+        for batch in batches:
+            for s, c, d, r, a, b, raw in zip(*(batch.column(n).to_pylist() for n in batch.schema.names)):
+                if c is None:
+                    out.append((r, a, b, None, None, None))
+                    continue
+                if s != shard or c != code:
+                    end_text()
+                    if s != shard:
+                        end_shard()
+                        shard, crowded = s, False
+                    code, least, sequence, owners = c, d, None, []
+                if raw is not None and sequence is None:
+                    sequence = raw.split()
+                if d == least:
+                    owners.append((r, a))
+                else:
+                    out.append((r, a, b, None, None, None))
+            yield _found(out)
+            out.clear()
+        end_text()
+        end_shard()
+        yield _found(out)
+    return run
+
+
+def _found(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+    columns = list(zip(*rows)) if rows else [()] * 6
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
+                                      names=["_row", "first", "last", "shard", "window", "_id"])
 
 
 def _removed(count: int, spans: list | None) -> np.ndarray:
@@ -276,19 +331,21 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["_row", "doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(docs: DataFrame, many: int = MANY) -> DataFrame:
     """(_row, first, last): spans of words of each row covered by windows of an earlier document.
 
     ``docs`` must be a table scan: its rows are numbered anew in each pass.
     """
     rows = numbered(docs).where("_id is not null")
-    anchors = map_arrow(rows.select("_row", "_text"), _anchors, "anchor long, _row long, at int")
-    shared = map_arrow(anchors.repartition("anchor").sortWithinPartitions("anchor", "_row"), _shared,
-                       "anchor long, _row long, at int, many boolean")
-    by_row = shared.groupBy("_row").agg(F.collect_list(F.struct("at", "many")).alias("_anchors"))
-    texts = map_arrow(rows.join(by_row, "_row"), _texts, "shard long, _id long, _row long, first int, words binary")
-    return map_arrow(texts.repartition("shard").sortWithinPartitions("shard", "_id"), _match,
-                     "_row long, first int, last int")
+    anchors = map_arrow(rows.select("_row", "_text"), _anchors, "anchor long, _row long")
+    shared = map_arrow(anchors.repartition("anchor").sortWithinPartitions("anchor", "_row"), _shared, "anchor long")
+    texts = map_arrow(rows, _texts(_anchor_map(shared)), TEXTS)
+    found = stored(map_arrow(texts.repartition("shard").sortWithinPartitions("shard", "code", "_id"), _match(many), FOUND),
+                   "substring-found")
+    windows = found.where("shard is not null")
+    least = windows.groupBy("shard", "window").agg(F.min("_id").alias("_least"))
+    split = windows.join(least, ["shard", "window"]).where("_id > _least")
+    return found.where("shard is null").select("_row", "first", "last").unionByName(split.select("_row", "first", "last"))
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -296,7 +353,7 @@ def numbered(docs: DataFrame) -> DataFrame:
                        F.col("text").alias("_text"))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, many: int = MANY) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256.
 
     A word goes if a window of SPAN words that covers it also starts in a document with a smaller
@@ -304,7 +361,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     doc_id is neither a source nor changed; rows of one doc_id are not compared with each other, so
     repeated rows share their fate; an empty table gives no rows.
     """
-    spans = stored(repeated_spans(docs), "substring-spans").groupBy("_row").agg(
+    spans = repeated_spans(docs, many).groupBy("_row").agg(
         F.collect_list(F.struct("first", "last")).alias("_spans"))
     return map_arrow(numbered(docs).join(spans, "_row", "left"), _keep,
                      "_row long, doc_id long, n_words long, n_removed long, kept_sha256 string").drop("_row")

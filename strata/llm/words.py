@@ -108,9 +108,14 @@ def words(chunk: Chunk, lower: bool = False, codes: bool = True) -> Words:
 
 def span_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit codes of the bytes of each span."""
-    n = len(data)
+    return run_codes(_BYTES[data], starts, ends)
+
+
+def run_codes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit codes of runs of 64-bit values."""
+    n = len(values)
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTES[data] * _power(_BASE, n), out=sums[1:])
+    np.cumsum(values * _power(_BASE, n), out=sums[1:])
     return mix((sums[ends] - sums[starts]) * _power(_INVERSE, n + 1)[starts])
 
 
