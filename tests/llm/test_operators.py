@@ -91,14 +91,13 @@ def test_substrings(docs, rows):
     assert got == want
 
 
-def test_substrings_of_a_frequent_passage(spark, tmp_path, monkeypatch):
+def test_substrings_of_a_frequent_passage(spark, tmp_path):
     """A passage that many rows share, in more texts than one shard takes."""
-    monkeypatch.setattr(substrings, "MANY", 20)
     draw = random.Random(6)
     passage = " ".join(f"shared{k}" for k in range(40))
     rows = [(k, f"{prose(draw, 30)} {passage} {prose(draw, 30)}") for k in range(90)]
     spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "d"))
-    got = {r.doc_id: r.n_removed for r in substrings.remove_repeats(spark.read.parquet(str(tmp_path / "d"))).collect()}
+    got = {r.doc_id: r.n_removed for r in substrings.remove_repeats(spark.read.parquet(str(tmp_path / "d")), 20).collect()}
     assert got == {i: sum(gone) for i, _, gone in brute.kept_words(rows)}
 
 
@@ -218,9 +217,8 @@ def test_signatures_cover_all_similar_pairs():
             assert set(sig[doc == 0]) & set(sig[doc == 1])
 
 
-def test_jaccard_of_large_groups(spark, tmp_path, monkeypatch):
+def test_jaccard_of_large_groups(spark, tmp_path):
     """A chain of near copies around a shared text: not all are near the first one."""
-    monkeypatch.setattr(jaccard, "HELD", 10)
     draw = random.Random(8)
     base = prose(draw, 150).split()
     rows = []
@@ -230,7 +228,8 @@ def test_jaccard_of_large_groups(spark, tmp_path, monkeypatch):
             edited[10 + 20 * j] = f"edit{k % 3}_{j}"
         rows.append((k, " ".join(edited)))
     spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "d"))
-    got = {r.doc_id: r.component_id for r in jaccard.link_documents(spark.read.parquet(str(tmp_path / "d"))).collect()}
+    table = spark.read.parquet(str(tmp_path / "d"))
+    got = {r.doc_id: r.component_id for r in jaccard.link_documents(table, held=10).collect()}
     sets = [brute.shingles(t) for _, t in rows]
     assert got == dict(enumerate(brute.groups(len(rows), lambda a, b: brute.similar(sets[a], sets[b]))))
 
