@@ -6,8 +6,7 @@ import json
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, DoubleType, FloatType, MapType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, StructType
 
 CORRUPT_COLUMN = "_corrupt_record"
 
@@ -16,70 +15,44 @@ CORRUPT_COLUMN = "_corrupt_record"
 # Reading uses Spark's default parsing, which accepts these and the other
 # ISO-8601 forms (with or without fraction, 'T' or space, zone for zoned
 # timestamps).
+# NULL fields are written, so a message carries every column of its row.
 ENCODE_OPTIONS = {
+    "ignoreNullFields": "false",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXXXX",
 }
 
 
 def _float_member(name: str) -> Column:
-    """``"name":value`` for a float field, NULL when the value is NULL.
+    """``"name":value`` for a float field.
 
     NaN and infinities are written bare (``NaN``, ``Infinity``) the way a
     Python JSON producer writes them, so schema inference keeps the field
     numeric; a typed decode reads them either way.
     """
     col = F.col(name)
-    text = (F.when(F.isnan(col), F.lit("NaN"))
+    text = (F.when(col.isNull(), F.lit("null"))
+             .when(F.isnan(col), F.lit("NaN"))
              .when(col == float("inf"), F.lit("Infinity"))
              .when(col == float("-inf"), F.lit("-Infinity"))
              .otherwise(col.cast("string")))
-    return F.when(col.isNull(), F.lit(None)).otherwise(F.concat(F.lit(json.dumps(name) + ":"), text))
+    return F.concat(F.lit(json.dumps(name) + ":"), text)
 
 
 def _member(name: str, opts: dict) -> Column:
-    """``"name":value`` of one non-float field via ``to_json``; NULL when NULL."""
+    """``"name":value`` of one non-float field via ``to_json``."""
     one = F.to_json(F.struct(F.col(name)), opts)
-    inner = F.substring(one, F.lit(2), F.length(one) - 2)   # drop the braces
-    return F.when(inner == "", F.lit(None)).otherwise(inner)
-
-
-def _exact_row(names: list[str], types: dict, opts: dict) -> Column:
-    """The row rebuilt member by member, in column order; float members by
-    ``_float_member`` (used only for the rare rows holding a non-finite)."""
-    parts = [_float_member(n) if isinstance(types[n], (DoubleType, FloatType)) else _member(n, opts)
-             for n in names]
-    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
-
-
-def _has_non_finite(json_text: Column) -> Column:
-    return json_text.contains(':"NaN"') | json_text.contains('Infinity"')
-
-
-def _unquote_members(json_text: Column, floats: list[str]) -> Column:
-    """Bare ``NaN``/``Infinity`` for the given top-level float members.
-
-    Exact for a flat row: quotes inside string values are escaped, so an
-    unescaped ``"name":"NaN"`` after ``{`` or ``,`` can only be a member.
-    """
-    names = [f for f in floats if '"' not in f and "\\" not in f]
-    if not names:
-        return json_text
-    alternatives = "|".join(f"\\Q{n}\\E" for n in names)
-    return F.regexp_replace(json_text,
-                            f'(?<=[{{,])"({alternatives})":"(NaN|Infinity|-Infinity)"', '"$1":$2')
+    return F.substring(one, F.lit(2), F.length(one) - 2)   # drop the braces
 
 
 def encode_row(df: DataFrame, columns: list[str] | None = None,
                options: dict[str, str] | None = None) -> Column:
-    """One JSON object per row of ``df``; NULL fields are left out.
-
-    Rows are written by ``to_json``. A row whose text holds a quoted
-    non-finite value (``"NaN"``, ``"Infinity"``; rare) gets its top-level
-    float members written bare, as the source job's producer writes them,
-    so schema inference keeps those fields numeric: by unquoting them when
-    the row is flat, by rebuilding it field by field when it has nested
-    values (where the same text could sit inside a nested object).
+    """One JSON object per row of ``df``; NULL fields are written as ``null``.
+
+    Rows are written by ``to_json``. A row with a non-finite value in a
+    top-level float field (rare; tested on the columns) is built member by
+    member instead, that value bare, as the source job's producer writes it,
+    so schema inference keeps the field numeric.
     """
     names = columns or df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -88,15 +61,13 @@ def encode_row(df: DataFrame, columns: list[str] | None = None,
     floats = [n for n in names if isinstance(types[n], (DoubleType, FloatType))]
     if not floats:
         return plain
-    nested = any(isinstance(types[n], (ArrayType, MapType, StructType)) for n in names)
-    fixed = _exact_row(names, types, opts) if nested else _unquote_members(plain, floats)
-    return F.when(_has_non_finite(plain), fixed).otherwise(plain)
-
-
-def encode_frame(df: DataFrame, value_col: str = "value",
-                 options: dict[str, str] | None = None) -> DataFrame:
-    """``df`` -> a one-column frame of JSON messages (see ``encode_row``)."""
-    return df.select(encode_row(df, options=options).alias(value_col))
+    odd = F.lit(False)
+    for n in floats:
+        c = F.col(n)
+        odd = odd | F.coalesce(F.isnan(c) | (c == float("inf")) | (c == float("-inf")), F.lit(False))
+    parts = [_float_member(n) if n in floats else _member(n, opts) for n in names]
+    exact = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    return F.when(odd, exact).otherwise(plain)
 
 
 def decode_value(value: Column | str, schema: StructType, mode: str = "FAILFAST",
@@ -117,24 +88,22 @@ def decode_frame(messages: DataFrame, schema: StructType, value_col: str = "valu
     return messages.select(decode_value(value_col, schema, mode).alias("__row")).select("__row.*")
 
 
-def decode_with_quarantine(messages: DataFrame, schema: StructType,
-                           value_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Decode leniently: ``(rows, quarantined)``.
-
-    Well-formed messages become rows of ``schema``; malformed ones keep their
-    raw text in ``_corrupt_record`` and go to the quarantine frame instead of
-    stopping the job. Both frames come from the same parse expression.
-    """
+def flag_messages(messages: DataFrame, schema: StructType, value_col: str = "value") -> DataFrame:
+    """Each message with its parsed row (``__row``) and its raw text (``__raw``). A malformed message
+    keeps its text in the row's ``_corrupt_record``. Store this frame before splitting it, so that
+    both parts come from one read of the topic."""
     with_corrupt = StructType(schema.fields + [StructField(CORRUPT_COLUMN, StringType())])
-    parsed = messages.select(
-        F.from_json(F.col(value_col).cast("string"), with_corrupt,
-                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
-                    ).alias("__row"),
-        F.col(value_col).cast("string").alias("__raw"))
+    raw = F.col(value_col).cast("string")
+    return messages.select(
+        F.from_json(raw, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}).alias("__row"),
+        raw.alias("__raw"))
+
+
+def split_flagged(flagged: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """``(rows, quarantined)`` of a ``flag_messages`` frame."""
     bad = F.col(f"__row.{CORRUPT_COLUMN}").isNotNull() | F.col("__row").isNull()
-    rows = parsed.filter(~bad).select("__row.*").drop(CORRUPT_COLUMN)
-    quarantined = parsed.filter(bad).select(F.col("__raw").alias(value_col))
-    return rows, quarantined
+    return (flagged.filter(~bad).select("__row.*").drop(CORRUPT_COLUMN),
+            flagged.filter(bad).select(F.col("__raw").alias(value_col)))
 
 
 def one_line(value: Column | str) -> Column:

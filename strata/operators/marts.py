@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
@@ -15,8 +13,6 @@ from strata.spec import MartSpec
 # shuffles, with AQE skew handling splitting hot keys.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
-# Most rows one task merges for an ordered head before the merge is split.
-TOP_N_MERGE_ROWS = 1_000_000
 
 
 def broadcast_size(df: DataFrame) -> tuple[int, int]:
@@ -120,43 +116,17 @@ def build_gold(silver: DataFrame, reference: DataFrame, spec: MartSpec,
         .orderBy(F.col(spec.key).asc_nulls_first())
 
 
-def head_rows(df: DataFrame, n: int | None, order_by: list | None = None,
-              merge_rows: int = TOP_N_MERGE_ROWS) -> DataFrame:
+def head_rows(df: DataFrame, n: int | None, order_by: list | None = None) -> DataFrame:
     """At most ``n`` rows; ``None`` = all, ``0`` = none.
 
     With ``order_by`` the rows are the first ``n`` in that order (ties broken
-    arbitrarily, as any limit does); a bare limit has no order guarantee on a
-    distributed scan.
-
-    Spark's top-n keeps ``n`` rows per task and merges them in one task, which
-    then receives up to ``tasks x n`` rows. While that stays under
-    ``merge_rows`` the plain top-n is used. Beyond it the merge is split in
-    two levels: tasks are put in about sqrt(tasks) groups, a ``row_number``
-    limit per group is applied inside each task before the shuffle (Spark's
-    window group limit) and again after it, and the final top-n merges only
-    ``groups x n`` rows. That path raises the session's
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` to ``n`` when it is
-    lower: a planner threshold that enables the per-task limit and changes no
-    result of this or any other query.
+    arbitrarily, as any limit does): Spark's top-n keeps ``n`` rows in each
+    task and merges those, so ``n`` is meant to be a small cap (the message
+    path's is 5,000). A bare limit has no order guarantee on a distributed
+    scan.
     """
     if n is None:
         return df
     if n < 0:
         raise ValueError("n must be >= 0 or None")
-    if not order_by:
-        return df.limit(n)
-    tasks = df.rdd.getNumPartitions()
-    if n == 0 or tasks * n <= merge_rows:
-        return df.orderBy(*order_by).limit(n)
-    groups = max(2, math.isqrt(tasks - 1) + 1)
-    spark = df.sparkSession
-    # The per-task group limit is planned only for limits up to this setting;
-    # without it the window would shuffle every row.
-    key = "spark.sql.optimizer.windowGroupLimitThreshold"
-    if int(spark.conf.get(key, "1000")) < n:
-        spark.conf.set(key, str(n))
-    w = Window.partitionBy("__group").orderBy(*order_by)
-    ranked = (df.withColumn("__group", F.spark_partition_id() % groups)
-                .withColumn("__rank", F.row_number().over(w)))
-    return (ranked.filter(F.col("__rank") <= n).drop("__group", "__rank")
-                  .orderBy(*order_by).limit(n))
+    return (df.orderBy(*order_by) if order_by else df).limit(n)

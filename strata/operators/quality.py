@@ -25,24 +25,32 @@ class Rule:
     violations: Column
 
 
+# The rules' names, as the contract has them.
+UNIQUE = "ExpectColumnValuesToBeUnique"
+NOT_NULL = "ExpectColumnValuesNotToBeNull"
+BETWEEN = "ExpectColumnValuesToBeBetween"
+GREATER_THAN = "ExpectColumnValuesToBeGreaterThan"
+DELIVERY = "ExpectDeliveryWithinDays"
+
+
 def unique(col: str) -> Rule:
     """Non-null values are distinct: count(k) - count(distinct k) = 0."""
-    return Rule("ExpectColumnValuesToBeUnique", col,
+    return Rule(UNIQUE, col,
                 F.count(col) - F.count_distinct(col))
 
 
 def not_null(col: str) -> Rule:
-    return Rule("ExpectColumnValuesNotToBeNull", col, F.count_if(F.col(col).isNull()))
+    return Rule(NOT_NULL, col, F.count_if(F.col(col).isNull()))
 
 
 def between(col: str, low: float, high: float) -> Rule:
     """Values in [low, high]; NULLs are left to the not-null rule."""
-    return Rule("ExpectColumnValuesToBeBetween", col,
+    return Rule(BETWEEN, col,
                 F.count_if(~F.col(col).between(low, high)))
 
 
 def greater_than(col: str, bound: float) -> Rule:
-    return Rule("ExpectColumnValuesToBeGreaterThan", col,
+    return Rule(GREATER_THAN, col,
                 F.count_if(~(F.col(col) > bound)))
 
 
@@ -140,7 +148,7 @@ def freshness_report(manifest: DataFrame, drop_col: str, written_col: str,
     bound = f"{limit // 86400}d" if limit % 86400 == 0 else f"{limit / 3600:g}h"
     late = F.count_if(F.coalesce(seconds > limit, F.lit(True)))
     return manifest.agg(
-        F.lit("ExpectDeliveryWithinDays").alias("rule"),
+        F.lit(DELIVERY).alias("rule"),
         F.lit(f"{written_col}-{drop_col}<={bound}").alias("target"),
         F.count(F.lit(1)).alias("runs"),
         late.cast("long").alias("violations"),

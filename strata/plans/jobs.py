@@ -17,11 +17,10 @@ from strata.operators.layers import (LayerResult, append_manifest, layer_path, r
 from strata.operators.marts import DEFAULT_BROADCAST_ROWS, build_gold
 from strata.operators.refine import refine
 from strata.sources.files import read_csv, read_reference
-from strata.sources.messages import (FileTopic, KafkaTopic, add_missing_columns, replay_topic,
-                                     stored_message_schema)
+from strata.sources.messages import FileTopic, KafkaTopic, add_missing_columns, replay_topic
 from strata.spec import SURVEY, SURVEY_MART, MartSpec, RefineSpec
-from strata.streaming.ingest import ingest_incremental
-from strata.streaming.layers import run_layers_incremental
+from strata.streaming.ingest import ingest_evolving, ingest_incremental
+from strata.streaming.layers import GOLD_STATE_PARTITIONS, run_layers_incremental
 
 
 def run_bronze_frame(df: DataFrame, output_dir: str, run_id: str | None = None) -> LayerResult:
@@ -31,10 +30,12 @@ def run_bronze_frame(df: DataFrame, output_dir: str, run_id: str | None = None)
 
 def run_bronze(spark: SparkSession, input_csv: str, output_dir: str, run_id: str | None = None,
                infer: bool = True, types: dict[str, str] | None = None,
-               null_value: str | None = None) -> LayerResult:
+               null_value: str | None = None, validate_header: bool = False) -> LayerResult:
     """CSV -> Bronze Parquet, all columns kept. ``null_value`` names a
-    missing-value token (e.g. ``NA``) so such columns stay numeric."""
-    df = read_csv(spark, input_csv, infer=infer, types=types, null_value=null_value)
+    missing-value token (e.g. ``NA``) so such columns stay numeric. With
+    ``infer=False`` and ``types`` the source is read once."""
+    df = read_csv(spark, input_csv, infer=infer, types=types, null_value=null_value,
+                  validate_header=validate_header)
     return run_bronze_frame(df, output_dir, run_id)
 
 
@@ -80,63 +81,74 @@ def run_pipeline(spark: SparkSession, input_csv: str, output_dir: str, reference
                  run_id: str | None = None, spec: RefineSpec = SURVEY,
                  mart: MartSpec = SURVEY_MART, manifest: str | None = None,
                  dropped_at: dt.datetime | None = None, null_value: str | None = None,
-                 safe_cast: bool = False) -> dict[str, LayerResult]:
+                 safe_cast: bool = False, infer: bool = True, types: dict[str, str] | None = None
+                 ) -> dict[str, LayerResult]:
     """C4: the whole CSV run in the given session (which it never stops)."""
-    bronze = run_bronze(spark, input_csv, output_dir, run_id, null_value=null_value)
+    bronze = run_bronze(spark, input_csv, output_dir, run_id, infer, types, null_value)
     return run_layers(spark, bronze, output_dir, reference, spec, mart, run_id, manifest,
                       dropped_at, safe_cast)
 
 
+def run_bronze_messages(spark: SparkSession, source: KafkaTopic | FileTopic, output_dir: str,
+                        schema: StructType | None = None, run_id: str | None = None, normalize: bool = True,
+                        required: tuple[str, ...] = SURVEY.source_columns(),
+                        quarantine_path: str | None = None) -> LayerResult:
+    """Topic -> Bronze alone, by bounded replay, so that Silver and Gold can be scheduled and retried
+    apart. Without ``schema`` it is inferred; ``required`` fields that no message carried are NULL."""
+    rows = replay_topic(spark, source, schema, normalize, quarantine_path)
+    if schema is None:
+        rows = add_missing_columns(rows, required)
+    return run_bronze_frame(rows, output_dir, run_id)
+
+
 def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output_dir: str,
                      reference: str | DataFrame, schema: StructType | None = None,
                      incremental: bool = False, checkpoint: str | None = None,
                      run_id: str | None = None, normalize: bool = True,
                      spec: RefineSpec = SURVEY, mart: MartSpec = SURVEY_MART,
                      manifest: str | None = None, dropped_at: dt.datetime | None = None,
-                     safe_cast: bool = False, max_per_batch: int | None = None
+                     safe_cast: bool = False, max_per_batch: int | None = None,
+                     quarantine_path: str | None = None, state_partitions: int = GOLD_STATE_PARTITIONS
                      ) -> dict[str, LayerResult]:
     """Topic -> Bronze -> Silver -> Gold.
 
     Bounded replay (default) rewrites Bronze from the whole topic and is
-    repeatable. ``incremental=True`` (needs a ``checkpoint`` folder; without
-    ``schema`` the payload schema is inferred on the first run and kept in
-    the checkpoint folder) appends only new messages to Bronze, appends their refined rows
-    to Silver and folds them into Gold's per-key streaming state, so a run
-    costs what arrived since the last one. These layers are one maintained
-    set under ``output_dir`` (no run id in their paths; the run id goes to
-    the manifest). Row counts reported for Bronze and Silver are the rows
-    added by this run. ``max_per_batch`` bounds each micro-batch (offsets for
-    Kafka, files for a file topic and for Bronze), so a large backlog is
-    drained in committed steps rather than one batch.
+    repeatable. ``incremental=True`` (needs a ``checkpoint`` folder) appends
+    only new messages to Bronze, appends their refined rows to Silver and
+    folds them into Gold's per-key streaming state, so a run costs what
+    arrived since the last one; Gold is named with the current reference on
+    every run. Without ``schema`` the payload schema follows the messages
+    (see ``ingest_evolving``). These layers are one maintained set under
+    ``output_dir`` (no run id in their paths; the run id goes to the
+    manifest), apart from those of bounded runs. Row counts reported for
+    Bronze and Silver are the rows added by this run. ``max_per_batch``
+    bounds each micro-batch of all streams (offsets for Kafka, files for
+    folders), so a large backlog is drained in committed steps.
+    ``quarantine_path`` takes malformed messages, which else stop the run.
     """
-    if incremental:
-        if checkpoint is None:
-            raise ValueError("incremental ingest needs a checkpoint folder")
-        if schema is None:  # inferred once, then fixed for this checkpoint
-            schema = stored_message_schema(spark, source, f"{checkpoint}/payload_schema",
-                                           spec.source_columns())
-            if schema is None:  # no message yet: nothing to ingest, nothing changes
-                empty = {layer: LayerResult(layer_path(output_dir, layer), 0)
-                         for layer in ("bronze", "silver", "gold")}
-                return empty
-        # one continuously maintained layer set: no run id in the paths
-        path = layer_path(output_dir, "bronze")
-        result = ingest_incremental(spark, source, schema, path, f"{checkpoint}/bronze", normalize,
-                                    max_per_batch)
-        bronze = LayerResult(path=path, rows=result.rows)
-        ref = reference if isinstance(reference, DataFrame) else read_reference(
-            spark, reference, mart.ref_key, mart.ref_value)
-        layers = run_layers_incremental(spark, bronze, schema, output_dir, ref, checkpoint,
-                                        spec, mart, run_id, safe_cast, max_per_batch)
-        if manifest is not None:
-            if dropped_at is None:
-                raise ValueError("a manifest entry needs the source drop time")
-            append_manifest(spark, manifest, run_id or "", layers, dropped_at)
-        return layers
+    if not incremental:
+        bronze = run_bronze_messages(spark, source, output_dir, schema, run_id, normalize, spec.source_columns(),
+                                     quarantine_path)
+        return run_layers(spark, bronze, output_dir, reference, spec, mart, run_id, manifest, dropped_at,
+                          safe_cast)
+    if checkpoint is None:
+        raise ValueError("incremental ingest needs a checkpoint folder")
+    if manifest is not None and dropped_at is None:
+        raise ValueError("a manifest entry needs the source drop time")
+    if schema is not None and quarantine_path is not None:
+        raise ValueError("an incremental quarantine needs an inferred schema")
+    path = layer_path(output_dir, "bronze")
+    if schema is not None:
+        result = ingest_incremental(spark, source, schema, path, f"{checkpoint}/bronze", normalize, max_per_batch)
     else:
-        rows = replay_topic(spark, source, schema, normalize)
-        if schema is None:  # inferred: fields no message carried are absent
-            rows = add_missing_columns(rows, spec.source_columns())
-        bronze = run_bronze_frame(rows, output_dir, run_id)
-    return run_layers(spark, bronze, output_dir, reference, spec, mart, run_id, manifest, dropped_at,
-                      safe_cast)
+        result, found = ingest_evolving(spark, source, path, checkpoint, spec.source_columns(), normalize,
+                                        max_per_batch, quarantine_path)
+        if found is None:  # no message yet: nothing to refine
+            return {layer: LayerResult(layer_path(output_dir, layer), 0) for layer in ("bronze", "silver", "gold")}
+    ref = reference if isinstance(reference, DataFrame) else read_reference(
+        spark, reference, mart.ref_key, mart.ref_value)
+    layers = run_layers_incremental(spark, LayerResult(path=path, rows=result.rows), schema, output_dir, ref,
+                                    checkpoint, spec, mart, safe_cast, max_per_batch, state_partitions)
+    if manifest is not None:
+        append_manifest(spark, manifest, run_id or "", layers, dropped_at)
+    return layers

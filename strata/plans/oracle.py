@@ -154,12 +154,42 @@ UNION ALL SELECT 'gold' AS layer, count(*) AS row_count FROM gold""",
 SELECT c_acctbal, CAST(c_custkey AS BIGINT) AS c_custkey, c_mktsegment, c_name,
        CAST(c_nationkey AS BIGINT) AS c_nationkey
 FROM customer""",
-    "topic_replay": "SELECT * FROM events",
+    "json_nan": """
+SELECT event_id, CASE WHEN event_id % 7 = 0 OR event_id % 11 = 0 THEN NULL ELSE value END AS value FROM events""",
+    "topic_replay": """
+SELECT o_orderkey AS order_id,
+       CASE WHEN o_orderkey % 3 = 1 THEN o_totalprice ELSE floor(o_totalprice) END AS amount,
+       CASE o_orderkey % 3 WHEN 0 THEN CAST(o_orderkey AS VARCHAR) WHEN 1 THEN o_orderpriority END AS tag,
+       CAST(NULL AS VARCHAR) AS nothing
+FROM orders""",
+    "capped_publish": """
+SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 5000""",
+    "publish_summary": """
+SELECT least(count(*), 5000) AS records_sent, CAST(ceil(least(count(*), 5000) / 1000.0) AS BIGINT) AS chunks
+FROM orders""",
+    "incremental_evolving": """
+SELECT CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS added,
+       CASE WHEN o_orderkey % 2 = 1 THEN o_totalprice ELSE floor(o_totalprice) END AS amount,
+       CASE WHEN o_orderkey % 2 = 1 THEN o_orderkey + 9007199254740993 ELSE o_orderkey END AS id,
+       o_orderstatus AS status
+FROM orders""",
     "stream_ingest": "SELECT * FROM events",
     "message_path_gold": _GOLD_SQL,
     "incremental_gold": _GOLD_SQL,
     "csv_path_gold": _GOLD_SQL,
     "quality_report": _QUALITY_SQL,
+    "quality_failures": _with(("survey", _survey_cte())) + """
+SELECT 'ExpectColumnValuesToBeUnique' AS rule, 'c_nationkey' AS target,
+       count(c_nationkey) - count(DISTINCT c_nationkey) AS violations,
+       count(c_nationkey) = count(DISTINCT c_nationkey) AS passed FROM customer
+UNION ALL
+SELECT 'ExpectColumnValuesToBeGreaterThan', 'c_acctbal', CAST(count_if(NOT (c_acctbal > 0)) AS BIGINT),
+       count_if(NOT (c_acctbal > 0)) = 0 FROM customer
+UNION ALL
+SELECT 'ExpectColumnValuesNotToBeNull', 'GENHLTH', CAST(count_if("GENHLTH" IS NULL) AS BIGINT),
+       count_if("GENHLTH" IS NULL) = 0 FROM survey""",
+    "unmatched_lookup": """
+SELECT n_nationkey, n_name, r_name AS region_name FROM nation LEFT JOIN region ON n_nationkey = r_regionkey""",
     "schema_report": _SURVEY_TO_GOLD + "\n" + _schema_rows(),
     "freshness_report": f"""
 WITH w AS (SELECT l_orderkey, max(l_shipdate) AS written_at FROM lineitem GROUP BY l_orderkey),

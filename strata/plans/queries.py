@@ -13,21 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from strata.functions.casts import normalize_nan
 from strata.functions.decimals import scale_decimal
 from strata.functions.json import decode_frame, encode_row
 from strata.functions.labels import code_to_label
 from strata.operators.layers import layer_path, literal_frame, read_layer, write_layer
 from strata.operators.marts import aggregate_by, build_gold, head_rows, lookup_left_join
-from strata.operators.quality import freshness_report, gold_rules, quality_report, schema_report
-from strata.operators.refine import filter_valid, refine
+from strata.operators.quality import (freshness_report, gold_rules, greater_than, not_null, quality_report,
+                                      schema_report, unique)
+from strata.operators.refine import filter_valid, refine, valid_rows
 from strata.plans.jobs import run_bronze_frame, run_layers, run_message_path, run_pipeline
-from strata.plans.survey_view import reference_frame, survey_frame
+from strata.plans.survey_view import SURVEY_TYPES, reference_frame, survey_frame
 from strata.session import shared_dir
 from strata.sources.files import read_csv, read_json_lines, read_reference, read_table
-from strata.sources.messages import FileTopic, publish, replay_topic, spread
+from strata.sources.messages import FileTopic, publish, publish_csv, replay_topic
 from strata.spec import (GENERAL_HEALTH_LABELS, MESSAGE_ROW_CAP, PHYSICAL_ACTIVITY_DEFAULT,
                          PHYSICAL_ACTIVITY_LABELS, SURVEY, SURVEY_MART, ValidRule)
-from strata.streaming.ingest import ingest_incremental
+from strata.streaming.ingest import ingest_evolving, ingest_incremental
 
 # A scheduler-style run id, made path-safe by the layer writer.
 RUN_ID = "scheduled__2026-01-01T00:00:00+00:00"
@@ -88,7 +90,7 @@ def lookup_left_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref_csv = shared_dir(spark, "ref-csv")
     read_table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("state_code"), F.col("n_name").alias("state_name")
-    ).coalesce(1).write.option("header", True).csv(ref_csv)
+    ).write.option("header", True).csv(ref_csv)
     counts = (read_table(spark, sf_dir, "supplier")
               .groupBy(F.col("s_nationkey").cast("double").alias("State_Code"))
               .agg(F.count(F.lit(1)).alias("supplier_count")))
@@ -148,12 +150,66 @@ def jsonl_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_lines(spark, src)
 
 
+def json_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NaN and NULL values through the codec; NaN is normalised to NULL."""
+    k = F.col("event_id")
+    events = read_table(spark, sf_dir, "events").select("event_id", F.when(k % 7 == 0, F.lit(float("nan")))
+                                                        .when(k % 11 == 0, F.lit(None)).otherwise(F.col("value"))
+                                                        .alias("value"))
+    encoded = events.select(encode_row(events).alias("value"))
+    return normalize_nan(decode_frame(encoded, events.schema))
+
+
 def topic_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish rows to a topic, then replay the whole topic (bounded)."""
-    events = read_table(spark, sf_dir, "events")
+    """A bounded, schema-free replay of messages whose fields differ in
+    type: ``amount`` is an integer or a fraction, ``tag`` a number, a text or
+    NULL, ``nothing`` NULL in all."""
+    orders = read_table(spark, sf_dir, "orders")
+    key, price, nothing = F.col("o_orderkey"), F.col("o_totalprice"), F.lit(None).cast("string").alias("nothing")
+    whole = F.floor(price).cast("long")
     topic = FileTopic(shared_dir(spark, "topic"))
-    publish(events, topic, partitions=_topic_partitions(spark))
-    return replay_topic(spark, topic, events.schema)
+    for rest, amount, tag in ((0, whole, key), (1, price, F.col("o_orderpriority")), (2, whole, F.lit(None).cast("long"))):
+        publish(orders.where(key % 3 == rest).select(key.alias("order_id"), amount.alias("amount"), tag.alias("tag"),
+                                                     nothing), topic)
+    return replay_topic(spark, topic)
+
+
+def capped_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 5,000 rows, in file order, of several CSV files, published
+    and replayed. The files are written in key order."""
+    return replay_topic(spark, _publish_head(spark, sf_dir)[0])
+
+
+def publish_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: the summary of the capped publish."""
+    sent = _publish_head(spark, sf_dir)[1]
+    return literal_frame(spark, [(sent["records_sent"], sent["chunks"])],
+                         StructType([StructField("records_sent", LongType()), StructField("chunks", LongType())]))
+
+
+def _publish_head(spark: SparkSession, sf_dir: str) -> tuple[FileTopic, dict]:
+    base = shared_dir(spark, "capped")
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    orders.repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderkey") \
+        .write.option("header", True).csv(f"{base}/source")
+    topic = FileTopic(f"{base}/topic")
+    return topic, publish_csv(spark, f"{base}/source", topic, chunk_size=1_000, max_records=MESSAGE_ROW_CAP)
+
+
+def incremental_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two incremental runs without a declared schema. The second brings a
+    new field, ids beyond 2**53 and fractions in a field of integers."""
+    base = shared_dir(spark, "evolving")
+    orders, key = read_table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    topic, bronze = FileTopic(f"{base}/topic"), f"{base}/bronze"
+    first = orders.where(key % 2 == 0).select(key.alias("id"), F.floor("o_totalprice").cast("long").alias("amount"),
+                                              F.col("o_orderstatus").alias("status"))
+    second = orders.where(key % 2 == 1).select((key + (2 ** 53 + 1)).alias("id"), F.col("o_totalprice").alias("amount"),
+                                               F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("added"))
+    for part in (first, second):
+        publish(part, topic)
+        ingest_evolving(spark, topic, bronze, f"{base}/_checkpoint")
+    return read_layer(spark, bronze)
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,8 +237,8 @@ def message_path_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C5 incremental: survey messages -> checkpointed Bronze ingest ->
-    appended Silver -> Gold from per-key streaming state; a second run with
-    nothing new leaves every layer as it is."""
+    appended Silver -> Gold from per-key streaming state. A second run, with
+    nothing new but other names in the reference, applies those names."""
     survey = survey_frame(spark, sf_dir)
     base = shared_dir(spark, "incremental")
     topic = FileTopic(f"{base}/topic")
@@ -190,34 +246,62 @@ def incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     args = dict(schema=survey.schema, incremental=True, checkpoint=f"{base}/_checkpoints",
                 run_id=RUN_ID)
     ref = reference_frame(spark, sf_dir)
-    run_message_path(spark, topic, f"{base}/layers", ref, **args)
+    old = ref.withColumn("state_name", F.concat(F.lit("old "), "state_name"))
+    run_message_path(spark, topic, f"{base}/layers", old, **args)
     layers = run_message_path(spark, topic, f"{base}/layers", ref, **args)
     return read_layer(spark, layers["gold"].path)
 
 
 def csv_path_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C4: survey rows as CSV -> Bronze (inferred) -> Silver -> Gold."""
+    """C4: survey rows as CSV -> Bronze (types given, one read) -> Silver -> Gold."""
     base = shared_dir(spark, "csv-path")
     src, ref = f"{base}/source", f"{base}/ref"
     # the source drop arrives as several files, as a large export does
-    spread(survey_frame(spark, sf_dir), _topic_partitions(spark)) \
-        .write.option("header", True).csv(src)
-    reference_frame(spark, sf_dir).coalesce(1).write.option("header", True).csv(ref)
-    layers = run_pipeline(spark, src, f"{base}/layers", ref, run_id=RUN_ID)
+    survey_frame(spark, sf_dir).repartition(_topic_partitions(spark)).write.option("header", True).csv(src)
+    reference_frame(spark, sf_dir).write.option("header", True).csv(ref)
+    layers = run_pipeline(spark, src, f"{base}/layers", ref, run_id=RUN_ID, infer=False, types=SURVEY_TYPES)
     return read_layer(spark, layers["gold"].path)
 
 
 def quality_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1-Q4 on two Gold outputs: the survey measure (passes) and a price
-    measure whose means fall outside the range (fails)."""
-    ref = reference_frame(spark, sf_dir)
-    reports = []
-    for subject, measure in (("gold", "l_quantity"), ("gold_price", "l_extendedprice")):
-        gold = build_gold(_silver(spark, sf_dir, measure), ref, SURVEY_MART)
+    measure whose means fall outside the range (fails). Both come from one
+    aggregation and one look-up."""
+    survey = survey_frame(spark, sf_dir, more={"_PRICE": "l_extendedprice"})
+    subjects = (("gold", "_BMI5"), ("gold_price", "_PRICE"))
+    found = []
+    for subject, column in subjects:
+        valid = valid_rows(ValidRule(measure=column, code="GENHLTH"))
+        value = F.when(valid, scale_decimal(column))
+        found += [F.count_if(valid).alias(f"{subject}_rows"), F.count(value).alias(f"{subject}_count"),
+                  F.mean(value).cast("double").alias(f"{subject}_mean")]
+    both = survey.groupBy(F.col("_STATE").cast("double").alias("State_Code")).agg(*found)
+    path = shared_dir(spark, "quality")
+    write_layer(lookup_left_join(both, reference_frame(spark, sf_dir), "State_Code", "state_code", "state_name",
+                                 "State_Name"), path)
+    table, reports = read_layer(spark, path), []  # one row a state
+    for subject, _ in subjects:
+        gold = table.where(F.col(f"{subject}_rows") > 0).select(
+            "State_Code", "State_Name", F.col(f"{subject}_count").alias("record_count"),
+            F.col(f"{subject}_mean").alias("bmi_mean"))
         reports.append(quality_report(gold, gold_rules()).select(F.lit(subject).alias("subject"), "*"))
     return reports[0].unionByName(reports[1])
 
 
+def quality_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1, Q2, Q4, failing: repeated nations, missing health codes, balances that are not positive."""
+    customers = read_table(spark, sf_dir, "customer")
+    return quality_report(customers, [unique("c_nationkey"), greater_than("c_acctbal", 0)]).unionByName(
+        quality_report(survey_frame(spark, sf_dir), [not_null("GENHLTH")]))
+
+
+def unmatched_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations looked up among regions by number; most have no match."""
+    nations = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return lookup_left_join(nations, read_table(spark, sf_dir, "region"), "n_nationkey", "r_regionkey", "r_name",
+                            "region_name")
+
+
 def schema_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q5: Gold schema against the contract."""
     return schema_report(state_gold(spark, sf_dir))
@@ -253,13 +337,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "layer_metrics": layer_metrics,
     "json_encode": json_encode,
     "json_decode": json_decode,
+    "json_nan": json_nan,
     "jsonl_ingest": jsonl_ingest,
     "topic_replay": topic_replay,
+    "capped_publish": capped_publish,
+    "publish_summary": publish_summary,
     "stream_ingest": stream_ingest,
+    "incremental_evolving": incremental_evolving,
     "message_path_gold": message_path_gold,
     "incremental_gold": incremental_gold,
     "csv_path_gold": csv_path_gold,
     "quality_report": quality_report_query,
+    "quality_failures": quality_failures,
+    "unmatched_lookup": unmatched_lookup,
     "schema_report": schema_report_query,
     "freshness_report": freshness_report_query,
 }

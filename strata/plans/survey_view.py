@@ -26,8 +26,14 @@ from strata.operators.marts import sized_broadcast
 from strata.sources.files import read_table
 
 
-def survey_frame(spark: SparkSession, sf_dir: str, measure: str = "l_quantity") -> DataFrame:
-    """Wide coded rows, one per lineitem (all rows, no sampling)."""
+# Types of the survey's numeric columns, for a CSV read in one pass.
+SURVEY_TYPES = {c: "double" for c in ("_STATE", "GENHLTH", "_BMI5", "_TOTINDA", "_AGEG5YR", "_RACE")}
+
+
+def survey_frame(spark: SparkSession, sf_dir: str, measure: str = "l_quantity",
+                 more: dict[str, str] | None = None) -> DataFrame:
+    """Wide coded rows, one per lineitem (all rows, no sampling). ``more`` adds
+    further measure columns, made like ``_BMI5``: name -> source column."""
     li = read_table(spark, sf_dir, "lineitem")
     su = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     # supplier is a dimension: broadcast it only when its size is proven
@@ -35,15 +41,19 @@ def survey_frame(spark: SparkSession, sf_dir: str, measure: str = "l_quantity")
     joined = li.join(sized_broadcast(su), li["l_suppkey"] == su["s_suppkey"])
     k = F.col("l_orderkey")
     null = F.lit(None)
+
+    def scaled(column: str):
+        return F.when(k % 19 == 0, null).when(k % 23 == 0, F.lit(0.0)).otherwise(F.col(column) * 100)
+
     return joined.select(
         F.when(k % 29 == 0, null).otherwise(F.col("s_nationkey").cast("double")).alias("_STATE"),
         F.when(k % 17 == 0, null).otherwise(F.col("l_linenumber").cast("double")).alias("GENHLTH"),
-        F.when(k % 19 == 0, null).when(k % 23 == 0, F.lit(0.0))
-         .otherwise(F.col(measure) * 100).alias("_BMI5"),
+        scaled(measure).alias("_BMI5"),
         F.round(F.col("l_tax") * 100).cast("int").alias("_TOTINDA"),
         F.col("l_quantity").cast("int").alias("_AGEG5YR"),
         F.round(F.col("l_discount") * 100).cast("int").alias("_RACE"),
         F.col("l_returnflag").alias("RETFLAG"),
+        *[scaled(c).alias(name) for name, c in (more or {}).items()],
     )
 
 

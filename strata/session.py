@@ -86,11 +86,3 @@ def shared_dir(spark: SparkSession, name: str, unique: bool = True) -> str:
     base = base.rstrip("/")
     return f"{base}/strata/{name}-{uuid.uuid4().hex[:12]}" if unique else f"{base}/strata/{name}"
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python file APIs can use the path."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.casts import cast_by_name
+from strata.operators.marts import head_rows
 
 
 def check_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
@@ -36,10 +37,12 @@ def read_csv(spark: SparkSession, path: str, infer: bool = True,
     ``infer=True`` reproduces the source job (a schema-inference pass, then
     the read). At scale, pass ``infer=False`` with ``types``: the file is read
     once as text and the named columns are cast by name, never by position.
+    A file whose header differs in names or order stops the read.
     ``null_value`` marks an extra missing-value token (e.g. ``NA``);
     ``validate_header`` trims names and rejects blank or duplicate ones.
     """
-    reader = spark.read.option("header", True).option("inferSchema", infer)
+    # enforceSchema off: the header of every file is checked against the schema as it is read
+    reader = spark.read.option("header", True).option("inferSchema", infer).option("enforceSchema", False)
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
     for k, v in (options or {}).items():
@@ -93,6 +96,4 @@ def head_in_file_order(df: DataFrame, n: int | None) -> DataFrame:
         F.col("_metadata.file_block_start").alias("__block"),
         F.monotonically_increasing_id().alias("__pos"),
     )
-    from strata.operators.marts import head_rows
-
     return head_rows(keyed, n, ["__file", "__block", "__pos"]).select(*cols)

@@ -1,33 +1,32 @@
 """JSON messages: publish, bounded replay, decode.
 
-A topic is read as a frame of ``(partition, offset, value)``. Two carriers
-share that shape:
+A topic is read as a frame with one text column, ``value``. Two carriers:
 
 * ``KafkaTopic`` - Spark's Kafka source and sink (``format("kafka")``). The
   connector jar is not part of this install, so these calls are not
   exercised by the tests here.
-* ``FileTopic`` - a Parquet folder with the same columns, used as a stand-in
-  for a topic in tests and for file-drop message feeds.
+* ``FileTopic`` - a folder of Parquet files with a ``value`` column: a file
+  drop of messages.
 
 Decoding runs on the executors (``from_json``), never in a driver loop.
 """
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ByteType, DoubleType, IntegerType, LongType, ShortType, StringType,
-                               StructField, StructType)
+from pyspark.sql.types import (ArrayType, DataType, DecimalType, DoubleType, LongType, StringType, StructField,
+                               StructType)
 
 from strata.functions.casts import normalize_nan
-from strata.functions.json import decode_frame, decode_with_quarantine, encode_row, one_line
-from strata.operators.layers import LayerResult, literal_frame, write_layer
+from strata.functions.json import decode_frame, encode_row, flag_messages, one_line, split_flagged
+from strata.operators.layers import ingest_summary, read_layer, write_layer
+from strata.operators.marts import head_rows
 from strata.operators.quality import require_rows
 from strata.session import shared_dir
-from strata.sources.files import read_json_lines
+from strata.sources.files import head_in_file_order, read_csv, read_json_lines
 
 # Publish settings of the source job's producer.
 PUBLISH_OPTIONS = {
@@ -49,12 +48,7 @@ class FileTopic:
     path: str
 
 
-MESSAGE_COLUMNS = ("partition", "offset", "value")
-TOPIC_SCHEMA = StructType([
-    StructField("partition", IntegerType()),
-    StructField("offset", LongType()),
-    StructField("value", StringType()),
-])
+TOPIC_SCHEMA = StructType([StructField("value", StringType())])
 
 
 def kafka_available(spark: SparkSession) -> bool:
@@ -74,109 +68,32 @@ def require_kafka(spark: SparkSession) -> None:
             "spark-sql-kafka package matching this Spark version, or use a FileTopic")
 
 
-def spread(df: DataFrame, min_partitions: int | None) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` tasks only when it has fewer."""
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        return df.repartition(min_partitions)
-    return df
-
-
-def encode_messages(df: DataFrame, first_offset: int = 0) -> DataFrame:
-    """Rows -> ``(partition, offset, value)`` with one JSON object per row.
-
-    ``partition`` is the Spark partition that produced the row and ``offset``
-    ``first_offset`` plus its position there, so the numbering is the same
-    when a task is rerun.
-    """
-    value = df.select(encode_row(df).alias("value"))
-    mono = F.monotonically_increasing_id()
-    part = F.spark_partition_id()
-    return value.select(
-        part.alias("partition"),
-        (mono - F.shiftleft(part.cast("long"), 33) + F.lit(first_offset)).alias("offset"),
-        "value",
-    )
-
-
-def _offsets_path(topic: FileTopic) -> str:
-    # Hidden from data reads: Spark skips paths starting with "_".
-    return topic.path.rstrip("/") + "/_offsets"
-
-
-# Offsets reserved by one publish: positions inside one Spark partition stay
-# below this, so blocks of different publishes never overlap.
-OFFSET_BLOCK = 1 << 40
-OFFSETS_SCHEMA = StructType([StructField("first", LongType()), StructField("end", LongType())])
-
-
-def _reserve_offsets(spark: SparkSession, topic: FileTopic) -> int:
-    """Reserve a block of offsets for one publish and return its first offset.
-
-    The block is recorded in the topic's small ``_offsets`` table *before*
-    the messages are written, so a publish that fails afterwards only leaves
-    an unused gap, never reused offsets. Finding the end reads that table,
-    not the messages; a topic written before the table existed is read once
-    for its largest offset. A file topic has one writer at a time, as a
-    stand-in for broker-assigned offsets.
-    """
-    def missing(exc: Exception) -> bool:
-        return "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc)
-
-    try:
-        end = spark.read.schema(OFFSETS_SCHEMA).parquet(_offsets_path(topic)) \
-            .agg(F.max("end")).first()[0]
-    except Exception as exc:  # noqa: BLE001
-        if not missing(exc):
-            raise
-        try:
-            top = spark.read.schema(TOPIC_SCHEMA).parquet(topic.path) \
-                .agg(F.max("offset")).first()[0]
-            end = None if top is None else int(top) + 1
-        except Exception as inner:  # noqa: BLE001
-            if not missing(inner):
-                raise
-            end = None
-    first = int(end or 0)
-    literal_frame(spark, [(first, first + OFFSET_BLOCK)], OFFSETS_SCHEMA) \
-        .write.mode("append").parquet(_offsets_path(topic))
-    return first
-
-
 def publish(df: DataFrame, target: KafkaTopic | FileTopic, max_records: int | None = None,
             order_by: list[str] | None = None, partitions: int | None = None) -> dict:
     """Publish rows as JSON messages; returns ``{records_sent, topic, chunks}``.
 
     ``max_records`` caps the rows sent (the first rows in ``order_by`` order).
-    ``partitions`` is the minimum number of writing tasks: a frame with
-    fewer partitions (a small or unsplittable source) is spread round-robin
-    over that many (deterministic on task retry), so replay and incremental
-    ingest read the topic in parallel; a frame already split that finely is
-    written as it is, with no shuffle. The row count is observed in the
+    ``partitions`` deals the rows round-robin over that many writing tasks,
+    so that a small or unsplittable source is read back in parallel; without
+    it the frame is written as it is split. The row count is observed in the
     write itself.
     """
-    from strata.operators.layers import ingest_summary
-    from strata.operators.marts import head_rows
-
     if max_records is not None:
         df = head_rows(df, max_records, order_by)
-    df = spread(df, partitions)
+    if partitions:
+        df = df.repartition(partitions)
+    values = df.select(encode_row(df).alias("value"))
     if isinstance(target, KafkaTopic):
-        from pyspark.sql import Observation
-
         require_kafka(df.sparkSession)
         obs = Observation("publish")
-        (df.select(encode_row(df).alias("value"))
-           .observe(obs, F.count(F.lit(1)).alias("rows"))
+        (values.observe(obs, F.count(F.lit(1)).alias("rows"))
            .write.format("kafka")
            .option("kafka.bootstrap.servers", target.bootstrap_servers)
            .option("topic", target.topic)
            .options(**{**PUBLISH_OPTIONS, **target.options})
            .save())
         return ingest_summary(int(obs.get["rows"]), target.topic)
-    first = _reserve_offsets(df.sparkSession, target)
-    result: LayerResult = write_layer(encode_messages(df, first), target.path, "publish",
-                                      mode="append")
-    return ingest_summary(result.rows, target.path)
+    return ingest_summary(write_layer(values, target.path, "publish", mode="append").rows, target.path)
 
 
 def publish_csv(spark: SparkSession, csv_path: str, target: KafkaTopic | FileTopic,
@@ -185,19 +102,17 @@ def publish_csv(spark: SparkSession, csv_path: str, target: KafkaTopic | FileTop
     """Publish a CSV file's rows as JSON messages, at most ``max_records`` of
     them, taken in file order. ``chunk_size`` only sizes the returned summary
     (the Spark writer batches by itself)."""
-    from strata.operators.layers import ingest_summary
-    from strata.sources.files import head_in_file_order, read_csv
-
     rows = head_in_file_order(read_csv(spark, csv_path, null_value=null_value), max_records)
     sent = publish(rows, target, partitions=partitions)
     return ingest_summary(sent["records_sent"], sent["topic"], chunk_size)
 
 
 def read_topic(spark: SparkSession, source: KafkaTopic | FileTopic) -> DataFrame:
-    """Bounded read of a whole topic: earliest -> latest at planning time.
+    """Bounded read of a whole topic, earliest to latest, with no idle wait.
 
-    The end offsets are fixed when the read is planned, so the replay needs no
-    idle wait and repeats exactly for a given topic state.
+    On Kafka each action on the frame asks for the latest offsets anew, so a
+    job that needs one fixed set of messages reads the topic in one action
+    (as the replays here do). Not verified here: the connector is absent.
     """
     if isinstance(source, KafkaTopic):
         require_kafka(spark)
@@ -208,8 +123,8 @@ def read_topic(spark: SparkSession, source: KafkaTopic | FileTopic) -> DataFrame
                 .option("endingOffsets", "latest")
                 .options(**source.options)
                 .load()
-                .select("partition", "offset", F.col("value").cast("string").alias("value")))
-    return spark.read.parquet(source.path).select(*MESSAGE_COLUMNS)
+                .select(F.col("value").cast("string").alias("value")))
+    return spark.read.schema(TOPIC_SCHEMA).parquet(source.path)
 
 
 def decode_messages(spark: SparkSession, messages: DataFrame, schema: StructType | None = None,
@@ -237,23 +152,43 @@ def decode_messages(spark: SparkSession, messages: DataFrame, schema: StructType
 
 
 
+# Marks a field that was NULL in every message so far: its type is not known yet.
+NULL_ONLY = {"null_only": True}
 
 
-def complete_schema(schema: StructType, required: tuple[str, ...] = ()) -> StructType:
-    """An inferred payload schema made fit to be kept for later messages.
+def _merge_types(a: DataType, b: DataType) -> DataType:
+    """The type that holds values of both, as JSON inference over all messages gives it."""
+    if a == b:
+        return a
+    if isinstance(a, StructType) and isinstance(b, StructType):
+        return merge_schemas(a, b)
+    if isinstance(a, ArrayType) and isinstance(b, ArrayType):
+        return ArrayType(_merge_types(a.elementType, b.elementType))
+    numbers = (LongType, DoubleType, DecimalType)
+    if isinstance(a, numbers) and isinstance(b, numbers):
+        whole = all(isinstance(t, LongType) or isinstance(t, DecimalType) and t.scale == 0 for t in (a, b))
+        return DecimalType(38, 0) if whole else DoubleType()
+    return StringType()
+
+
+def merge_schemas(old: StructType, new: StructType) -> StructType:
+    """Fields of both, by name. A number and a text give text; an integer and a
+    fraction give double; integers stay integers."""
+    fields = {f.name: f for f in old.fields}
+    for f in new.fields:
+        have = fields.get(f.name)
+        if have is None or have.metadata == NULL_ONLY:
+            fields[f.name] = f
+        elif f.metadata != NULL_ONLY:
+            fields[f.name] = StructField(f.name, _merge_types(have.dataType, f.dataType))
+    return StructType([fields[n] for n in sorted(fields)])
 
-    Integer fields become double, so a later message with a fraction still
-    decodes (codes are compared and cast as numbers downstream; give an
-    explicit schema for integer ids beyond 2**53). ``required`` fields that
-    no message carried yet (NULL everywhere, so left out of every message)
-    are added as double.
-    """
-    integral = (ByteType, ShortType, IntegerType, LongType)
-    fields = [StructField(f.name, DoubleType(), True) if isinstance(f.dataType, integral) else f
-              for f in schema.fields]
-    present = {f.name for f in fields}
-    fields += [StructField(c, DoubleType(), True) for c in required if c not in present]
-    return StructType(fields)
+
+def infer_json_schema(spark: SparkSession, path: str, mode: str = "FAILFAST") -> StructType:
+    """Schema of JSON lines; fields that are NULL everywhere are marked."""
+    every = read_json_lines(spark, path, mode=mode).schema
+    typed = {f.name: f for f in spark.read.option("mode", mode).option("dropFieldIfAllNull", True).json(path).schema}
+    return StructType([typed.get(f.name) or StructField(f.name, StringType(), True, NULL_ONLY) for f in every.fields])
 
 
 def add_missing_columns(df: DataFrame, required: tuple[str, ...]) -> DataFrame:
@@ -262,51 +197,22 @@ def add_missing_columns(df: DataFrame, required: tuple[str, ...]) -> DataFrame:
     return df.select("*", *[F.lit(None).cast("double").alias(c) for c in missing]) if missing else df
 
 
-def infer_message_schema(spark: SparkSession, source: KafkaTopic | FileTopic) -> StructType | None:
-    """Payload schema inferred from the messages now in the topic (one
-    distributed JSON inference pass over the staged values); None when the
-    topic holds no message yet."""
-    messages = read_topic(spark, source)
-    if messages.isEmpty():
-        return None
-    return decode_messages(spark, messages, None, normalize=False).schema
-
-
-def stored_message_schema(spark: SparkSession, source: KafkaTopic | FileTopic,
-                          path: str, required: tuple[str, ...] = ()) -> StructType | None:
-    """The payload schema kept at ``path``; inferred from the topic and stored
-    there on first use, so every later incremental run decodes the same way
-    (a streaming checkpoint must not see its schema change). None while the
-    topic is still empty (nothing is stored then)."""
-    try:
-        text = spark.read.text(path).first()
-    except Exception as exc:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
-            raise
-        text = None
-    if text is not None and text.value:
-        return StructType.fromJson(json.loads(text.value))
-    schema = infer_message_schema(spark, source)
-    if schema is not None:
-        schema = complete_schema(schema, required)
-        literal_frame(spark, [(schema.json(),)], StructType([StructField("value", StringType())])) \
-            .write.mode("overwrite").text(path)
-    return schema
-
-
 def replay_topic(spark: SparkSession, source: KafkaTopic | FileTopic, schema: StructType | None = None,
                  normalize: bool = True, quarantine_path: str | None = None) -> DataFrame:
     """Bounded replay of a whole topic to rows; an empty topic raises.
 
     By default a malformed message stops the job. With ``quarantine_path``
-    (needs ``schema``) malformed messages are written there instead and the
-    well-formed ones are returned (one extra parse pass over the topic).
+    (needs ``schema``) the topic is read and parsed once into a staging
+    folder; malformed messages are written to the quarantine from there and
+    the well-formed ones are returned.
     """
     messages = require_rows(read_topic(spark, source), f"topic {source}")
     if quarantine_path is None:
         return decode_messages(spark, messages, schema, normalize)
     if schema is None:
         raise ValueError("a quarantine needs a schema")
-    rows, bad = decode_with_quarantine(messages, schema)
+    staging = shared_dir(spark, "flagged")
+    write_layer(flag_messages(messages, schema), staging, "flagged")
+    rows, bad = split_flagged(read_layer(spark, staging))
     write_layer(bad, quarantine_path, "quarantine")
     return normalize_nan(rows) if normalize else rows

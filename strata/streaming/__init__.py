@@ -1,7 +1,7 @@
 """Structured Streaming: incremental, checkpointed ingest."""
 
-from strata.streaming.ingest import (MESSAGE_SCHEMA, StreamIngestResult, ingest_files_incremental,
-                                     ingest_incremental, message_stream)
+from strata.streaming.ingest import (MESSAGE_SCHEMA, StreamIngestResult, ingest_evolving,
+                                     ingest_files_incremental, ingest_incremental, message_stream)
 
-__all__ = ["MESSAGE_SCHEMA", "StreamIngestResult", "ingest_files_incremental",
+__all__ = ["MESSAGE_SCHEMA", "StreamIngestResult", "ingest_evolving", "ingest_files_incremental",
            "ingest_incremental", "message_stream"]

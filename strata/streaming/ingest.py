@@ -10,20 +10,24 @@ loses nor duplicates rows, and a rerun with nothing new is a no-op.
 from __future__ import annotations
 
 import threading
-import warnings
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
-from pyspark.sql.types import LongType, StringType, StructField, StructType, IntegerType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from strata.functions.casts import normalize_nan
-from strata.functions.json import decode_frame
-from strata.sources.messages import TOPIC_SCHEMA, FileTopic, KafkaTopic, require_kafka
+from strata.functions.json import decode_frame, flag_messages, one_line, split_flagged
+from strata.operators.layers import delete_path, load_schema, path_exists, store_schema
+from strata.sources.messages import (NULL_ONLY, TOPIC_SCHEMA, FileTopic, KafkaTopic, infer_json_schema, merge_schemas,
+                                     require_kafka)
 
 MESSAGE_SCHEMA = TOPIC_SCHEMA
+# A file stream ignores files older than this before the newest one it has seen (Spark's default
+# is 7 days): beyond any retention, so late and backfilled files are read.
+MAX_FILE_AGE = "36500d"
 
 
 @dataclass(frozen=True)
@@ -92,15 +96,10 @@ def run_available_now(spark: SparkSession, start: Callable[[], StreamingQuery],
         query.awaitTermination()
         if query.exception() is not None:
             raise RuntimeError(f"streaming run failed: {query.exception()}")
-        if listener._event(str(query.runId)).wait(timeout=120):
-            rows, batches, observed = listener.totals.get(str(query.runId), [0, 0, 0])
-        else:  # listener bus behind: fall back to the (last 100) progress updates
-            warnings.warn("streaming progress events late; totals from recentProgress",
-                          RuntimeWarning, stacklevel=2)
-            progress = query.recentProgress
-            rows = int(sum(p.numInputRows for p in progress))
-            batches = sum(1 for p in progress if p.numInputRows > 0)
-            observed = sum(_observed(p, metric) for p in progress)
+        if not listener._event(str(query.runId)).wait(timeout=600):
+            raise RuntimeError("the streaming run ended, but its progress events did not arrive: its totals "
+                               "are not known (its rows are committed; a rerun adds nothing twice)")
+        rows, batches, observed = listener.totals.get(str(query.runId), [0, 0, 0])
     finally:
         spark.streams.removeListener(listener)
     return StreamIngestResult(path=output_path, rows=rows, batches=batches, observed=observed)
@@ -123,10 +122,31 @@ def message_stream(spark: SparkSession, source: KafkaTopic | FileTopic,
         if max_per_batch:
             reader = reader.option("maxOffsetsPerTrigger", str(max_per_batch))
         return reader.load().select(F.col("value").cast("string").alias("value"))
-    reader = spark.readStream.schema(MESSAGE_SCHEMA)
-    if max_per_batch:
-        reader = reader.option("maxFilesPerTrigger", str(max_per_batch))
-    return reader.parquet(source.path).select("value")
+    return file_stream(spark, MESSAGE_SCHEMA, max_per_batch).parquet(source.path)
+
+
+def file_stream(spark: SparkSession, schema: StructType, max_files: int | None = None):
+    """A reader of new files, whatever their age, at most ``max_files`` of them a batch."""
+    reader = spark.readStream.schema(schema).option("maxFileAge", MAX_FILE_AGE)
+    return reader.option("maxFilesPerTrigger", str(max_files)) if max_files else reader
+
+
+def refuse_batch_layer(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """A batch run's layer cannot be continued by a stream: readers would see the stream's files alone."""
+    if path_exists(spark, path) and not path_exists(spark, f"{path}/_spark_metadata") \
+            and not path_exists(spark, checkpoint):
+        raise ValueError(f"{path} was written by a batch run; write to another folder, or give the batch runs a run id")
+
+
+def append_stream(spark: SparkSession, rows: DataFrame, path: str, checkpoint: str,
+                  metric: str | None = None) -> StreamIngestResult:
+    """Append a stream to a Parquet folder until it has caught up."""
+    refuse_batch_layer(spark, path, checkpoint)
+    writer = (rows.writeStream.format("parquet")
+              .option("checkpointLocation", checkpoint)
+              .outputMode("append")
+              .trigger(availableNow=True))
+    return run_available_now(spark, lambda: writer.start(path), path, metric)
 
 
 def ingest_incremental(spark: SparkSession, source: KafkaTopic | FileTopic, schema: StructType,
@@ -134,13 +154,77 @@ def ingest_incremental(spark: SparkSession, source: KafkaTopic | FileTopic, sche
                        max_per_batch: int | None = None) -> StreamIngestResult:
     """Append new messages, decoded with ``schema``, to a Bronze Parquet folder."""
     rows = decode_frame(message_stream(spark, source, max_per_batch), schema)
-    if normalize:
-        rows = normalize_nan(rows)
-    writer = (rows.writeStream.format("parquet")
-              .option("checkpointLocation", checkpoint_path)
-              .outputMode("append")
-              .trigger(availableNow=True))
-    return run_available_now(spark, lambda: writer.start(output_path), output_path)
+    return append_stream(spark, normalize_nan(rows) if normalize else rows, output_path, checkpoint_path)
+
+
+def messages_path(checkpoint: str) -> str:
+    """Where ``ingest_evolving`` keeps the raw messages."""
+    return f"{checkpoint}/messages"
+
+
+def ingest_evolving(spark: SparkSession, source: KafkaTopic | FileTopic, output_path: str, checkpoint: str,
+                    required: tuple[str, ...] = (), normalize: bool = True, max_per_batch: int | None = None,
+                    quarantine_path: str | None = None) -> tuple[StreamIngestResult, StructType | None]:
+    """Append new messages to Bronze without a declared schema: ``(result, schema)``.
+
+    Three streams share ``checkpoint``: new messages land as they are in its ``messages`` folder; the
+    landed ones are inferred batch by batch into the stored payload schema (integers stay integers,
+    an integer and a fraction give double, a number and a text give text, every field ever seen stays);
+    then they are decoded with it into Bronze. A new field is added: older files read it as NULL,
+    and Bronze keeps the schema for ``read_layer``. A changed type rebuilds Bronze from the landed
+    messages. ``required`` fields that no message carried yet are doubles. A malformed message stops
+    the run; with ``quarantine_path`` it goes there, and stays out of Bronze. The result counts the
+    messages that this run landed; the schema is None while there is no message.
+    """
+    raw, schema_path = messages_path(checkpoint), f"{checkpoint}/payload_schema"
+    landed = append_stream(spark, message_stream(spark, source, max_per_batch), raw, f"{checkpoint}/landing")
+    result = StreamIngestResult(output_path, landed.rows, landed.batches)
+    if not path_exists(spark, f"{raw}/_spark_metadata"):
+        return result, None
+
+    def learn(batch: DataFrame, batch_id: int) -> None:
+        staging = f"{checkpoint}/staging"
+        batch.select(one_line("value")).write.mode("overwrite").text(staging)
+        seen = infer_json_schema(spark, staging, "DROPMALFORMED" if quarantine_path else "FAILFAST")
+        have = load_schema(spark, schema_path)
+        merged = merge_schemas(have, seen) if have else seen  # a replayed batch changes nothing
+        if merged != have and merged.fields:
+            store_schema(spark, merged, schema_path)
+
+    learner = (file_stream(spark, TOPIC_SCHEMA, max_per_batch).parquet(raw).writeStream.foreachBatch(learn)
+               .option("checkpointLocation", f"{checkpoint}/learning").trigger(availableNow=True))
+    run_available_now(spark, learner.start, raw)
+    known = load_schema(spark, schema_path)
+    if known is None:
+        return result, None
+    names = {f.name for f in known.fields if f.metadata != NULL_ONLY}
+    fields = [f for f in known.fields if f.name in names or f.name not in required]
+    schema = StructType([StructField(f.name, f.dataType) for f in fields]
+                        + [StructField(c, DoubleType()) for c in required if c not in names])
+
+    # one checkpoint a version of Bronze; a version ends when a field's type changes
+    version = 0
+    while path_exists(spark, f"{checkpoint}/bronze-{version + 1}-schema"):
+        version += 1
+    began = load_schema(spark, f"{checkpoint}/bronze-{version}-schema")
+    if began is not None:
+        types = {f.name: f.dataType for f in schema.fields}
+        if any(types.get(f.name) != f.dataType for f in began.fields):
+            version, began = version + 1, None
+    decoding = f"{checkpoint}/bronze-{version}"
+    if not path_exists(spark, decoding) and version:
+        delete_path(spark, output_path)
+    if began is None or {f.name for f in began.fields} != {f.name for f in schema.fields}:
+        store_schema(spark, schema, f"{decoding}-schema")
+    stream = file_stream(spark, TOPIC_SCHEMA, max_per_batch).parquet(raw)
+    if quarantine_path:
+        rows, bad = split_flagged(flag_messages(stream, schema))
+        append_stream(spark, bad, quarantine_path, f"{checkpoint}/quarantine")
+    else:
+        rows = decode_frame(stream, schema)
+    append_stream(spark, normalize_nan(rows) if normalize else rows, output_path, decoding)
+    store_schema(spark, schema, f"{output_path}/_schema")
+    return result, schema
 
 
 def ingest_files_incremental(spark: SparkSession, source_dir: str, schema: StructType,
@@ -148,12 +232,7 @@ def ingest_files_incremental(spark: SparkSession, source_dir: str, schema: Struc
                              glob: str | None = None, max_files: int | None = None
                              ) -> StreamIngestResult:
     """Same contract for a folder of data files: each run takes the new files."""
-    reader = spark.readStream.schema(schema).format(fmt)
+    reader = file_stream(spark, schema, max_files).format(fmt)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", str(max_files))
-    writer = (reader.load(source_dir).writeStream.format("parquet")
-              .option("checkpointLocation", checkpoint_path)
-              .trigger(availableNow=True))
-    return run_available_now(spark, lambda: writer.start(output_path), output_path)
+    return append_stream(spark, reader.load(source_dir), output_path, checkpoint_path)

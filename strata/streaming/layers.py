@@ -5,75 +5,85 @@ Bronze layer reprocesses every earlier run. Here each run only touches what is
 new:
 
 * Silver: a file stream over Bronze (which reads the Bronze sink's commit log,
-  so only committed files), refined row by row and appended to Silver.
+  so only committed files), or over the landed messages when their schema is
+  inferred, refined row by row and appended to Silver.
 * Gold: a stateful streaming aggregation over Silver. The state holds one
-  (count, sum) per key; each batch emits the whole, small per-key table
-  (complete mode), which ``foreachBatch`` names through the reference lookup,
-  orders and writes as the Gold layer (overwrite, so a replayed batch writes
-  the same result).
+  (count, sum) per key; each batch writes the small per-key table (complete
+  mode; overwrite, so a replayed batch writes the same result). Every run
+  then names and orders that table with the reference as it is now.
 
-Both queries use ``availableNow`` with their own checkpoints: a rerun with no
-new Bronze files changes nothing.
+All queries use ``availableNow`` with their own checkpoints: a rerun with no
+new files only renews the names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from strata.operators.layers import (LayerResult, layer_path, literal_frame, read_layer,
+from strata.functions.casts import normalize_nan
+from strata.functions.json import decode_value
+from strata.operators.layers import (LayerResult, layer_path, literal_frame, path_exists, read_layer,
                                      write_layer)
-from strata.operators.marts import (DEFAULT_BROADCAST_ROWS, fits_broadcast, join_prepared,
-                                    lookup_left_join, lookup_side)
+from strata.operators.marts import DEFAULT_BROADCAST_ROWS, lookup_left_join
 from strata.operators.refine import refine
+from strata.sources.messages import TOPIC_SCHEMA
 from strata.spec import SURVEY, SURVEY_MART, MartSpec, RefineSpec
-from strata.streaming.ingest import StreamIngestResult, run_available_now
+from strata.streaming.ingest import (StreamIngestResult, append_stream, file_stream, messages_path,
+                                     run_available_now)
+
+# Default partitions of Gold's streaming state (one row per key, see gold_incremental).
+GOLD_STATE_PARTITIONS = 8
 
 
 def refine_incremental(spark: SparkSession, bronze_path: str, bronze_schema: StructType,
                        silver_path: str, checkpoint: str, spec: RefineSpec = SURVEY,
                        max_files: int | None = None, safe_cast: bool = False) -> StreamIngestResult:
     """Append the refined rows of Bronze files not seen before to Silver."""
-    reader = spark.readStream.schema(bronze_schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", str(max_files))
-    silver = refine(reader.parquet(bronze_path), spec, safe_cast=safe_cast) \
-        .observe("silver_rows", F.count(F.lit(1)).alias("n"))
-    writer = (silver.writeStream.format("parquet")
-              .option("checkpointLocation", checkpoint)
-              .outputMode("append")
-              .trigger(availableNow=True))
-    return run_available_now(spark, lambda: writer.start(silver_path), silver_path,
-                             metric="silver_rows")
+    rows = file_stream(spark, bronze_schema, max_files).parquet(bronze_path)
+    silver = refine(rows, spec, safe_cast=safe_cast).observe("silver_rows", F.count(F.lit(1)).alias("n"))
+    return append_stream(spark, silver, silver_path, checkpoint, metric="silver_rows")
 
 
-# Partitions of Gold's streaming state (one row per key, see gold_incremental).
-GOLD_STATE_PARTITIONS = 8
+def source_numbers(messages: DataFrame, spec: RefineSpec) -> DataFrame:
+    """The spec's input columns of each message as numbers: a text that is none, a NaN and a missing
+    field are NULL. This does not depend on the payload schema, which may change."""
+    names = spec.source_columns()
+    row = decode_value("value", StructType([StructField(c, StringType()) for c in names]), mode="PERMISSIVE")
+    return normalize_nan(messages.select(row.alias("__row")).where(F.col("__row").isNotNull())
+                         .select(*[F.col("__row")[c].try_cast("double").alias(c) for c in names]))
+
+
+def refine_messages_incremental(spark: SparkSession, raw_path: str, silver_path: str, checkpoint: str,
+                                spec: RefineSpec = SURVEY, max_files: int | None = None,
+                                safe_cast: bool = False) -> StreamIngestResult:
+    """Append the refined rows of landed messages not seen before to Silver."""
+    rows = source_numbers(file_stream(spark, TOPIC_SCHEMA, max_files).parquet(raw_path), spec)
+    silver = refine(rows, spec, safe_cast=safe_cast).observe("silver_rows", F.count(F.lit(1)).alias("n"))
+    return append_stream(spark, silver, silver_path, checkpoint, metric="silver_rows")
 
 
 def gold_incremental(spark: SparkSession, silver_path: str, silver_schema: StructType,
                      gold_path: str, checkpoint: str, reference: DataFrame,
                      mart: MartSpec = SURVEY_MART,
                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                     state_partitions: int = GOLD_STATE_PARTITIONS) -> LayerResult:
-    """Fold new Silver rows into per-key state and rewrite Gold from it."""
-    written: dict[str, int] = {}
-    # The reference is measured once per run, not once per batch; when it is
-    # proven small it is also kept in memory for the run and broadcast.
-    side = lookup_side(reference, silver_schema[mart.key].dataType, mart.ref_key,
-                       mart.ref_value, mart.name_column)
-    cached = side.cache() if fits_broadcast(side, max_broadcast_rows) else None
-    prepared = F.broadcast(cached) if cached is not None else side
+                     state_partitions: int = GOLD_STATE_PARTITIONS,
+                     max_files: int | None = None) -> LayerResult:
+    """Fold new Silver rows into per-key state and write Gold from it.
+
+    ``state_partitions`` is fixed in the checkpoint at first start (state is
+    one row per key and arrives partially aggregated; raise it for very many
+    keys). It is set on a session of the query's own.
+    """
+    aggregate = f"{checkpoint}_aggregate"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # ``batch`` is the complete per-key aggregate (one row per key).
-        named = join_prepared(batch, prepared, mart.key)
-        gold = named.select(mart.key, mart.name_column, mart.count_name, mart.mean_name) \
-            .orderBy(F.col(mart.key).asc_nulls_first())
-        written["rows"] = write_layer(gold, gold_path, "gold").rows
+        batch.write.mode("overwrite").parquet(aggregate)  # the complete per-key table
 
-    silver = spark.readStream.schema(silver_schema).parquet(silver_path)
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    silver = file_stream(own, silver_schema, max_files).parquet(silver_path)
     state = silver.groupBy(mart.key).agg(
         F.count(mart.measure).alias(mart.count_name),
         F.mean(mart.measure).cast("double").alias(mart.mean_name),
@@ -82,65 +92,42 @@ def gold_incremental(spark: SparkSession, silver_path: str, silver_schema: Struc
               .option("checkpointLocation", checkpoint)
               .foreachBatch(write_batch)
               .trigger(availableNow=True))
-
-    def start():
-        # Gold state is one row per key and arrives partially aggregated, so a
-        # few state partitions fit any data size. The count is fixed in the
-        # checkpoint at first start (AQE cannot coalesce stateful stages);
-        # the session's own setting is restored once the query has started.
-        key = "spark.sql.shuffle.partitions"
-        before = spark.conf.get(key)
-        spark.conf.set(key, str(state_partitions))
-        try:
-            return writer.start()
-        finally:
-            spark.conf.set(key, before)
-
-    try:
-        run_available_now(spark, start, gold_path)
-    finally:
-        if cached is not None:
-            cached.unpersist()
-    if "rows" not in written:  # nothing new: Gold stays as the last run wrote it
-        try:
-            written["rows"] = read_layer(spark, gold_path).count()
-        except FileNotFoundError:  # and no run has written it yet
-            written["rows"] = 0
-    return LayerResult(path=gold_path, rows=written["rows"])
-
-
-def build_gold_from_aggregate(agg: DataFrame, reference: DataFrame, mart: MartSpec,
-                              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Name and order an already aggregated (key, count, mean) frame."""
-    named = lookup_left_join(agg, reference, mart.key, mart.ref_key, mart.ref_value,
+    run_available_now(own, writer.start, aggregate)
+    if not path_exists(spark, aggregate):  # no run has seen a Silver file yet
+        return LayerResult(path=gold_path, rows=0)
+    named = lookup_left_join(read_layer(spark, aggregate), reference, mart.key, mart.ref_key, mart.ref_value,
                              mart.name_column, max_broadcast_rows)
-    return named.select(mart.key, mart.name_column, mart.count_name, mart.mean_name) \
+    gold = named.select(mart.key, mart.name_column, mart.count_name, mart.mean_name) \
         .orderBy(F.col(mart.key).asc_nulls_first())
+    return write_layer(gold, gold_path, "gold")
 
 
-def run_layers_incremental(spark: SparkSession, bronze: LayerResult, bronze_schema: StructType,
+def run_layers_incremental(spark: SparkSession, bronze: LayerResult, bronze_schema: StructType | None,
                            output_dir: str, reference: DataFrame, checkpoint_base: str,
                            spec: RefineSpec = SURVEY, mart: MartSpec = SURVEY_MART,
-                           run_id: str | None = None, safe_cast: bool = False,
-                           max_files: int | None = None) -> dict[str, LayerResult]:
-    """Silver and Gold brought up to date with only the new Bronze files.
+                           safe_cast: bool = False, max_files: int | None = None,
+                           state_partitions: int = GOLD_STATE_PARTITIONS) -> dict[str, LayerResult]:
+    """Silver and Gold brought up to date with only the new files.
 
-    The layers are one continuously maintained set, so their paths do not
-    carry a run id (each run's own record is the manifest row); ``run_id``
-    is accepted for symmetry with the batch jobs and ignored here. The
+    With a ``bronze_schema`` Silver reads Bronze, without one the landed
+    messages. The layers are one continuously maintained set, so their paths
+    do not carry a run id (each run's own record is the manifest row). The
     checkpoints and these layers belong together: starting either afresh
     means starting both afresh.
     """
     silver_path = layer_path(output_dir, "silver")
     gold_path = layer_path(output_dir, "gold")
-    silver = refine_incremental(spark, bronze.path, bronze_schema, silver_path,
-                                f"{checkpoint_base}/silver", spec, max_files=max_files,
-                                safe_cast=safe_cast)
-    silver_schema = refine(literal_frame(spark, [], bronze_schema), spec).schema
-    gold = gold_incremental(spark, silver_path, silver_schema, gold_path,
-                            f"{checkpoint_base}/gold", reference, mart)
+    if bronze_schema is not None:
+        silver = refine_incremental(spark, bronze.path, bronze_schema, silver_path, f"{checkpoint_base}/silver",
+                                    spec, max_files, safe_cast)
+        source = literal_frame(spark, [], bronze_schema)
+    else:
+        silver = refine_messages_incremental(spark, messages_path(checkpoint_base), silver_path,
+                                             f"{checkpoint_base}/silver", spec, max_files, safe_cast)
+        source = source_numbers(literal_frame(spark, [], TOPIC_SCHEMA), spec)
+    gold = gold_incremental(spark, silver_path, refine(source, spec).schema, gold_path, f"{checkpoint_base}/gold",
+                            reference, mart, state_partitions=state_partitions, max_files=max_files)
     return {"bronze": bronze, "silver": LayerResult(silver_path, silver.observed), "gold": gold}
 
 
-__all__ = ["refine_incremental", "gold_incremental", "build_gold_from_aggregate",
-           "run_layers_incremental"]
+__all__ = ["refine_incremental", "refine_messages_incremental", "gold_incremental", "run_layers_incremental"]

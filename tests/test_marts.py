@@ -120,16 +120,3 @@ def test_hot_key_join_without_broadcast_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
-
-
-def test_head_rows_two_level_merge(spark):
-    from pyspark.sql import functions as F
-    df = spark.range(0, 20_000, 1, 16).select(((F.col("id") * 7919) % 20_000).alias("k"),
-                                               F.col("id"))
-    plain = head_rows(df, 300, ["k"])
-    split = head_rows(df, 300, ["k"], merge_rows=1000)   # 16 tasks x 300 > 1000
-    plan = split._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "Partial" in plan
-    assert [r.k for r in split.collect()] == [r.k for r in plain.collect()] == list(range(300))
-    desc = head_rows(df, 5, [F.col("k").desc()], merge_rows=10)
-    assert [r.k for r in desc.collect()] == [19_999, 19_998, 19_997, 19_996, 19_995]

@@ -23,15 +23,14 @@ RAW_MESSAGES = [
 
 
 def _topic_from_values(spark, path, values):
-    spark.createDataFrame([(0, i, v) for i, v in enumerate(values)],
-                          "partition int, offset long, value string").write.parquet(path)
+    spark.createDataFrame([(v,) for v in values], "value string").write.parquet(path)
     return FileTopic(path)
 
 
-def test_encode_decode_roundtrip_keeps_nan_and_drops_nulls(spark):
+def test_encode_decode_roundtrip_keeps_nan_and_nulls(spark):
     df = spark.createDataFrame([(1.0, float("nan"), None)], "a double, b double, c string")
     enc = df.select(encode_row(df).alias("value"))
-    assert enc.first().value == '{"a":1.0,"b":NaN}'
+    assert enc.first().value == '{"a":1.0,"b":NaN,"c":null}'
     back = decode_frame(enc, df.schema).first()
     assert back.a == 1.0 and back.b != back.b and back.c is None
 
@@ -42,8 +41,7 @@ def test_replay_matches_source(spark, tmp_path, edge_frame):
     assert summary["records_sent"] == len(EDGE_ROWS)
     got = replay_topic(spark, topic, SURVEY_SCHEMA)
     assert got.exceptAll(edge_frame).count() == 0 and edge_frame.exceptAll(got).count() == 0
-    offsets = read_topic(spark, topic).select("partition", "offset").distinct().count()
-    assert offsets == len(EDGE_ROWS)
+    assert read_topic(spark, topic).columns == ["value"]
 
 
 def test_publish_cap_takes_first_rows(spark, tmp_path):
@@ -134,15 +132,6 @@ def test_kafka_missing_connector_is_a_clear_error(spark):
         read_topic(spark, KafkaTopic("localhost:1", "t"))
 
 
-def test_spread_only_when_too_few_partitions(spark):
-    from strata.sources.messages import spread
-    df = spark.range(0, 100, 1, 2)
-    assert spread(df, 4).rdd.getNumPartitions() == 4
-    many = spark.range(0, 100, 1, 8)
-    assert spread(many, 4) is many
-    assert spread(df, None) is df
-
-
 def test_head_in_file_order_and_publish_csv(spark, tmp_path):
     from strata.sources.files import head_in_file_order, read_csv
     from strata.sources.messages import publish_csv
@@ -185,18 +174,6 @@ def test_file_drop_ingest_takes_only_new_files(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(15))
 
 
-def test_file_topic_offsets_continue_across_publishes(spark, tmp_path):
-    topic = FileTopic(str(tmp_path / "topic"))
-    publish(spark.range(0, 10, 1, 2), topic)
-    publish(spark.range(10, 15, 1, 1), topic)
-    msgs = read_topic(spark, topic).select(
-        "partition", "offset", F.get_json_object("value", "$.id").cast("long").alias("id")).collect()
-    assert len({(m.partition, m.offset) for m in msgs}) == 15
-    first = [m.offset for m in msgs if m.id < 10]
-    second = [m.offset for m in msgs if m.id >= 10]
-    assert min(second) > max(first)
-
-
 def test_schemaless_replay_keeps_nan_measure_numeric(spark, tmp_path, edge_frame):
     from tests.conftest import NAN_ROW
     frame = edge_frame.unionByName(spark.createDataFrame([NAN_ROW], SURVEY_SCHEMA))
@@ -223,16 +200,6 @@ def test_multiline_message_is_decoded_without_schema(spark):
     assert rows == [(1, "x y"), (2, "z")]
 
 
-def test_offsets_reserved_before_write_and_legacy_topics(spark, tmp_path):
-    # a topic written without an offsets table continues after its largest offset
-    legacy = str(tmp_path / "legacy")
-    spark.createDataFrame([(0, 0, '{"id":0}'), (0, 7, '{"id":1}')],
-                          "partition int, offset long, value string").write.parquet(legacy)
-    publish(spark.range(2, 4, 1, 1), FileTopic(legacy))
-    offsets = sorted(r.offset for r in read_topic(spark, FileTopic(legacy)).collect())
-    assert offsets[:2] == [0, 7] and min(offsets[2:]) >= 8
-
-
 def test_byte_estimate_counts_rows_with_null_strings(spark):
     from strata.operators.marts import broadcast_size
     df = spark.createDataFrame([("x" * 1000, None), ("y" * 1000, "z")], "a string, b string")
@@ -258,14 +225,9 @@ def test_observed_metric_reader():
     assert _observed(Progress, "missing") == 0 and _observed(Progress, None) == 0
 
 
-def test_empty_offsets_folder_and_aware_datetimes(spark, tmp_path):
+def test_aware_datetimes_without_zone(spark):
     import datetime as dt
     from strata.operators.layers import literal_frame
-    from strata.sources.messages import OFFSETS_SCHEMA, _offsets_path
-    topic = FileTopic(str(tmp_path / "topic"))
-    # an aborted first publish can leave an empty offsets folder
-    literal_frame(spark, [], OFFSETS_SCHEMA).write.parquet(_offsets_path(topic))
-    assert publish(spark.range(3), topic)["records_sent"] == 3
     aware = dt.datetime(2026, 1, 1, 10, tzinfo=dt.timezone(dt.timedelta(hours=2)))
     schema = spark.createDataFrame([], "t timestamp_ntz").schema
     got = literal_frame(spark, [(aware,), (dt.datetime(2026, 1, 1, 8),)], schema).collect()
