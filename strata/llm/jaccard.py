@@ -5,7 +5,8 @@ the same or in neighbouring bands; a band and the next share a tag, and a tag fi
 symmetric difference k of a similar pair. The feature domain is parted twice by hash (first-level
 parts, each of two second-level parts, of which the subsets of size one are enumerated): k differences
 leave some enumerated part untouched, so similar sets share that part's signature, the hash of the
-features in it. Sets with one shared signature are compared exactly.
+features in it. Sets with one shared signature are compared: first by bitmaps of feature parity, whose
+difference never exceeds that of the sets, then exactly.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import documents, map_arrow, stored
@@ -25,6 +26,8 @@ from strata.llm.words import Chunk, chunks, grams, mix, words
 SHINGLE, PERCENT = 5, 80
 #: Bits of the map of candidate sets that goes to the tasks.
 MAP_BITS = 26
+#: 64-bit words of a parity bitmap, and of its folded form that is compared first.
+SKETCH, FOLDED = 16, 8
 #: Rows of one signature that a task holds before it passes them on.
 HELD = 200_000
 _SUBSETS = 2  # second-level parts; subsets of one part each are enumerated
@@ -136,22 +139,25 @@ def _sign(n: int, percent: int):
     return run
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _meet(most: int):
+    return lambda batches: _meeting(batches, most)
+
+
+def _meeting(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by (sig, code): passes on those of signatures with two codes or more, as
-    (group, centre, code). Groups with the same members get the same name, so that they fold."""
+    (group, code). Groups with the same members get the same name, so that they fold."""
     sig, code = np.empty(0, np.int64), np.empty(0, np.int64)
-    opened: tuple[int, int] | None = None  # signature too large to hold, its centre
+    opened: int | None = None  # signature too large to hold
 
-    def rows(group, centre, member):
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (group, centre, member)],
-                                          names=["group", "centre", "code"])
+    def rows(group, member):
+        return pa.RecordBatch.from_arrays([pa.array(group), pa.array(member)], names=["group", "code"])
 
     def close(sig: np.ndarray, code: np.ndarray, opened) -> list[pa.RecordBatch]:
         out = []
         if opened is not None and len(sig):
-            more = sig == opened[0]
+            more = sig == opened
             if more.any():
-                out.append(rows(sig[more], np.full(more.sum(), opened[1]), code[more]))
+                out.append(rows(sig[more], code[more]))
                 sig, code = sig[~more], code[~more]
         if len(sig):
             new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (code[1:] != code[:-1])])
@@ -161,7 +167,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             name = mix(np.add.reduceat(mix(code.view(np.uint64)), first) + size.astype(np.uint64)).view(np.int64)
             many = np.repeat(size > 1, size)
             if many.any():
-                out.append(rows(np.repeat(name, size)[many], np.repeat(code[first], size)[many], code[many]))
+                out.append(rows(np.repeat(name, size)[many], code[many]))
         return out
 
     for batch in batches:
@@ -172,45 +178,75 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = int(np.searchsorted(sig, sig[-1]))  # the last signature may go on
         yield from close(sig[:cut], code[:cut], opened)
         sig, code = sig[cut:], code[cut:]
-        if opened is not None and opened[0] != sig[0]:
+        if opened is not None and opened != sig[0]:
             opened = None
-        if len(sig) > HELD:
-            if opened is None:
-                opened = (int(sig[0]), int(code[0]))
-            yield rows(sig, np.full(len(sig), opened[1]), code)
+        if len(sig) > most:
+            opened = int(sig[0])
+            yield rows(sig, code)
             sig, code = sig[:0], code[:0]
     yield from close(sig, code, opened)
 
 
-def _sets(n: int, wanted: np.ndarray):
-    """Per row: number of shingles, the set's code, and the shingles if the map has its code."""
+def parity_sketches(shingles: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A bitmap for each set: whether an odd number of its features falls on each bit."""
+    docs, bits = len(ends) - 1, 64 * SKETCH
+    at = np.repeat(np.arange(docs), np.diff(ends)) * bits + (mix(shingles ^ np.uint64(0xBB67AE8584CAA73B))
+                                                             & np.uint64(bits - 1)).astype(np.int64)
+    odd = (np.bincount(at, minlength=docs * bits) & 1).astype(np.uint8).reshape(docs, bits)
+    return np.packbits(odd, axis=1, bitorder="little").view(np.int64).reshape(docs, SKETCH)
+
+
+class _First:
+    """Which codes are wanted (by the map) and new to this task."""
+
+    def __init__(self, wanted: np.ndarray) -> None:
+        self.wanted, self.seen = wanted, set()
+
+    def __call__(self, codes: np.ndarray) -> np.ndarray:
+        slot = (codes & np.uint64((1 << MAP_BITS) - 1)).astype(np.int64)
+        out = (self.wanted[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
+        if len(self.seen) > 1_000_000:
+            self.seen.clear()
+        for d in np.flatnonzero(out).tolist():
+            c = int(codes[d])
+            out[d] = c not in self.seen
+            self.seen.add(c)
+        return out
+
+
+def _sketch(n: int, wanted: np.ndarray):
+    """Per row: number of shingles, the set's code, and the bitmap where the map has the code."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        first = _First(wanted)
         for batch in batches:
-            sizes, codes, values, offsets = [], [], [], [0]
             for chunk in chunks(batch.column("_text")):
                 shingles, ends = shingle_sets(chunk, n)
                 code = set_codes(shingles, ends)
-                slot = (code & np.uint64((1 << MAP_BITS) - 1)).astype(np.int64)
-                keep = (wanted[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
-                for d, c in enumerate(code.tolist()):
-                    if keep[d] and c not in seen:
-                        seen.add(c)
-                        values.append(shingles[ends[d]:ends[d + 1]])
-                        offsets.append(offsets[-1] + len(values[-1]))
-                    else:
-                        offsets.append(offsets[-1])
-                if len(seen) > 1_000_000:
-                    seen.clear()
-                sizes.append(np.diff(ends))
-                codes.append(code)
-            flat = np.concatenate(values).view(np.int64) if values else np.empty(0, np.int64)
-            lists = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(flat)).cast(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), batch.column("_id"),
-                 pa.array(np.concatenate(sizes) if sizes else np.empty(0, np.int64)),
-                 pa.array(np.concatenate(codes).view(np.int64) if codes else np.empty(0, np.int64)), lists],
-                names=["_row", "_id", "n_shingles", "code", "shingles"])
+                keep = first(code)
+                size = np.diff(ends)
+                sketch = parity_sketches(shingles[np.repeat(keep, size)], np.concatenate([[0], np.cumsum(size[keep])]))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(keep)]) * SKETCH, pa.int32()),
+                                                 pa.array(sketch.ravel()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("_row").slice(chunk.first, chunk.last - chunk.first),
+                     batch.column("_id").slice(chunk.first, chunk.last - chunk.first), pa.array(size),
+                     pa.array(code.view(np.int64)), lists], names=["_row", "_id", "n_shingles", "code", "sketch"])
+    return run
+
+
+def _members(n: int, wanted: np.ndarray):
+    """(code, shingles) of the sets whose code the map has."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = _First(wanted)
+        for batch in batches:
+            for chunk in chunks(batch.column("_text")):
+                shingles, ends = shingle_sets(chunk, n)
+                code = set_codes(shingles, ends)
+                keep = first(code)
+                size = np.diff(ends)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size[keep])]), pa.int32()),
+                                                 pa.array(shingles[np.repeat(keep, size)].view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(code[keep].view(np.int64)), lists], names=["code", "shingles"])
     return run
 
 
@@ -225,66 +261,99 @@ def _candidate_map(codes: DataFrame) -> np.ndarray:
     return out
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, ok) of each pair: whether the two sets are similar, by their shingles."""
+def _may_link(x: str, y: str, percent: int, size: int) -> Column:
+    """Whether sizes (n) and bitmaps (m0, m1, ...) with the prefixes ``x`` and ``y`` leave room for a link."""
+    total = F.col(f"{x}n") + F.col(f"{y}n")
+    odd = [F.bit_count(F.col(f"{x}m{i}").bitwiseXOR(F.col(f"{y}m{i}"))) for i in range(size)]
+    return (100 * F.col(f"{x}n") >= percent * F.col(f"{y}n")) & (100 * F.col(f"{y}n") >= percent * F.col(f"{x}n")) \
+        & ((100 + percent) * sum(odd[1:], odd[0]) <= (100 - percent) * total)
+
+
+def _prefixed(sketches: DataFrame, prefix: str, key: str, size: int) -> DataFrame:
+    """Bitmaps folded to ``size`` words: parities of parities, so the bound still holds."""
+    def word(i: int) -> Column:
+        out = F.col("sketch")[i]
+        for j in range(i + size, SKETCH, size):
+            out = out.bitwiseXOR(F.col("sketch")[j])
+        return out
+
+    return sketches.select(F.col("code").alias(key), F.col("n_shingles").alias(f"{prefix}n"),
+                           *(word(i).alias(f"{prefix}m{i}") for i in range(size)))
+
+
+def _near(pairs: DataFrame, sketches: DataFrame, percent: int, size: int) -> DataFrame:
+    return pairs.join(_prefixed(sketches, "_y", "b", size), "b").join(_prefixed(sketches, "_x", "a", size), "a") \
+        .where(_may_link("_x", "_y", percent, size)).select("a", "b")
+
+
+def _linked(pairs: DataFrame, rows: DataFrame, n: int, percent: int, name: str) -> DataFrame:
+    """Those of the pairs (a, b) whose sets are similar, by all their shingles."""
+    codes = pairs.select(F.col("a").alias("code")).unionByName(pairs.select(F.col("b").alias("code")))
+    sets = stored(map_arrow(rows.select("_text"), _members(n, _candidate_map(codes)), "code long, shingles array<long>")
+                  .dropDuplicates(["code"]), f"{name}-sets")
     one = sets.select(F.col("code").alias("a"), F.col("shingles").alias("_x"))
     two = sets.select(F.col("code").alias("b"), F.col("shingles").alias("_y"))
     both = F.size(F.array_intersect("_x", "_y"))
-    return pairs.join(two, "b").join(one, "a").withColumn("_both", both) \
-        .select("a", "b", (100 * F.col("_both") >= percent * (F.size("_x") + F.size("_y") - F.col("_both"))).alias("ok"))
+    return stored(pairs.join(two, "b").join(one, "a").withColumn("_both", both).where(
+        100 * F.col("_both") >= percent * (F.size("_x") + F.size("_y") - F.col("_both"))).select("a", "b"), name)
 
 
-def jaccard_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def jaccard_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, held: int = HELD) -> DataFrame:
     """One row per row of ``docs``: _row, _id (its doc_id), n_shingles, _component (a number that rows
     reachable by links share; NULL for a set without links).
 
     ``docs`` must be a table scan (its rows are numbered anew in each pass). Equal sets fold into one
-    node. Nodes that share a signature are compared with the least node among them; where such a
-    comparison fails, all pairs of that signature's nodes in different components are compared, so no
-    link is lost and copies are never paired with each other. Empty sets (NULL or blank text) link
+    node. Nodes that share a signature are compared with a centre among them; where such a
+    comparison fails, the bitmaps of that signature's nodes in different components are compared too, so
+    no link is lost and nodes of one component are never paired with each other. Empty sets (NULL or blank text) link
     with nothing; NULL doc_ids and repeated rows are rows like any other.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long").alias("_id"),
                        F.col("text").alias("_text"))
     signed = map_arrow(rows.select("_text"), _sign(n, percent), "sig long, code long")
-    met = stored(map_arrow(signed.repartition("sig").sortWithinPartitions("sig", "code"), _meet,
-                           "group long, centre long, code long").distinct(), "jaccard-groups")
-    wanted = _candidate_map(met)
-    table = stored(map_arrow(rows, _sets(n, wanted), "_row long, _id long, n_shingles long, code long, "
-                                                     "shingles array<long>"), "jaccard-sets")
-    sets = table.where(F.size("shingles") > 0).select("code", "shingles").dropDuplicates(["code"])
+    met = stored(map_arrow(signed.repartition("sig").sortWithinPartitions("sig", "code"), _meet(held),
+                           "group long, code long").distinct(), "jaccard-groups")
+    table = stored(map_arrow(rows, _sketch(n, _candidate_map(met)), "_row long, _id long, n_shingles long, code long, "
+                                                                    "sketch array<long>"), "jaccard-table")
+    sketches = stored(table.where(F.size("sketch") > 0).select("code", "n_shingles", "sketch").dropDuplicates(["code"]),
+                      "jaccard-sketches")
+    # a group's centre is the node that most groups hold: of a text and its edited copies, the text
+    held_by = met.groupBy("code").agg(F.count(F.lit(1)).alias("_n"))
+    met = met.join(held_by, "code")
+    centres = met.groupBy("group").agg(F.max(F.struct("_n", "code")).alias("_top")) \
+        .select("group", F.col("_top.code").alias("centre"))
+    met = stored(met.drop("_n").join(centres, "group"), "jaccard-centres")
     stars = met.where("centre != code").select(F.col("centre").alias("a"), F.col("code").alias("b")).distinct()
-    tested = stored(_linked(stars, sets, percent), "jaccard-stars")
-    links = tested.where("ok").select("a", "b")
+    near = stored(_near(_near(stars, sketches, percent, FOLDED), sketches, percent, SKETCH), "jaccard-near")
+    links = _linked(near, rows, n, percent, "jaccard-links")
     found = components(links, "jaccard-components")
 
-    failed = tested.where(~F.col("ok")).select(F.col("a").alias("centre"), F.col("b").alias("code"))
-    loose = met.join(failed, ["centre", "code"]).select("group").distinct()
-    size = table.where("n_shingles > 0").select("code", "n_shingles").distinct()
-    open_rows = stored(met.join(loose, "group").join(size, "code")
-                       .join(found.withColumnRenamed("node", "code"), "code", "left")
-                       .withColumn("component", F.coalesce("component", "code")), "jaccard-open")
-    several = open_rows.groupBy("group").agg(F.min("component").alias("_x"), F.max("component").alias("_y")) \
+    # groups in which some node does not link with the centre, with their nodes' components
+    good = links.select(F.col("a").alias("centre"), F.col("b").alias("code"))
+    loose = met.where("centre != code").join(good, ["centre", "code"], "left_anti").select("group").distinct()
+    nodes = stored(met.join(loose, "group").join(found.withColumnRenamed("node", "code"), "code", "left")
+                   .select("group", "centre", "code", F.coalesce("component", "code").alias("component")), "jaccard-nodes")
+    several = nodes.groupBy("group").agg(F.min("component").alias("_x"), F.max("component").alias("_y")) \
         .where("_x != _y").select("group")
-    open_rows = open_rows.join(several, "group")
-    left = open_rows.select("group", "centre", F.col("code").alias("a"), F.col("component").alias("_ca"),
-                            F.col("n_shingles").alias("_na"))
-    right = open_rows.select("group", F.col("code").alias("b"), F.col("component").alias("_cb"),
-                             F.col("n_shingles").alias("_nb"))
-    cross = left.join(right, "group").where(
-        "_ca < _cb and a != centre and b != centre "
-        f"and 100 * _na >= {percent} * _nb and 100 * _nb >= {percent} * _na").select("a", "b").distinct()
-    more = stored(_linked(cross, sets, percent).where("ok").select("a", "b"), "jaccard-cross")
-    if not more.isEmpty():
+    nodes = nodes.where("code != centre").join(several, "group")
+    left = nodes.select("group", F.col("code").alias("a"), F.col("component").alias("_ca")) \
+        .join(_prefixed(sketches, "_x", "a", FOLDED), "a")
+    right = nodes.select("group", F.col("code").alias("b"), F.col("component").alias("_cb")) \
+        .join(_prefixed(sketches, "_y", "b", FOLDED), "b")
+    cross = left.join(right, (left["group"] == right["group"]) & (F.col("_ca") < F.col("_cb"))
+                      & _may_link("_x", "_y", percent, FOLDED)).select("a", "b").distinct()
+    cross = stored(_near(cross, sketches, percent, SKETCH), "jaccard-cross")
+    if not cross.isEmpty():
+        more = _linked(cross, rows, n, percent, "jaccard-more")
         found = components(links.unionByName(more), "jaccard-components")
-    return table.drop("shingles").join(found.select(F.col("node").alias("code"), F.col("component").alias("_component")),
-                                       "code", "left") \
+    return table.drop("sketch").join(found.select(F.col("node").alias("code"), F.col("component").alias("_component")),
+                                     "code", "left") \
         .withColumn("_component", F.when(F.col("n_shingles") > 0, F.coalesce("_component", "code"))).drop("code")
 
 
-def link_documents(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def link_documents(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, held: int = HELD) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the smallest doc_id reachable)."""
-    rows = stored(jaccard_components(docs, n, percent), "jaccard-rows")
+    rows = stored(jaccard_components(docs, n, percent, held), "jaccard-rows")
     least = rows.where("_component is not null").groupBy("_component").agg(F.min("_id").alias("_least"))
     return rows.join(least, "_component", "left").select(
         F.col("_id").alias("doc_id"), "n_shingles", F.coalesce("_least", "_id").alias("component_id"))
