@@ -62,7 +62,7 @@ def test_packing(docs, rows):
 
 
 def test_packed_sequences(docs):
-    some = docs.where("doc_id < 40").select("doc_id", "text").coalesce(1)
+    some = docs.where("doc_id < 40").select("doc_id", "text").dropDuplicates(["doc_id"])
     pieces = packing.pack(some)
     whole = {r.sequence_id: r.ids for r in packing.sequences(some, pieces).collect()}
     for r in pieces.collect():
@@ -74,8 +74,10 @@ def test_cutting_stock_reaches_the_bound():
     draw = random.Random(2)
     counts = {w: draw.randrange(1, 400) for w in range(1, 129)}
     layout = packing.Layout(counts, 128)
-    area = sum(w * n for w, n in counts.items()) / 128
-    assert area <= layout.sequences <= area * 1.01 + 2
+    _, uses = packing.solve_patterns(np.arange(1, 129), np.array([*counts.values()], float), 128)
+    assert uses.sum() - 1 <= layout.sequences <= uses.sum() + 64
+    # the large items alone need this many sequences, and so does the area
+    assert layout.sequences >= max(sum(n for w, n in counts.items() if w > 64), sum(w * n for w, n in counts.items()) / 128)
     load = Counter()
     for w, n in counts.items():
         for q in layout.sequence(np.full(n, w), np.arange(n)):
@@ -295,7 +297,10 @@ def test_vectors(spark):
 
 
 def test_vector_recall(spark):
-    found, there = vectors.audit_recall(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet"), 5)
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    near = F.transform("embedding", lambda x, i: (x + 0.02 * F.sin(F.col("vec_id") + i)).cast("float"))
+    copies = table.where("vec_id % 5 = 0").select((F.col("vec_id") + 1_000_000).alias("vec_id"), near.alias("embedding"))
+    found, there = vectors.audit_recall(table.unionByName(copies), 5)
     assert there and found >= 0.9 * there and found <= there
 
 
