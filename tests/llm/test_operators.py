@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import (jaccard, language, lines, mixing, packing, quality, secrets, sharding, substrings, vectors)
+from strata.llm.common import stored
 from tests.llm import brute
 from tests.llm.conftest import prose
 
@@ -304,6 +305,43 @@ def test_vector_recall(spark):
     assert there and found >= 0.9 * there and found <= there
 
 
+def test_vector_lists_of_far_neighbours(spark):
+    """Lists are full where no two vectors are alike, and isolated pairs at the threshold are found."""
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = draw.normal(size=(400, 64))
+    side -= (side * x[:400]).sum(axis=1, keepdims=True) * x[:400]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = draw.uniform(0.9005, 0.92, size=(400, 1))
+    x = np.concatenate([x, cosine * x[:400] + np.sqrt(1 - cosine ** 2) * side])
+    nodes = stored(spark.createDataFrame([(k, 1, v.tolist()) for k, v in enumerate(x)], vectors.NODE), "test-nodes")
+    lists = vectors.neighbour_lists(nodes, [], len(x)).groupBy("a").count().collect()
+    assert len(lists) == len(x) and all(r["count"] >= vectors.LIST for r in lists)
+    got = {r.vec_id: r.component_id for r in vectors.near_vectors(nodes, "node", "unit").collect()}
+    assert np.mean([got[3000 + k] == got[k] for k in range(400)]) >= vectors.RECALL
+
+
+@pytest.mark.parametrize("count", [2_000, 100_000, 10_000_000])
+def test_leaf_tables_grow_with_the_bits(count):
+    bits, tables = vectors.leaf_bits(count)
+    assert 1 - (1 - (1 - np.arccos(0.9) / np.pi) ** bits) ** tables >= vectors.RECALL
+
+
+def test_vectors_of_two_tight_groups(spark):
+    """Lists are full of a node's own group; the groups are linked with each other all the same."""
+    draw = np.random.default_rng(5)
+    one, two = np.zeros(32), np.zeros(32)
+    one[0], two[0], two[1] = 1, 0.93, np.sqrt(1 - 0.93 ** 2)
+    x = np.concatenate([c + 0.01 * draw.normal(size=(500, 32)) for c in (one, two)])
+    near = _cosines(x) >= 0.9
+    assert near[:500, 500:].mean() > 0.9
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in vectors.near_vectors(table).collect()}
+    assert sum(r.kept for r in got.values()) == 1
+    assert all(got[k].n_links == near[k].sum() - 1 for k in range(1000))
+
+
 def test_mixing(docs, rows):
     table = [(r.doc_id, r.source, len(brute.words(r.text))) for r in docs.collect()]
     sizes = defaultdict(int)
