@@ -88,3 +88,10 @@ def prefix_sum(df: DataFrame, groups: list[str], order: list[str], value: Column
 def row_ids(df: DataFrame, name: str = "_row") -> DataFrame:
     """Number the rows; store the frame before the numbers are used twice."""
     return df.withColumn(name, F.monotonically_increasing_id())
+
+
+def numbered(docs: DataFrame, name: str, *more: Column) -> DataFrame:
+    """(_row, _id, _text) of the rows of ``docs``, and ``more``, stored: every pass reads the same numbers,
+    whatever the splits of ``docs`` are by then."""
+    return stored(docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long").alias("_id"),
+                              F.col("text").alias("_text"), *more), name)

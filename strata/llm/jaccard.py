@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import documents, map_arrow, stored
+from strata.llm.common import documents, map_arrow, numbered, stored
 from strata.llm.components import components
 from strata.llm.words import Chunk, chunks, grams, mix, words
 
@@ -298,18 +298,17 @@ def _linked(pairs: DataFrame, rows: DataFrame, n: int, percent: int, name: str)
         100 * F.col("_both") >= percent * (F.size("_x") + F.size("_y") - F.col("_both"))).select("a", "b"), name)
 
 
-def jaccard_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, held: int = HELD) -> DataFrame:
-    """One row per row of ``docs``: _row, _id (its doc_id), n_shingles, _component (a number that rows
-    reachable by links share; NULL for a set without links).
+def jaccard_components(rows: DataFrame, n: int = SHINGLE, percent: int = PERCENT, held: int = HELD) -> DataFrame:
+    """One row per row of the numbered ``rows``: _row, _id (its doc_id), n_shingles, _component (a number
+    that rows reachable by links share; NULL for a set without links).
 
-    ``docs`` must be a table scan (its rows are numbered anew in each pass). Equal sets fold into one
+    Equal sets fold into one
     node. Nodes that share a signature are compared with a centre among them; where such a
     comparison fails, the bitmaps of that signature's nodes in different components are compared too, so
     no link is lost and nodes of one component are never paired with each other. Empty sets (NULL or blank text) link
     with nothing; NULL doc_ids and repeated rows are rows like any other.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long").alias("_id"),
-                       F.col("text").alias("_text"))
+    rows = rows.select("_row", "_id", "_text")
     signed = map_arrow(rows.select("_text"), _sign(n, percent), "sig long, code long")
     met = stored(map_arrow(signed.repartition("sig").sortWithinPartitions("sig", "code"), _meet(held),
                            "group long, code long").distinct(), "jaccard-groups")
@@ -353,7 +352,7 @@ def jaccard_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT
 
 def link_documents(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, held: int = HELD) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the smallest doc_id reachable)."""
-    rows = stored(jaccard_components(docs, n, percent, held), "jaccard-rows")
+    rows = stored(jaccard_components(numbered(docs, "jaccard-texts"), n, percent, held), "jaccard-rows")
     least = rows.where("_component is not null").groupBy("_component").agg(F.min("_id").alias("_least"))
     return rows.join(least, "_component", "left").select(
         F.col("_id").alias("doc_id"), "n_shingles", F.coalesce("_least", "_id").alias("component_id"))
@@ -361,12 +360,12 @@ def link_documents(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, he
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` less all but one (the smallest doc_id) of each group of linked rows."""
-    rows = stored(jaccard_components(docs), "jaccard-rows").where("_component is not null")
+    texts = numbered(docs, "jaccard-texts", F.struct("*").alias("_doc"))
+    rows = stored(jaccard_components(texts), "jaccard-rows").where("_component is not null")
     order = F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row"))
     first = rows.groupBy("_component").agg(F.min(order).alias("_first"))
     gone = rows.join(first, "_component").where(F.col("_first._row") != F.col("_row")).select("_row")
-    numbered = docs.select(F.struct("*").alias("_doc"), F.monotonically_increasing_id().alias("_row"))
-    return numbered.join(gone, "_row", "left_anti").select("_doc.*")
+    return texts.join(gone, "_row", "left_anti").select("_doc.*")
 
 
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.llm.common import documents, map_arrow, stored
+from strata.llm.common import documents, map_arrow, numbered, stored
 from strata.llm.words import chunks, span_codes, words
 
 #: A repeated run counts with at least two lines, or one line of this many words.
@@ -47,11 +47,6 @@ def _line_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(n, pa.int64())], names=["_row", "_id", "at", "lines", "code", "words"])
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long").alias("_id"),
-                       F.col("text").alias("_text"))
-
-
 def _ranks(keys: DataFrame, names: list[str]) -> DataFrame:
     """Number distinct keys in their order: sorted by range, counted by partition, numbered within."""
     placed = stored(keys.repartitionByRange(*names).withColumn("_part", F.spark_partition_id()), "line-keys")
@@ -72,10 +67,10 @@ def _shared(suffixes: DataFrame, names: list[str]) -> DataFrame:
         .select("_row", "_id", "at", "lines", "words", F.col("_rank").alias("rank"), "later")
 
 
-def repeated_runs(docs: DataFrame, lone_words: int = LONE_WORDS) -> DataFrame:
-    """(_row, at, length): windows of lines with an earlier copy, of 1, 2, 4, ... lines."""
-    table = stored(map_arrow(numbered(docs), _line_table, "_row long, _id long, at long, lines long, "
-                                                          "code long, words long"), "lines")
+def repeated_runs(rows: DataFrame, lone_words: int = LONE_WORDS) -> DataFrame:
+    """(_row, at, length) for numbered rows: windows of lines with an earlier copy, of 1, 2, 4, ... lines."""
+    table = stored(map_arrow(rows.select("_row", "_id", "_text"), _line_table, "_row long, _id long, at long, "
+                             "lines long, code long, words long"), "lines")
     level = stored(_shared(table, ["code"]), "line-ranks")
     runs = level.where(F.col("later") & (F.col("words") >= lone_words)) \
         .select("_row", "at", F.lit(1).cast("long").alias("length"))
@@ -124,11 +119,10 @@ def delete_repeats(docs: DataFrame, keep: list[str | Column], lone_words: int =
     A line goes if it lies in a run of lines (two or more, or one of ``lone_words`` words) that also
     occurs earlier, by doc_id (NULL first), row and place. Lines without a word are not counted and
     stay. A NULL text stays NULL; a repeated row is a later copy; an empty table gives no rows.
-    ``docs`` must be a table scan: its rows are numbered anew in each pass.
     """
-    runs = repeated_runs(docs, lone_words).groupBy("_row").agg(F.collect_list(F.struct("at", "length")).alias("_runs"))
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), *keep, F.col("text").alias("_text")) \
-        .join(runs, "_row", "left").drop("_row")
+    rows = numbered(docs, "line-rows", F.struct(*keep).alias("_keep"))
+    runs = repeated_runs(rows, lone_words).groupBy("_row").agg(F.collect_list(F.struct("at", "length")).alias("_runs"))
+    rows = rows.join(runs, "_row", "left").select("_keep.*", "_text", "_runs")
     schema = StructType([f for f in rows.schema if f.name not in ("_text", "_runs")])
     for name, kind in (("_kept", "string"), ("_n_lines", "long"), ("_n_removed", "long"), ("_longest_run", "long")):
         schema = schema.add(name, kind)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import documents, map_arrow, stored
+from strata.llm.common import documents, map_arrow, numbered, stored
 from strata.llm.words import Chunk, Words, chunks, grams, mix, run_codes, whole, words
 
 #: Words of a window, and of the grams among which it elects its anchor.
@@ -331,12 +331,9 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["_row", "doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
-def repeated_spans(docs: DataFrame, many: int = MANY) -> DataFrame:
-    """(_row, first, last): spans of words of each row covered by windows of an earlier document.
-
-    ``docs`` must be a table scan: its rows are numbered anew in each pass.
-    """
-    rows = numbered(docs).where("_id is not null")
+def repeated_spans(rows: DataFrame, many: int = MANY) -> DataFrame:
+    """(_row, first, last) for numbered rows: spans of words covered by windows of an earlier document."""
+    rows = rows.where("_id is not null")
     anchors = map_arrow(rows.select("_row", "_text"), _anchors, "anchor long, _row long")
     shared = map_arrow(anchors.repartition("anchor").sortWithinPartitions("anchor", "_row"), _shared, "anchor long")
     texts = map_arrow(rows, _texts(_anchor_map(shared)), TEXTS)
@@ -348,11 +345,6 @@ def repeated_spans(docs: DataFrame, many: int = MANY) -> DataFrame:
     return found.where("shard is null").select("_row", "first", "last").unionByName(split.select("_row", "first", "last"))
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long").alias("_id"),
-                       F.col("text").alias("_text"))
-
-
 def remove_repeats(docs: DataFrame, many: int = MANY) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256.
 
@@ -361,9 +353,10 @@ def remove_repeats(docs: DataFrame, many: int = MANY) -> DataFrame:
     doc_id is neither a source nor changed; rows of one doc_id are not compared with each other, so
     repeated rows share their fate; an empty table gives no rows.
     """
-    spans = repeated_spans(docs, many).groupBy("_row").agg(
+    rows = numbered(docs, "substring-rows")
+    spans = repeated_spans(rows, many).groupBy("_row").agg(
         F.collect_list(F.struct("first", "last")).alias("_spans"))
-    return map_arrow(numbered(docs).join(spans, "_row", "left"), _keep,
+    return map_arrow(rows.join(spans, "_row", "left"), _keep,
                      "_row long, doc_id long, n_words long, n_removed long, kept_sha256 string").drop("_row")
 
 

@@ -379,3 +379,27 @@ def test_mixed_documents(docs):
     most = Counter(r.doc_id for r in out.collect())
     have = Counter(r.doc_id for r in docs.collect())
     assert all(n <= 3 * have[i] for i, n in most.items())
+
+
+def test_row_ids_of_passes_that_see_other_orders(spark):
+    """A table whose rows come in another order at each pass, as after a change of splits."""
+    draw = random.Random(12)
+    texts = [prose(draw, 60) for _ in range(40)]
+    texts += [t + " one more" for t in texts[:20]] + texts[20:30]
+    plain = spark.createDataFrame([(k, t, "web") for k, t in enumerate(texts)],
+                                  "doc_id long, text string, source string").coalesce(1)
+
+    def shuffle(batches):
+        for batch in batches:
+            yield batch.take(np.random.default_rng().permutation(len(batch)))
+
+    moving = plain.mapInArrow(shuffle, plain.schema)
+    for run in (lambda d: lines.delete_repeats(d, ["doc_id"]), substrings.remove_repeats, jaccard.keep_one, mixing.plan_mix):
+        key = lambda r: r.doc_id
+        assert sorted(run(moving).collect(), key=key) == sorted(run(plain).collect(), key=key)
+
+
+def test_mix_order_does_not_follow_the_splits(spark):
+    rows = [(None, f"word{k} and more {'x ' * (k % 5)}", "web" if k % 3 else "code") for k in range(60)]
+    one, two = (spark.createDataFrame(r, "doc_id long, text string, source string").coalesce(1) for r in (rows, rows[::-1]))
+    assert [r.text for r in mixing.mixed_documents(one).collect()] == [r.text for r in mixing.mixed_documents(two).collect()]
