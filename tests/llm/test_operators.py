@@ -266,6 +266,18 @@ def test_quality_keeps_good_documents(spark):
     assert any(not r._kept for r in got if r.quality == 0)
 
 
+def test_quality_rejects_each_kind_of_bad_document(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "quality")
+    pipes = (F.size(F.split("text", r" \| ")) > 6).alias("pipes")
+    got = quality.judge_documents(table, ["doc_id", pipes]).join(labels, "doc_id").where("not _base_failed").collect()
+    kept = lambda quality, pipes, least=0: np.mean([
+        r._kept for r in got if r.quality == quality and (r.pipes == pipes or quality) and r._n_words >= least])
+    assert kept(1, None) > 0.99
+    assert kept(0, False) < 0.1
+    assert kept(0, True) < 0.85 and kept(0, True, 512) < 0.1
+
+
 def _cosines(x):
     x = x / np.linalg.norm(x, axis=1, keepdims=True)
     return x @ x.T
