@@ -16,6 +16,7 @@ from strata.llm.quality import op8_quality
 from strata.llm.secrets import op1_secrets
 from strata.llm.sharding import op4_shards
 from strata.llm.substrings import op3_substrings
+from strata.llm.toxicity import op13_toxicity
 from strata.llm.vectors import op9_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_vectors": op9_vectors,
     "op10_mix": op10_mix,
+    "op13_toxicity": op13_toxicity,
     "pipeline": corpus_pipeline.run,
 }
 
