@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from strata.llm.alignment import op12_align
 from strata.llm.jaccard import op7_jaccard
 from strata.llm.language import op5_language
 from strata.llm.lines import op6_lines
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_vectors": op9_vectors,
     "op10_mix": op10_mix,
+    "op12_align": op12_align,
     "op13_toxicity": op13_toxicity,
     "pipeline": corpus_pipeline.run,
 }
