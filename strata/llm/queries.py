@@ -14,6 +14,7 @@ from strata.llm.lines import op6_lines
 from strata.llm.mixing import op10_mix
 from strata.llm.packing import op2_pack
 from strata.llm.quality import op8_quality
+from strata.llm.ranking import SQL as RANK_SQL, op11_rank
 from strata.llm.secrets import op1_secrets
 from strata.llm.sharding import op4_shards
 from strata.llm.substrings import op3_substrings
@@ -31,12 +32,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_vectors": op9_vectors,
     "op10_mix": op10_mix,
+    "op11_rank": op11_rank,
     "op12_align": op12_align,
     "op13_toxicity": op13_toxicity,
     "pipeline": corpus_pipeline.run,
 }
 
 #: Queries whose rows SQL can state.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_rank": RANK_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

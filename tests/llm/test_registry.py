@@ -19,7 +19,7 @@ def test_empty_tables(no_docs, spark):
 
 
 def test_names():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)] + ["pipeline"]
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "jaccard_join", "mix_sources", "packing"]
 
 
