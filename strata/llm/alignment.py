@@ -28,10 +28,11 @@ from strata.llm.common import documents, map_arrow, stored
 from strata.llm.packing import tokenizer_path
 from strata.llm.words import Chunk, chunks, span_codes
 
-#: Bytes of text of a chunk (a longer document is a chunk alone); cells of a lane; cells that a worker keeps.
-CHUNK_BYTES = 4 << 20
+#: Bytes of text aligned at once, and of a chunk (a longer document is one alone); cells of a lane; cells
+#: that a worker keeps, and that are tokenised at once.
+PIECE_BYTES, CHUNK_BYTES = 1 << 20, 4 << 20
 LANE = 48
-KNOWN = 600_000
+KNOWN, SOME = 300_000, 20_000
 #: A group of more links than this is counted by distinct ids instead of link by link.
 WIDE = 4096
 MARK = "▁"
@@ -94,9 +95,11 @@ class Side:
 
     def learn(self, codes: np.ndarray, texts: list[str]) -> None:
         """``codes`` must rise."""
-        ids = self.encode(texts)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        new = np.fromiter((i for x in ids for i in x), np.int32, int(sizes.sum()))
+        parts = []
+        for k in range(0, len(texts), SOME):
+            ids = self.encode(texts[k:k + SOME])
+            parts.append((np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter((i for x in ids for i in x), np.int32)))
+        sizes, new = (np.concatenate(x) for x in zip(*parts))
         while self.used + len(new) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty(len(self.flat), np.int32)])
         self.flat[self.used:self.used + len(new)] = new
@@ -314,32 +317,50 @@ def _sides(path_a: str, path_b: str) -> tuple[Side, Side]:
     return _workers[key]
 
 
+def joined(parts: list[Aligned]) -> Aligned:
+    """The documents of several pieces as one chunk."""
+    before = np.cumsum([0] + [len(p.n_a) for p in parts])
+    keys = np.concatenate([p.keys + (int(k) << 2 * ID_BITS) for p, k in zip(parts, before)])
+    counts = (np.concatenate([getattr(p, name) for p in parts]) for name in ("n_a", "n_b", "n_groups", "n_links"))
+    return Aligned(*counts, [d for p in parts for d in p.digests], keys, np.concatenate([p.times for p in parts]))
+
+
+def _batch(number: int, ids: pa.Array, got: Aligned) -> pa.RecordBatch:
+    """Rows of a chunk: its documents, each with the places of its pairs, and last the chunk's own with the pairs."""
+    docs = len(ids)
+    pairs, at, holders = np.unique(got.keys & PAIR, return_inverse=True, return_counts=True)
+    bounds = np.append(np.searchsorted(got.keys, np.arange(docs + 1) << 2 * ID_BITS), len(got.keys)).astype(np.int32)
+    none = pa.nulls(1, pa.int64())
+
+    def column(values: np.ndarray) -> pa.Array:
+        return pa.concat_arrays([pa.array(values, pa.int64()), none])
+
+    def lists(values: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values, pa.int32()))
+
+    def own(values: np.ndarray, kind: pa.DataType) -> pa.Array:
+        return pa.concat_arrays([pa.nulls(docs, pa.list_(kind)), pa.array([values], pa.list_(kind))])
+
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(docs + 1, number), pa.int64()), pa.concat_arrays([ids.cast(pa.int64()), none]),
+         column(got.n_a), column(got.n_b), column(got.n_groups), column(got.n_links), pa.array([*got.digests, None], pa.string()),
+         lists(at), lists(got.times), own(pairs, pa.int64()), own(holders, pa.int32())], names=NAMES)
+
+
 def _chunks(path_a: str, path_b: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = _sides(path_a, path_b)
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for chunk in chunks(batch.column("_text"), CHUNK_BYTES):
-                got, docs = align(chunk, *sides), chunk.last - chunk.first
-                pairs, at, holders = np.unique(got.keys & PAIR, return_inverse=True, return_counts=True)
-                bounds = pa.array(np.append(np.searchsorted(got.keys, np.arange(docs + 1) << 2 * ID_BITS), len(got.keys)), pa.int32())
-                none = pa.nulls(1, pa.int64())
-
-                def column(values: np.ndarray) -> pa.Array:
-                    return pa.concat_arrays([pa.array(values, pa.int64()), none])
-
-                def lists(values: np.ndarray) -> pa.Array:  # the last row, the chunk's own, holds nothing
-                    return pa.ListArray.from_arrays(bounds, pa.array(values, pa.int32()))
-
-                def own(values: np.ndarray, kind: pa.DataType) -> pa.Array:
-                    return pa.concat_arrays([pa.nulls(docs, pa.list_(kind)), pa.array([values], pa.list_(kind))])
-
-                ids = batch.column("doc_id").slice(chunk.first, docs)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(docs + 1, number), pa.int64()), pa.concat_arrays([ids.cast(pa.int64()), none]),
-                     column(got.n_a), column(got.n_b), column(got.n_groups), column(got.n_links),
-                     pa.array([*got.digests, None], pa.string()), lists(at), lists(got.times),
-                     own(pairs, pa.int64()), own(holders, pa.int32())], names=NAMES)
+            first, size, parts = 0, 0, []
+            for piece in chunks(batch.column("_text"), PIECE_BYTES):
+                if parts and size + len(piece.data) > CHUNK_BYTES:
+                    yield _batch(number, batch.column("doc_id").slice(first, piece.first - first), joined(parts))
+                    first, size, parts, number = piece.first, 0, [], number + 1
+                parts.append(align(piece, *sides))
+                size += len(piece.data)
+            if parts:
+                yield _batch(number, batch.column("doc_id").slice(first), joined(parts))
                 number += 1
     return run
 

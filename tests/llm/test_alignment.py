@@ -110,6 +110,9 @@ def test_a_wide_group_is_counted_like_a_small_one(monkeypatch):
     other = alignment.align(chunk, *sides)
     assert one.keys.tolist() == other.keys.tolist() and one.times.tolist() == other.times.tolist()
     monkeypatch.setattr(alignment, "LANE", 1)
+    monkeypatch.setattr(alignment, "SOME", 3)
+    for side in sides:
+        side.forget()
     assert alignment.align(chunk, *sides).digests == one.digests
 
 
@@ -126,3 +129,13 @@ def test_an_empty_table_and_clashing_names(no_docs, spark):
     assert alignment.align_documents(no_docs).collect() == []
     row = spark.createDataFrame([(1, "the cat", 3, "p", [1])], "doc_id int, text string, chunk long, pairs string, held array<int>")
     assert alignment.align_documents(row).count() == 1
+
+
+def test_pieces_join_to_a_chunk():
+    sides = alignment._sides(tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    column = pa.array([*ODD, None, "the cat", "été"])
+    whole = alignment.align(next(chunks(column)), *sides)
+    parts = alignment.joined([alignment.align(c, *sides) for c in chunks(column, 20)])
+    for name in ("n_a", "n_b", "n_groups", "n_links", "keys", "times"):
+        assert getattr(whole, name).tolist() == getattr(parts, name).tolist(), name
+    assert whole.digests == parts.digests
