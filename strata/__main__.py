@@ -56,6 +56,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--safe-cast", action="store_true",
                    help="out-of-range measures become NULL instead of failing the run")
     p.add_argument("--types", help="column types, COL=TYPE,...; the CSV is then read once")
+    p.add_argument("--audited", action="store_true",
+                   help="publish each layer as a version, only if its audit holds")
     for name, needs in (("bronze", ()), ("silver", ("--bronze",)), ("gold", ("--silver", "--ref-state-codes"))):
         q = sub.add_parser(name)
         for flag in (*needs, "--output-dir"):
@@ -102,7 +104,7 @@ def main(argv: list[str] | None = None) -> int:
         types = _types(args.types)
         layers = run_pipeline(spark, args.input, args.output_dir, args.ref_state_codes, args.run_id,
                               null_value=args.null_value, safe_cast=args.safe_cast, infer=types is None,
-                              types=types)
+                              types=types, audited=args.audited)
         out = {k: {"path": v.path, "rows": v.rows} for k, v in layers.items()}
     elif args.job in ("bronze", "silver", "gold"):
         if args.job == "silver":

@@ -104,11 +104,3 @@ def split_flagged(flagged: DataFrame, value_col: str = "value") -> tuple[DataFra
     bad = F.col(f"__row.{CORRUPT_COLUMN}").isNotNull() | F.col("__row").isNull()
     return (flagged.filter(~bad).select("__row.*").drop(CORRUPT_COLUMN),
             flagged.filter(bad).select(F.col("__raw").alias(value_col)))
-
-
-def one_line(value: Column | str) -> Column:
-    """Raw line breaks -> spaces. Valid JSON only has them between tokens
-    (inside strings they must be escaped), so this keeps the meaning while
-    making each message one line for line-based JSON reading."""
-    col = F.col(value) if isinstance(value, str) else value
-    return F.regexp_replace(col, "[\\r\\n]", " ")

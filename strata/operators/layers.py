@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
 import math
 from dataclasses import dataclass
 
@@ -11,6 +10,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 from pyspark.sql import functions as F
 
+from strata.operators.files import load_schema, path_exists, read_text
+from strata.operators.parts import is_parted, read_parts
+
 # File names of each layer, as the source job names them, and
 # the character replacements that make a scheduler run id path-safe.
 LAYER_FILES = {
@@ -70,23 +72,6 @@ def literal_frame(spark: SparkSession, rows: list[tuple], schema: StructType) ->
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
-def _hadoop(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the path is there, asked of its file system."""
-    fs, place = _hadoop(spark, path)
-    return fs.exists(place)
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove a folder that a job is about to write anew."""
-    fs, place = _hadoop(spark, path)
-    fs.delete(place, True)
-
-
 def write_layer(df: DataFrame, path: str, name: str = "layer", partition_by: list[str] | None = None,
                 mode: str = "overwrite", max_records_per_file: int | None = None) -> LayerResult:
     """Write ``df`` as Parquet and count its rows in the same pass.
@@ -97,8 +82,11 @@ def write_layer(df: DataFrame, path: str, name: str = "layer", partition_by: lis
     files invisible. A folder that an incremental run maintains (it holds a
     streaming sink's log) is refused.
     """
-    if mode == "overwrite" and path_exists(df.sparkSession, f"{path}/_spark_metadata"):
+    spark = df.sparkSession
+    if mode == "overwrite" and (path_exists(spark, f"{path}/_spark_metadata") or is_parted(spark, path)):
         raise ValueError(f"{path} is kept by incremental runs; write to another folder, or give a run id")
+    if mode == "overwrite" and path_exists(spark, f"{path}/log"):
+        raise ValueError(f"{path} is kept in audited versions; write to another folder, or commit a version")
     obs = Observation(name)
     writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if max_records_per_file:
@@ -111,26 +99,20 @@ def write_layer(df: DataFrame, path: str, name: str = "layer", partition_by: lis
 
 def read_layer(spark: SparkSession, path: str) -> DataFrame:
     """Read a written layer; a missing layer raises FileNotFoundError. A layer that keeps its schema
-    beside its files (incremental Bronze, whose older files may lack later columns) is read with it."""
+    beside its files (incremental Bronze, whose fields and types follow the messages) is read with it."""
     if not path_exists(spark, path):
         raise FileNotFoundError(f"layer not found: {path}")
+    if path_exists(spark, f"{path}/log"):  # kept in versions (see strata.operators.commits)
+        version = read_text(spark, f"{path}/_current")
+        if version is None:
+            raise FileNotFoundError(f"layer not found: {path} (no version was accepted)")
+        return spark.read.parquet(f"{path}/runs/{version}")
     schema = load_schema(spark, f"{path}/_schema")
+    if schema is not None and is_parted(spark, path):
+        return read_parts(spark, path, schema)
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
-def load_schema(spark: SparkSession, path: str) -> StructType | None:
-    """A schema stored by ``store_schema``, or None."""
-    if not path_exists(spark, path):
-        return None
-    row = spark.read.text(path).first()
-    return StructType.fromJson(json.loads(row.value)) if row is not None else None
-
-
-def store_schema(spark: SparkSession, schema: StructType, path: str) -> None:
-    literal_frame(spark, [(schema.json(),)], StructType([StructField("value", StringType())])) \
-        .write.mode("overwrite").text(path)
-
-
 def ingest_summary(rows: int, target: str, chunk_size: int = 10_000) -> dict:
     """Summary of a publish: rows sent, target and the chunk count it equals."""
     return {"records_sent": rows, "topic": target,

@@ -12,63 +12,81 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from strata.operators.commits import Audit, commit_layer
 from strata.operators.layers import (LayerResult, append_manifest, layer_path, read_layer,
                                      write_layer)
 from strata.operators.marts import DEFAULT_BROADCAST_ROWS, build_gold
+from strata.operators.quality import gold_rules
 from strata.operators.refine import refine
 from strata.sources.files import read_csv, read_reference
 from strata.sources.messages import FileTopic, KafkaTopic, add_missing_columns, replay_topic
-from strata.spec import SURVEY, SURVEY_MART, MartSpec, RefineSpec
+from strata.spec import GOLD_CONTRACT, SURVEY, SURVEY_MART, MartSpec, RefineSpec
 from strata.streaming.ingest import ingest_evolving, ingest_incremental
 from strata.streaming.layers import GOLD_STATE_PARTITIONS, run_layers_incremental
 
 
-def run_bronze_frame(df: DataFrame, output_dir: str, run_id: str | None = None) -> LayerResult:
+def layer_audit(layer: str) -> Audit:
+    """What audited runs ask of a layer: rows in Bronze, and the contract's rules and columns of Gold."""
+    if layer == "gold":
+        return Audit(rules=tuple(gold_rules()), contract=tuple(GOLD_CONTRACT))
+    return Audit(min_rows=1 if layer == "bronze" else 0)
+
+
+def _write(df: DataFrame, output_dir: str, layer: str, run_id: str | None, audited: bool) -> LayerResult:
+    """A layer of a run. Audited, it is a version of the layer's one folder (the run id goes to its log),
+    published only if its audit holds; else it overwrites the run's own folder."""
+    if audited:
+        return commit_layer(df, layer_path(output_dir, layer), layer_audit(layer), run_id or "", layer)
+    return write_layer(df, layer_path(output_dir, layer, run_id), layer)
+
+
+def run_bronze_frame(df: DataFrame, output_dir: str, run_id: str | None = None, audited: bool = False) -> LayerResult:
     """Bronze from any frame: every column, unchanged."""
-    return write_layer(df, layer_path(output_dir, "bronze", run_id), "bronze")
+    return _write(df, output_dir, "bronze", run_id, audited)
 
 
 def run_bronze(spark: SparkSession, input_csv: str, output_dir: str, run_id: str | None = None,
                infer: bool = True, types: dict[str, str] | None = None,
-               null_value: str | None = None, validate_header: bool = False) -> LayerResult:
+               null_value: str | None = None, validate_header: bool = False, audited: bool = False) -> LayerResult:
     """CSV -> Bronze Parquet, all columns kept. ``null_value`` names a
     missing-value token (e.g. ``NA``) so such columns stay numeric. With
     ``infer=False`` and ``types`` the source is read once."""
     df = read_csv(spark, input_csv, infer=infer, types=types, null_value=null_value,
                   validate_header=validate_header)
-    return run_bronze_frame(df, output_dir, run_id)
+    return run_bronze_frame(df, output_dir, run_id, audited)
 
 
 def run_silver(spark: SparkSession, bronze_path: str, output_dir: str, spec: RefineSpec = SURVEY,
-               run_id: str | None = None, safe_cast: bool = False) -> LayerResult:
+               run_id: str | None = None, safe_cast: bool = False, audited: bool = False) -> LayerResult:
     """Bronze -> Silver (labels, decimal measure, valid rows).
     ``safe_cast`` turns an out-of-range measure into NULL instead of failing."""
     silver = refine(read_layer(spark, bronze_path), spec, safe_cast=safe_cast)
-    return write_layer(silver, layer_path(output_dir, "silver", run_id), "silver")
+    return _write(silver, output_dir, "silver", run_id, audited)
 
 
 def run_gold(spark: SparkSession, silver_path: str, output_dir: str,
              reference: str | DataFrame, mart: MartSpec = SURVEY_MART, run_id: str | None = None,
-             max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> LayerResult:
+             max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, audited: bool = False) -> LayerResult:
     """Silver -> Gold (count, mean, reference name, ordered by key).
 
-    ``reference`` is a CSV path (``state_code,state_name``) or a frame.
+    ``reference`` is a CSV path (``state_code,state_name``) or a frame. ``audited``: a Gold that breaks
+    the contract is not published (RejectedLayer), and readers keep the one before.
     """
     ref = reference if isinstance(reference, DataFrame) else read_reference(
         spark, reference, mart.ref_key, mart.ref_value)
     gold = build_gold(read_layer(spark, silver_path), ref, mart, max_broadcast_rows)
-    return write_layer(gold, layer_path(output_dir, "gold", run_id), "gold")
+    return _write(gold, output_dir, "gold", run_id, audited)
 
 
 def run_layers(spark: SparkSession, bronze: LayerResult, output_dir: str,
                reference: str | DataFrame, spec: RefineSpec = SURVEY, mart: MartSpec = SURVEY_MART,
                run_id: str | None = None, manifest: str | None = None,
-               dropped_at: dt.datetime | None = None, safe_cast: bool = False
+               dropped_at: dt.datetime | None = None, safe_cast: bool = False, audited: bool = False
                ) -> dict[str, LayerResult]:
     """Silver and Gold from a written Bronze; optionally record the run in a
     manifest (``manifest`` path, ``dropped_at`` = source delivery time)."""
-    silver = run_silver(spark, bronze.path, output_dir, spec, run_id, safe_cast)
-    gold = run_gold(spark, silver.path, output_dir, reference, mart, run_id)
+    silver = run_silver(spark, bronze.path, output_dir, spec, run_id, safe_cast, audited)
+    gold = run_gold(spark, silver.path, output_dir, reference, mart, run_id, audited=audited)
     layers = {"bronze": bronze, "silver": silver, "gold": gold}
     if manifest is not None:
         if dropped_at is None:
@@ -81,24 +99,27 @@ def run_pipeline(spark: SparkSession, input_csv: str, output_dir: str, reference
                  run_id: str | None = None, spec: RefineSpec = SURVEY,
                  mart: MartSpec = SURVEY_MART, manifest: str | None = None,
                  dropped_at: dt.datetime | None = None, null_value: str | None = None,
-                 safe_cast: bool = False, infer: bool = True, types: dict[str, str] | None = None
-                 ) -> dict[str, LayerResult]:
-    """C4: the whole CSV run in the given session (which it never stops)."""
-    bronze = run_bronze(spark, input_csv, output_dir, run_id, infer, types, null_value)
+                 safe_cast: bool = False, infer: bool = True, types: dict[str, str] | None = None,
+                 audited: bool = False) -> dict[str, LayerResult]:
+    """C4: the whole CSV run in the given session (which it never stops). ``audited``: each layer is a
+    version that is published only if its audit (``layer_audit``) holds, and a run stops at the first that does not."""
+    bronze = run_bronze(spark, input_csv, output_dir, run_id, infer, types, null_value, audited=audited)
     return run_layers(spark, bronze, output_dir, reference, spec, mart, run_id, manifest,
-                      dropped_at, safe_cast)
+                      dropped_at, safe_cast, audited)
 
 
 def run_bronze_messages(spark: SparkSession, source: KafkaTopic | FileTopic, output_dir: str,
                         schema: StructType | None = None, run_id: str | None = None, normalize: bool = True,
                         required: tuple[str, ...] = SURVEY.source_columns(),
-                        quarantine_path: str | None = None) -> LayerResult:
+                        quarantine_path: str | None = None, audited: bool = False) -> LayerResult:
     """Topic -> Bronze alone, by bounded replay, so that Silver and Gold can be scheduled and retried
-    apart. Without ``schema`` it is inferred; ``required`` fields that no message carried are NULL."""
-    rows = replay_topic(spark, source, schema, normalize, quarantine_path)
+    apart. Without ``schema`` it is inferred; ``required`` fields that no message carried are NULL. An
+    empty topic raises before anything is written; ``audited``, the write itself finds that it has no row,
+    the version is not published, and the Bronze before stays."""
+    rows = replay_topic(spark, source, schema, normalize, quarantine_path, guard=not audited)
     if schema is None:
         rows = add_missing_columns(rows, required)
-    return run_bronze_frame(rows, output_dir, run_id)
+    return run_bronze_frame(rows, output_dir, run_id, audited)
 
 
 def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output_dir: str,
@@ -108,8 +129,8 @@ def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output
                      spec: RefineSpec = SURVEY, mart: MartSpec = SURVEY_MART,
                      manifest: str | None = None, dropped_at: dt.datetime | None = None,
                      safe_cast: bool = False, max_per_batch: int | None = None,
-                     quarantine_path: str | None = None, state_partitions: int = GOLD_STATE_PARTITIONS
-                     ) -> dict[str, LayerResult]:
+                     quarantine_path: str | None = None, state_partitions: int = GOLD_STATE_PARTITIONS,
+                     audited: bool = False) -> dict[str, LayerResult]:
     """Topic -> Bronze -> Silver -> Gold.
 
     Bounded replay (default) rewrites Bronze from the whole topic and is
@@ -125,12 +146,15 @@ def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output
     bounds each micro-batch of all streams (offsets for Kafka, files for
     folders), so a large backlog is drained in committed steps.
     ``quarantine_path`` takes malformed messages, which else stop the run.
+    ``audited`` (bounded replay) publishes each layer only if its audit holds.
     """
     if not incremental:
         bronze = run_bronze_messages(spark, source, output_dir, schema, run_id, normalize, spec.source_columns(),
-                                     quarantine_path)
+                                     quarantine_path, audited)
         return run_layers(spark, bronze, output_dir, reference, spec, mart, run_id, manifest, dropped_at,
-                          safe_cast)
+                          safe_cast, audited)
+    if audited:
+        raise ValueError("audited versions are for bounded runs; incremental layers are one maintained set")
     if checkpoint is None:
         raise ValueError("incremental ingest needs a checkpoint folder")
     if manifest is not None and dropped_at is None:

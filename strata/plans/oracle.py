@@ -189,7 +189,30 @@ UNION ALL
 SELECT 'ExpectColumnValuesNotToBeNull', 'GENHLTH', CAST(count_if("GENHLTH" IS NULL) AS BIGINT),
        count_if("GENHLTH" IS NULL) = 0 FROM survey""",
     "unmatched_lookup": """
-SELECT n_nationkey, n_name, r_name AS region_name FROM nation LEFT JOIN region ON n_nationkey = r_regionkey""",
+SELECT c.c_nationkey, c.customers, r_name AS region_name
+FROM (SELECT c_nationkey, count(c_acctbal) AS customers FROM customer GROUP BY c_nationkey) c
+LEFT JOIN region ON c.c_nationkey = r_regionkey""",
+    "nested_replay": """
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 2 = 1 THEN o_totalprice ELSE floor(o_totalprice) END AS total,
+       CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority ELSE CAST(o_orderkey AS VARCHAR) END AS tag,
+       CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END AS late,
+       CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus
+            ELSE CAST(o_orderkey AS VARCHAR) || '+' || CAST(o_orderkey + 1 AS VARCHAR) END AS codes
+FROM orders""",
+    "audited_gold": _SURVEY_TO_GOLD + """
+SELECT *, CAST(1 AS BIGINT) AS accepted, CAST(1 AS BIGINT) AS rejected FROM gold""",
+    "guarded_layers": """
+SELECT 'empty_replay' AS guard, true AS raised, count(*) AS rows_left FROM orders
+UNION ALL SELECT 'missing_layer', true, CAST(0 AS BIGINT)""",
+    "snapshot_diff": """
+WITH a AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 7 <> 0),
+b AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 5 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal
+      FROM customer WHERE c_custkey % 11 <> 0)
+SELECT coalesce(a.c_custkey, b.c_custkey) AS c_custkey,
+       CASE WHEN a.c_custkey IS NULL THEN 'added' WHEN b.c_custkey IS NULL THEN 'removed' ELSE 'changed' END AS change,
+       a.c_acctbal AS old_acctbal, b.c_acctbal AS new_acctbal
+FROM a FULL JOIN b ON a.c_custkey = b.c_custkey
+WHERE a.c_custkey IS NULL OR b.c_custkey IS NULL OR a.c_acctbal IS DISTINCT FROM b.c_acctbal""",
     "schema_report": _SURVEY_TO_GOLD + "\n" + _schema_rows(),
     "freshness_report": f"""
 WITH w AS (SELECT l_orderkey, max(l_shipdate) AS written_at FROM lineitem GROUP BY l_orderkey),

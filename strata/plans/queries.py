@@ -17,12 +17,13 @@ from strata.functions.casts import normalize_nan
 from strata.functions.decimals import scale_decimal
 from strata.functions.json import decode_frame, encode_row
 from strata.functions.labels import code_to_label
+from strata.operators.commits import RejectedLayer, commit_layer, diff_versions, layer_log, read_version
 from strata.operators.layers import layer_path, literal_frame, read_layer, write_layer
 from strata.operators.marts import aggregate_by, build_gold, head_rows, lookup_left_join
 from strata.operators.quality import (freshness_report, gold_rules, greater_than, not_null, quality_report,
                                       schema_report, unique)
 from strata.operators.refine import filter_valid, refine, valid_rows
-from strata.plans.jobs import run_bronze_frame, run_layers, run_message_path, run_pipeline
+from strata.plans.jobs import run_bronze_frame, run_bronze_messages, run_layers, run_message_path, run_pipeline
 from strata.plans.survey_view import SURVEY_TYPES, reference_frame, survey_frame
 from strata.session import shared_dir
 from strata.sources.files import read_csv, read_json_lines, read_reference, read_table
@@ -296,10 +297,79 @@ def quality_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unmatched_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations looked up among regions by number; most have no match."""
-    nations = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return lookup_left_join(nations, read_table(spark, sf_dir, "region"), "n_nationkey", "r_regionkey", "r_name",
-                            "region_name")
+    """Customers counted by nation, looked up among regions by number; most have no match."""
+    counts = aggregate_by(read_table(spark, sf_dir, "customer"), "c_nationkey", "c_acctbal", "customers", "balance_mean")
+    return lookup_left_join(counts.select("c_nationkey", "customers"), read_table(spark, sf_dir, "region"),
+                            "c_nationkey", "r_regionkey", "r_name", "region_name")
+
+
+def nested_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """a schema-free replay of nested messages. In ``line`` the total is an integer or a fraction, the
+    tag a number or a text, and ``late`` is there in some; ``codes`` is a list of numbers or of texts."""
+    orders = read_table(spark, sf_dir, "orders")
+    key, price, status = F.col("o_orderkey"), F.col("o_totalprice"), F.col("o_orderstatus")
+    topic = FileTopic(shared_dir(spark, "nested"))
+    whole = [F.floor(price).cast("long").alias("total"), key.alias("tag")]
+    mixed = [price.alias("total"), F.col("o_orderpriority").alias("tag"), status.alias("late")]
+    for rest, fields, codes in ((0, whole, F.array(key, key + 1)), (1, mixed, F.array(status))):
+        publish(orders.where(key % 2 == rest).select(key.alias("id"), F.struct(*fields).alias("line"), codes.alias("codes")),
+                topic)
+    rows = replay_topic(spark, topic)
+    return rows.select("id", "line.total", "line.tag", "line.late", F.concat_ws("+", "codes").alias("codes"))
+
+
+def audited_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1-Q5 with K1: a Gold that keeps its contract is published; a later run on prices, whose means are
+    out of range, is written, rejected and logged, and readers keep the first. Rows of that, with the
+    log's counts."""
+    base, reference = shared_dir(spark, "audited"), reference_frame(spark, sf_dir)
+    for measure, run_id in (("l_quantity", "first"), ("l_extendedprice", "second")):
+        try:
+            bronze = run_bronze_frame(survey_frame(spark, sf_dir, measure), base, run_id, audited=True)
+            run_layers(spark, bronze, base, reference, run_id=run_id, audited=True)
+        except RejectedLayer:
+            if run_id == "first":
+                raise
+    path = layer_path(base, "gold")
+    log = layer_log(spark, path).agg(F.count_if("accepted"), F.count_if(~F.col("accepted"))).first()
+    return read_layer(spark, path).withColumns({"accepted": F.lit(log[0]), "rejected": F.lit(log[1])})
+
+
+def guarded_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replay of an empty topic is stopped by its own write and leaves the Bronze before; a missing
+    layer raises. One row a guard: whether it raised, and the rows that readers of the layer have after it."""
+    base, orders = shared_dir(spark, "guarded"), read_table(spark, sf_dir, "orders")
+    topic, empty = FileTopic(f"{base}/topic"), FileTopic(f"{base}/empty")
+    publish(orders, topic)
+    publish(orders.limit(0), empty)
+    run_bronze_messages(spark, topic, base, orders.schema, required=(), audited=True)
+    raised = {"empty_replay": False, "missing_layer": False}
+    try:
+        run_bronze_messages(spark, empty, base, orders.schema, required=(), audited=True)
+    except RejectedLayer:
+        raised["empty_replay"] = True
+    try:
+        read_layer(spark, f"{base}/nothing")
+    except FileNotFoundError:
+        raised["missing_layer"] = True
+    left = read_layer(spark, layer_path(base, "bronze")).agg(F.count(F.lit(1)).alias("n"))
+    rows = F.array(*[F.struct(F.lit(g).alias("guard"), F.lit(r).alias("raised"),
+                              (F.col("n") if g == "empty_replay" else F.lit(0)).cast("long").alias("rows_left"))
+                     for g, r in raised.items()])
+    return left.select(F.inline(rows))
+
+
+def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: two runs' versions of a layer, read by run id and compared by key: the second lacks some
+    customers, has others, and changed balances."""
+    path, customers = f"{shared_dir(spark, 'snapshots')}/customers", read_table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    kept = customers.select("c_custkey", "c_name", "c_acctbal")
+    commit_layer(kept.where(key % 7 != 0), path, run_id="first")
+    changed = kept.withColumn("c_acctbal", F.when(key % 5 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")))
+    commit_layer(changed.where(key % 11 != 0), path, run_id="second")
+    found = diff_versions(read_version(spark, path, run_id="first"), read_version(spark, path, run_id="second"), ["c_custkey"])
+    return found.select("c_custkey", "change", F.col("old.c_acctbal").alias("old_acctbal"), F.col("new.c_acctbal").alias("new_acctbal"))
 
 
 def schema_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -350,6 +420,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_report": quality_report_query,
     "quality_failures": quality_failures,
     "unmatched_lookup": unmatched_lookup,
+    "nested_replay": nested_replay,
+    "audited_gold": audited_gold,
+    "guarded_layers": guarded_layers,
+    "snapshot_diff": snapshot_diff,
     "schema_report": schema_report_query,
     "freshness_report": freshness_report_query,
 }

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import csv
+from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.casts import cast_by_name
+from strata.operators.files import list_files
 from strata.operators.marts import head_rows
 
 
@@ -29,7 +32,7 @@ def check_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
     return names
 
 
-def read_csv(spark: SparkSession, path: str, infer: bool = True,
+def read_csv(spark: SparkSession, path: str | list[str], infer: bool = True,
              types: dict[str, str] | None = None, null_value: str | None = None,
              options: dict[str, str] | None = None, validate_header: bool = False) -> DataFrame:
     """Header CSV, every column kept.
@@ -78,12 +81,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def head_in_file_order(df: DataFrame, n: int | None) -> DataFrame:
-    """The first ``n`` rows of a file scan in file order (``None`` = all).
+    """The first ``n`` rows of a file scan in file order (``None`` = all), by reading all of it.
 
     File order is (file path, byte offset of the split, row position inside
     the task), taken from the scan's hidden ``_metadata`` columns, so ``df``
     must be a direct file read. The ordered head is ``head_rows``'s bounded
-    top-n.
+    top-n. ``head_of_files`` reads only what it needs.
     """
     if n is None:
         return df
@@ -97,3 +100,110 @@ def head_in_file_order(df: DataFrame, n: int | None) -> DataFrame:
         F.monotonically_increasing_id().alias("__pos"),
     )
     return head_rows(keyed, n, ["__file", "__block", "__pos"]).select(*cols)
+
+
+# Files looked at together: at most this many bytes (a larger file is looked at alone).
+WINDOW_BYTES = 256 * 1024 * 1024
+# A rest of at most this many rows of a file with several splits passes through the driver.
+TAKE_ROWS = 100_000
+
+
+def head_of_files(spark: SparkSession, path: str, n: int, read: Callable[[list[str]], DataFrame]) -> DataFrame:
+    """The first ``n`` rows of a file, folder or pattern in file order (path, then place in the file),
+    reading little more than those: a cursor over the files, in windows that double, stops once ``n``
+    rows are there. ``read`` gives the frame of some of the files, one row after the other.
+
+    Files before the last one are read whole. Of the last one, a file of one split is read by a limit,
+    which stops there; of a larger one splits are tried from the front (``take``), and at most
+    ``TAKE_ROWS`` rows come to the driver; only a rest beyond that reads that file to its end.
+    """
+    if n < 0:
+        raise ValueError("n must be >= 0")
+    files = list_files(spark, path)
+    if not files:
+        raise FileNotFoundError(f"no files: {path}")
+    whole: list[str] = []
+    rest: DataFrame | None = None
+    have, at, width = 0, 0, 1
+    while at < len(files) and have < n and rest is None:
+        window = [files[at][0]]
+        size = files[at][1]
+        while len(window) < width and at + len(window) < len(files) and size + files[at + len(window)][1] <= WINDOW_BYTES:
+            size += files[at + len(window)][1]
+            window.append(files[at + len(window)][0])
+        counts = dict.fromkeys(window, n) if len(window) == 1 else {
+            r["file"]: r["count"] for r in read(window).groupBy(F.col("_metadata.file_path").alias("file")).count().collect()}
+        counts = {_place(spark, name): c for name, c in counts.items()}
+        for name in window:
+            # a file by itself is not counted beforehand: its first rows tell
+            if len(window) > 1 and have + counts.get(_place(spark, name), 0) <= n:
+                have += counts.get(_place(spark, name), 0)
+                whole.append(name)
+                continue
+            got, first = _head_of_file(spark, read([name]), n - have)
+            if got < n - have:
+                whole.append(name)
+                have += got
+                continue
+            have, rest = n, first
+            break
+        at += len(window)
+        width *= 2
+    frames = ([read(whole)] if whole else []) + ([rest] if rest is not None else [])
+    return reduce(DataFrame.unionByName, frames) if frames else read([files[0][0]]).limit(0)
+
+
+def _place(spark: SparkSession, name: str) -> str:
+    """A file's name in one spelling: ``file:/x`` and ``file:///x`` are the same, ``%20`` is a blank."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name) if "%" in name else name).toUri().getPath()
+
+
+def _head_of_file(spark: SparkSession, df: DataFrame, n: int) -> tuple[int, DataFrame]:
+    """(rows found, at most ``n``; the first ``n`` rows of the file)."""
+    if df.rdd.getNumPartitions() <= 1:
+        return df.select(F.lit(1)).limit(n).count(), df.limit(n)
+    if n <= TAKE_ROWS:
+        rows = df.take(n)  # runs the first split, then four times as many, until the rows are there
+        return len(rows), spark.createDataFrame(rows, df.schema)
+    return min(n, df.count()), head_in_file_order(df, n)
+
+
+def text_types(df: DataFrame) -> dict[str, str]:
+    """The type of each text column, by one aggregation: int, bigint, decimal without fraction, double,
+    boolean, date, timestamp or string, the narrowest that all its values have, as CSV inference finds it
+    (but ``1f`` and ``2d`` are text, not numbers). A column without values is a string."""
+    found = df.agg(*type_flags(df.columns)).first()
+    return flagged_types(df.columns, found)
+
+
+_KINDS = ("int", "bigint", "decimal", "double", "boolean", "date", "timestamp")
+
+
+def type_flags(columns: list[str]) -> list[Column]:
+    """Aggregates for ``flagged_types``: for each column whether all its values have each type, and the
+    digits of its longest whole number. They can be observed in a job that does something else."""
+    out = []
+    for k, name in enumerate(columns):
+        c = F.col(f"`{name}`")
+        whole = c.rlike(r"^[+-]?[0-9]+$")
+        tests = {
+            "int": whole & c.try_cast("int").isNotNull(),
+            "bigint": whole & c.try_cast("bigint").isNotNull(),
+            "decimal": whole & c.try_cast("decimal(38,0)").isNotNull(),
+            "double": c.try_cast("double").isNotNull() & ~c.rlike(r"(?i)[a-df-z]") | c.isin("NaN", "Inf", "-Inf"),
+            "boolean": F.lower(c).isin("true", "false"),
+            "date": c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & c.try_cast("date").isNotNull(),
+            "timestamp": c.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([T ][0-9:]+.*)?$") & c.try_cast("timestamp").isNotNull(),
+        }
+        out += [F.coalesce(F.bool_and(F.when(c.isNotNull(), tests[kind])), F.lit(False)).alias(f"{kind}_{k}") for kind in _KINDS]
+        out.append(F.max(F.when(whole, F.length(F.regexp_replace(c, "^[+-]?0*", "")))).alias(f"digits_{k}"))
+    return out
+
+
+def flagged_types(columns: list[str], found) -> dict[str, str]:
+    """Column types from the values of ``type_flags`` (a Row or a dict)."""
+    types = {}
+    for k, name in enumerate(columns):
+        kind = next((kind for kind in _KINDS if found[f"{kind}_{k}"]), "string")
+        types[name] = f"decimal({found[f'digits_{k}']},0)" if kind == "decimal" else kind
+    return types

@@ -19,9 +19,10 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from strata.functions.casts import normalize_nan
-from strata.functions.json import decode_frame, flag_messages, one_line, split_flagged
-from strata.operators.layers import delete_path, load_schema, path_exists, store_schema
-from strata.sources.messages import (NULL_ONLY, TOPIC_SCHEMA, FileTopic, KafkaTopic, infer_json_schema, merge_schemas,
+from strata.functions.json import decode_frame, flag_messages, split_flagged
+from strata.operators.files import load_schema, path_exists, store_schema
+from strata.operators.parts import append_part, has_part, is_parted
+from strata.sources.messages import (NULL_ONLY, TOPIC_SCHEMA, FileTopic, KafkaTopic, infer_message_schema, merge_schemas,
                                      require_kafka)
 
 MESSAGE_SCHEMA = TOPIC_SCHEMA
@@ -167,33 +168,45 @@ def ingest_evolving(spark: SparkSession, source: KafkaTopic | FileTopic, output_
                     quarantine_path: str | None = None) -> tuple[StreamIngestResult, StructType | None]:
     """Append new messages to Bronze without a declared schema: ``(result, schema)``.
 
-    Three streams share ``checkpoint``: new messages land as they are in its ``messages`` folder; the
-    landed ones are inferred batch by batch into the stored payload schema (integers stay integers,
-    an integer and a fraction give double, a number and a text give text, every field ever seen stays);
-    then they are decoded with it into Bronze. A new field is added: older files read it as NULL,
-    and Bronze keeps the schema for ``read_layer``. A changed type rebuilds Bronze from the landed
-    messages. ``required`` fields that no message carried yet are doubles. A malformed message stops
-    the run; with ``quarantine_path`` it goes there, and stays out of Bronze. The result counts the
-    messages that this run landed; the schema is None while there is no message.
+    Two streams share ``checkpoint``: new messages land as they are in its ``messages`` folder; each batch
+    of landed ones is read once for its types, which join the stored payload schema (integers stay
+    integers, an integer and a fraction give double, kinds that differ give text, every field ever seen
+    stays), and once more to be decoded into a part of Bronze. A new field, and a changed type, only write
+    new files: ``read_layer`` reads older parts with NULL for fields they lack and widens their values
+    (a number as Spark prints it where text is wanted). ``required`` fields that no message carried yet
+    are doubles. A malformed message stops the run; with ``quarantine_path`` it goes there, and stays
+    out of Bronze. The result counts the messages that this run landed; the schema is None while there is
+    no message.
     """
     raw, schema_path = messages_path(checkpoint), f"{checkpoint}/payload_schema"
+    if path_exists(spark, output_path) and not is_parted(spark, output_path):
+        raise ValueError(f"{output_path} was not written by evolving runs (a batch run's layer cannot be continued); "
+                         "write to another folder")
     landed = append_stream(spark, message_stream(spark, source, max_per_batch), raw, f"{checkpoint}/landing")
     result = StreamIngestResult(output_path, landed.rows, landed.batches)
     if not path_exists(spark, f"{raw}/_spark_metadata"):
         return result, None
 
-    def learn(batch: DataFrame, batch_id: int) -> None:
-        staging = f"{checkpoint}/staging"
-        batch.select(one_line("value")).write.mode("overwrite").text(staging)
-        seen = infer_json_schema(spark, staging, "DROPMALFORMED" if quarantine_path else "FAILFAST")
+    def take(batch: DataFrame, batch_id: int) -> None:
+        if has_part(spark, output_path, batch_id):  # committed, but the stream was stopped before it noted that
+            return
         have = load_schema(spark, schema_path)
-        merged = merge_schemas(have, seen) if have else seen  # a replayed batch changes nothing
-        if merged != have and merged.fields:
-            store_schema(spark, merged, schema_path)
-
-    learner = (file_stream(spark, TOPIC_SCHEMA, max_per_batch).parquet(raw).writeStream.foreachBatch(learn)
-               .option("checkpointLocation", f"{checkpoint}/learning").trigger(availableNow=True))
-    run_available_now(spark, learner.start, raw)
+        seen = infer_message_schema(batch, lenient=quarantine_path is not None, keep_null=False)
+        known = merge_schemas(have, seen) if have else seen
+        if not known.fields:
+            return
+        if known != have:
+            store_schema(spark, known, schema_path)
+        # a field that is NULL so far is not written: its type is not known
+        typed = StructType([f for f in known.fields if f.metadata != NULL_ONLY]) if \
+            any(f.metadata != NULL_ONLY for f in known.fields) else known
+        messages = batch.where(F.trim("value") != "")
+        rows = split_flagged(flag_messages(messages, typed))[0] if quarantine_path else decode_frame(messages, typed)
+        append_part(spark, normalize_nan(rows) if normalize else rows, output_path, batch_id)
+
+    writer = (file_stream(spark, TOPIC_SCHEMA, max_per_batch).parquet(raw).writeStream.foreachBatch(take)
+              .option("checkpointLocation", f"{checkpoint}/bronze").trigger(availableNow=True))
+    run_available_now(spark, writer.start, raw)
     known = load_schema(spark, schema_path)
     if known is None:
         return result, None
@@ -201,29 +214,11 @@ def ingest_evolving(spark: SparkSession, source: KafkaTopic | FileTopic, output_
     fields = [f for f in known.fields if f.name in names or f.name not in required]
     schema = StructType([StructField(f.name, f.dataType) for f in fields]
                         + [StructField(c, DoubleType()) for c in required if c not in names])
-
-    # one checkpoint a version of Bronze; a version ends when a field's type changes
-    version = 0
-    while path_exists(spark, f"{checkpoint}/bronze-{version + 1}-schema"):
-        version += 1
-    began = load_schema(spark, f"{checkpoint}/bronze-{version}-schema")
-    if began is not None:
-        types = {f.name: f.dataType for f in schema.fields}
-        if any(types.get(f.name) != f.dataType for f in began.fields):
-            version, began = version + 1, None
-    decoding = f"{checkpoint}/bronze-{version}"
-    if not path_exists(spark, decoding) and version:
-        delete_path(spark, output_path)
-    if began is None or {f.name for f in began.fields} != {f.name for f in schema.fields}:
-        store_schema(spark, schema, f"{decoding}-schema")
-    stream = file_stream(spark, TOPIC_SCHEMA, max_per_batch).parquet(raw)
     if quarantine_path:
-        rows, bad = split_flagged(flag_messages(stream, schema))
-        append_stream(spark, bad, quarantine_path, f"{checkpoint}/quarantine")
-    else:
-        rows = decode_frame(stream, schema)
-    append_stream(spark, normalize_nan(rows) if normalize else rows, output_path, decoding)
-    store_schema(spark, schema, f"{output_path}/_schema")
+        stream = file_stream(spark, TOPIC_SCHEMA, max_per_batch).parquet(raw)
+        append_stream(spark, split_flagged(flag_messages(stream, schema))[1], quarantine_path, f"{checkpoint}/quarantine")
+    if load_schema(spark, f"{output_path}/_schema") != schema:
+        store_schema(spark, schema, f"{output_path}/_schema")
     return result, schema
 
 

@@ -24,8 +24,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.functions.casts import normalize_nan
 from strata.functions.json import decode_value
-from strata.operators.layers import (LayerResult, layer_path, literal_frame, path_exists, read_layer,
-                                     write_layer)
+from strata.operators.files import path_exists
+from strata.operators.layers import LayerResult, layer_path, literal_frame, read_layer, write_layer
 from strata.operators.marts import DEFAULT_BROADCAST_ROWS, lookup_left_join
 from strata.operators.refine import refine
 from strata.sources.messages import TOPIC_SCHEMA

@@ -1,0 +1,140 @@
+"""Write, audit, publish: versions of a layer, guards inside the write, as-of reads, diffs."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.__main__ import main
+from strata.operators.commits import (Audit, RejectedLayer, commit_layer, diff_versions, expire_versions, layer_log,
+                                      read_version)
+from strata.operators.layers import layer_path, read_layer, write_layer
+from strata.operators.quality import greater_than, not_null
+from strata.plans.jobs import run_bronze_messages, run_message_path, run_pipeline
+from strata.sources.messages import FileTopic, publish
+from tests.conftest import REFERENCE_ROWS
+from tests.test_marts import GOLD_EDGE
+
+
+def ids(df):
+    return sorted(r.id for r in df.collect())
+
+
+def test_a_failing_rule_leaves_the_old_version(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    audit = Audit(rules=(greater_than("id", -1), not_null("id")), contract=(("id", "long", False),))
+    with pytest.raises(FileNotFoundError):
+        read_layer(spark, path)
+    with pytest.raises(RejectedLayer, match="GreaterThan"):
+        commit_layer(spark.range(-3, 0), path, audit, "zero")
+    with pytest.raises(FileNotFoundError, match="accepted"):
+        read_layer(spark, path)
+    assert commit_layer(spark.range(5), path, audit, "one").rows == 5
+    reader = read_layer(spark, path)  # begun before the next runs
+    with pytest.raises(RejectedLayer) as bad:
+        commit_layer(spark.range(-1, 9), path, audit, "two")
+    assert bad.value.failed == ["ExpectColumnValuesToBeGreaterThan(id): 1"]
+    assert ids(read_layer(spark, path)) == list(range(5))
+    with pytest.raises(RejectedLayer, match="column id: string"):
+        commit_layer(spark.range(2).selectExpr("CAST(id AS STRING) AS id"), path, Audit(contract=audit.contract), "three")
+    commit_layer(spark.range(7), path, audit, "four")
+    assert ids(read_layer(spark, path)) == list(range(7)) and ids(reader) == list(range(5))
+    log = {r.run_id: (r.rows, r.accepted) for r in layer_log(spark, path).collect()}
+    assert log == {"zero": (3, False), "one": (5, True), "two": (10, False), "three": (2, False), "four": (7, True)}
+    assert ids(read_version(spark, path, version=bad.value.version)) == list(range(-1, 9))  # kept for inspection
+
+
+def test_the_write_finds_that_it_is_empty(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    with pytest.raises(RejectedLayer, match="0 rows, 1 needed"):
+        commit_layer(spark.range(0), path, Audit(min_rows=1))
+    commit_layer(spark.range(2), path, Audit(min_rows=1))
+    with pytest.raises(RejectedLayer):
+        commit_layer(spark.range(0), path, Audit(min_rows=1))
+    assert ids(read_layer(spark, path)) == [0, 1]
+    assert commit_layer(spark.range(0), path).rows == 0 and ids(read_layer(spark, path)) == []
+
+
+def test_a_stopped_run_publishes_nothing(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    commit_layer(spark.range(3), path)
+    with pytest.raises(Exception, match="(?i)boom"):
+        commit_layer(spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("boom"))).otherwise(F.col("id")).alias("id")), path)
+    assert ids(read_layer(spark, path)) == [0, 1, 2] and layer_log(spark, path).count() == 1
+
+
+def test_as_of_and_run_reads(spark, tmp_path):
+    path, day = str(tmp_path / "layer"), lambda k: dt.datetime(2026, 1, k, tzinfo=dt.timezone.utc)
+    for k in (1, 3, 5):
+        commit_layer(spark.range(k), path, run_id=f"run{k}", now=day(k))
+    with pytest.raises(RejectedLayer):
+        commit_layer(spark.range(0), path, Audit(min_rows=1), run_id="bad", now=day(7))
+    for k, n in ((1, 1), (2, 1), (4, 3), (9, 5)):
+        assert read_version(spark, path, as_of=day(k)).count() == n
+    assert read_version(spark, path, run_id="run3").count() == 3 and read_version(spark, path).count() == 5
+    for kind in ({"as_of": dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)}, {"run_id": "bad"}, {"run_id": "none"}, {"version": "x"}):
+        with pytest.raises(FileNotFoundError):
+            read_version(spark, path, **kind)
+    assert len(expire_versions(spark, path, keep=2)) == 2  # run1 and run3; the rejected one is among the newest two
+    assert read_layer(spark, path).count() == 5 and layer_log(spark, path).count() == 4
+    with pytest.raises(ValueError):
+        expire_versions(spark, path, keep=0)
+
+
+def test_plain_layers_and_versions_do_not_mix(spark, tmp_path):
+    plain, kept = str(tmp_path / "plain"), str(tmp_path / "kept")
+    write_layer(spark.range(2), plain)
+    with pytest.raises(ValueError, match="plain layer"):
+        commit_layer(spark.range(2), plain)
+    commit_layer(spark.range(2), kept)
+    with pytest.raises(ValueError, match="versions"):
+        write_layer(spark.range(2), kept)
+    assert ids(read_layer(spark, kept)) == [0, 1] and layer_log(spark, plain).collect() == []
+
+
+def test_diff(spark):
+    schema = "k int, `a.b` string, v double"
+    old = spark.createDataFrame([(1, "x", 1.0), (2, "y", None), (3, "z", float("nan")), (None, "n", 0.0), (5, "gone", 1.0)], schema)
+    new = spark.createDataFrame([(1, "x", 1.5), (2, "y", None), (3, "z", float("nan")), (None, "n", 0.0), (6, None, None)], schema)
+    got = {r.k: r for r in diff_versions(old, new, ["k"]).collect()}
+    assert {k: r.change for k, r in got.items()} == {1: "changed", 5: "removed", 6: "added"}
+    assert (got[1].old.v, got[1].new.v, got[5].new, got[6].old) == (1.0, 1.5, None, None)
+    assert {r.k: r.change for r in diff_versions(old, new.withColumn("extra", F.lit(1)), ["k"]).collect()} == \
+        {1: "changed", 2: "changed", 3: "changed", None: "changed", 5: "removed", 6: "added"}
+    assert diff_versions(old.select("k"), old.select("k"), ["k"]).collect() == []
+    assert diff_versions(old.limit(0), old.limit(0), ["k"]).collect() == []
+
+
+def test_audited_runs(spark, tmp_path, edge_frame, capsys):
+    src, ref, out = str(tmp_path / "src"), str(tmp_path / "ref"), str(tmp_path / "out")
+    edge_frame.coalesce(1).write.option("header", True).csv(src)
+    spark.createDataFrame(REFERENCE_ROWS, "state_code int, state_name string").write.option("header", True).csv(ref)
+    main(["pipeline", "--input", src, "--output-dir", out, "--ref-state-codes", ref, "--run-id", "r:1", "--audited"])
+    capsys.readouterr()
+    gold = layer_path(out, "gold")
+    assert sorted(map(tuple, read_layer(spark, gold).collect()), key=str) == sorted(GOLD_EDGE, key=str)
+    wild = str(tmp_path / "wild")
+    edge_frame.withColumn("_BMI5", F.lit(9000.0)).coalesce(1).write.option("header", True).csv(wild)
+    with pytest.raises(RejectedLayer, match="bmi_mean"):
+        run_pipeline(spark, wild, out, ref, "r:2", audited=True)
+    assert sorted(map(tuple, read_layer(spark, gold).collect()), key=str) == sorted(GOLD_EDGE, key=str)
+    assert {(r.run_id, r.accepted) for r in layer_log(spark, gold).collect()} == {("r:1", True), ("r:2", False)}
+
+
+def test_an_empty_replay_leaves_the_old_bronze(spark, tmp_path, edge_frame, reference):
+    topic, empty, out = FileTopic(str(tmp_path / "t")), FileTopic(str(tmp_path / "e")), str(tmp_path / "o")
+    publish(edge_frame, topic)
+    publish(edge_frame.limit(0), empty)
+    layers = run_message_path(spark, topic, out, reference, audited=True, run_id="one")
+    assert (layers["bronze"].rows, layers["gold"].rows) == (9, 4)
+    with pytest.raises(RejectedLayer, match="0 rows"):
+        run_bronze_messages(spark, empty, out, edge_frame.schema, audited=True)
+    assert read_layer(spark, layers["bronze"].path).count() == 9
+    with pytest.raises(RuntimeError, match="no rows"):
+        run_bronze_messages(spark, empty, str(tmp_path / "plain"), edge_frame.schema)
+    assert not os.path.exists(tmp_path / "plain")
+    with pytest.raises(ValueError, match="incremental"):
+        run_message_path(spark, topic, str(tmp_path / "i"), reference, incremental=True, checkpoint=str(tmp_path / "c"), audited=True)
