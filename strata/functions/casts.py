@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DataType, DoubleType, FloatType
 
 
-def cast_by_name(df: DataFrame, types: dict[str, str]) -> DataFrame:
+def cast_by_name(df: DataFrame, types: dict[str, str | DataType]) -> DataFrame:
     """Cast the named columns, keep the others and the column order.
 
     A CSV schema given to the reader is applied by position, which silently
@@ -18,7 +18,7 @@ def cast_by_name(df: DataFrame, types: dict[str, str]) -> DataFrame:
     if missing:
         raise ValueError(f"columns not found for cast: {missing}")
     return df.select(*[
-        F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns
+        df[f"`{c}`"].cast(types[c]).alias(c) if c in types else df[f"`{c}`"] for c in df.columns
     ])
 
 

@@ -7,10 +7,12 @@ import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType, _parse_datatype_string
 from pyspark.sql import functions as F
 
-from strata.operators.files import load_schema, path_exists, read_text
+from strata.functions.casts import cast_by_name
+from strata.functions.kinds import flagged_types, type_flags
+from strata.operators.files import load_schema, path_exists, read_text, store_schema
 from strata.operators.parts import is_parted, read_parts
 
 # File names of each layer, as the source job names them, and
@@ -110,9 +112,23 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
     schema = load_schema(spark, f"{path}/_schema")
     if schema is not None and is_parted(spark, path):
         return read_parts(spark, path, schema)
+    text = load_schema(spark, f"{path}/_text")
+    if text is not None:  # its types were found by the job that wrote it
+        return cast_by_name(spark.read.schema(text).parquet(path), {f.name: f.dataType for f in schema.fields})
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
+def write_text_layer(df: DataFrame, path: str, name: str = "layer") -> LayerResult:
+    """Write a frame of text columns and find their types in the same job (``text_types``, observed), so the
+    source is read once. The files keep the text; ``read_layer`` casts it to the types found."""
+    spark, found = df.sparkSession, Observation(f"{name}-types")
+    result = write_layer(df.observe(found, *type_flags(df.columns)), path, name)
+    types = flagged_types(df.columns, found.get)
+    store_schema(spark, StructType([StructField(c, _parse_datatype_string(types[c])) for c in df.columns]), f"{path}/_schema")
+    store_schema(spark, df.schema, f"{path}/_text")
+    return result
+
+
 def ingest_summary(rows: int, target: str, chunk_size: int = 10_000) -> dict:
     """Summary of a publish: rows sent, target and the chunk count it equals."""
     return {"records_sent": rows, "topic": target,

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from strata.operators.commits import Audit, commit_layer
 from strata.operators.layers import (LayerResult, append_manifest, layer_path, read_layer,
-                                     write_layer)
+                                     write_layer, write_text_layer)
 from strata.operators.marts import DEFAULT_BROADCAST_ROWS, build_gold
 from strata.operators.quality import gold_rules
 from strata.operators.refine import refine
@@ -47,10 +47,18 @@ def run_bronze_frame(df: DataFrame, output_dir: str, run_id: str | None = None,
 
 def run_bronze(spark: SparkSession, input_csv: str, output_dir: str, run_id: str | None = None,
                infer: bool = True, types: dict[str, str] | None = None,
-               null_value: str | None = None, validate_header: bool = False, audited: bool = False) -> LayerResult:
+               null_value: str | None = None, validate_header: bool = False, audited: bool = False,
+               one_pass: bool = False) -> LayerResult:
     """CSV -> Bronze Parquet, all columns kept. ``null_value`` names a
     missing-value token (e.g. ``NA``) so such columns stay numeric. With
-    ``infer=False`` and ``types`` the source is read once."""
+    ``infer=False`` and ``types`` the source is read once; so it is with
+    ``one_pass``, which finds the types while it writes (``write_text_layer``;
+    read that Bronze with ``read_layer``)."""
+    if one_pass:
+        if audited or types:
+            raise ValueError("one_pass finds the types of a plain Bronze")
+        text = read_csv(spark, input_csv, infer=False, null_value=null_value, validate_header=validate_header)
+        return write_text_layer(text, layer_path(output_dir, "bronze", run_id), "bronze")
     df = read_csv(spark, input_csv, infer=infer, types=types, null_value=null_value,
                   validate_header=validate_header)
     return run_bronze_frame(df, output_dir, run_id, audited)
@@ -130,7 +138,7 @@ def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output
                      manifest: str | None = None, dropped_at: dt.datetime | None = None,
                      safe_cast: bool = False, max_per_batch: int | None = None,
                      quarantine_path: str | None = None, state_partitions: int = GOLD_STATE_PARTITIONS,
-                     audited: bool = False) -> dict[str, LayerResult]:
+                     audited: bool = False, merged: bool = False) -> dict[str, LayerResult]:
     """Topic -> Bronze -> Silver -> Gold.
 
     Bounded replay (default) rewrites Bronze from the whole topic and is
@@ -147,6 +155,8 @@ def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output
     folders), so a large backlog is drained in committed steps.
     ``quarantine_path`` takes malformed messages, which else stop the run.
     ``audited`` (bounded replay) publishes each layer only if its audit holds.
+    ``merged`` (incremental) keeps Gold's state in buckets whose rows can be
+    corrected later (``strata.operators.state``).
     """
     if not incremental:
         bronze = run_bronze_messages(spark, source, output_dir, schema, run_id, normalize, spec.source_columns(),
@@ -172,7 +182,7 @@ def run_message_path(spark: SparkSession, source: KafkaTopic | FileTopic, output
     ref = reference if isinstance(reference, DataFrame) else read_reference(
         spark, reference, mart.ref_key, mart.ref_value)
     layers = run_layers_incremental(spark, LayerResult(path=path, rows=result.rows), schema, output_dir, ref,
-                                    checkpoint, spec, mart, safe_cast, max_per_batch, state_partitions)
+                                    checkpoint, spec, mart, safe_cast, max_per_batch, state_partitions, merged)
     if manifest is not None:
         append_manifest(spark, manifest, run_id or "", layers, dropped_at)
     return layers

@@ -142,6 +142,9 @@ FROM counts c LEFT JOIN nation n ON c.State_Code = CAST(n.n_nationkey AS DOUBLE)
     "row_cap": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5000",
     "csv_ingest": """
 SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
+FROM customer""",
+    "csv_one_pass": """
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
 FROM customer""",
     "layer_roundtrip": "SELECT * FROM orders",
     "layer_metrics": _SURVEY_TO_GOLD + """
@@ -192,6 +195,11 @@ SELECT 'ExpectColumnValuesNotToBeNull', 'GENHLTH', CAST(count_if("GENHLTH" IS NU
 SELECT c.c_nationkey, c.customers, r_name AS region_name
 FROM (SELECT c_nationkey, count(c_acctbal) AS customers FROM customer GROUP BY c_nationkey) c
 LEFT JOIN region ON c.c_nationkey = r_regionkey""",
+    "corrected_gold": _with(
+        ("before", _survey_cte()),
+        ("survey", """
+  SELECT * REPLACE (CASE WHEN "_RACE" = 3 THEN "_BMI5" / 2 ELSE "_BMI5" END AS "_BMI5") FROM before"""),
+        ("silver", _silver_cte()), ("agg", _agg_cte()), ("gold", _gold_cte())) + "\nSELECT * FROM gold",
     "nested_replay": """
 SELECT o_orderkey AS id, CASE WHEN o_orderkey % 2 = 1 THEN o_totalprice ELSE floor(o_totalprice) END AS total,
        CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority ELSE CAST(o_orderkey AS VARCHAR) END AS tag,

@@ -23,7 +23,8 @@ from strata.operators.marts import aggregate_by, build_gold, head_rows, lookup_l
 from strata.operators.quality import (freshness_report, gold_rules, greater_than, not_null, quality_report,
                                       schema_report, unique)
 from strata.operators.refine import filter_valid, refine, valid_rows
-from strata.plans.jobs import run_bronze_frame, run_bronze_messages, run_layers, run_message_path, run_pipeline
+from strata.operators.state import correction, merge_state, read_state
+from strata.plans.jobs import run_bronze, run_bronze_frame, run_bronze_messages, run_layers, run_message_path, run_pipeline
 from strata.plans.survey_view import SURVEY_TYPES, reference_frame, survey_frame
 from strata.session import shared_dir
 from strata.sources.files import read_csv, read_json_lines, read_reference, read_table
@@ -31,6 +32,7 @@ from strata.sources.messages import FileTopic, publish, publish_csv, replay_topi
 from strata.spec import (GENERAL_HEALTH_LABELS, MESSAGE_ROW_CAP, PHYSICAL_ACTIVITY_DEFAULT,
                          PHYSICAL_ACTIVITY_LABELS, SURVEY, SURVEY_MART, ValidRule)
 from strata.streaming.ingest import ingest_evolving, ingest_incremental
+from strata.streaming.layers import named_gold
 
 # A scheduler-style run id, made path-safe by the layer writer.
 RUN_ID = "scheduled__2026-01-01T00:00:00+00:00"
@@ -113,6 +115,13 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, bronze.path)
 
 
+def csv_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from one read of the source: types are found by the job that writes Bronze."""
+    base = shared_dir(spark, "csv-once")
+    read_table(spark, sf_dir, "customer").write.option("header", True).csv(f"{base}/source")
+    return read_layer(spark, run_bronze(spark, f"{base}/source", base, RUN_ID, one_pass=True).path)
+
+
 def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1/K3/S3: write a run-scoped Parquet layer (overwrite) and read it back."""
     out = shared_dir(spark, "roundtrip")
@@ -372,6 +381,19 @@ def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("c_custkey", "change", F.col("old.c_acctbal").alias("old_acctbal"), F.col("new.c_acctbal").alias("new_acctbal"))
 
 
+def corrected_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold from mergeable state: two batches of Silver rows, one of them sent twice, then a
+    correction that takes back the rows of one race code and adds them with half the measure."""
+    survey, half = survey_frame(spark, sf_dir), F.col("_AGEG5YR") % 2
+    path = shared_dir(spark, "state")
+    for batch in (0, 1, 1):
+        merge_state(refine(survey.where(half == batch), SURVEY), path, SURVEY_MART, batch)
+    wrong = survey.where("_RACE = 3")
+    right = wrong.withColumn("_BMI5", F.col("_BMI5") / 2)
+    merge_state(correction(refine(wrong, SURVEY), refine(right, SURVEY)), path, SURVEY_MART, 0, "corrections")
+    return named_gold(read_state(spark, path, SURVEY_MART), reference_frame(spark, sf_dir))
+
+
 def schema_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q5: Gold schema against the contract."""
     return schema_report(state_gold(spark, sf_dir))
@@ -403,6 +425,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_left_join": lookup_left_join_query,
     "row_cap": row_cap,
     "csv_ingest": csv_ingest,
+    "csv_one_pass": csv_one_pass,
     "layer_roundtrip": layer_roundtrip,
     "layer_metrics": layer_metrics,
     "json_encode": json_encode,
@@ -420,6 +443,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_report": quality_report_query,
     "quality_failures": quality_failures,
     "unmatched_lookup": unmatched_lookup,
+    "corrected_gold": corrected_gold,
     "nested_replay": nested_replay,
     "audited_gold": audited_gold,
     "guarded_layers": guarded_layers,

@@ -23,11 +23,12 @@ from pyspark.sql.types import (ArrayType, DataType, DecimalType, DoubleType, Lon
 
 from strata.functions.casts import cast_by_name, normalize_nan
 from strata.functions.json import decode_frame, encode_row, flag_messages, split_flagged
+from strata.functions.kinds import text_types
 from strata.operators.layers import ingest_summary, read_layer, write_layer
 from strata.operators.marts import head_rows
 from strata.operators.quality import require_rows
 from strata.session import shared_dir
-from strata.sources.files import head_of_files, read_csv, text_types
+from strata.sources.files import head_of_files, read_csv
 
 # Publish settings of the source job's producer.
 PUBLISH_OPTIONS = {

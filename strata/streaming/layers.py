@@ -28,6 +28,7 @@ from strata.operators.files import path_exists
 from strata.operators.layers import LayerResult, layer_path, literal_frame, read_layer, write_layer
 from strata.operators.marts import DEFAULT_BROADCAST_ROWS, lookup_left_join
 from strata.operators.refine import refine
+from strata.operators.state import BUCKETS, merge_state, read_state
 from strata.sources.messages import TOPIC_SCHEMA
 from strata.spec import SURVEY, SURVEY_MART, MartSpec, RefineSpec
 from strata.streaming.ingest import (StreamIngestResult, append_stream, file_stream, messages_path,
@@ -95,19 +96,48 @@ def gold_incremental(spark: SparkSession, silver_path: str, silver_schema: Struc
     run_available_now(own, writer.start, aggregate)
     if not path_exists(spark, aggregate):  # no run has seen a Silver file yet
         return LayerResult(path=gold_path, rows=0)
-    named = lookup_left_join(read_layer(spark, aggregate), reference, mart.key, mart.ref_key, mart.ref_value,
-                             mart.name_column, max_broadcast_rows)
-    gold = named.select(mart.key, mart.name_column, mart.count_name, mart.mean_name) \
-        .orderBy(F.col(mart.key).asc_nulls_first())
-    return write_layer(gold, gold_path, "gold")
+    return write_layer(named_gold(read_layer(spark, aggregate), reference, mart, max_broadcast_rows), gold_path, "gold")
+
+
+def named_gold(table: DataFrame, reference: DataFrame, mart: MartSpec = SURVEY_MART,
+               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """A per-key table with its names, ordered by key."""
+    named = lookup_left_join(table, reference, mart.key, mart.ref_key, mart.ref_value, mart.name_column, max_broadcast_rows)
+    return named.select(mart.key, mart.name_column, mart.count_name, mart.mean_name).orderBy(F.col(mart.key).asc_nulls_first())
+
+
+def merged_state_path(checkpoint_base: str) -> str:
+    """Where ``gold_merged`` keeps its state; ``merge_state`` with another source than ``silver`` corrects it."""
+    return f"{checkpoint_base}/gold_state"
+
+
+def gold_merged(spark: SparkSession, silver_path: str, silver_schema: StructType, gold_path: str, checkpoint: str,
+                state_path: str, reference: DataFrame, mart: MartSpec = SURVEY_MART,
+                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, buckets: int = BUCKETS,
+                max_files: int | None = None) -> LayerResult:
+    """Fold new Silver rows into mergeable state (``strata.operators.state``) and write Gold from it.
+
+    A batch writes the buckets of the keys it holds, not all keys; rows that turn out wrong can be taken
+    back from the state. ``buckets`` is fixed by the first run.
+    """
+    def take(batch: DataFrame, batch_id: int) -> None:
+        merge_state(batch, state_path, mart, batch_id, "silver", buckets)
+
+    silver = file_stream(spark, silver_schema, max_files).parquet(silver_path)
+    writer = (silver.writeStream.option("checkpointLocation", checkpoint).foreachBatch(take).trigger(availableNow=True))
+    run_available_now(spark, writer.start, state_path)
+    if not path_exists(spark, f"{state_path}/_state"):  # no run has seen a Silver file yet
+        return LayerResult(path=gold_path, rows=0)
+    return write_layer(named_gold(read_state(spark, state_path, mart), reference, mart, max_broadcast_rows), gold_path, "gold")
 
 
 def run_layers_incremental(spark: SparkSession, bronze: LayerResult, bronze_schema: StructType | None,
                            output_dir: str, reference: DataFrame, checkpoint_base: str,
                            spec: RefineSpec = SURVEY, mart: MartSpec = SURVEY_MART,
                            safe_cast: bool = False, max_files: int | None = None,
-                           state_partitions: int = GOLD_STATE_PARTITIONS) -> dict[str, LayerResult]:
-    """Silver and Gold brought up to date with only the new files.
+                           state_partitions: int = GOLD_STATE_PARTITIONS, merged: bool = False) -> dict[str, LayerResult]:
+    """Silver and Gold brought up to date with only the new files. ``merged`` keeps Gold's state in
+    buckets that can be corrected (``gold_merged``) instead of in the stream; it holds for the life of the layers.
 
     With a ``bronze_schema`` Silver reads Bronze, without one the landed
     messages. The layers are one continuously maintained set, so their paths
@@ -125,9 +155,15 @@ def run_layers_incremental(spark: SparkSession, bronze: LayerResult, bronze_sche
         silver = refine_messages_incremental(spark, messages_path(checkpoint_base), silver_path,
                                              f"{checkpoint_base}/silver", spec, max_files, safe_cast)
         source = source_numbers(literal_frame(spark, [], TOPIC_SCHEMA), spec)
-    gold = gold_incremental(spark, silver_path, refine(source, spec).schema, gold_path, f"{checkpoint_base}/gold",
-                            reference, mart, state_partitions=state_partitions, max_files=max_files)
+    schema = refine(source, spec).schema
+    if merged:
+        gold = gold_merged(spark, silver_path, schema, gold_path, f"{checkpoint_base}/gold_merged",
+                           merged_state_path(checkpoint_base), reference, mart, max_files=max_files)
+    else:
+        gold = gold_incremental(spark, silver_path, schema, gold_path, f"{checkpoint_base}/gold", reference, mart,
+                                state_partitions=state_partitions, max_files=max_files)
     return {"bronze": bronze, "silver": LayerResult(silver_path, silver.observed), "gold": gold}
 
 
-__all__ = ["refine_incremental", "refine_messages_incremental", "gold_incremental", "run_layers_incremental"]
+__all__ = ["refine_incremental", "refine_messages_incremental", "gold_incremental", "gold_merged", "merged_state_path",
+           "named_gold", "run_layers_incremental"]

@@ -5,8 +5,11 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from strata.functions.kinds import text_types
+from strata.operators.layers import read_layer
+from strata.plans.jobs import run_bronze
 from strata.sources import files
-from strata.sources.files import head_of_files, read_csv, text_types
+from strata.sources.files import head_of_files, read_csv
 from strata.sources.messages import FileTopic, publish_csv, replay_topic
 
 
@@ -117,3 +120,21 @@ def test_types_of_few_values(spark, tmp_path):
     assert text_types(df) == {"k": "int", "v": "string"}
     assert text_types(spark.createDataFrame([("1f",), ("2d",)], "h string")) == {"h": "string"}
     assert text_types(df.where(F.lit(False))) == {"k": "string", "v": "string"}
+
+
+def test_bronze_finds_its_types_as_it_writes(spark, tmp_path):
+    path = str(tmp_path / "edge.csv")
+    with open(path, "w") as out:
+        out.write(",".join(EDGE) + "\n")
+        for k in range(3):
+            out.write(",".join(EDGE[c][k] or "" for c in EDGE) + "\n")
+    want = read_csv(spark, path, infer=True)
+    layer, _ = tasks_of(spark, lambda: run_bronze(spark, path, str(tmp_path / "o"), one_pass=True))
+    got = read_layer(spark, layer.path)
+    assert layer.rows == 3 and got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    (tmp_path / "edge.csv").write_text("whole\nx\n")  # a rerun overwrites text, types and schema
+    run_bronze(spark, path, str(tmp_path / "o"), one_pass=True)
+    assert [tuple(r) for r in read_layer(spark, layer.path).collect()] == [("x",)]
+    with pytest.raises(ValueError, match="one_pass"):
+        run_bronze(spark, path, str(tmp_path / "o"), one_pass=True, types={"whole": "int"})
