@@ -104,17 +104,22 @@ def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sample(docs: DataFrame) -> DataFrame:
-    """At most SAMPLE labelled documents of each language that are not held out, by a hash of the id."""
+    """At most SAMPLE labelled documents of each language that are not held out, by a hash of the id, and
+    at most SAMPLE_ALL in all. Ids are chosen without their texts, which are then fetched for these alone."""
     order = F.xxhash64(F.col("doc_id"), F.lit(11))
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(F.col("doc_id")) != 1)) \
         .select(F.col("lang").cast("string").alias("lang"), order.alias("order"), F.col("text").alias("_text"))
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    ids = labelled.select("lang", "order")
+    # of more languages than the sample has documents, only the first by name can be in it
+    sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).orderBy("lang").limit(SAMPLE_ALL)
     # a hash threshold leaves about twice the sample of each language, which is then ranked
     share = (F.col("order") / F.lit(float(1 << 63)) + 1) / 2
-    near = labelled.join(sizes, "lang").where(share <= F.lit(2.0 * SAMPLE) / F.col("_n"))
+    near = ids.join(F.broadcast(sizes), "lang").where(share <= F.lit(2.0 * SAMPLE) / F.col("_n")).select("lang", "order").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
-    return near.withColumn("_rank", rank).where(F.col("_rank") <= SAMPLE).orderBy("_rank", "lang").limit(SAMPLE_ALL) \
-        .select("lang", "order", "_text")
+    chosen = near.withColumn("_rank", rank).where(F.col("_rank") <= SAMPLE).orderBy("_rank", "lang").limit(SAMPLE_ALL)
+    # at most SAMPLE_ALL rows are broadcast; ids that many rows share give no larger sample
+    return labelled.join(F.broadcast(chosen), ["lang", "order"]) \
+        .orderBy("_rank", "lang", F.xxhash64("_text")).limit(SAMPLE_ALL).select("lang", "order", "_text")
 
 
 def train(docs: DataFrame, epochs: int = 12, rate: float = 40.0) -> LanguageModel | None:
