@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,10 +41,26 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def map_arrow(df: DataFrame, run, schema) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the workers."""
+def _give_back(run):
+    """``run``, after which the worker returns freed memory to the system: workers live on, and what one stage
+    has freed would else count against the executor in all later ones."""
+    def ended(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+    return ended
+
+
+def map_arrow(df: DataFrame, run, schema, give_back: bool = False) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers; ``give_back`` frees their memory after a task."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(_give_back(run) if give_back else run, schema)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,17 +80,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def prefix_sum(df: DataFrame, groups: list[str], order: list[str], value: Column | str, out: str,
-               parts: int = PARTS) -> DataFrame:
+               parts: int = PARTS, dealt: list[str] | None = None) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the rows of the group that come before.
 
-    Rows of a group are dealt by a hash of the ``order`` columns to ``parts`` parts,
+    Rows of a group are dealt by a hash of the ``order`` columns (or of ``dealt``) to ``parts`` parts,
     summed by window inside a part, and moved by the parts' running totals (one row per
     group and part). The order inside a group is (part, order columns): the same on every
     rerun, and no group is ever gathered in one task. ``df`` is read twice: pass a stored
     frame. Group columns must not be NULL.
     """
     value = F.col(value) if isinstance(value, str) else value
-    df = df.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(parts)).cast("int")) \
+    df = df.withColumn("_part", F.pmod(F.xxhash64(*(dealt or order)), F.lit(parts)).cast("int")) \
         .withColumn("_value", value.cast("long"))
     keys = [*groups, "_part"]
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

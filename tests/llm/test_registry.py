@@ -27,7 +27,7 @@ def test_stages(spark, docs, tmp_path):
     """Each stage on its predecessor's rows, against the plain versions."""
     now = docs
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
-        before = now.collect()
+        frame, before = now, now.collect()
         out = stage(spark, now, "")
         if name != "packing":
             assert out.columns == docs.columns
@@ -53,7 +53,11 @@ def test_stages(spark, docs, tmp_path):
             assert len(after) == len(set(root))
             assert Counter(after) <= Counter(before)
         elif name == "mix_sources":
-            assert {r.doc_id for r in after} <= {r.doc_id for r in before}
+            plan = Counter()
+            for r in mixing.plan_mix(frame).collect():
+                plan[(r.doc_id, r.source, r.size)] += int(r.taken / r.size + 0.5) if r.size else 0
+            assert Counter((r.doc_id, r.source, len(brute.words(r.text))) for r in after) == +plan
+            assert set(after) <= set(before)
         else:
             assert sum(r.length for r in after if r.start == 0) > 0
             assert max(r.offset + r.length for r in after) <= 2048
