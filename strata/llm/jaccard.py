@@ -289,7 +289,7 @@ def _near(pairs: DataFrame, sketches: DataFrame, percent: int, size: int) -> Dat
 def _linked(pairs: DataFrame, rows: DataFrame, n: int, percent: int, name: str) -> DataFrame:
     """Those of the pairs (a, b) whose sets are similar, by all their shingles."""
     codes = pairs.select(F.col("a").alias("code")).unionByName(pairs.select(F.col("b").alias("code")))
-    sets = stored(map_arrow(rows.select("_text"), _members(n, _candidate_map(codes)), "code long, shingles array<long>")
+    sets = stored(map_arrow(rows.select("_text"), _members(n, _candidate_map(codes)), "code long, shingles array<long>", give_back=True)
                   .dropDuplicates(["code"]), f"{name}-sets")
     one = sets.select(F.col("code").alias("a"), F.col("shingles").alias("_x"))
     two = sets.select(F.col("code").alias("b"), F.col("shingles").alias("_y"))
@@ -309,11 +309,11 @@ def jaccard_components(rows: DataFrame, n: int = SHINGLE, percent: int = PERCENT
     with nothing; NULL doc_ids and repeated rows are rows like any other.
     """
     rows = rows.select("_row", "_id", "_text")
-    signed = map_arrow(rows.select("_text"), _sign(n, percent), "sig long, code long")
+    signed = map_arrow(rows.select("_text"), _sign(n, percent), "sig long, code long", give_back=True)
     met = stored(map_arrow(signed.repartition("sig").sortWithinPartitions("sig", "code"), _meet(held),
-                           "group long, code long").distinct(), "jaccard-groups")
+                           "group long, code long", give_back=True).distinct(), "jaccard-groups")
     table = stored(map_arrow(rows, _sketch(n, _candidate_map(met)), "_row long, _id long, n_shingles long, code long, "
-                                                                    "sketch array<long>"), "jaccard-table")
+                                                                    "sketch array<long>", give_back=True), "jaccard-table")
     sketches = stored(table.where(F.size("sketch") > 0).select("code", "n_shingles", "sketch").dropDuplicates(["code"]),
                       "jaccard-sketches")
     # a group's centre is the node that most groups hold: of a text and its edited copies, the text

@@ -31,8 +31,8 @@ STEP = 16
 END_ID = 1
 #: Share of sequences within which the linear program's optimum must be known.
 SLACK = 0.0002
-#: Words whose ids a worker keeps.
-KNOWN = 1_500_000
+#: Words whose ids a worker keeps, and that are tokenised at once.
+KNOWN, SOME = 1_500_000, 20_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -59,7 +59,8 @@ class WordIds:
 
     def learn(self, codes: np.ndarray, texts: list[str]) -> None:
         """``codes`` must rise."""
-        ids = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = [x.ids for k in range(0, len(texts), SOME)
+               for x in self.tokenizer.encode_batch_fast(texts[k:k + SOME], add_special_tokens=False)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         new = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
         while self.used + len(new) > len(self.flat):
@@ -254,7 +255,7 @@ def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, step: i
     rows = docs.select(F.monotonically_increasing_id().alias("_row"),
                        F.col("doc_id").cast("long").alias("doc_id"), "text")
     sized = stored(map_arrow(rows, _measure(path, length), "_row long, doc_id long, doc_tokens long, "
-                                                           "_crcs array<long>"), "pack-sizes")
+                                                           "_crcs array<long>", give_back=True), "pack-sizes")
     sized = sized.withColumn("_rest", F.col("doc_tokens") % length) \
         .withColumn("_full", F.floor(F.col("doc_tokens") / length)) \
         .withColumn("_class", F.ceil(F.col("_rest") / step).cast("int"))
@@ -274,7 +275,7 @@ def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, step: i
     ahead = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "doc_id", "_row") \
         .rowsBetween(Window.unboundedPreceding, -1)
     rests = (map_arrow(rests, place, "doc_id long, _row long, start long, length long, ids_crc32 long, "
-                                      "doc_tokens long, sequence_id long")
+                                      "doc_tokens long, sequence_id long", give_back=True)
              .withColumn("offset", F.coalesce(F.sum("length").over(ahead), F.lit(0))).drop("_row"))
     full = prefix_sum(sized.where("_full > 0"), [], ["doc_id", "_row"], "_full", "_first") \
         .select("doc_id", "doc_tokens", "_first", "_crcs", F.posexplode(F.slice("_crcs", F.lit(1), F.col("_full").cast("int")))
@@ -297,7 +298,7 @@ def sequences(docs: DataFrame, pieces: DataFrame, path: str | None = None) -> Da
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], names=["doc_id", "_ids"])
 
     ids = map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), encode,
-                    "doc_id long, _ids array<long>")
+                    "doc_id long, _ids array<long>", give_back=True)
     cut = F.slice("_ids", (F.col("start") + 1).cast("int"), F.col("length").cast("int"))
     return (pieces.join(ids, "doc_id").select("sequence_id", "offset", cut.alias("_ids"))
             .groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "_ids"))).alias("_pieces"))
