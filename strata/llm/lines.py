@@ -21,12 +21,14 @@ from pyspark.sql.types import StructType
 from strata.llm.common import documents, map_arrow, numbered, stored
 from strata.llm.words import chunks, span_codes, words
 
-#: A repeated run counts with at least two lines, or one line of this many words.
-LONE_WORDS = 20
+#: A repeated run counts with at least two lines, or as one line of LONE_WORDS words, or of LEAST_WORDS if its
+#: words times the documents that hold it come to LONE_WEIGHT. Shorter lines meet by chance.
+LONE_WORDS, LEAST_WORDS, LONE_WEIGHT = 20, 3, 60
 
 
 def _line_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(_row, _id, at, lines, code, words) of each line with a word; ``at`` counts such lines from 0."""
+    """(_row, _id, at, lines, code, words, fresh) of each line with a word; ``at`` counts such lines from 0,
+    ``fresh`` is 1 where a document holds the line first."""
     for batch in batches:
         row, ident = batch.column("_row"), batch.column("_id")
         for chunk in chunks(batch.column("_text")):
@@ -41,10 +43,14 @@ def _line_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = np.searchsorted(doc, np.arange(len(offsets) - 1))
             lines = np.bincount(doc, minlength=len(offsets) - 1)
             where = pa.array(chunk.first + doc)
+            codes = span_codes(data, starts, ends)
+            order = np.lexsort((codes, doc))
+            fresh = np.ones(len(doc), np.int64)
+            fresh[order[1:]] = (codes[order][1:] != codes[order][:-1]) | (doc[order][1:] != doc[order][:-1])
             yield pa.RecordBatch.from_arrays(
                 [row.take(where), ident.take(where), pa.array(np.arange(len(doc)) - first[doc], pa.int64()),
-                 pa.array(lines[doc], pa.int64()), pa.array(span_codes(data, starts, ends).view(np.int64)),
-                 pa.array(n, pa.int64())], names=["_row", "_id", "at", "lines", "code", "words"])
+                 pa.array(lines[doc], pa.int64()), pa.array(codes.view(np.int64)), pa.array(n, pa.int64()), pa.array(fresh)],
+                names=["_row", "_id", "at", "lines", "code", "words", "fresh"])
 
 
 def _ranks(keys: DataFrame, names: list[str]) -> DataFrame:
@@ -57,22 +63,24 @@ def _ranks(keys: DataFrame, names: list[str]) -> DataFrame:
         .withColumn("_rank", F.col("_ahead") + F.col("_inside")).drop("_part", "_ahead", "_inside")
 
 
-def _shared(suffixes: DataFrame, names: list[str]) -> DataFrame:
-    """Suffixes whose key another has too, with the key's rank and its first place."""
+def _shared(suffixes: DataFrame, names: list[str], more: tuple[Column, ...] = ()) -> DataFrame:
+    """Suffixes whose key another has too, with the key's rank and its first place, and aggregates of the key."""
     place = F.struct("_id", "_row", "at")
-    keys = suffixes.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("first")) \
+    keys = suffixes.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("first"), *more) \
         .where("_n > 1").drop("_n")
     return suffixes.join(_ranks(keys, names), names) \
         .withColumn("later", place > F.col("first")) \
-        .select("_row", "_id", "at", "lines", "words", F.col("_rank").alias("rank"), "later")
+        .select("_row", "_id", "at", "lines", "words", F.col("_rank").alias("rank"), "later",
+                *(["holders"] if more else []))
 
 
 def repeated_runs(rows: DataFrame, lone_words: int = LONE_WORDS) -> DataFrame:
     """(_row, at, length) for numbered rows: windows of lines with an earlier copy, of 1, 2, 4, ... lines."""
     table = stored(map_arrow(rows.select("_row", "_id", "_text"), _line_table, "_row long, _id long, at long, "
-                             "lines long, code long, words long"), "lines")
-    level = stored(_shared(table, ["code"]), "line-ranks")
-    runs = level.where(F.col("later") & (F.col("words") >= lone_words)) \
+                             "lines long, code long, words long, fresh long", give_back=True), "lines")
+    level = stored(_shared(table, ["code"], (F.sum("fresh").alias("holders"),)), "line-ranks")
+    often = (F.col("words") >= LEAST_WORDS) & (F.col("words") * F.col("holders") >= LONE_WEIGHT)
+    runs = level.where(F.col("later") & ((F.col("words") >= lone_words) | often)) \
         .select("_row", "at", F.lit(1).cast("long").alias("length"))
     reach = 1
     while not level.isEmpty():
@@ -116,9 +124,11 @@ def delete_repeats(docs: DataFrame, keep: list[str | Column], lone_words: int =
     """The ``keep`` columns of each row of ``docs`` with _kept (its text without later copies of line
     runs), _n_lines, _n_removed and _longest_run.
 
-    A line goes if it lies in a run of lines (two or more, or one of ``lone_words`` words) that also
-    occurs earlier, by doc_id (NULL first), row and place. Lines without a word are not counted and
-    stay. A NULL text stays NULL; a repeated row is a later copy; an empty table gives no rows.
+    A line goes if it lies in a run of lines (two or more, or one of ``lone_words`` words, or one of
+    LEAST_WORDS words and more that stands in so many documents that both multiply to LONE_WEIGHT) that
+    also occurs earlier, by doc_id (NULL first), row and place. Lines without a word are not counted and
+    stay. A NULL text stays NULL; a repeated row is a later copy; an empty table gives no rows. Texts of
+    any length are read whole; other columns of ``docs`` may have any names.
     """
     rows = numbered(docs, "line-rows", F.struct(*keep).alias("_keep"))
     runs = repeated_runs(rows, lone_words).groupBy("_row").agg(F.collect_list(F.struct("at", "length")).alias("_runs"))
@@ -126,7 +136,7 @@ def delete_repeats(docs: DataFrame, keep: list[str | Column], lone_words: int =
     schema = StructType([f for f in rows.schema if f.name not in ("_text", "_runs")])
     for name, kind in (("_kept", "string"), ("_n_lines", "long"), ("_n_removed", "long"), ("_longest_run", "long")):
         schema = schema.add(name, kind)
-    return map_arrow(rows, _delete, schema)
+    return map_arrow(rows, _delete, schema, give_back=True)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

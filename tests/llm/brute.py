@@ -58,6 +58,7 @@ def deleted_lines(rows, lone=20):
     place = {r: p for p, r in enumerate(order)}
     worded = {r: [k for k, x in enumerate((rows[r][1] or "").split("\n")) if WORD.search(x)] for r in place}
     line = {r: (rows[r][1] or "").split("\n") for r in place}
+    holders = Counter(x for r in place for x in {line[r][k] for k in worded[r]})
     one, two = {}, {}
     for r in order:
         for p, k in enumerate(worded[r]):
@@ -68,7 +69,8 @@ def deleted_lines(rows, lone=20):
     for r in range(len(rows)):
         gone = set()
         for p, k in enumerate(worded[r]):
-            if len(words(line[r][k])) >= lone and one[line[r][k]] < (place[r], p):
+            n = len(words(line[r][k]))
+            if (n >= lone or (n >= 3 and n * holders[line[r][k]] >= 60)) and one[line[r][k]] < (place[r], p):
                 gone.add(p)
             if p + 1 < len(worded[r]) and two[line[r][k], line[r][worded[r][p + 1]]] < (place[r], p):
                 gone |= {p, p + 1}
