@@ -286,7 +286,7 @@ def vector_components(nodes: DataFrame, most: int = LIST) -> DataFrame:
 
     Besides the lists, nodes of a leaf that was split are compared across the parts. Then ASKED nodes
     are compared with all others: while more than 1 - RECALL of their links lead to other components,
-    nodes meet in as many new tables again.
+    nodes meet in as many new tables again, and other nodes are asked.
     """
     count = nodes.count()
     bits, tables = leaf_bits(count)
@@ -302,7 +302,8 @@ def vector_components(nodes: DataFrame, most: int = LIST) -> DataFrame:
             links = links.unionByName(stored(more, "vector-crowded"))
         found = stored(components(links, "vector-components"), "vector-found")
         rows = nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "unit")
-        asked = rows.orderBy(F.xxhash64("node", F.lit(11)), "node").limit(ASKED).collect()
+        # other nodes at each round: the links of those asked before are in by now
+        asked = rows.orderBy(F.xxhash64("node", F.lit(11 + done)), "node").limit(ASKED).collect()
         if not asked:
             return found
         seen = stored(map_arrow(rows, _missed(asked), "a long, b long, there long"), "vector-asked")
