@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from strata.llm import sql
 from strata.llm.alignment import op12_align
 from strata.llm.jaccard import op7_jaccard
 from strata.llm.language import op5_language
@@ -39,6 +40,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: Queries whose rows SQL can state.
-ORACLE_SQL: dict[str, str] = {"op11_rank": RANK_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op3_substrings": sql.SUBSTRINGS,
+    "op6_lines": sql.LINES,
+    "op7_jaccard": sql.JACCARD,
+    "op9_vectors": sql.VECTORS,
+    "op11_rank": RANK_SQL,
+}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

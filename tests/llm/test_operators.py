@@ -415,3 +415,68 @@ def test_mix_order_does_not_follow_the_splits(spark):
     rows = [(None, f"word{k} and more {'x ' * (k % 5)}", "web" if k % 3 else "code") for k in range(60)]
     one, two = (spark.createDataFrame(r, "doc_id long, text string, source string").coalesce(1) for r in (rows, rows[::-1]))
     assert [r.text for r in mixing.mixed_documents(one).collect()] == [r.text for r in mixing.mixed_documents(two).collect()]
+
+
+def test_the_stream_follows_the_plan(spark, docs):
+    """Copies of each row as often as a plain reading of the plan says, in order of position."""
+    table = docs.withColumn("a.map", F.expr("map('k', coalesce(lang, ''))")).unionByName(
+        docs.where("doc_id = 3").withColumn("a.map", F.expr("map('k', 'other')")))
+    plan = defaultdict(list)
+    for r in mixing.plan_mix(table).collect():
+        plan[(r.doc_id, r.source, r.size)].append(int(np.floor(r.taken / r.size + 0.5)) if r.size else 0)
+    out = mixing.mixed_documents(table)
+    assert out.columns == table.columns and out.dtypes == table.dtypes
+    got, size = Counter(), lambda r: len(brute.words(r.text))
+    stream = out.collect()
+    for r in stream:
+        got[(r.doc_id, r.source, size(r))] += 1
+    assert got == Counter({k: sum(v) for k, v in plan.items() if sum(v)})
+    assert {r["a.map"]["k"] for r in stream if r.doc_id == 3} <= {"de", "other"}
+
+
+def test_many_equal_rows_are_one_item(spark, monkeypatch):
+    rows = [(None, "same words here", "web")] * 50 + [(k, f"text number {k}", "web") for k in range(30)] + [(9, "a b", "code")] * 7
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    monkeypatch.setattr(mixing, "BLOCK", 4)
+    got = mixing.plan_mix(table).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+    for source in ("web", "code"):
+        taken = sum(r.taken for r in got if r.source == source)
+        target = next(r.target for r in got if r.source == source)
+        assert abs(taken - target) <= 1
+    equal = [r.taken for r in got if r.doc_id is None]
+    assert sum(t % 3 != 0 for t in equal) <= 1  # but for one, each row is taken whole or not at all
+    copies = Counter(r.doc_id for r in mixing.mixed_documents(table).collect())
+    assert copies[9] == 21 and copies[None] == sum((t + 1) // 3 for t in equal)
+
+
+def test_a_widely_held_line_stays_once(spark):
+    draw = random.Random(8)
+    footer, rare, short = "All rights reserved by us.", "A line that few have", "See also"
+    own = lambda n: prose(draw, n).replace("\n", " ")
+    texts = ["\n".join([own(9), *([footer] * (1 + (k % 4 == 0)) if k % 2 else []), own(8), *([rare] if k in (3, 30) else []),
+                        own(6), short, own(7)]) for k in range(60)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r._kept for r in lines.delete_repeats(table, ["doc_id"]).collect()}
+    assert sum(t.split("\n").count(footer) for t in got.values()) == 1 and footer in got[1]
+    assert sum(rare in t for t in got.values()) == 2 and all(short in t for t in got.values())
+    want = brute.deleted_lines(list(enumerate(texts)))
+    for k, (text, gone, n) in enumerate(want):
+        assert got[k] == "\n".join(x for j, x in enumerate(text) if j not in gone)
+
+
+def test_the_audit_asks_other_nodes_each_round(spark, monkeypatch):
+    """With the search switched off only audits find links: they must not accept what they added themselves."""
+    draw = np.random.default_rng(4)
+    centres = draw.normal(size=(120, 16))
+    x = np.concatenate([centres, centres + draw.normal(size=centres.shape) * 0.05])
+    cosine = (x @ x.T) / np.outer(*[np.linalg.norm(x, axis=1)] * 2)
+    pairs = int(((cosine >= 0.9) & ~np.eye(len(x), dtype=bool)).sum())
+    nothing = spark.createDataFrame([], "a long, b long, cosine double")
+    monkeypatch.setattr(vectors, "ASKED", 60)
+    monkeypatch.setattr(vectors, "neighbour_lists", lambda *a: nothing)
+    monkeypatch.setattr(vectors, "crowded_links", lambda *a: nothing.select("a", "b"))
+    monkeypatch.setattr(vectors, "_meet", lambda *a: nothing)
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = vectors.near_vectors(table).collect()
+    assert sum(r.n_links for r in got) >= 0.9 * pairs > 200
