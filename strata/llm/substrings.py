@@ -331,6 +331,27 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["_row", "doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
+KEPT = "_row long, doc_id long, n_words long, n_removed long, kept_sha256 string"
+
+
+def _placed(held: np.ndarray, hit: bool):
+    """Rows whose place is in the bit map (all with spans, and a few others), or those that are not."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = batch.column("_place").to_numpy().view(np.uint64) & np.uint64((1 << MAP_BITS) - 1)
+            there = (held[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)
+            yield batch.filter(pa.array((there == 1) == hit)).drop_columns(["_place"])
+    return run
+
+
+def _alone(held: np.ndarray):
+    """Rows without spans: their texts stay where they are."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nothing = (b.append_column("_spans", pa.nulls(len(b), pa.null())) for b in _placed(held, False)(batches))
+        yield from _keep(nothing)
+    return run
+
+
 def repeated_spans(rows: DataFrame, many: int = MANY) -> DataFrame:
     """(_row, first, last) for numbered rows: spans of words covered by windows of an earlier document."""
     rows = rows.where("_id is not null")
@@ -354,10 +375,12 @@ def remove_repeats(docs: DataFrame, many: int = MANY) -> DataFrame:
     repeated rows share their fate; an empty table gives no rows.
     """
     rows = numbered(docs, "substring-rows")
-    spans = repeated_spans(rows, many).groupBy("_row").agg(
-        F.collect_list(F.struct("first", "last")).alias("_spans"))
-    return map_arrow(rows.join(spans, "_row", "left"), _keep,
-                     "_row long, doc_id long, n_words long, n_removed long, kept_sha256 string").drop("_row")
+    runs = repeated_spans(rows, many)
+    held = _anchor_map(runs.select(F.xxhash64("_row").alias("anchor")))
+    placed = rows.withColumn("_place", F.xxhash64("_row"))
+    spans = runs.groupBy("_row").agg(F.collect_list(F.struct("first", "last")).alias("_spans"))
+    some = map_arrow(placed, _placed(held, True), rows.schema).join(spans, "_row", "left")
+    return map_arrow(placed, _alone(held), KEPT).unionByName(map_arrow(some, _keep, KEPT)).drop("_row")
 
 
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
