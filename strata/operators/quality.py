@@ -7,10 +7,11 @@ a report are computed by a single ``agg`` over the data and come back as rows
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DataType, DateType, DecimalType, DoubleType, FloatType,
                                IntegerType, LongType, StringType, TimestampNTZType, TimestampType)
@@ -168,3 +169,41 @@ def run_freshness(manifest: DataFrame, layer: str = "gold",
     """Freshness of every run in a manifest, judged on one layer's write."""
     runs = manifest.filter(F.col("layer") == layer)
     return freshness_report(runs, "dropped_at", "written_at", max_delay_days)
+
+
+def source_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, dropped_at) of a source's files, from the file system's own modification times. The scan asks
+    for no content, so none is read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path) \
+        .select(F.col("path").alias("file"), F.col("modificationTime").alias("dropped_at"))
+
+
+def delivery_report(drops: DataFrame, manifest: DataFrame, layer: str = "gold", now: dt.datetime | None = None,
+                    max_delay_days: float = MAX_DELAY_DAYS) -> DataFrame:
+    """Freshness of every drop: (its columns), run_id, written_at, delay_seconds, status.
+
+    ``drops`` has dropped_at; ``manifest`` has run_id, layer and written_at. A drop is in the first write of the
+    layer at or after it (an as-of join). Status: ``on_time``; ``late`` beyond ``max_delay_days`` x 24 h;
+    ``missing`` if no write followed and that time has passed by ``now``; else ``pending``. A drop without a
+    time is ``missing``. The writes' intervals are cut into days and joined by day, so neither side is
+    gathered; writes at the same time are one (its least run id). There is one row a drop, in any order.
+    """
+    seconds = int(round(max_delay_days * 86400))
+    drops = drops.withColumn("_day", F.to_date("dropped_at"))
+    first = drops.agg(F.min("_day")).first()[0]
+    writes = manifest.where((F.col("layer") == layer) & F.col("written_at").isNotNull()) \
+        .groupBy("written_at").agg(F.min("run_id").alias("run_id"))
+    # one row a run: numbered in one task
+    spans = writes.withColumn("_since", F.lag("written_at").over(Window.orderBy("written_at")))
+    begin, end = F.greatest(F.to_date("_since"), F.lit(first).cast("date")), F.to_date("written_at")
+    spans = spans.where(end >= F.lit(first).cast("date")).withColumn("_day", F.explode(F.sequence(begin, end)))
+    inside = (F.col("d._day") == F.col("w._day")) & (F.col("dropped_at") <= F.col("written_at")) \
+        & (F.col("_since").isNull() | (F.col("dropped_at") > F.col("_since")))
+    found = drops.alias("d").join(spans.alias("w"), inside, "left").drop("_day", "_since")
+    late = F.timestamp_diff("SECOND", F.col("dropped_at"), F.col("written_at"))
+    moment = F.lit((now or dt.datetime.now(dt.timezone.utc)).isoformat()).cast("timestamp")
+    waited = F.timestamp_diff("SECOND", F.col("dropped_at"), moment)
+    status = F.when(F.col("written_at").isNotNull(), F.when(late > seconds, "late").otherwise("on_time")) \
+        .when(waited <= seconds, "pending").otherwise("missing")
+    return found.select(*[c for c in drops.columns if c != "_day"], "run_id", "written_at", late.alias("delay_seconds"),
+                        status.alias("status"))

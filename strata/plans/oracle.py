@@ -232,4 +232,12 @@ SELECT 'ExpectDeliveryWithinDays' AS rule, 'written_at-dropped_at<=5d' AS target
        max({_DELAY}) / 86400.0 AS max_delay_days,
        count_if(coalesce({_DELAY} > 5 * 86400, true)) = 0 AS passed
 FROM m""",
+    "delivery_report": """
+WITH w AS (SELECT strftime(min(l_shipdate), '%Y-%m') AS run_id, min(l_shipdate) AS written_at
+           FROM lineitem GROUP BY date_trunc('month', l_shipdate)),
+d AS (SELECT o_orderkey, o_orderdate AS dropped_at FROM orders)
+SELECT o_orderkey, run_id, (epoch_us(written_at) - epoch_us(dropped_at)) // 1000000 AS delay_seconds,
+       CASE WHEN written_at IS NULL THEN 'missing'
+            WHEN (epoch_us(written_at) - epoch_us(dropped_at)) // 1000000 > 5 * 86400 THEN 'late' ELSE 'on_time' END AS status
+FROM d ASOF LEFT JOIN w ON d.dropped_at <= w.written_at""",
 }

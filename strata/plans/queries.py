@@ -7,6 +7,7 @@ under the shared checkpoint folder and return a frame read back from it.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from strata.functions.labels import code_to_label
 from strata.operators.commits import RejectedLayer, commit_layer, diff_versions, layer_log, read_version
 from strata.operators.layers import layer_path, literal_frame, read_layer, write_layer
 from strata.operators.marts import aggregate_by, build_gold, head_rows, lookup_left_join
-from strata.operators.quality import (freshness_report, gold_rules, greater_than, not_null, quality_report,
+from strata.operators.quality import (delivery_report, freshness_report, gold_rules, greater_than, not_null, quality_report,
                                       schema_report, unique)
 from strata.operators.refine import filter_valid, refine, valid_rows
 from strata.operators.state import correction, merge_state, read_state
@@ -414,6 +415,16 @@ def freshness_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return freshness_report(manifest, "dropped_at", "written_at")
 
 
+def delivery_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6: each order as a drop, in the first write at or after it; writes are the months' first ship dates."""
+    month = F.trunc("l_shipdate", "month")
+    writes = read_table(spark, sf_dir, "lineitem").groupBy(month.alias("m")).agg(F.min("l_shipdate").alias("written_at")) \
+        .select(F.date_format("written_at", "yyyy-MM").alias("run_id"), F.lit("gold").alias("layer"), "written_at")
+    drops = read_table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").alias("dropped_at"))
+    found = delivery_report(drops, writes, now=dt.datetime(2100, 1, 1, tzinfo=dt.timezone.utc))
+    return found.select("o_orderkey", "run_id", "delay_seconds", "status")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "state_gold": state_gold,
     "refine_silver": refine_silver,
@@ -450,4 +461,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_diff": snapshot_diff,
     "schema_report": schema_report_query,
     "freshness_report": freshness_report_query,
+    "delivery_report": delivery_report_query,
 }
