@@ -306,7 +306,7 @@ def jaccard_components(rows: DataFrame, n: int = SHINGLE, percent: int = PERCENT
     node. Nodes that share a signature are compared with a centre among them; where such a
     comparison fails, the bitmaps of that signature's nodes in different components are compared too, so
     no link is lost and nodes of one component are never paired with each other. Empty sets (NULL or blank text) link
-    with nothing; NULL doc_ids and repeated rows are rows like any other.
+    with nothing; NULL doc_ids and repeated rows are rows like any other; an empty table gives no rows.
     """
     rows = rows.select("_row", "_id", "_text")
     signed = map_arrow(rows.select("_text"), _sign(n, percent), "sig long, code long", give_back=True)
@@ -351,7 +351,13 @@ def jaccard_components(rows: DataFrame, n: int = SHINGLE, percent: int = PERCENT
 
 
 def link_documents(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, held: int = HELD) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id (the smallest doc_id reachable)."""
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (the smallest doc_id reachable).
+
+    A NULL or blank text has no shingles and links with nothing; a text of fewer than ``n`` words is one
+    shingle. NULL doc_ids are linked like others (a component of such rows alone has a NULL id); repeated
+    rows link with each other; texts of any length are read whole; an empty table gives no rows; other
+    columns, whatever their names, are not read.
+    """
     rows = stored(jaccard_components(numbered(docs, "jaccard-texts"), n, percent, held), "jaccard-rows")
     least = rows.where("_component is not null").groupBy("_component").agg(F.min("_id").alias("_least"))
     return rows.join(least, "_component", "left").select(
@@ -359,7 +365,12 @@ def link_documents(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, he
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` less all but one (the smallest doc_id) of each group of linked rows."""
+    """The rows of ``docs`` less all but one (the smallest doc_id) of each group of linked rows.
+
+    Of equal doc_ids the first row of the table stays, NULL ones only if the group has no other; rows with
+    NULL or blank texts link with nothing and stay. Has the columns of ``docs``, whatever their names; an
+    empty table gives no rows.
+    """
     texts = numbered(docs, "jaccard-texts", F.struct("*").alias("_doc"))
     rows = stored(jaccard_components(texts), "jaccard-rows").where("_component is not null")
     order = F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row"))

@@ -205,7 +205,8 @@ def identify(docs: DataFrame) -> DataFrame:
 
     ``und`` (score 0, not accepted) is given to a NULL text, a text without a letter, and to all texts
     if nothing can be learned. A NULL doc_id is not learned from and not held out; repeated rows get
-    equal results; an empty table gives no rows.
+    equal results; texts of any length are read whole; an empty table gives no rows; other columns, whatever
+    their names, are not read.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(remainder(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"),

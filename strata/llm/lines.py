@@ -140,7 +140,12 @@ def delete_repeats(docs: DataFrame, keep: list[str | Column], lone_words: int =
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with shortened texts (and n_chars, if there), less the rows that lost all their lines."""
+    """``docs`` with shortened texts (and n_chars, if there), less the rows that lost all their lines.
+
+    NULL and blank texts stay as they are; of repeated rows, and of texts with equal lines, the one with the
+    smallest doc_id (NULL first) keeps the lines. Other columns keep their values, whatever their names;
+    an empty table gives no rows.
+    """
     others = [c for c in docs.columns if c != "text"]
     out = delete_repeats(docs, [F.struct(*others).alias("_doc")]) \
         .where((F.col("_n_removed") == 0) | (F.col("_n_removed") < F.col("_n_lines")))

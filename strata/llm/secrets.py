@@ -110,7 +110,8 @@ def scan_secrets(docs: DataFrame, owner: str = "source", wide: int = WIDE) -> Da
     ``start``/``end`` are code points, end exclusive. A span's class is ``example`` (at least
     ``wide`` owners), ``live`` (fewer, random-looking) or ``weak``. A NULL or empty text has no spans
     (its digest is that of the empty string); a NULL owner counts as one owner; repeated rows
-    give repeated results; other columns are not read.
+    give repeated results; texts of any length are scanned whole; an empty table gives no rows; other
+    columns, whatever their names, are not read.
     """
     owner_col = F.coalesce(F.col(owner).cast("string"), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long").alias("doc_id"),

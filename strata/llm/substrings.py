@@ -372,7 +372,8 @@ def remove_repeats(docs: DataFrame, many: int = MANY) -> DataFrame:
     A word goes if a window of SPAN words that covers it also starts in a document with a smaller
     doc_id. A NULL text has no words (its digest is that of the empty string); a row with a NULL
     doc_id is neither a source nor changed; rows of one doc_id are not compared with each other, so
-    repeated rows share their fate; an empty table gives no rows.
+    repeated rows share their fate; texts of any length are read whole; an empty table gives no rows;
+    other columns, whatever their names, are not read.
     """
     rows = numbered(docs, "substring-rows")
     runs = repeated_spans(rows, many)
