@@ -20,27 +20,37 @@ ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and lie in their language's perplexity band."""
+    """Documents that pass the base rules and lie in their language's perplexity band.
+
+    NULL and blank texts go; repeated rows stay or go together; a NULL language is a language of its own."""
     return keep_good(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without later copies of line runs; documents that lose all their lines go."""
+    """Texts without later copies of line runs; documents that lose all their lines go.
+
+    The copy of the smallest doc_id (NULL first, then table order) stays; NULL and blank texts stay as they are."""
     return without_repeats(docs)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the smallest doc_id) of each group of near-copies."""
+    """One document (the smallest doc_id) of each group of near-copies.
+
+    Of equal doc_ids the first row stays, a NULL one only without others; NULL and blank texts are in no group."""
     return keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, in training order."""
+    """Documents as often as the mix takes them, in training order.
+
+    A NULL source is a source of its own; blank and NULL texts are never taken; repeated rows are taken one by one."""
     return mixed_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences."""
+    """Pieces of token sequences.
+
+    A NULL or empty text is the end id alone; repeated rows and NULL doc_ids are packed like any other row."""
     return pack(docs)
 
 
