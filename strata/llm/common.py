@@ -7,6 +7,9 @@ import gc
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -68,6 +71,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+_notes: ContextVar[list[str] | None] = ContextVar("notes", default=None)
+
+
+@contextmanager
+def noting(paths: list[str]) -> Iterator[None]:
+    """Within it, and in this thread, ``stored`` adds the folders it writes to ``paths``."""
+    before = _notes.set(paths)
+    try:
+        yield
+    finally:
+        _notes.reset(before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the cluster's shared folder and read it back.
 
@@ -76,6 +92,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
+    if (paths := _notes.get()) is not None:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

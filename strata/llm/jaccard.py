@@ -371,12 +371,14 @@ def keep_one(docs: DataFrame) -> DataFrame:
     NULL or blank texts link with nothing and stay. Has the columns of ``docs``, whatever their names; an
     empty table gives no rows.
     """
-    texts = numbered(docs, "jaccard-texts", F.struct("*").alias("_doc"))
+    others = [c for c in docs.columns if c != "text"]  # the text is stored once
+    texts = numbered(docs, "jaccard-texts", F.struct(*[F.col(f"`{c}`") for c in others]).alias("_doc"))
     rows = stored(jaccard_components(texts), "jaccard-rows").where("_component is not null")
     order = F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row"))
     first = rows.groupBy("_component").agg(F.min(order).alias("_first"))
     gone = rows.join(first, "_component").where(F.col("_first._row") != F.col("_row")).select("_row")
-    return texts.join(gone, "_row", "left_anti").select("_doc.*")
+    return texts.join(gone, "_row", "left_anti").select(
+        *(F.col("_text").alias("text") if c == "text" else F.col("_doc")[c].alias(c) for c in docs.columns))
 
 
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

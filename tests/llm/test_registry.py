@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from strata.llm import jaccard, language, lines, mixing, packing, quality, secrets, sharding, substrings, vectors
 from strata.llm.queries import QUERIES
+from strata.operators.files import path_exists
 from tests.llm import brute
 
 
@@ -67,3 +70,22 @@ def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert out.count() > 0
+
+
+def test_a_stage_deletes_what_the_one_before_stored(spark, docs, tmp_path):
+    stages = [stage for _, stage in corpus_pipeline.STAGES]
+    there = lambda paths: [path_exists(spark, p) for p in paths]
+    one = stages[0](spark, docs, "")
+    first = corpus_pipeline._left.get()
+    one.write.parquet(str(tmp_path / "1"))
+    assert len(first) > 1 and all(there(first))
+    two = stages[1](spark, spark.read.parquet(str(tmp_path / "1")), "")
+    second = corpus_pipeline._left.get()
+    assert not any(there(first)) and second and all(there(second))
+    assert two.count() > 0
+    # documents that are still read from such a table keep it
+    kept = spark.read.parquet(second[0])
+    stages[3](spark, kept.select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"), F.lit("web").alias("source")), "")
+    assert there(second)[0] and not any(there(second)[1:])
+    other = stages[0](spark, docs, "")  # the first stage deletes nothing
+    assert all(there(corpus_pipeline._left.get())) and other.count() > 0
