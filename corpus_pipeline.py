@@ -2,23 +2,54 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
 again as the next stage's documents. All but the last return the columns of documents.
+
+What a stage stores on its way is needed until its rows are written. They are when the next stage is
+called, which deletes it (of the call before it in the same thread, and not what its own documents are
+read from). The first stage deletes nothing, so the last one's rows may be read at any time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from contextvars import ContextVar
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm.common import documents, stored
+from strata.llm.common import documents, noting, stored
 from strata.llm.jaccard import keep_one
 from strata.llm.lines import without_repeats
 from strata.llm.mixing import mixed_documents
 from strata.llm.packing import pack
 from strata.llm.quality import keep_good
+from strata.operators.files import delete_path
 
 #: Perplexity bands, suffix arrays, near-copy components and packing layouts have no plain SQL form.
 ORACLE_SQL = None
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_left: ContextVar[tuple[str, ...]] = ContextVar("left", default=())
+
+
+def tidy(stage: Stage) -> Stage:
+    """``stage``, which first deletes what the stage before it has stored."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if stage.__name__ != "quality_rules":
+            read = docs.inputFiles()
+            for path in _left.get():
+                if not any(path.split(":")[-1].rstrip("/") + "/" in f for f in read):
+                    delete_path(spark, path)
+        paths: list[str] = []
+        with noting(paths):
+            out = stage(spark, docs, sf_dir)
+        _left.set(tuple(paths))
+        return out
+    return run
+
+
+@tidy
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie in their language's perplexity band.
 
@@ -26,6 +57,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_good(docs)
 
 
+@tidy
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later copies of line runs; documents that lose all their lines go.
 
@@ -33,6 +65,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without_repeats(docs)
 
 
+@tidy
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document (the smallest doc_id) of each group of near-copies.
 
@@ -40,6 +73,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return keep_one(docs)
 
 
+@tidy
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in training order.
 
@@ -47,6 +81,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed_documents(docs)
 
 
+@tidy
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences.
 
