@@ -70,9 +70,10 @@ def position(share: Column, knots: tuple[tuple[float, float], ...]) -> Column:
 
 
 def plan_mix(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, weight, target, taken, position.
+    """One row per row of ``docs``: doc_id, source, size, source_size, weight, target, taken, position, copies, place.
 
-    ``taken`` words: whole passes over the source, then the first documents in a fixed hashed
+    The rows are folded from the training stream, whose copies are sorted by range of position: ``copies`` of the
+    row are in it, the first at ``place`` (from 0; NULL without copies). ``taken`` words: whole passes over the source, then the first documents in a fixed hashed
     order until the target (rounded to a word) is met; one document of a source may be taken in
     part. ``position`` (0 to 1) is the training time of the document's first taken word, NULL when
     nothing is taken. NULL or blank texts have size 0 and are never taken; a NULL source is a source
@@ -81,10 +82,51 @@ def plan_mix(docs: DataFrame) -> DataFrame:
     counted and hashed; columns other than doc_id, source and text, whatever their names, are not read;
     an empty table gives no rows.
     """
+    parts = ["doc_id", "source", "size", "source_size", "weight", "target"]
     nothing = F.lit(0).cast("long")
     plan = _each(_plan(_items(docs, nothing, nothing)))
-    return plan.withColumn("position", F.when(F.col("taken") > 0, _at(F.col("_start")))) \
-        .select("doc_id", "source", "size", "source_size", "weight", "target", "taken", "position")
+    copies = mix_stream(plan.where(F.col("taken") > 0), parts)
+    keys = ["_code", "_tie", "_one", "_two"]  # with doc_id, source and size: one of the rows
+    found = copies.groupBy(*parts, *keys).agg(
+        F.sum("_words").alias("taken"), F.min("_position").alias("position"),
+        F.count(F.lit(1)).alias("copies"), F.min("_place").alias("place"))
+    rest = plan.where(F.col("taken") == 0).select(
+        *parts, "taken", F.lit(None).cast("double").alias("position"), nothing.alias("copies"),
+        F.lit(None).cast("long").alias("place"))
+    return found.drop(*keys).unionByName(rest)
+
+
+def _copies(rows: DataFrame) -> DataFrame:
+    """A row for each pass in which a row of the plan is taken (``_pass`` from 0), with the ``_words`` that the
+    pass takes of it and its ``_position``: the time at which its source's demand reaches the copy."""
+    part = F.col("taken") - F.col("_passes") * F.col("size")
+    last = F.col("_passes") - F.when(part > 0, 0).otherwise(1)
+    return (rows.where(F.col("taken") > 0).withColumn("_pass", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+            .withColumn("_words", F.when(F.col("_pass") < F.col("_passes"), F.col("size")).otherwise(part))
+            .withColumn("_position", _at(F.col("_pass") * F.col("source_size") + F.col("_start"))))
+
+
+#: Order of the training stream; no two copies are equal in it.
+ORDER = ["_position", "doc_id", "_code", "_tie", "_one", "_two", "_pass"]
+
+
+def _sorted(copies: DataFrame) -> DataFrame:
+    """The copies by range of training position."""
+    return copies.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
+
+
+def mix_stream(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """The training stream of a plan's rows without texts: one row for each copy, sorted by range of position, with
+    ``_place``, its number in the stream (from 0), and ``_words``, of which the last pass may take fewer than all."""
+    copies = _copies(rows).select(*dict.fromkeys([*keep, *ORDER, "_words"]))
+    # numbers rise by one inside a range and tell it in their upper bits
+    copies = stored(_sorted(copies).withColumn("_at", F.monotonically_increasing_id()), "mix-stream")
+    copies = copies.withColumn("_range", F.shiftright("_at", 33))
+    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    ranges = copies.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")) \
+        .select("_range", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
+    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1).cast("long"))
+    return copies.join(F.broadcast(ranges), "_range").withColumn("_place", F.col("_ahead") + inside).drop("_range", "_ahead", "_at")
 
 
 def _items(docs: DataFrame, one: Column, two: Column) -> DataFrame:
@@ -160,15 +202,11 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         .groupBy("_one", "_two").agg(F.first("_doc").alias("_doc"))
     plan = plan.select("_one", "_two", "doc_id", "_code", "size", "_times", "_before", "_passes", "_rest",
                                          "source_size", "_quota", "weight")
-    copies = (_each(found.join(plan, ["_one", "_two"]))
-              .withColumn("_copies", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")).where("_copies > 0")
-              .withColumn("_pass", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
-              .withColumn("_position", _at(F.col("_pass") * F.col("source_size") + F.col("_start"))))
-    order = ["_position", "doc_id", "_code", "_tie", "_one", "_two", "_pass"]
-    return copies.select(*order, "_doc").repartitionByRange(*order).sortWithinPartitions(*order).select("_doc.*")
+    copies = _copies(_each(found.join(plan, ["_one", "_two"]))).where(2 * F.col("_words") >= F.col("size"))
+    return _sorted(copies.select(*ORDER, "_doc")).select("_doc.*")
 
 
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many words the mix takes of each document."""
+    """How many words the mix takes of each document, and where its copies begin in the training stream."""
     return plan_mix(documents(spark, sf_dir)).select(
-        "doc_id", "size", "source_size", "target", "taken", "position")
+        "doc_id", "size", "source_size", "target", "taken", "position", "copies", "place")

@@ -434,6 +434,27 @@ def test_the_stream_follows_the_plan(spark, docs):
     assert {r["a.map"]["k"] for r in stream if r.doc_id == 3} <= {"de", "other"}
 
 
+def test_the_plan_is_folded_from_the_stream(spark, tmp_path):
+    """Each document's words, copies and first place, counted again in the sorted stream of copies."""
+    draw = random.Random(21)
+    rows = [(k, prose(draw, draw.choice([3, 20, 70])), ["web", "code", "books", None][k % 4 if k % 5 else 0]) for k in range(90)]
+    table = spark.createDataFrame([*rows, *rows[:4], (99, None, "web")], "doc_id long, text string, source string").coalesce(1)
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    got = mixing.op10_mix(spark, str(tmp_path)).collect()
+    assert len(got) == 95
+    plan = mixing._each(mixing._plan(mixing._items(table, F.lit(0).cast("long"), F.lit(0).cast("long"))))
+    stream = sorted(mixing.mix_stream(plan, ["doc_id", "size"]).collect(), key=lambda r: r._place)
+    assert [r._place for r in stream] == list(range(len(stream)))
+    assert [r._position for r in stream] == sorted(r._position for r in stream)
+    assert sum(r.copies for r in got) == len(stream)
+    words = lambda rows, n: Counter({i: sum(n(r) for r in rows if r.doc_id == i) for i in range(100)})
+    assert words(got, lambda r: r.taken) == words(stream, lambda r: r._words)
+    for r in got:
+        assert (r.place is None) == (r.copies == 0) == (r.taken == 0) and r.copies == (-(-r.taken // r.size) if r.size else 0)
+        if r.copies:
+            assert (stream[r.place].doc_id, stream[r.place]._position) == (r.doc_id, r.position)
+
+
 def test_many_equal_rows_are_one_item(spark, monkeypatch):
     rows = [(None, "same words here", "web")] * 50 + [(k, f"text number {k}", "web") for k in range(30)] + [(9, "a b", "code")] * 7
     table = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
