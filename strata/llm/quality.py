@@ -2,16 +2,19 @@
 
 The language model is a modified Kneser-Ney model of the symbols inside words (UTF-8 bytes with a
 start and an end mark), one for each language. Spark counts the n-grams of the whole corpus and
-derives discounts, probabilities and back-off weights; the model is then stored in sorted arrays of
-hashes whose length is bounded by the number of hash slots, and goes to the tasks in that form. A
-document's score is its log perplexity a word; a document outside its language's band is rejected.
+derives discounts, probabilities and back-off weights; the model is then stored in arrays sorted by full
+64-bit keys, an entry for every gram and context, and goes to the tasks in that form. A large model goes
+there in pieces that each score the symbols after some previous symbols, so that neither the driver nor a
+task holds more than one. A document's score is its log perplexity a word; a document outside its
+language's band is rejected.
 """
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,14 +23,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructType
 
 from strata.llm.common import documents, map_arrow, stored
-from strata.llm.words import SPACE, Chunk, chunks, grams, mix, span_codes, whole, words
+from strata.llm.words import SPACE, Chunk, Words, chunks, grams, mix, span_codes, whole, words
 
-#: Symbols of the longest n-gram (at most 8, so that a gram is one long).
+#: Symbols of the longest n-gram (at most 4, so that a gram beside the number of a language is one long).
 ORDER = 4
-#: The stored model has at most 2**SLOT_BITS entries.
-SLOT_BITS = 22
-#: Words whose score a worker keeps.
-KNOWN = 600_000
+#: Entries of the model that the driver and a task hold at once (on average; a model has as many pieces as it needs).
+PIECE = 1 << 22
+#: Words, and symbols with what is before them, whose score a task keeps: 2**KNOWN_BITS of each.
+KNOWN_BITS = 18
+#: Bytes of text scored at once.
+SLICE = 1 << 19
 #: Band: from the median so many robust standard deviations down and up (distance to the first and third
 #: quartile / 0.6745) in documents of the same language and length class (a doubling of the words, up to
 #: 2**LONGEST). Names and numbers give clean texts a long upper tail; the lower one is short.
@@ -48,10 +53,19 @@ def _totals(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate([[0], np.cumsum(mask, dtype=np.int64)])[offsets])
 
 
-def text_counts(chunk: Chunk) -> dict[str, np.ndarray]:
-    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of each document of a chunk."""
+def _twice(codes: np.ndarray) -> np.ndarray:
+    """Which codes occur more than once."""
+    ordered = np.sort(codes)
+    again = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(again):
+        return np.zeros(len(codes), bool)
+    return again[np.minimum(np.searchsorted(again, codes), len(again) - 1)] == codes
+
+
+def text_counts(chunk: Chunk, w: Words | None = None) -> dict[str, np.ndarray]:
+    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of each document of a chunk (``w``: its words)."""
     data, offsets, docs = chunk.data, chunk.offsets, len(chunk.offsets) - 1
-    w = words(chunk)
+    w = w or words(chunk)
     out = {"n_words": np.diff(w.bounds), "n_symbols": _totals(_SYMBOL[data], offsets),
            "word_chars": _totals(~SPACE[data] & ((data & 0xC0) != 0x80), offsets)}
 
@@ -67,16 +81,9 @@ def text_counts(chunk: Chunk) -> dict[str, np.ndarray]:
     windows, ok = grams(w.codes, WINDOW), whole(w.bounds, WINDOW)
     at = np.flatnonzero(ok)
     covered = np.zeros(len(w.codes) + 1, np.int64)
-    if len(at):
-        key, where = windows[at], w.docs[at]
-        order = np.lexsort((key, where))
-        same = (key[order][1:] == key[order][:-1]) & (where[order][1:] == where[order][:-1])
-        twice = np.zeros(len(at), bool)
-        twice[order[1:][same]] = True
-        twice[order[:-1][same]] = True
-        hit = at[twice]
-        np.add.at(covered, hit, 1)
-        np.add.at(covered, hit + WINDOW, -1)
+    hit = at[_twice(mix(windows[at] ^ mix(w.docs[at].astype(np.uint64) + np.uint64(1))))]
+    np.add.at(covered, hit, 1)
+    np.add.at(covered, hit + WINDOW, -1)
     out["n_repeat_words"] = _totals(np.cumsum(covered)[:-1] > 0, w.bounds)
     return out
 
@@ -132,35 +139,51 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sum(lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.lexsort((gram, lang))
-    lang, gram, n = lang[order], gram[order], n[order]
     if not len(n):
         return lang, gram, n
-    first = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (lang[1:] != lang[:-1])]))
-    return lang[first], gram[first], np.add.reduceat(n, first)
+    key = gram | lang.astype(np.uint64) << np.uint64(8 * ORDER)
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    at = order[first]
+    return lang[at], gram[at], np.add.reduceat(n[order], first)
+
+
+def _key(lang_code: np.ndarray | np.uint64, level: int, gram: np.ndarray, kind: int) -> np.ndarray:
+    """Full 64-bit key of an entry: within a language no two entries share one."""
+    return mix(gram + np.uint64((level * 2 + kind + 1) * 0xD1B54A32D192ED03 & (2**64 - 1)) ^ lang_code)
 
 
-def _slot(lang_code: np.ndarray | np.uint64, level: int, gram: np.ndarray, kind: int) -> np.ndarray:
-    key = mix(gram + np.uint64((level * 2 + kind + 1) * 0xD1B54A32D192ED03 & (2**64 - 1)) ^ lang_code)
-    return key & np.uint64((1 << SLOT_BITS) - 1)
+def _home(lang_code: np.ndarray | np.uint64, before: np.ndarray) -> np.ndarray:
+    """Number (below 2**16) of a language's symbols that follow the symbol ``before``, by which a model is cut in pieces."""
+    return (mix(lang_code + mix(before + np.uint64(1))) >> np.uint64(48)).astype(np.int64)
 
 
 def lang_code(lang: str) -> np.uint64:
-    return mix(np.array([zlib.crc32(lang.encode()) + 1], np.uint64))[0]
+    return np.uint64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
 
 
 @dataclass
 class Model:
-    """Sorted hash slots with discounted probabilities (kind 0) and back-off weights (kind 1)."""
+    """Sorted keys with discounted probabilities (kind 0) and back-off weights (kind 1): those of one piece of a model
+    of ``pieces``, which has all that the symbols of its homes ask for."""
 
-    slots: np.ndarray
+    keys: np.ndarray
     values: np.ndarray
+    piece: int = 0
+    pieces: int = 1
 
-    def _get(self, slot: np.ndarray, missing: float) -> np.ndarray:
-        if not len(self.slots):
-            return np.full(len(slot), missing)
-        at = np.minimum(np.searchsorted(self.slots, slot), len(self.slots) - 1)
-        return np.where(self.slots[at] == slot, self.values[at], missing)
+    def _get(self, key: np.ndarray, missing: float) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(key), missing)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.values[at], missing)
+
+    def has(self, gram: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Whether the symbols packed in ``gram`` are scored by this piece."""
+        if self.pieces == 1:
+            return np.ones(len(gram), bool)
+        return _home(code, gram >> np.uint64(8) & np.uint64(255)) % self.pieces == self.piece
 
     def log_probs(self, gram: np.ndarray, code: np.ndarray) -> np.ndarray:
         """Natural log of each symbol's probability after the symbols packed before it."""
@@ -175,8 +198,8 @@ class Model:
                 mine = usable & (top == t)
                 if mine.any():
                     g, c = low[mine], code[mine]
-                    weight = self._get(_slot(c, t, g >> np.uint64(8), 1), 1.0)
-                    p[mine] = self._get(_slot(c, t, g, 0), 0.0) + weight * p[mine]
+                    weight = self._get(_key(c, t, g >> np.uint64(8), 1), 1.0)
+                    p[mine] = self._get(_key(c, t, g, 0), 0.0) + weight * p[mine]
         return np.log(np.maximum(p, 1e-12))
 
 
@@ -215,7 +238,8 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
         n[i - 1] > 0, i - (i + 1) * y * n[i] / n[i - 1]).otherwise(F.lit(0.5 * i))))
     discounts = levels.groupBy("lang", "level").agg(step(1).alias("_d1"), step(2).alias("_d2"), step(3).alias("_d3"))
     cut = F.when(F.col("c") == 1, F.col("_d1")).when(F.col("c") == 2, F.col("_d2")).otherwise(F.col("_d3"))
-    cut_rows = levels.join(discounts, ["lang", "level"]).withColumn("_cut", F.least(cut, F.col("c").cast("double"))) \
+    # one row per language and level: with them at hand, a language's grams need not meet in one task
+    cut_rows = levels.join(F.broadcast(discounts), ["lang", "level"]).withColumn("_cut", F.least(cut, F.col("c").cast("double"))) \
         .withColumn("_context", F.shiftrightunsigned("gram", 8))
     contexts = cut_rows.groupBy("lang", "level", "_context").agg(
         F.sum("c").alias("_all"), (F.sum("_cut") / F.sum("c")).alias("_weight"))
@@ -226,28 +250,63 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     return probs.unionByName(weights)
 
 
-def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, home, value); the entries of level 1, which all pieces need, have the home -1."""
     for batch in batches:
-        lang = np.array([lang_code(x) for x in batch.column("lang").to_pylist()], np.uint64)
+        codes = {x: lang_code(x) for x in set(batch.column("lang").to_pylist())}
+        lang = np.array([codes[x] for x in batch.column("lang").to_pylist()], np.uint64)
         level, kind = batch.column("level").to_numpy(), batch.column("kind").to_numpy()
         gram = batch.column("gram").to_numpy().astype(np.uint64)
-        slot = np.zeros(len(gram), np.uint64)
+        key = np.zeros(len(gram), np.uint64)
         for t in range(1, ORDER + 1):
             for k in (0, 1):
                 mine = (level == t) & (kind == k)
-                slot[mine] = _slot(lang[mine], t, gram[mine], k)
-        yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int64)), batch.column("value")],
-                                         names=["slot", "value"])
+                key[mine] = _key(lang[mine], t, gram[mine], k)
+        before = np.where(kind == 0, gram >> np.uint64(8), gram) & np.uint64(255)
+        home = np.where(level == 1, -1, _home(lang, before))
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(home.astype(np.int32)), batch.column("value")],
+                                         names=["key", "home", "value"])
+
+
+def entries(docs: DataFrame) -> DataFrame:
+    """The model of the corpus, stored: an entry (key, home, value) for each gram and context."""
+    return stored(map_arrow(kneser_ney(count_grams(docs)).withColumn("value", F.col("value").cast("float")), _entries,
+                            "key long, home int, value float", give_back=True), "quality-model")
+
+
+def load(model: DataFrame, piece: int = 0, pieces: int = 1) -> Model:
+    """A piece of the stored model as sorted arrays."""
+    mine = model.where((F.col("home") < 0) | (F.col("home") % pieces == piece)).select("key", "value").toArrow()
+    keys = mine.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return Model(keys[order], mine.column("value").to_numpy()[order], piece, pieces)
 
 
 def train(docs: DataFrame) -> Model:
-    """Count the corpus and bring the model, at most 2**SLOT_BITS entries, into sorted arrays. Grams
-    that meet in a slot share their mean."""
-    entries = map_arrow(kneser_ney(count_grams(docs)), _slots, "slot long, value double", give_back=True) \
-        .groupBy("slot").agg(F.avg("value").cast("float").alias("value")).toArrow()
-    slots = entries.column("slot").to_numpy().astype(np.uint64)
-    order = np.argsort(slots)
-    return Model(slots[order], entries.column("value").to_numpy()[order])
+    """Count the corpus and bring its whole model into sorted arrays."""
+    return load(entries(docs))
+
+
+class _Known:
+    """Values by 64-bit key, of which each place keeps the last."""
+
+    def __init__(self) -> None:
+        self.keys = np.arange(1, (1 << KNOWN_BITS) + 1, dtype=np.uint64)  # none is a key of its place
+        self.values = np.zeros(1 << KNOWN_BITS)
+
+    def get(self, keys: np.ndarray, find) -> np.ndarray:
+        """The values of ``keys``; ``find`` gives those of the rows it is called with."""
+        at = (keys & np.uint64((1 << KNOWN_BITS) - 1)).astype(np.int64)
+        out = self.values[at]
+        new = np.flatnonzero(self.keys[at] != keys)
+        if len(new):
+            _, first, each = np.unique(keys[new], return_index=True, return_inverse=True)
+            rows = new[first]
+            found = find(rows)
+            out[new] = found[each]
+            place, pick = np.unique(at[rows], return_index=True)
+            self.keys[place], self.values[place] = keys[rows[pick]], found[pick]
+        return out
 
 
 class _Scores:
@@ -255,47 +314,46 @@ class _Scores:
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.keys, self.values = np.empty(0, np.uint64), np.empty(0)
+        self.words, self.symbols = _Known(), _Known()
 
-    def of(self, chunk: Chunk, codes: np.ndarray) -> np.ndarray:
+    def of(self, chunk: Chunk, w: Words, codes: np.ndarray) -> np.ndarray:
         """Sum of log probabilities of each document; ``codes``: its language."""
-        w = words(chunk)
-        docs = len(chunk.offsets) - 1
-        if not len(w.codes):
-            return np.zeros(docs)
-        code = codes[w.docs]
-        keys, first, each = np.unique(mix(w.codes ^ code), return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > KNOWN:
-            self.keys, self.values = np.empty(0, np.uint64), np.empty(0)
-        at = np.searchsorted(self.keys, keys)
-        new = np.ones(len(keys), bool)
-        old = at < len(self.keys)
-        new[old] = self.keys[at[old]] != keys[old]
-        if new.any():
-            where = first[new]
-            gram, word = _symbols(chunk.data, w.starts[where], w.ends[where])
-            logs = np.bincount(word, self.model.log_probs(gram, code[where][word]), minlength=len(where))
-            all_keys = np.concatenate([self.keys, keys[new]])
-            order = np.argsort(all_keys, kind="stable")
-            self.keys, self.values = all_keys[order], np.concatenate([self.values, logs])[order]
-            at = np.searchsorted(self.keys, keys)
-        return np.diff(np.concatenate([[0], np.cumsum(self.values[at][each])])[w.bounds])
+        docs = w.docs
+        code = codes[docs]
+
+        def find(rows: np.ndarray) -> np.ndarray:
+            gram, word = _symbols(chunk.data, w.starts[rows], w.ends[rows])
+            lang = code[rows][word]
+            mine = self.model.has(gram, lang)
+            gram, word, lang = gram[mine], word[mine], lang[mine]
+            logs = self.symbols.get(mix(gram ^ lang), lambda r: self.model.log_probs(gram[r], lang[r]))
+            return np.bincount(word, logs, minlength=len(rows))
+
+        return np.bincount(docs, self.words.get(mix(w.codes ^ code), find), minlength=len(codes))
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _score(model: Model):
+def _codes(langs: pa.Array) -> np.ndarray:
+    known: dict[str, np.uint64] = {}
+    return np.array([known.get(x) or known.setdefault(x, lang_code(x)) for x in (x or "und" for x in langs.to_pylist())], np.uint64)
+
+
+def _score(model: Model, count: bool = True):
+    """The columns of a batch but _lang and _text, the counts (if ``count``) and _log, the sum of the log probabilities
+    of the symbols that the model's piece scores."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = _Scores(model)
         for batch in batches:
-            codes = np.array([lang_code(x or "und") for x in batch.column("_lang").to_pylist()], np.uint64)
-            found: dict[str, list[np.ndarray]] = {k: [] for k in (*COUNTS, "log_perplexity")}
-            for chunk in chunks(batch.column("_text")):
-                for k, v in text_counts(chunk).items():
-                    found[k].append(v)
-                logs = scores.of(chunk, codes[chunk.first:chunk.last])
-                found["log_perplexity"].append(-logs / np.maximum(found["n_words"][-1], 1))
+            codes = _codes(batch.column("_lang"))
+            found: dict[str, list[np.ndarray]] = {k: [] for k in (*COUNTS * count, "log")}
+            for chunk in chunks(batch.column("_text"), SLICE):
+                w = words(chunk)
+                if count:
+                    for k, v in text_counts(chunk, w).items():
+                        found[k].append(v)
+                found["log"].append(scores.of(chunk, w, codes[chunk.first:chunk.last]))
             arrays = [np.concatenate(found[k]) if found[k] else np.empty(0) for k in found]
             yield pa.RecordBatch.from_arrays(
                 [c for n, c in zip(batch.schema.names, batch.columns) if n not in ("_lang", "_text")]
@@ -304,6 +362,32 @@ def _score(model: Model):
     return run
 
 
+def _scored(docs: DataFrame, keep: list[str | Column]) -> DataFrame:
+    """The ``keep`` columns with _language, the counts and _log_perplexity. Each piece of the model reads the texts
+    once; equal texts of a language have equal scores, so the pieces' sums meet by hashes of both."""
+    model = entries(docs)
+    pieces = max(1, -(-model.count() // PIECE))
+    language = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
+    texts = [F.col("lang").cast("string").alias("_lang"), F.col("text").alias("_text")]
+    same = [F.xxhash64(language, "text").alias("_one"), F.xxhash64(F.lit(5), language, "text").alias("_two")] * (pieces > 1)
+    rows = docs.select(*keep, language.alias("_language"), *same, *texts)
+    schema = StructType([f for f in rows.schema if f.name not in ("_lang", "_text")])
+    for k in COUNTS:
+        schema = schema.add(f"_{k}", LongType())
+    out = map_arrow(rows, _score(load(model, 0, pieces)), schema.add("_log", DoubleType()), give_back=True)
+    if pieces > 1:
+        more = []
+        for piece in range(1, pieces):  # stored one by one: the driver holds one piece
+            sums = map_arrow(docs.select(*same, *texts), _score(load(model, piece, pieces), False),
+                             "_one long, _two long, _log double", give_back=True)
+            more.append(stored(sums.groupBy("_one", "_two").agg(F.struct(F.lit(piece), F.min("_log").alias("log")).alias("_more")),
+                               "quality-piece"))
+        sums = reduce(DataFrame.unionByName, more).groupBy("_one", "_two").agg(F.array_sort(F.collect_list("_more")).alias("_more"))
+        out = out.join(sums, ["_one", "_two"]).withColumn("_log", F.aggregate(
+            "_more", F.col("_log"), lambda log, x: log + x["log"])).drop("_one", "_two", "_more")
+    return out.withColumn("_log_perplexity", -F.col("_log") / F.greatest(F.col("_n_words"), F.lit(1))).drop("_log")
+
+
 def judge_documents(docs: DataFrame, keep: list[str | Column], name: str = "quality") -> DataFrame:
     """The ``keep`` columns of every row of ``docs`` with _n_words, _word_chars, _n_symbols,
     _n_dup_lines, _n_repeat_words, _log_perplexity, _base_failed and _kept.
@@ -313,22 +397,15 @@ def judge_documents(docs: DataFrame, keep: list[str | Column], name: str = "qual
     the base rules. Repeated rows are judged alike; texts of any length are read whole; columns other
     than lang and text are read only if they are kept, and may have any names; an empty table gives no rows.
     """
-    model = train(docs)
-    rows = docs.select(*keep, F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("_language"),
-                       F.col("lang").cast("string").alias("_lang"), F.col("text").alias("_text"))
-    schema = StructType([f for f in rows.schema if f.name not in ("_lang", "_text")])
-    for k in COUNTS:
-        schema = schema.add(f"_{k}", LongType())
-    schema = schema.add("_log_perplexity", DoubleType())
     failed = (F.col("_n_words") < LEAST_WORDS) | \
         (100 * F.col("_n_repeat_words") > MOST_REPEATED * F.col("_n_words"))
-    scored = stored(map_arrow(rows, _score(model), schema, give_back=True).withColumn("_base_failed", failed), name)
+    scored = stored(_scored(docs, keep).withColumn("_base_failed", failed), name)
     quartiles = lambda x: F.percentile_approx(x, F.array(*map(F.lit, (0.25, 0.5, 0.75))), F.lit(1000))
     length = F.least(F.lit(LONGEST), F.floor(F.log2(F.greatest(F.col("_n_words"), F.lit(1)))))
     passed = scored.where(~F.col("_base_failed")).withColumn("_length", length)
     middle = passed.groupBy("_language").agg(quartiles(F.col("_log_perplexity"))[1].alias("_middle"))
     root = F.sqrt(F.greatest(F.col("_n_words"), F.lit(1)))
-    whole_language = passed.join(middle, "_language") \
+    whole_language = passed.join(F.broadcast(middle), "_language") \
         .groupBy("_language").agg(F.first("_middle").alias("_middle"),
                                   quartiles((F.col("_log_perplexity") - F.col("_middle")) * root).alias("_w"))
     classes = passed.groupBy("_language", "_length").agg(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -142,3 +143,44 @@ def by_id(rows, key="doc_id"):
     for r in rows:
         out[r[key]].append(r)
     return out
+
+
+class KneserNey:
+    """Modified Kneser-Ney model of up to four symbols inside words, by dictionaries."""
+
+    def __init__(self, words) -> None:
+        self.counts = [Counter() for _ in range(5)]
+        for word in words:
+            self.counts[4].update(self.grams(word))
+        for k in (1, 2, 3):
+            self.counts[k].update(g[1:] for g in {g[-k - 1:] for g in self.counts[4] if len(g) > k})
+        self.cuts, self.all, self.cut_all = [], [], []
+        for counts in self.counts:
+            n = Counter(counts.values())
+            y = n[1] / (n[1] + 2 * n[2]) if n[1] + 2 * n[2] else 0.5
+            cut = [max(0.0, min(i, i - (i + 1) * y * n[i + 1] / n[i] if n[i] else 0.5 * i)) for i in (1, 2, 3)]
+            self.cuts.append(cut)
+            all_, cut_all = Counter(), Counter()
+            for g, c in counts.items():
+                all_[g[:-1]] += c
+                cut_all[g[:-1]] += min(cut[min(c, 3) - 1], c)
+            self.all.append(all_)
+            self.cut_all.append(cut_all)
+
+    @staticmethod
+    def grams(word: str) -> list[tuple]:
+        symbols = (2, *word.encode(), 3)
+        return [symbols[max(0, i - 3):i + 1] for i in range(1, len(symbols))]
+
+    def step(self, level: int, g: tuple, lower: float) -> float:
+        c, context = self.counts[level][g], g[:-1]
+        return (c - min(self.cuts[level][min(c, 3) - 1], c) + self.cut_all[level][context] * lower) / self.all[level][context]
+
+    def log(self, word: str) -> float:
+        out = 0.0
+        for g in self.grams(word):
+            p = 1 / 256
+            for k in range(1, len(g)):
+                p = self.step(k, g[-k:], p)
+            out += math.log(self.step(4, g, p))
+        return out

@@ -258,6 +258,40 @@ def test_kneser_ney_probabilities(spark):
         assert abs(total - 1) < 1e-3
 
 
+def _random_words():
+    draw = random.Random(30)
+    word = lambda: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(draw.choice([3, 6, 7])))
+    return [(k, " ".join(word() for _ in range(20)), ("en", None)[k % 2]) for k in range(2000)]
+
+
+def test_scores_are_those_of_a_plain_model(spark):
+    """With some 250,000 entries, no gram reads the value of another."""
+    rows = _random_words()
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = {r.doc_id: r._log_perplexity for r in quality.judge_documents(table, ["doc_id"]).collect()}
+    for lang in ("en", None):
+        model = brute.KneserNey(w for _, t, x in rows if x == lang for w in t.split())
+        for k, t, x in rows:
+            if x == lang:
+                assert got[k] == pytest.approx(-sum(map(model.log, t.split())) / 20, rel=1e-6)
+
+
+def test_a_model_in_pieces_scores_alike(spark, docs, monkeypatch):
+    table = docs.select("doc_id", "text", "lang").unionByName(
+        spark.createDataFrame(_random_words()[:300], "doc_id long, text string, lang string"))
+    judged = lambda: sorted(quality.judge_documents(table, ["doc_id"]).collect(), key=lambda r: (r.doc_id is None, r.doc_id, r._n_words))
+    whole = judged()
+    monkeypatch.setattr(quality, "PIECE", 10_000)
+    assert quality.entries(table).count() > 30_000
+    held = []
+    load = quality.load
+    monkeypatch.setattr(quality, "load", lambda *a: held.append(load(*a)) or held[-1])
+    for one, two in zip(whole, judged(), strict=True):
+        assert two._log_perplexity == pytest.approx(one._log_perplexity, rel=1e-9, abs=1e-12)
+        assert all(one[k] == two[k] for k in ("doc_id", "_kept", "_base_failed", *(f"_{k}" for k in quality.COUNTS)))
+    assert len(held) > 3 and max(len(m.keys) for m in held) < 20_000
+
+
 def test_quality_keeps_good_documents(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
