@@ -6,7 +6,7 @@ symmetric difference k of a similar pair. The feature domain is parted twice by
 parts, each of two second-level parts, of which the subsets of size one are enumerated): k differences
 leave some enumerated part untouched, so similar sets share that part's signature, the hash of the
 features in it. Sets with one shared signature are compared: first by bitmaps of feature parity, whose
-difference never exceeds that of the sets, then exactly.
+difference never exceeds that of the sets and which grow with them, then exactly, from their texts.
 """
 
 from __future__ import annotations
@@ -26,8 +26,10 @@ from strata.llm.words import Chunk, chunks, grams, mix, words
 SHINGLE, PERCENT = 5, 80
 #: Bits of the map of candidate sets that goes to the tasks.
 MAP_BITS = 26
-#: 64-bit words of a parity bitmap, and of its folded form that is compared first.
+#: Least 64-bit words of a parity bitmap, and words of its folded form that is compared first.
 SKETCH, FOLDED = 16, 8
+#: Pairs with the same first set that one group of compared texts holds, about.
+PIECE = 2048
 #: Rows of one signature that a task holds before it passes them on.
 HELD = 200_000
 _SUBSETS = 2  # second-level parts; subsets of one part each are enumerated
@@ -187,13 +189,26 @@ def _meeting(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Record
     yield from close(sig, code, opened)
 
 
-def parity_sketches(shingles: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A bitmap for each set: whether an odd number of its features falls on each bit."""
-    docs, bits = len(ends) - 1, 64 * SKETCH
-    at = np.repeat(np.arange(docs), np.diff(ends)) * bits + (mix(shingles ^ np.uint64(0xBB67AE8584CAA73B))
-                                                             & np.uint64(bits - 1)).astype(np.int64)
-    odd = (np.bincount(at, minlength=docs * bits) & 1).astype(np.uint8).reshape(docs, bits)
-    return np.packbits(odd, axis=1, bitorder="little").view(np.int64).reshape(docs, SKETCH)
+def parity_sketches(shingles: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A bitmap for each set, of a bit a feature or more (a power of two): whether an odd number of its
+    features falls on each bit. Returns their 64-bit words, and where each set's begin (one more entry).
+
+    A bitmap of fixed size would be full for large sets, and keep no pair of them from the exact comparison.
+    """
+    size = np.diff(ends)
+    bits = np.maximum(np.left_shift(1, np.frexp(np.maximum(size - 1, 0))[1].astype(np.int64)), 64 * SKETCH)
+    first = np.concatenate([[0], np.cumsum(bits)])
+    doc = np.repeat(np.arange(len(size)), size)
+    at = first[doc] + (mix(shingles ^ np.uint64(0xBB67AE8584CAA73B)) & (bits[doc] - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(at, minlength=int(first[-1])) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64), first // 64
+
+
+def folded_sketches(sketch: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Bitmaps folded to ``FOLDED`` words: parities of parities, so the bound still holds."""
+    if len(first) == 1:
+        return np.empty((0, FOLDED), np.int64)
+    return np.bitwise_xor.reduceat(sketch.reshape(-1, FOLDED), first[:-1] // FOLDED, axis=0)
 
 
 class _First:
@@ -215,7 +230,7 @@ class _First:
 
 
 def _sketch(n: int, wanted: np.ndarray):
-    """Per row: number of shingles, the set's code, and the bitmap where the map has the code."""
+    """Per row: number of shingles, the set's code, and the bitmaps where the map has the code."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = _First(wanted)
         for batch in batches:
@@ -224,29 +239,49 @@ def _sketch(n: int, wanted: np.ndarray):
                 code = set_codes(shingles, ends)
                 keep = first(code)
                 size = np.diff(ends)
-                sketch = parity_sketches(shingles[np.repeat(keep, size)], np.concatenate([[0], np.cumsum(size[keep])]))
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(keep)]) * SKETCH, pa.int32()),
-                                                 pa.array(sketch.ravel()))
+                sketch, at = parity_sketches(shingles[np.repeat(keep, size)], np.concatenate([[0], np.cumsum(size[keep])]))
+                words = np.zeros(len(size), np.int64)
+                words[keep] = np.diff(at)
+                folded = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(keep)]) * FOLDED, pa.int32()),
+                                                  pa.array(folded_sketches(sketch, at).ravel()))
+                full = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(words)]), pa.int32()), pa.array(sketch))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("_row").slice(chunk.first, chunk.last - chunk.first),
                      batch.column("_id").slice(chunk.first, chunk.last - chunk.first), pa.array(size),
-                     pa.array(code.view(np.int64)), lists], names=["_row", "_id", "n_shingles", "code", "sketch"])
+                     pa.array(code.view(np.int64)), folded, full],
+                    names=["_row", "_id", "n_shingles", "code", "folded", "sketch"])
     return run
 
 
-def _members(n: int, wanted: np.ndarray):
-    """(code, shingles) of the sets whose code the map has."""
+def _wanted(wanted: np.ndarray):
+    """The rows whose key the map has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = _First(wanted)
         for batch in batches:
+            slot = batch.column("code").to_numpy() & ((1 << MAP_BITS) - 1)
+            keep = (wanted[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
+            yield batch.select(["_row", "_text"]).filter(pa.array(keep))
+    return run
+
+
+def _similar(n: int, percent: int):
+    """Rows come grouped, in each group first the text of set ``a``, then those of the sets to compare it with:
+    passes on the pairs of codes whose sets are similar, by all their shingles."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = np.empty(0, np.uint64)
+        for batch in batches:
+            centre = batch.column("_centre").to_numpy(zero_copy_only=False)
+            good = np.zeros(len(centre), bool)
             for chunk in chunks(batch.column("_text")):
                 shingles, ends = shingle_sets(chunk, n)
-                code = set_codes(shingles, ends)
-                keep = first(code)
-                size = np.diff(ends)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size[keep])]), pa.int32()),
-                                                 pa.array(shingles[np.repeat(keep, size)].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(code[keep].view(np.int64)), lists], names=["code", "shingles"])
+                for d in range(chunk.last - chunk.first):
+                    two = shingles[ends[d]:ends[d + 1]]
+                    if centre[chunk.first + d]:
+                        one = two.copy()
+                        continue
+                    at = np.minimum(np.searchsorted(one, two), len(one) - 1)
+                    both = int(np.count_nonzero(one[at] == two))
+                    good[chunk.first + d] = 100 * both >= percent * (len(one) + len(two) - both)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
     return run
 
 
@@ -261,41 +296,64 @@ def _candidate_map(codes: DataFrame) -> np.ndarray:
     return out
 
 
-def _may_link(x: str, y: str, percent: int, size: int) -> Column:
-    """Whether sizes (n) and bitmaps (m0, m1, ...) with the prefixes ``x`` and ``y`` leave room for a link."""
+def _may_link(x: str, y: str, percent: int, odd: Column) -> Column:
+    """Whether sizes (n) with the prefixes ``x`` and ``y`` and ``odd`` differing bits leave room for a link."""
     total = F.col(f"{x}n") + F.col(f"{y}n")
-    odd = [F.bit_count(F.col(f"{x}m{i}").bitwiseXOR(F.col(f"{y}m{i}"))) for i in range(size)]
     return (100 * F.col(f"{x}n") >= percent * F.col(f"{y}n")) & (100 * F.col(f"{y}n") >= percent * F.col(f"{x}n")) \
-        & ((100 + percent) * sum(odd[1:], odd[0]) <= (100 - percent) * total)
+        & F.coalesce((100 + percent) * odd <= (100 - percent) * total, F.lit(True))
 
 
-def _prefixed(sketches: DataFrame, prefix: str, key: str, size: int) -> DataFrame:
-    """Bitmaps folded to ``size`` words: parities of parities, so the bound still holds."""
-    def word(i: int) -> Column:
-        out = F.col("sketch")[i]
-        for j in range(i + size, SKETCH, size):
-            out = out.bitwiseXOR(F.col("sketch")[j])
-        return out
+def _odd_folded(x: str, y: str) -> Column:
+    """Differing bits of the folded bitmaps (m0, m1, ...)."""
+    odd = [F.bit_count(F.col(f"{x}m{i}").bitwiseXOR(F.col(f"{y}m{i}"))) for i in range(FOLDED)]
+    return sum(odd[1:], odd[0])
+
+
+def _odd(x: Column, y: Column) -> Column:
+    """Differing bits of two bitmaps; one of twice the other's size is folded (NULL if it is still longer)."""
+    def halved(c: Column) -> Column:
+        half = F.shiftright(F.size(c), 1)
+        return F.zip_with(F.slice(c, F.lit(1), half), F.slice(c, half + 1, half), lambda p, q: p.bitwiseXOR(q))
 
+    x, y = (F.when(F.size(c) > F.size(d), halved(c)).otherwise(c) for c, d in ((x, y), (y, x)))
+    return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+
+
+def _folded(sketches: DataFrame, prefix: str, key: str) -> DataFrame:
     return sketches.select(F.col("code").alias(key), F.col("n_shingles").alias(f"{prefix}n"),
-                           *(word(i).alias(f"{prefix}m{i}") for i in range(size)))
+                           *(F.col("folded")[i].alias(f"{prefix}m{i}") for i in range(FOLDED)))
+
+
+def _near_folded(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    return pairs.join(_folded(sketches, "_y", "b"), "b").join(_folded(sketches, "_x", "a"), "a") \
+        .where(_may_link("_x", "_y", percent, _odd_folded("_x", "_y"))).select("a", "b")
+
 
+def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) that their whole bitmaps leave, and a row of each (_xrow, _yrow)."""
+    def side(prefix: str, key: str) -> DataFrame:
+        return sketches.select(F.col("code").alias(key), F.col("n_shingles").alias(f"{prefix}n"),
+                               F.col("sketch").alias(f"{prefix}m"), F.col("row").alias(f"{prefix}row"))
 
-def _near(pairs: DataFrame, sketches: DataFrame, percent: int, size: int) -> DataFrame:
-    return pairs.join(_prefixed(sketches, "_y", "b", size), "b").join(_prefixed(sketches, "_x", "a", size), "a") \
-        .where(_may_link("_x", "_y", percent, size)).select("a", "b")
+    return pairs.join(side("_y", "b"), "b").join(side("_x", "a"), "a") \
+        .where(_may_link("_x", "_y", percent, _odd(F.col("_xm"), F.col("_ym")))).select("a", "b", "_xrow", "_yrow")
 
 
 def _linked(pairs: DataFrame, rows: DataFrame, n: int, percent: int, name: str) -> DataFrame:
-    """Those of the pairs (a, b) whose sets are similar, by all their shingles."""
-    codes = pairs.select(F.col("a").alias("code")).unionByName(pairs.select(F.col("b").alias("code")))
-    sets = stored(map_arrow(rows.select("_text"), _members(n, _candidate_map(codes)), "code long, shingles array<long>", give_back=True)
-                  .dropDuplicates(["code"]), f"{name}-sets")
-    one = sets.select(F.col("code").alias("a"), F.col("shingles").alias("_x"))
-    two = sets.select(F.col("code").alias("b"), F.col("shingles").alias("_y"))
-    both = F.size(F.array_intersect("_x", "_y"))
-    return stored(pairs.join(two, "b").join(one, "a").withColumn("_both", both).where(
-        100 * F.col("_both") >= percent * (F.size("_x") + F.size("_y") - F.col("_both"))).select("a", "b"), name)
+    """Those of the pairs (a, b, and a row of each) whose sets are similar, by all their shingles.
+
+    The texts move, which are smaller than their shingles: those of the pairs' rows to the pairs, then those of
+    each set ``a`` with its partners, in several groups if they are many."""
+    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PIECE).alias("_many"))
+    pairs = pairs.join(many, "a").withColumn("_piece", F.pmod(F.xxhash64("b"), F.col("_many")))
+    asked = pairs.select("a", "_piece", F.col("a").alias("b"), F.col("_xrow").alias("_row"), F.lit(True).alias("_centre")) \
+        .distinct().unionByName(pairs.select("a", "_piece", "b", F.col("_yrow").alias("_row"), F.lit(False).alias("_centre")))
+    key = F.xxhash64("_row").alias("code")
+    texts = map_arrow(rows.select("_row", key, "_text"), _wanted(_candidate_map(asked.select(key))), "_row long, _text string",
+                      give_back=True)
+    groups = texts.join(asked, "_row").repartition("a", "_piece").sortWithinPartitions("a", "_piece", F.desc("_centre"))
+    return stored(map_arrow(groups.select("a", "b", "_centre", "_text"), _similar(n, percent), "a long, b long",
+                            give_back=True), name)
 
 
 def jaccard_components(rows: DataFrame, n: int = SHINGLE, percent: int = PERCENT, held: int = HELD) -> DataFrame:
@@ -313,9 +371,10 @@ def jaccard_components(rows: DataFrame, n: int = SHINGLE, percent: int = PERCENT
     met = stored(map_arrow(signed.repartition("sig").sortWithinPartitions("sig", "code"), _meet(held),
                            "group long, code long", give_back=True).distinct(), "jaccard-groups")
     table = stored(map_arrow(rows, _sketch(n, _candidate_map(met)), "_row long, _id long, n_shingles long, code long, "
-                                                                    "sketch array<long>", give_back=True), "jaccard-table")
-    sketches = stored(table.where(F.size("sketch") > 0).select("code", "n_shingles", "sketch").dropDuplicates(["code"]),
-                      "jaccard-sketches")
+                                                                    "folded array<long>, sketch array<long>", give_back=True),
+                   "jaccard-table")
+    sketches = stored(table.where(F.size("sketch") > 0).groupBy("code").agg(
+        F.min("_row").alias("row"), *(F.first(c).alias(c) for c in ("n_shingles", "folded", "sketch"))), "jaccard-sketches")
     # a group's centre is the node that most groups hold: of a text and its edited copies, the text
     held_by = met.groupBy("code").agg(F.count(F.lit(1)).alias("_n"))
     met = met.join(held_by, "code")
@@ -323,7 +382,7 @@ def jaccard_components(rows: DataFrame, n: int = SHINGLE, percent: int = PERCENT
         .select("group", F.col("_top.code").alias("centre"))
     met = stored(met.drop("_n").join(centres, "group"), "jaccard-centres")
     stars = met.where("centre != code").select(F.col("centre").alias("a"), F.col("code").alias("b")).distinct()
-    near = stored(_near(_near(stars, sketches, percent, FOLDED), sketches, percent, SKETCH), "jaccard-near")
+    near = stored(_near(_near_folded(stars, sketches, percent), sketches, percent), "jaccard-near")
     links = _linked(near, rows, n, percent, "jaccard-links")
     found = components(links, "jaccard-components")
 
@@ -336,16 +395,16 @@ def jaccard_components(rows: DataFrame, n: int = SHINGLE, percent: int = PERCENT
         .where("_x != _y").select("group")
     nodes = nodes.where("code != centre").join(several, "group")
     left = nodes.select("group", F.col("code").alias("a"), F.col("component").alias("_ca")) \
-        .join(_prefixed(sketches, "_x", "a", FOLDED), "a")
+        .join(_folded(sketches, "_x", "a"), "a")
     right = nodes.select("group", F.col("code").alias("b"), F.col("component").alias("_cb")) \
-        .join(_prefixed(sketches, "_y", "b", FOLDED), "b")
+        .join(_folded(sketches, "_y", "b"), "b")
     cross = left.join(right, (left["group"] == right["group"]) & (F.col("_ca") < F.col("_cb"))
-                      & _may_link("_x", "_y", percent, FOLDED)).select("a", "b").distinct()
-    cross = stored(_near(cross, sketches, percent, SKETCH), "jaccard-cross")
+                      & _may_link("_x", "_y", percent, _odd_folded("_x", "_y"))).select("a", "b").distinct()
+    cross = stored(_near(cross, sketches, percent), "jaccard-cross")
     if not cross.isEmpty():
         more = _linked(cross, rows, n, percent, "jaccard-more")
         found = components(links.unionByName(more), "jaccard-components")
-    return table.drop("sketch").join(found.select(F.col("node").alias("code"), F.col("component").alias("_component")),
+    return table.drop("folded", "sketch").join(found.select(F.col("node").alias("code"), F.col("component").alias("_component")),
                                      "code", "left") \
         .withColumn("_component", F.when(F.col("n_shingles") > 0, F.coalesce("_component", "code"))).drop("code")
 

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import (jaccard, language, lines, mixing, packing, quality, secrets, sharding, substrings, vectors)
-from strata.llm.common import stored
+from strata.llm.common import noting, stored
 from tests.llm import brute
 from tests.llm.conftest import prose
 
@@ -237,6 +237,60 @@ def test_jaccard_of_large_groups(spark, tmp_path):
     assert got == dict(enumerate(brute.groups(len(rows), lambda a, b: brute.similar(sets[a], sets[b]))))
 
 
+def test_jaccard_of_large_texts(spark, tmp_path):
+    """Large texts that share a passage, not enough to link, are told apart by their bitmaps; only near copies
+    of one are compared by their texts, in pieces."""
+    draw = random.Random(17)
+    words = [f"w{k}" for k in range(5000)]
+    passage = draw.choices(words, k=900)
+    rows = [(k, " ".join(passage + draw.choices(words, k=2100 + 10 * k))) for k in range(8)]
+    edited = rows[0][1].split()
+    for j in range(5):
+        edited[400 * j + 50] = f"edit{j}"
+        rows.append((10 + j, " ".join(edited)))
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "d"))
+    table = spark.read.parquet(str(tmp_path / "d"))
+    paths = []
+    with noting(paths):
+        got = {r.doc_id: r.component_id for r in jaccard.link_documents(table).collect()}
+    assert got == {k: k if k < 8 else 0 for k, _ in rows}
+    nodes = {r.code for p in paths if "/jaccard-table-" in p for r in spark.read.parquet(p).where("size(sketch) > 0").collect()}
+    compared = [r for p in paths if "/jaccard-near-" in p or "/jaccard-cross-" in p for r in spark.read.parquet(p).collect()]
+    near = {c for r in compared for c in (r.a, r.b)}
+    assert len(nodes) > 6 and len(near) == 6  # others share signatures, too
+
+
+def test_similar_sets_pass_the_bitmaps(spark):
+    """No two sets of at least 80 % similarity are told apart, whatever the sizes of their bitmaps."""
+    draw = np.random.default_rng(2)
+    rows = []
+    for size in (1, 5, 900, 1020, 1024, 1100, 4000, 8200):
+        for _ in range(6):
+            a = draw.integers(0, 1 << 62, size).astype(np.uint64)
+            drop = int(draw.integers(0, size // 5 + 1))
+            extra = int(draw.integers(0, max(0, 5 * (size - drop) // 4 - size) + 1))
+            b = np.concatenate([a[drop:], draw.integers(0, 1 << 62, extra).astype(np.uint64)])
+            both, union = size - drop, size + extra
+            other = draw.integers(0, 1 << 62, len(b)).astype(np.uint64)
+            (x, fx), (y, fy), (z, fz) = ((w.tolist(), jaccard.folded_sketches(w, at)[0].tolist()) for w, at in (
+                jaccard.parity_sketches(s, np.array([0, len(s)])) for s in (a, b, other)))
+            rows.append((100 * both >= 80 * union, size >= 900, len(a), len(b), x, y, z, fx, fy))
+    df = spark.createDataFrame(rows, "similar boolean, large boolean, _xn long, _yn long, x array<long>, y array<long>, "
+                                     "z array<long>, fx array<long>, fy array<long>")
+    df = df.select("*", *(F.col(f"f{s}")[i].alias(f"_{s}m{i}") for s in "xy" for i in range(jaccard.FOLDED)))
+    got = df.select("similar", "large", *(jaccard._may_link("_x", "_y", 80, odd).alias(name) for name, odd in (
+        ("whole", jaccard._odd(F.col("x"), F.col("y"))), ("turned", jaccard._odd(F.col("y"), F.col("x"))),
+        ("folded", jaccard._odd_folded("_x", "_y")), ("unlike", jaccard._odd(F.col("x"), F.col("z")))))).collect()
+    assert sum(r.similar for r in got) > 30 and all(r.whole and r.turned and r.folded for r in got if r.similar)
+    assert not any(r.unlike for r in got if r.large)
+
+
+def test_compared_texts_in_pieces(spark, tmp_path, monkeypatch):
+    """A set with many partners is compared in several groups."""
+    monkeypatch.setattr(jaccard, "PIECE", 3)
+    test_jaccard_of_large_groups(spark, tmp_path)
+
+
 def test_quality(docs, rows):
     got = quality.judge_documents(docs, ["doc_id"]).collect()
     want = Counter((i, *brute.text_counts(t)) for i, t in rows)
