@@ -200,7 +200,9 @@ def parity_sketches(shingles: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray,
     first = np.concatenate([[0], np.cumsum(bits)])
     doc = np.repeat(np.arange(len(size)), size)
     at = first[doc] + (mix(shingles ^ np.uint64(0xBB67AE8584CAA73B)) & (bits[doc] - 1).astype(np.uint64)).astype(np.int64)
-    odd = (np.bincount(at, minlength=int(first[-1])) & 1).astype(np.uint8)
+    at, times = np.unique(at, return_counts=True)  # memory by features and bytes, not by 64-bit counts
+    odd = np.zeros(int(first[-1]), np.uint8)
+    odd[at] = times & 1
     return np.packbits(odd, bitorder="little").view(np.int64), first // 64
 
 
